@@ -61,22 +61,19 @@ def neighbour_window(
     """
     if max(before, after) > hot_rows:
         raise ValueError("the frame must fit into one block")
-    # At most (all rows / hot_rows) keys.
-    hot = settle(
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select(*[F.col(k).alias(f"_hot_{k}") for k in keys]),
-        "hot-keys",
-    )
-
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    largest = sizes.agg(F.max("_n")).first()[0]
     plain = Window.partitionBy(*keys).orderBy(*order)
 
     def unsplit(rows: DataFrame) -> DataFrame:
         return rows.select("*", *[c.alias(name) for name, c in build(plain).items()])
 
-    if hot.isEmpty():
+    if largest is None or largest <= hot_rows:
         return unsplit(df)
+    # At most (all rows / hot_rows) keys.
+    hot = settle(
+        sizes.filter(F.col("_n") > hot_rows).select(*[F.col(k).alias(f"_hot_{k}") for k in keys]), "hot-keys"
+    )
     rest = unsplit(df.join(hot, _same_key(keys), "left_anti"))
     split = _in_blocks(df.join(hot, _same_key(keys), "left_semi"), keys, order, before, after, build, hot_rows)
     return rest.unionByName(split)

@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 
 from forgemeter.session import settle
 
+# Up to this many rows one task sorts faster than a cluster sets up ranges.
+# Always compared with a counted size.
+SMALL_ROWS = 1_000_000
+
 # monotonically_increasing_id() is (partition number << 33) + row number.
 ROW_BITS = 33
 
@@ -61,17 +65,31 @@ def with_row_number(df: DataFrame, order: Sequence[Column], out: str) -> DataFra
     return with_running_total(df, order, "_before").withColumn(out, F.col("_before") + 1).drop("_before")
 
 
-def with_ranks(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
+def with_ranks(df: DataFrame, ranks: dict[str, str], small_rows: int = SMALL_ROWS) -> DataFrame:
     """RANK() OVER (ORDER BY value DESC NULLS LAST) for every ``{rank: value}``.
 
-    Rank = 1 + rows with a strictly better value. That needs only how often each
-    value occurs, so the values are counted first (a value shared by a third of
-    the rows is one counted row), all rankings share one ordered pass over the
-    counts, and each rank is looked up by value. The lookups carry no hint: a
+    The rows are written out and counted; up to ``small_rows`` plain windows rank
+    them. Beyond: rank = 1 + rows with a strictly better value, which needs only
+    how often each value occurs. Values are counted first (one shared by a third
+    of the rows is one counted row), all rankings share one ordered pass over
+    the counts, and each rank is looked up by value. The lookups carry no hint: a
     short table of values is broadcast by its written size, a long one is
     sort-merge joined with AQE splitting a skewed value. Runs jobs.
     """
     rows = settle(df, "ranked-input")
+    total = rows.count()
+    if total <= small_rows:
+        return rows.select(
+            "*",
+            *[
+                F.rank().over(Window.orderBy(F.col(value).desc_nulls_last())).cast("bigint").alias(out)
+                for out, value in ranks.items()
+            ],
+        )
+    return _ranks_by_value(rows, total, ranks)
+
+
+def _ranks_by_value(rows: DataFrame, total: int, ranks: dict[str, str]) -> DataFrame:
     values = list(ranks.items())
     pairs = rows.select(
         F.explode(
@@ -89,10 +107,9 @@ def with_ranks(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
     )
     lookup = settle(ordered.drop("n"), "ranks", "ranking")
 
-    # Every ranking counts each row once, so ranking i starts after i * rows.
-    total = rows.count()
     result = rows
     for i, (out, value) in enumerate(values):
+        # Every ranking counts each row once, so ranking i starts after i * total.
         one = lookup.filter(F.col("ranking") == i).select(
             F.col("value").alias(f"_v{i}"), (F.col("before") - i * total + 1).cast("bigint").alias(out)
         )

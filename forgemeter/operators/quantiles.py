@@ -5,22 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgemeter.operators.ordering import with_running_total
+from forgemeter.operators.ordering import SMALL_ROWS, with_running_total
+from forgemeter.session import settle
 
 
-def grouped_median(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
+def grouped_median(
+    df: DataFrame, key: str, value: str, out: str, small_rows: int = SMALL_ROWS
+) -> DataFrame:
     """``key, out``: the interpolated median of the non-NULL BIGINT ``value``.
 
-    The built-in ``percentile`` holds one group's distinct values in one task.
-    Here equal values are counted, the counts are put in one global order by
+    Equal values are counted and the counts written out. Up to ``small_rows`` of
+    them the built-in ``percentile`` takes over; it holds one group's distinct
+    values in one task. Beyond, the counts are put in one global order by
     (key, value), and per key only the one or two middle values are picked out
-    by position. Groups without a value are absent. Runs a job.
+    by position. Groups without a value are absent. Runs jobs.
     """
-    counted = (
+    counted = settle(
         df.filter(F.col(value).isNotNull())
         .groupBy(F.col(key).alias("_key"), F.col(value).alias("_value"))
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(F.lit(1)).alias("_n")),
+        "value-counts",
     )
+    if counted.count() <= small_rows:
+        return counted.groupBy(F.col("_key").alias(key)).agg(F.percentile("_value", 0.5, F.col("_n")).alias(out))
+    return _middle_by_position(counted, key, out)
+
+
+def _middle_by_position(counted: DataFrame, key: str, out: str) -> DataFrame:
     ordered = with_running_total(
         counted, [F.col("_key").asc_nulls_first(), F.col("_value").asc()], "_before", weight="_n"
     )

@@ -20,7 +20,7 @@ from forgemeter.functions import calendar as cal
 from forgemeter.functions import reviews as rv
 from forgemeter.functions.rounding import percent, rounded_ratio
 from forgemeter.operators.blocks import HOT_ROWS, neighbour_window
-from forgemeter.operators.ordering import with_ranks
+from forgemeter.operators.ordering import SMALL_ROWS, with_ranks
 from forgemeter.operators.quantiles import grouped_median
 
 RECENT_DAYS = 90
@@ -99,7 +99,7 @@ def activity_patterns(facts: DataFrame) -> DataFrame:
     )
 
 
-def leaderboard(facts: DataFrame) -> DataFrame:
+def leaderboard(facts: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
     """Users ranked by reviews, merges, merge rate (two digits) and repositories. Runs jobs."""
     per_user = (
         facts.groupBy("user_login")
@@ -123,6 +123,7 @@ def leaderboard(facts: DataFrame) -> DataFrame:
             "rank_by_merge_rate": "merge_rate_percent",
             "rank_by_repos": "repos_contributed_to",
         },
+        small_rows,
     )
     score = (
         F.col("rank_by_total") * 4
@@ -190,8 +191,8 @@ def user_summary(facts: DataFrame) -> DataFrame:
     )
 
 
-def repo_summary(facts: DataFrame, staged: DataFrame) -> DataFrame:
-    """Per repository, with the exact median merge time (from the single reviews). Runs a job."""
+def repo_summary(facts: DataFrame, staged: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+    """Per repository, with the exact median merge time (from the single reviews). Runs jobs."""
     per_repo = (
         facts.groupBy("repo_name")
         .agg(
@@ -214,7 +215,7 @@ def repo_summary(facts: DataFrame, staged: DataFrame) -> DataFrame:
         )
     )
     durations = staged.select(F.col("repo_name"), rv.merge_micros().alias("micros"))
-    medians = grouped_median(durations, "repo_name", "micros", "median_micros").select(
+    medians = grouped_median(durations, "repo_name", "micros", "median_micros", small_rows).select(
         F.col("repo_name").alias("median_of"), rv.in_days(F.col("median_micros")).alias("median_days_to_merge")
     )
     return per_repo.join(medians, F.col("repo_name").eqNullSafe(F.col("median_of")), "left").drop("median_of")

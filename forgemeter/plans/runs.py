@@ -13,6 +13,7 @@ from forgemeter.operators.upsert import upsert_into
 from forgemeter.plans import contributions, pulls
 from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES, SOURCE_RULES
 from forgemeter.plans.suite import run_suite
+from forgemeter.session import settle
 from forgemeter.sources.tables import (
     RAW_CONTRIBUTIONS,
     RAW_PULLS,
@@ -49,14 +50,15 @@ def load_calendars(calendars: DataFrame, raw_path: str, restate: bool = False, s
         failed = ingest.failed_users(triaged).orderBy("username").limit(5).collect()
         if failed:
             raise FetchFailed("every range failed for: " + ", ".join(str(r["username"]) for r in failed))
-    days = ingest.cast_counts(ingest.flatten_calendars(triaged))
-    checked = enforce.require_valid(enforce.check_batch(days, RAW_CONTRIBUTIONS))
-    # Only stored days from the batch's first day on can be in the way.
-    first = checked.agg(F.min("date")).first()[0]
+    parsed = ingest.cast_counts(ingest.flatten_calendars(triaged))
+    # Written out: the steps below read the days several times, the JSON once.
+    days = settle(enforce.require_valid(enforce.check_batch(parsed, RAW_CONTRIBUTIONS)), "days")
+    first = days.agg(F.min("date")).first()[0]
     if first is None:
         return
+    # Only stored days from the batch's first day on can be in the way.
     stored = contributions_since(read_table(spark, RAW_CONTRIBUTIONS, raw_path), F.lit(first))
-    upsert_into(ingest.new_days(checked, stored, restate), RAW_CONTRIBUTIONS, raw_path, "arrival")
+    upsert_into(ingest.new_days(days, stored, restate), RAW_CONTRIBUTIONS, raw_path, "arrival")
 
 
 # Building -------------------------------------------------------------------
@@ -81,18 +83,24 @@ def store_bucketed(
         .bucketBy(buckets, key)
         .sortBy(*sort)
         .format("parquet")
-        .option("path", f"{out}/{name}")
+        .option("path", f"{out}/{name.split('.')[-1]}")
         .saveAsTable(name)
     )
     return spark.table(name)
 
 
 def run_contributions(
-    spark: SparkSession, raw_path: str, out: str, as_of: dt.date | None = None, buckets: int | None = None
+    spark: SparkSession,
+    raw_path: str,
+    out: str,
+    as_of: dt.date | None = None,
+    buckets: int | None = None,
+    staged_table: str = "contrib_staged",
 ) -> Mapping[str, DataFrame]:
     """Rebuild staging and the eight daily-activity tables, then test them.
 
-    Staging is bucketed by user once; every table after it groups by user.
+    Staging is bucketed by user once, as catalog table ``staged_table``; every
+    table after it groups by user.
     """
     raw = read_table(spark, RAW_CONTRIBUTIONS, raw_path).drop(RAW_CONTRIBUTIONS.layout[0])
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -100,7 +108,7 @@ def run_contributions(
         spark,
         staging.dedup_contributions(raw),
         out,
-        "contrib_staged",
+        staged_table,
         "username",
         ["username", "date"],
         buckets,
