@@ -19,6 +19,16 @@ def _arrival(seq: str, row: str) -> Column:
     return F.shiftleft(F.col(seq).cast("bigint"), ROW_BITS) + F.col(row)
 
 
+def _with_parsed(df: DataFrame, schema: str, out: str) -> DataFrame:
+    """Adds ``body`` parsed, parsing each body once.
+
+    As a plain column the expression would be copied into every later filter and
+    projection that uses it, and every copy would parse again. Filters are not
+    moved below an explode of what they look at.
+    """
+    return df.select("*", F.explode(F.array(F.from_json("body", schema))).alias(out))
+
+
 # Pulls ----------------------------------------------------------------------
 
 
@@ -26,19 +36,18 @@ def _is_page() -> Column:
     return F.coalesce(F.ltrim("body").startswith("[") & F.col("pulls").isNotNull(), F.lit(False))
 
 
-def _parsed_pages(pages: DataFrame) -> DataFrame:
-    return pages.withColumn("pulls", F.from_json("body", PULL_PAGE))
-
-
-def parse_pull_pages(pages: DataFrame) -> DataFrame:
+def parse_pull_pages(pages: DataFrame, strict: bool = False) -> DataFrame:
     """One row per review of the landed pages, plus ``arrival``.
 
     Missing fields become NULL, a missing author too. Timestamps stay text until
-    ``check_batch`` casts them. Answers that are no page: ``bad_pull_pages``.
+    ``check_batch`` casts them. Answers that are no page are left out (see
+    ``bad_pull_pages``), or, with ``strict``, fail the job.
     """
+    stop = F.raise_error(F.concat(F.lit("not a page of reviews: "), F.coalesce("repo_name", F.lit("?"))))
+    wanted = F.when(_is_page(), True).otherwise(stop.cast("boolean")) if strict else _is_page()
     return (
-        _parsed_pages(pages)
-        .filter(_is_page())
+        _with_parsed(pages, PULL_PAGE, "pulls")
+        .filter(wanted)
         .select("repo_name", "seq", F.posexplode("pulls").alias("row", "pull"))
         .select(
             "repo_name",
@@ -54,7 +63,7 @@ def parse_pull_pages(pages: DataFrame) -> DataFrame:
 
 def bad_pull_pages(pages: DataFrame) -> DataFrame:
     """Landed answers that are not a JSON array, such as an error object."""
-    return _parsed_pages(pages).filter(~_is_page()).drop("pulls")
+    return _with_parsed(pages, PULL_PAGE, "pulls").filter(~_is_page()).drop("pulls")
 
 
 # Calendars ------------------------------------------------------------------
@@ -66,9 +75,8 @@ def triage_calendars(calendars: DataFrame) -> DataFrame:
     Status is ``ok`` or the first failure: fetch_failed, bad_json, api_errors,
     user_missing.
     """
-    parsed = calendars.withColumn("answer", F.from_json("body", CALENDAR))
     answer = F.col("answer")
-    return parsed.withColumn(
+    return _with_parsed(calendars, CALENDAR, "answer").withColumn(
         "status",
         F.when(F.col("http_status").isNull() | (F.col("http_status") >= 400) | F.col("body").isNull(), "fetch_failed")
         .when(answer.isNull() | answer["_corrupt_record"].isNotNull(), "bad_json")

@@ -17,9 +17,9 @@ from pyspark.sql import functions as F
 
 from forgemeter.session import settle
 
-# Up to this many rows one task sorts faster than a cluster sets up ranges.
-# Always compared with a counted size.
-SMALL_ROWS = 1_000_000
+# Up to this many rows one task ranks faster than ranges are set up. Always
+# compared with a counted size.
+SMALL_ROWS = 100_000
 
 # monotonically_increasing_id() is (partition number << 33) + row number.
 ROW_BITS = 33

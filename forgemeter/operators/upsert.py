@@ -64,8 +64,9 @@ def upsert_into(batch: DataFrame, spec: TableSpec, path: str, seq: str) -> None:
     """Load ``batch`` into the dataset at ``path``, rewriting only what it touches.
 
     Loading the same batch again changes nothing, so a failed load is repeated.
-    The merged rows are written out before any directory is replaced: the job
-    never reads what it overwrites, and they are still there if it dies halfway.
+    The merged rows are written out before any directory is replaced, so the job
+    never reads what it overwrites. If the driver dies while directories are being
+    swapped, ``replace_directories`` on the written rows finishes the load.
     """
     spark = batch.sparkSession
     ensure_table(spark, spec, path)

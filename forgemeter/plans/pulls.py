@@ -21,7 +21,7 @@ from forgemeter.functions import reviews as rv
 from forgemeter.functions.rounding import percent, rounded_ratio
 from forgemeter.operators.blocks import HOT_ROWS, neighbour_window
 from forgemeter.operators.ordering import SMALL_ROWS, with_ranks
-from forgemeter.operators.quantiles import grouped_median
+from forgemeter.operators.quantiles import SMALL_COUNTS, grouped_median
 
 RECENT_DAYS = 90
 FRAME_ROWS = 30
@@ -191,7 +191,7 @@ def user_summary(facts: DataFrame) -> DataFrame:
     )
 
 
-def repo_summary(facts: DataFrame, staged: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+def repo_summary(facts: DataFrame, staged: DataFrame, small_counts: int = SMALL_COUNTS) -> DataFrame:
     """Per repository, with the exact median merge time (from the single reviews). Runs jobs."""
     per_repo = (
         facts.groupBy("repo_name")
@@ -215,7 +215,7 @@ def repo_summary(facts: DataFrame, staged: DataFrame, small_rows: int = SMALL_RO
         )
     )
     durations = staged.select(F.col("repo_name"), rv.merge_micros().alias("micros"))
-    medians = grouped_median(durations, "repo_name", "micros", "median_micros", small_rows).select(
+    medians = grouped_median(durations, "repo_name", "micros", "median_micros", small_counts).select(
         F.col("repo_name").alias("median_of"), rv.in_days(F.col("median_micros")).alias("median_days_to_merge")
     )
     return per_repo.join(medians, F.col("repo_name").eqNullSafe(F.col("median_of")), "left").drop("median_of")

@@ -30,9 +30,12 @@ class FetchFailed(RuntimeError):
 # Loading --------------------------------------------------------------------
 
 
-def load_pulls(pages: DataFrame, raw_path: str) -> None:
-    """Parse landed pages and load them; one invalid row fails the whole load."""
-    parsed = ingest.parse_pull_pages(pages)
+def load_pulls(pages: DataFrame, raw_path: str, strict: bool = True) -> None:
+    """Parse landed pages and load them; one invalid row fails the whole load.
+
+    With ``strict`` so does an answer that is no page.
+    """
+    parsed = ingest.parse_pull_pages(pages, strict)
     valid = enforce.require_valid(enforce.check_batch(parsed, RAW_PULLS))
     upsert_into(valid, RAW_PULLS, raw_path, "arrival")
 
@@ -75,11 +78,11 @@ def store_bucketed(
 ) -> DataFrame:
     """As ``store``, hash-bucketed by ``key`` and registered in the catalog.
 
-    Groupings and windows by ``key`` on the returned table need no shuffle.
+    Groupings and windows by ``key`` on the returned table need no shuffle. Pass
+    rows partitioned by ``key`` into ``buckets``, so that a task writes one file.
     """
     (
-        df.repartition(buckets, key)
-        .write.mode("overwrite")
+        df.write.mode("overwrite")
         .bucketBy(buckets, key)
         .sortBy(*sort)
         .format("parquet")
@@ -104,9 +107,13 @@ def run_contributions(
     """
     raw = read_table(spark, RAW_CONTRIBUTIONS, raw_path).drop(RAW_CONTRIBUTIONS.layout[0])
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # The load leaves one row per user and day, so no key has copies to collapse
+    # before the shuffle, and a user has at most one row per calendar day: one
+    # shuffle by user serves the dedup and the buckets.
+    by_user = raw.repartition(buckets, "username")
     staged = store_bucketed(
         spark,
-        staging.dedup_contributions(raw),
+        staging.dedup_contributions(by_user),
         out,
         staged_table,
         "username",

@@ -119,7 +119,7 @@ RAW_PULLS = TableSpec(
     ),
     primary_key=("pr_id",),
     load="replace_row",
-    layout=("id_block", "bigint", "pr_id div 10000000"),
+    layout=("id_block", "bigint", "pr_id div 100000000"),
 )
 
 TABLES = {t.name: t for t in (RAW_CONTRIBUTIONS, RAW_PULLS)}

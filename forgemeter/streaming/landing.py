@@ -23,9 +23,11 @@ def _drain(stream: DataFrame, load, checkpoint: str) -> StreamingQuery:
     )
 
 
-def drain_pulls(spark: SparkSession, landing: str, raw_path: str, checkpoint: str) -> StreamingQuery:
+def drain_pulls(
+    spark: SparkSession, landing: str, raw_path: str, checkpoint: str, strict: bool = True
+) -> StreamingQuery:
     stream = spark.readStream.schema(LANDED_PAGES).json(landing)
-    return _drain(stream, lambda batch: load_pulls(batch, raw_path), checkpoint)
+    return _drain(stream, lambda batch: load_pulls(batch, raw_path, strict), checkpoint)
 
 
 def drain_calendars(

@@ -76,6 +76,14 @@ def test_new_days_probe_the_stored_table_unshuffled(spark, days):
     assert "LeftSemi, BuildRight" in text and "SortMergeJoin" not in text
 
 
+def test_each_answer_is_parsed_once(spark, days):
+    answers = settle(samples.landed_calendars(days), "answers")
+    counts = ingest.cast_counts(ingest.flatten_calendars(ingest.triage_calendars(answers)))
+    assert plan(counts).count("from_json(") == 1
+    pages = settle(samples.landed_pages(samples.event_pulls(spark, SF)), "pages")
+    assert plan(ingest.parse_pull_pages(pages, strict=True)).count("from_json(") == 1
+
+
 def test_columns_are_pruned(reviews):
     text = plan(pulls.trends(pulls.review_facts(reviews)))
     assert "ReadSchema: struct<state:string,created_at:timestamp_ntz,merged_at:timestamp_ntz>" in text

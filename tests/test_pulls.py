@@ -141,7 +141,7 @@ def test_large_paths_equal_small_ones(spark):
     staged = samples.event_pulls(spark, "/root/testdata/sf0.01")
     facts = p.review_facts(staged)
     assert _same(p.leaderboard(facts), p.leaderboard(facts, small_rows=0))
-    assert _same(p.repo_summary(facts, staged), p.repo_summary(facts, staged, small_rows=0))
+    assert _same(p.repo_summary(facts, staged), p.repo_summary(facts, staged, small_counts=0))
 
 
 def test_hot_authors_are_split_without_changing_counts(spark):

@@ -3,7 +3,9 @@ import json
 import pytest
 from helpers import by_key, day
 
+from forgemeter.operators import staging
 from forgemeter.plans import contributions, runs
+from forgemeter.session import settle
 from forgemeter.sources import samples
 from forgemeter.sources.tables import RAW_CONTRIBUTIONS, RAW_PULLS, read_table
 from forgemeter.streaming.landing import drain_calendars, drain_pulls
@@ -57,6 +59,15 @@ def test_one_invalid_row_stops_a_load(spark, tmp_path):
         runs.load_pulls(pages, str(tmp_path / "raw"))
 
 
+def test_an_answer_that_is_no_page_stops_a_strict_load(spark, tmp_path):
+    rows = [("o/r", 0, '[{"id": 1}]'), ("o/s", 0, '{"message": "Not Found"}')]
+    pages = spark.createDataFrame(rows, "repo_name string, seq bigint, body string")
+    with pytest.raises(Exception, match="not a page of reviews: o/s"):
+        runs.load_pulls(pages, str(tmp_path / "strict"))
+    runs.load_pulls(pages, str(tmp_path / "lenient"), strict=False)
+    assert read_table(spark, RAW_PULLS, str(tmp_path / "lenient")).count() == 1
+
+
 def test_pulls_from_landing_to_tests(spark, tmp_path):
     landing, raw, out = str(tmp_path / "landing"), str(tmp_path / "raw"), str(tmp_path / "out")
     pulls = samples.event_pulls(spark, SF)
@@ -68,10 +79,16 @@ def test_pulls_from_landing_to_tests(spark, tmp_path):
     tests = by_key(models["pulls_tests"], "model", "column", "test")
     failing = {k for k, r in tests.items() if r["status"] == "fail"}
     # The deleted accounts have no author.
-    assert len(tests) == len([r for r in runs.PULL_RULES]) + 2
+    assert len(tests) == len(runs.PULL_RULES) + 2
     assert failing and all(column == "user_login" and test == "not_null" for _, column, test in failing)
 
 
+def test_staging_by_user_takes_one_shuffle(spark):
+    raw = samples.duplicated_contributions(spark, SF)
+    plan = settle(raw, "raw").repartition(4, "username").transform(staging.dedup_contributions)
+    assert plan._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+
+
 def test_contributions_from_raw_to_tests(spark, tmp_path):
     raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
     days = samples.dense_contributions(spark, SF)
