@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from forgemeter.session import settle
 from forgemeter.sources.tables import TableSpec, ensure_table, read_table
 
+# Stored rows come before any row of a batch.
+FIRST = -(2**63)
+
 # More touched directories than this are not listed one by one.
 MAX_LISTED = 10_000
 
@@ -51,13 +54,10 @@ def upsert(target: DataFrame, batch: DataFrame, spec: TableSpec, seq: str) -> Da
         latest = last_per_key(batch, spec, seq)
         untouched = target.join(latest.select(*keys), keys, "left_anti")
         return untouched.select(*columns).unionByName(latest)
-    both = (
-        target.withColumn("_new", F.lit(0))
-        .withColumn("_seq", F.lit(None).cast("bigint"))
-        .unionByName(batch.select(*columns, F.lit(1).alias("_new"), F.col(seq).cast("bigint").alias("_seq")))
-        .withColumn("_at", F.struct("_new", "_seq"))
+    both = target.withColumn("_seq", F.lit(FIRST)).unionByName(
+        batch.select(*columns, F.col(seq).cast("bigint").alias("_seq"))
     )
-    return last_per_key(both, spec, "_at")
+    return last_per_key(both, spec, "_seq")
 
 
 def upsert_into(batch: DataFrame, spec: TableSpec, path: str, seq: str) -> None:

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +14,7 @@ from forgemeter.operators.upsert import upsert_into
 from forgemeter.plans import contributions, pulls
 from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES, SOURCE_RULES
 from forgemeter.plans.suite import run_suite
-from forgemeter.session import settle
+from forgemeter.session import in_parallel, settle, shuffles_sized_for
 from forgemeter.sources.tables import (
     RAW_CONTRIBUTIONS,
     RAW_PULLS,
@@ -48,13 +49,14 @@ def load_calendars(calendars: DataFrame, raw_path: str, restate: bool = False, s
     """
     spark = calendars.sparkSession
     ensure_table(spark, RAW_CONTRIBUTIONS, raw_path)
-    triaged = ingest.triage_calendars(calendars)
+    # Written out: the steps below read the answers and days several times, the
+    # JSON is parsed once.
+    triaged = settle(ingest.triage_calendars(calendars).drop("body"), "answers")
     if strict:
         failed = ingest.failed_users(triaged).orderBy("username").limit(5).collect()
         if failed:
             raise FetchFailed("every range failed for: " + ", ".join(str(r["username"]) for r in failed))
     parsed = ingest.cast_counts(ingest.flatten_calendars(triaged))
-    # Written out: the steps below read the days several times, the JSON once.
     days = settle(enforce.require_valid(enforce.check_batch(parsed, RAW_CONTRIBUTIONS)), "days")
     first = days.agg(F.min("date")).first()[0]
     if first is None:
@@ -92,6 +94,16 @@ def store_bucketed(
     return spark.table(name)
 
 
+def _build(
+    spark: SparkSession, out: str, tables: Mapping[str, Callable[[], DataFrame]]
+) -> dict[str, DataFrame]:
+    return in_parallel({name: partial(_build_one, spark, out, name, make) for name, make in tables.items()})
+
+
+def _build_one(spark: SparkSession, out: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+    return store(spark, make(), out, name)
+
+
 def run_contributions(
     spark: SparkSession,
     raw_path: str,
@@ -106,54 +118,69 @@ def run_contributions(
     table after it groups by user.
     """
     raw = read_table(spark, RAW_CONTRIBUTIONS, raw_path).drop(RAW_CONTRIBUTIONS.layout[0])
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # The load leaves one row per user and day, so no key has copies to collapse
-    # before the shuffle, and a user has at most one row per calendar day: one
-    # shuffle by user serves the dedup and the buckets.
-    by_user = raw.repartition(buckets, "username")
-    staged = store_bucketed(
-        spark,
-        staging.dedup_contributions(by_user),
-        out,
-        staged_table,
-        "username",
-        ["username", "date"],
-        buckets,
-    )
-    built = {
-        "contrib_patterns": contributions.activity_patterns(staged),
-        "contrib_leaderboard": contributions.leaderboard(staged),
-        "contrib_monthly": contributions.monthly(staged),
-        "contrib_recent": contributions.recent_activity(staged, as_of),
-        "contrib_streaks": contributions.streaks(staged, as_of),
-        "contrib_trends": contributions.trends(staged),
-        "contrib_user_summary": contributions.user_summary(staged, as_of),
-        "contrib_weekly": contributions.weekly(staged),
-    }
-    models = {"contrib_staged": staged, **{n: store(spark, df, out, n) for n, df in built.items()}}
-    tests = store(spark, run_suite(models, CONTRIBUTION_RULES), out, "contrib_tests")
+    with shuffles_sized_for(spark, raw_path) as partitions:
+        # The load leaves one row per user and day, so no key has copies to
+        # collapse before the shuffle, and a user has at most one row per
+        # calendar day: one shuffle by user serves the dedup and the buckets.
+        buckets = buckets or partitions
+        by_user = raw.repartition(buckets, "username")
+        staged = store_bucketed(
+            spark,
+            staging.dedup_contributions(by_user),
+            out,
+            staged_table,
+            "username",
+            ["username", "date"],
+            buckets,
+        )
+        built = _build(
+            spark,
+            out,
+            {
+                "contrib_patterns": lambda: contributions.activity_patterns(staged),
+                "contrib_leaderboard": lambda: contributions.leaderboard(staged),
+                "contrib_monthly": lambda: contributions.monthly(staged),
+                "contrib_recent": lambda: contributions.recent_activity(staged, as_of),
+                "contrib_streaks": lambda: contributions.streaks(staged, as_of),
+                "contrib_trends": lambda: contributions.trends(staged),
+                "contrib_user_summary": lambda: contributions.user_summary(staged, as_of),
+                "contrib_weekly": lambda: contributions.weekly(staged),
+            },
+        )
+        models = {"contrib_staged": staged, **built}
+        tests = store(spark, run_suite(models, CONTRIBUTION_RULES), out, "contrib_tests")
     return {**models, "contrib_tests": tests}
 
 
 def run_pulls(
     spark: SparkSession, raw_path: str, out: str, as_of: dt.date | None = None, sources: bool = False
 ) -> Mapping[str, DataFrame]:
-    """Rebuild staging, the rollup and the nine code-review tables, then test them."""
+    """Rebuild staging, the rollup and the nine code-review tables, then test them.
+
+    Numbering the reviews by creation time also stores them in that order, so
+    the 90-day cut of ``pulls_recent`` skips most of the stored table by its
+    row-group statistics.
+    """
     raw = read_table(spark, RAW_PULLS, raw_path).drop(RAW_PULLS.layout[0])
-    staged = store(spark, staging.key_pulls(raw), out, "pulls_staged")
-    facts = store(spark, pulls.daily_rollup(pulls.review_facts(staged)), out, "pulls_rollup")
-    built = {
-        "pulls_patterns": pulls.activity_patterns(facts),
-        "pulls_leaderboard": pulls.leaderboard(facts),
-        "pulls_monthly": pulls.monthly(facts),
-        "pulls_recent": pulls.recent_activity(staged, as_of),
-        "pulls_repo_summary": pulls.repo_summary(facts, staged),
-        "pulls_time_to_merge": pulls.time_to_merge(staged),
-        "pulls_trends": pulls.trends(facts),
-        "pulls_user_summary": pulls.user_summary(facts),
-        "pulls_weekly": pulls.weekly(facts),
-    }
-    models = {"pulls_staged": staged, **{n: store(spark, df, out, n) for n, df in built.items()}}
-    checked = {**models, "raw_pulls": raw} if sources else models
-    tests = store(spark, run_suite(checked, [*PULL_RULES, *SOURCE_RULES], sources), out, "pulls_tests")
+    with shuffles_sized_for(spark, raw_path):
+        staged = store(spark, staging.key_pulls(raw), out, "pulls_staged")
+        facts = store(spark, pulls.daily_rollup(pulls.review_facts(staged)), out, "pulls_rollup")
+        built = _build(
+            spark,
+            out,
+            {
+                "pulls_patterns": lambda: pulls.activity_patterns(facts),
+                "pulls_leaderboard": lambda: pulls.leaderboard(facts),
+                "pulls_monthly": lambda: pulls.monthly(facts),
+                "pulls_recent": lambda: pulls.recent_activity(staged, as_of),
+                "pulls_repo_summary": lambda: pulls.repo_summary(facts, staged),
+                "pulls_time_to_merge": lambda: pulls.time_to_merge(staged),
+                "pulls_trends": lambda: pulls.trends(facts),
+                "pulls_user_summary": lambda: pulls.user_summary(facts),
+                "pulls_weekly": lambda: pulls.weekly(facts),
+            },
+        )
+        models = {"pulls_staged": staged, **built}
+        checked = {**models, "raw_pulls": raw} if sources else models
+        tests = store(spark, run_suite(checked, [*PULL_RULES, *SOURCE_RULES], sources), out, "pulls_tests")
     return {**models, "pulls_tests": tests}

@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator, Mapping
+from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 # What every job here relies on: UTC wall-clock timestamps, ANSI errors instead
@@ -18,6 +23,18 @@ DEFAULTS = {
 }
 
 
+# A shuffle partition should fit in a task's memory; Parquet grows about
+# threefold when its rows are shuffled. Beyond the largest number the driver's
+# bookkeeping costs more than the extra spilling.
+PARTITION_BYTES = 200 * 1024 * 1024
+SHUFFLE_GROWTH = 3
+MOST_PARTITIONS = 30_000
+
+# Tables built at the same time: fills a cluster while a small table's last
+# tasks run.
+TABLES_AT_ONCE = 4
+
+
 def local_session(app: str = "forgemeter", cpus: str = "*", **conf: str) -> SparkSession:
     """A single-machine session for tests and benchmarks."""
     builder = (
@@ -67,3 +84,33 @@ def settle(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def in_parallel(tasks: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+    """Run the tasks, a few at once, and return their results by name."""
+    with ThreadPoolExecutor(TABLES_AT_ONCE) as pool:
+        running = {name: pool.submit(inheritable_thread_target(task)) for name, task in tasks.items()}
+        return {name: future.result() for name, future in running.items()}
+
+
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return files.getContentSummary(place).getLength()
+
+
+@contextmanager
+def shuffles_sized_for(spark: SparkSession, path: str) -> Iterator[int]:
+    """Inside, shuffles have enough partitions for the dataset at ``path``.
+
+    Never fewer than configured; AQE merges what turns out too small.
+    """
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    needed = math.ceil(stored_bytes(spark, path) * SHUFFLE_GROWTH / PARTITION_BYTES)
+    partitions = max(int(before), min(needed, MOST_PARTITIONS))
+    spark.conf.set(key, str(partitions))
+    try:
+        yield partitions
+    finally:
+        spark.conf.set(key, before)

@@ -13,7 +13,7 @@ from forgemeter.operators.upsert import upsert
 from forgemeter.plans import contributions, pulls, runs
 from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES, REVIEW_STATES
 from forgemeter.plans.suite import run_suite
-from forgemeter.session import scratch_path, settle
+from forgemeter.session import in_parallel, scratch_path, settle
 from forgemeter.sources import samples
 from forgemeter.sources.samples import (
     DENSE_AS_OF,
@@ -379,27 +379,27 @@ def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     reviews = settle(_dirty_pulls(spark, sf_dir), "dirty")
     facts = pulls.review_facts(reviews)
     models = {
-        "contrib_staged": staged,
-        "contrib_patterns": contributions.activity_patterns(counted),
-        "contrib_leaderboard": contributions.leaderboard(counted),
-        "contrib_monthly": contributions.monthly(counted),
-        "contrib_recent": contributions.recent_activity(counted, LONG_AS_OF),
-        "contrib_streaks": contributions.streaks(counted, LONG_AS_OF),
-        "contrib_trends": contributions.trends(counted),
-        "contrib_user_summary": contributions.user_summary(counted, LONG_AS_OF),
-        "contrib_weekly": contributions.weekly(counted),
-        "pulls_staged": reviews,
-        "pulls_patterns": pulls.activity_patterns(facts),
-        "pulls_leaderboard": pulls.leaderboard(facts),
-        "pulls_monthly": pulls.monthly(facts),
-        "pulls_recent": pulls.recent_activity(reviews, ORDERS_AS_OF),
-        "pulls_repo_summary": pulls.repo_summary(facts, reviews),
-        "pulls_time_to_merge": pulls.time_to_merge(reviews),
-        "pulls_trends": pulls.trends(facts),
-        "pulls_user_summary": pulls.user_summary(facts),
-        "pulls_weekly": pulls.weekly(facts),
+        "contrib_staged": lambda: staged,
+        "contrib_patterns": lambda: contributions.activity_patterns(counted),
+        "contrib_leaderboard": lambda: contributions.leaderboard(counted),
+        "contrib_monthly": lambda: contributions.monthly(counted),
+        "contrib_recent": lambda: contributions.recent_activity(counted, LONG_AS_OF),
+        "contrib_streaks": lambda: contributions.streaks(counted, LONG_AS_OF),
+        "contrib_trends": lambda: contributions.trends(counted),
+        "contrib_user_summary": lambda: contributions.user_summary(counted, LONG_AS_OF),
+        "contrib_weekly": lambda: contributions.weekly(counted),
+        "pulls_staged": lambda: reviews,
+        "pulls_patterns": lambda: pulls.activity_patterns(facts),
+        "pulls_leaderboard": lambda: pulls.leaderboard(facts),
+        "pulls_monthly": lambda: pulls.monthly(facts),
+        "pulls_recent": lambda: pulls.recent_activity(reviews, ORDERS_AS_OF),
+        "pulls_repo_summary": lambda: pulls.repo_summary(facts, reviews),
+        "pulls_time_to_merge": lambda: pulls.time_to_merge(reviews),
+        "pulls_trends": lambda: pulls.trends(facts),
+        "pulls_user_summary": lambda: pulls.user_summary(facts),
+        "pulls_weekly": lambda: pulls.weekly(facts),
     }
-    stored = {name: settle(df, name) for name, df in models.items()}
+    stored = in_parallel({name: lambda n=name, make=make: settle(make(), n) for name, make in models.items()})
     return run_suite(stored, [*CONTRIBUTION_RULES, *PULL_RULES])
 
 
