@@ -49,20 +49,20 @@ def cases(spark, sf_dir: str) -> dict:
         "contrib_dedup": lambda: staging.dedup_contributions(copies, "arrival"),
         "pulls_keyed": lambda: staging.key_pulls(reviews),
         "contrib_patterns": lambda: contributions.activity_patterns(days),
-        "contrib_leaderboard": lambda: contributions.leaderboard(days),
+        "contrib_leaderboard": lambda: contributions.leaderboard(contributions.user_summary(days)),
         "contrib_monthly": lambda: contributions.monthly(days),
         "contrib_recent": lambda: contributions.recent_activity(days, samples.LONG_AS_OF),
         "contrib_streaks": lambda: contributions.streaks(dense, samples.DENSE_AS_OF),
-        "contrib_trends": lambda: contributions.trends(days),
+        "contrib_trends": lambda: contributions.trends(contributions.monthly(days)),
         "contrib_user_summary": lambda: contributions.user_summary(days, samples.LONG_AS_OF),
         "contrib_weekly": lambda: contributions.weekly(days),
         "pulls_patterns": lambda: pulls.activity_patterns(facts),
-        "pulls_leaderboard": lambda: pulls.leaderboard(facts),
+        "pulls_leaderboard": lambda: pulls.leaderboard(pulls.user_summary(facts)),
         "pulls_monthly": lambda: pulls.monthly(facts),
         "pulls_recent": lambda: pulls.recent_activity(events, samples.DENSE_AS_OF),
         "pulls_repo_summary": lambda: pulls.repo_summary(pulls.review_facts(events), events),
         "pulls_time_to_merge": lambda: pulls.time_to_merge(events),
-        "pulls_trends": lambda: pulls.trends(facts),
+        "pulls_trends": lambda: pulls.trends(pulls.monthly(facts)),
         "pulls_user_summary": lambda: pulls.user_summary(facts),
         "pulls_weekly": lambda: pulls.weekly(facts),
         "dq_staged": lambda: checks.check_model(reviews, staged_rules),

@@ -164,10 +164,11 @@ def plan_ranges(
 
     A user with fewer than ``threshold`` known days gets one range per calendar
     year since ``start_year``, the current one cut at ``as_of``; any other user
-    gets the last ``window`` days.
+    gets the last ``window`` days. ``stored`` has one row per user and day, so
+    its rows are counted as they are.
     """
     today = as_date(as_of)
-    known = stored.groupBy("username").agg(F.count_distinct("date").alias("known_days"))
+    known = stored.groupBy("username").agg(F.count(F.lit(1)).alias("known_days"))
     backfill = F.coalesce(F.col("known_days"), F.lit(0)) < threshold
     # sequence() would count down if the first year were still to come.
     since_start = F.when(

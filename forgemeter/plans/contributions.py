@@ -1,8 +1,8 @@
 """Daily-activity tables.
 
-Every function takes the staged contributions (one row per ``username`` and
-``date``) and returns an unsorted DataFrame (``presentation.show_order`` sorts it
-for display). ``date`` being unique per user has two consequences: distinct days
+Functions take the staged contributions (one row per ``username`` and ``date``),
+or a table already built from them, and return an unsorted DataFrame
+(``presentation.show_order`` sorts it for display). ``date`` being unique per user has two consequences: distinct days
 are counted with a plain ``count``, and a user's window holds at most one row per
 calendar day, so windows by user stay small however active the user is.
 
@@ -56,20 +56,23 @@ def activity_patterns(staged: DataFrame) -> DataFrame:
     )
 
 
-def leaderboard(staged: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """Users ranked by total, by unrounded daily average and by recorded days. Runs jobs."""
-    per_user = staged.groupBy("username").agg(
-        F.count(F.lit(1)).alias("days_active"),
-        F.sum(N).alias("total_contributions"),
-        F.avg(N).alias("average"),
-        F.max(N).alias("max_daily_contributions"),
-        F.max("date").alias("last_contribution_date"),
-    )
+def leaderboard(summary: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+    """Users ranked by total, by unrounded daily average and by recorded days. Runs jobs.
+
+    Takes ``user_summary``, which holds all it needs, one row per user.
+    """
     ranked = with_ranks(
-        per_user,
+        summary.select(
+            "username",
+            F.col("total_days_with_contributions").alias("days_active"),
+            "total_contributions",
+            "avg_daily_contributions",
+            "max_daily_contributions",
+            "last_contribution_date",
+        ),
         {
             "rank_by_total": "total_contributions",
-            "rank_by_avg": "average",
+            "rank_by_avg": "avg_daily_contributions",
             "rank_by_consistency": "days_active",
         },
         small_rows,
@@ -170,18 +173,15 @@ def streaks(staged: DataFrame, as_of: dt.date | None = None) -> DataFrame:
     )
 
 
-def trends(staged: DataFrame) -> DataFrame:
-    """Monthly totals per user against the user's previous recorded month."""
+def trends(monthly: DataFrame) -> DataFrame:
+    """Monthly totals per user, from ``monthly``, against the user's previous recorded month."""
     months = Window.partitionBy("username").orderBy("month_start")
     last_3 = months.rowsBetween(-2, 0)
     now, before = F.col("monthly_contributions"), F.col("prev_month_contributions")
     return (
-        staged.groupBy("username", cal.month_start(F.col("date")).alias("month_start"))
-        .agg(F.sum(N).alias("monthly_contributions"))
+        monthly.select("username", "month_start", F.col("total_contributions").alias("monthly_contributions"))
         .select(
-            "username",
-            "month_start",
-            "monthly_contributions",
+            "*",
             F.lag(now).over(months).alias("prev_month_contributions"),
             F.sum(now).over(last_3).alias("sum_3"),
             F.count(now).over(last_3).alias("n_3"),

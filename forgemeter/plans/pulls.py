@@ -4,7 +4,8 @@ All aggregated tables are sums over *facts*: rows of (user_login, repo_name,
 day) with additive measures. ``review_facts`` makes one fact per review, with no
 shuffle; ``daily_rollup`` adds them up per user, repository and day. Either can
 be passed to every function that takes ``facts``, so a full build scans the
-reviews once and derives seven tables from the stored rollup.
+reviews once and derives five tables from the stored rollup, and two more from
+those.
 
 Functions return unsorted DataFrames (``presentation.show_order`` sorts them).
 """
@@ -99,24 +100,21 @@ def activity_patterns(facts: DataFrame) -> DataFrame:
     )
 
 
-def leaderboard(facts: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
-    """Users ranked by reviews, merges, merge rate (two digits) and repositories. Runs jobs."""
-    per_user = (
-        facts.groupBy("user_login")
-        .agg(*_sums("pulls", "merged", "dropped", "still_open", "timed", "merge_us"),
-             F.count_distinct("repo_name").alias("repos_contributed_to"))
-        .select(
+def leaderboard(summary: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+    """Users ranked by reviews, merges, merge rate (two digits) and repositories. Runs jobs.
+
+    Takes ``user_summary``, which holds all it needs, one row per user.
+    """
+    ranked = with_ranks(
+        summary.select(
             "user_login",
-            F.col("pulls").alias("total_pulls"),
-            F.col("merged").alias("merged_pulls"),
-            F.col("still_open").alias("open_pulls"),
+            "total_pulls",
+            "merged_pulls",
+            "open_pulls",
             "repos_contributed_to",
-            _merge_rate().alias("merge_rate_percent"),
-            _average_days().alias("avg_days_to_merge"),
-        )
-    )
-    ranked = with_ranks(
-        per_user,
+            "merge_rate_percent",
+            "avg_days_to_merge",
+        ),
         {
             "rank_by_total": "total_pulls",
             "rank_by_merged": "merged_pulls",
@@ -271,8 +269,8 @@ def time_to_merge(staged: DataFrame) -> DataFrame:
     )
 
 
-def trends(facts: DataFrame) -> DataFrame:
-    """Monthly counts against the previous month that has any.
+def trends(monthly: DataFrame) -> DataFrame:
+    """Monthly counts, from ``monthly``, against the previous month that has any.
 
     The window has no partition: it runs over one row per calendar month.
     """
@@ -281,12 +279,14 @@ def trends(facts: DataFrame) -> DataFrame:
     pulls, merged = F.col("monthly_pulls"), F.col("monthly_merged")
     before = F.col("prev_month_pulls")
     return (
-        facts.groupBy(cal.month_start(F.col("day")).alias("month_start"))
-        .agg(F.sum("pulls").alias("monthly_pulls"), F.sum("merged").alias("monthly_merged"))
-        .select(
+        monthly.select(
             "month_start",
-            "monthly_pulls",
-            "monthly_merged",
+            "month_label",
+            F.col("total_pulls").alias("monthly_pulls"),
+            F.col("merged_pulls").alias("monthly_merged"),
+        )
+        .select(
+            "*",
             F.lag(pulls).over(months).alias("prev_month_pulls"),
             F.lag(merged).over(months).alias("prev_month_merged"),
             F.sum(pulls).over(last_3).alias("pulls_3"),
@@ -295,7 +295,7 @@ def trends(facts: DataFrame) -> DataFrame:
         )
         .select(
             "month_start",
-            cal.month_label(F.col("month_start")).alias("month_label"),
+            "month_label",
             "monthly_pulls",
             "monthly_merged",
             "prev_month_pulls",

@@ -138,16 +138,22 @@ def run_contributions(
             out,
             {
                 "contrib_patterns": lambda: contributions.activity_patterns(staged),
-                "contrib_leaderboard": lambda: contributions.leaderboard(staged),
                 "contrib_monthly": lambda: contributions.monthly(staged),
                 "contrib_recent": lambda: contributions.recent_activity(staged, as_of),
                 "contrib_streaks": lambda: contributions.streaks(staged, as_of),
-                "contrib_trends": lambda: contributions.trends(staged),
                 "contrib_user_summary": lambda: contributions.user_summary(staged, as_of),
                 "contrib_weekly": lambda: contributions.weekly(staged),
             },
         )
-        models = {"contrib_staged": staged, **built}
+        derived = _build(
+            spark,
+            out,
+            {
+                "contrib_leaderboard": lambda: contributions.leaderboard(built["contrib_user_summary"]),
+                "contrib_trends": lambda: contributions.trends(built["contrib_monthly"]),
+            },
+        )
+        models = {"contrib_staged": staged, **built, **derived}
         tests = store(spark, run_suite(models, CONTRIBUTION_RULES), out, "contrib_tests")
     return {**models, "contrib_tests": tests}
 
@@ -170,17 +176,23 @@ def run_pulls(
             out,
             {
                 "pulls_patterns": lambda: pulls.activity_patterns(facts),
-                "pulls_leaderboard": lambda: pulls.leaderboard(facts),
                 "pulls_monthly": lambda: pulls.monthly(facts),
                 "pulls_recent": lambda: pulls.recent_activity(staged, as_of),
                 "pulls_repo_summary": lambda: pulls.repo_summary(facts, staged),
                 "pulls_time_to_merge": lambda: pulls.time_to_merge(staged),
-                "pulls_trends": lambda: pulls.trends(facts),
                 "pulls_user_summary": lambda: pulls.user_summary(facts),
                 "pulls_weekly": lambda: pulls.weekly(facts),
             },
         )
-        models = {"pulls_staged": staged, **built}
+        derived = _build(
+            spark,
+            out,
+            {
+                "pulls_leaderboard": lambda: pulls.leaderboard(built["pulls_user_summary"]),
+                "pulls_trends": lambda: pulls.trends(built["pulls_monthly"]),
+            },
+        )
+        models = {"pulls_staged": staged, **built, **derived}
         checked = {**models, "raw_pulls": raw} if sources else models
         tests = store(spark, run_suite(checked, [*PULL_RULES, *SOURCE_RULES], sources), out, "pulls_tests")
     return {**models, "pulls_tests": tests}

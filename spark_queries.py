@@ -208,7 +208,7 @@ def contrib_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def contrib_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contributions.leaderboard(long_contributions(spark, sf_dir))
+    return contributions.leaderboard(contributions.user_summary(long_contributions(spark, sf_dir)))
 
 
 @query
@@ -228,7 +228,7 @@ def contrib_streaks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def contrib_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contributions.trends(long_contributions(spark, sf_dir))
+    return contributions.trends(contributions.monthly(long_contributions(spark, sf_dir)))
 
 
 @query
@@ -254,7 +254,7 @@ def pulls_patterns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pulls_leaderboard(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pulls.leaderboard(pulls.review_facts(order_pulls(spark, sf_dir)))
+    return pulls.leaderboard(pulls.user_summary(pulls.review_facts(order_pulls(spark, sf_dir))))
 
 
 @query
@@ -296,7 +296,7 @@ def pulls_time_to_merge_micro(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pulls_trends(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pulls.trends(pulls.review_facts(order_pulls(spark, sf_dir)))
+    return pulls.trends(pulls.monthly(pulls.review_facts(order_pulls(spark, sf_dir))))
 
 
 @query
@@ -381,21 +381,21 @@ def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     models = {
         "contrib_staged": lambda: staged,
         "contrib_patterns": lambda: contributions.activity_patterns(counted),
-        "contrib_leaderboard": lambda: contributions.leaderboard(counted),
+        "contrib_leaderboard": lambda: contributions.leaderboard(contributions.user_summary(counted)),
         "contrib_monthly": lambda: contributions.monthly(counted),
         "contrib_recent": lambda: contributions.recent_activity(counted, LONG_AS_OF),
         "contrib_streaks": lambda: contributions.streaks(counted, LONG_AS_OF),
-        "contrib_trends": lambda: contributions.trends(counted),
+        "contrib_trends": lambda: contributions.trends(contributions.monthly(counted)),
         "contrib_user_summary": lambda: contributions.user_summary(counted, LONG_AS_OF),
         "contrib_weekly": lambda: contributions.weekly(counted),
         "pulls_staged": lambda: reviews,
         "pulls_patterns": lambda: pulls.activity_patterns(facts),
-        "pulls_leaderboard": lambda: pulls.leaderboard(facts),
+        "pulls_leaderboard": lambda: pulls.leaderboard(pulls.user_summary(facts)),
         "pulls_monthly": lambda: pulls.monthly(facts),
         "pulls_recent": lambda: pulls.recent_activity(reviews, ORDERS_AS_OF),
         "pulls_repo_summary": lambda: pulls.repo_summary(facts, reviews),
         "pulls_time_to_merge": lambda: pulls.time_to_merge(reviews),
-        "pulls_trends": lambda: pulls.trends(facts),
+        "pulls_trends": lambda: pulls.trends(pulls.monthly(facts)),
         "pulls_user_summary": lambda: pulls.user_summary(facts),
         "pulls_weekly": lambda: pulls.weekly(facts),
     }

@@ -90,7 +90,7 @@ def test_trends_skip_missing_months_and_zero_divisors(spark):
         [("a", day("2024-01-05"), 4), ("a", day("2024-03-05"), 0), ("a", day("2024-04-05"), 3), ("a", day("2024-05-05"), 1)],
         SCHEMA,
     )
-    rows = c.trends(days).orderBy("month_start").collect()
+    rows = c.trends(c.monthly(days)).orderBy("month_start").collect()
     assert [r["prev_month_contributions"] for r in rows] == [None, 4, 0, 3]
     assert [r["month_over_month_change"] for r in rows] == [4, -4, 3, -2]
     assert [r["month_over_month_pct_change"] for r in rows] == [None, -100.0, None, -66.67]
@@ -114,7 +114,7 @@ def test_leaderboard_ranks_tie_and_score(spark):
         SCHEMA,
     )
     for small_rows in (0, 100):
-        found = by_key(c.leaderboard(days, small_rows), "username")
+        found = by_key(c.leaderboard(c.user_summary(days), small_rows), "username")
         ranks = {u: (r["rank_by_total"], r["rank_by_avg"], r["rank_by_consistency"]) for u, r in found.items()}
         assert ranks == {"a": (1, 1, 2), "b": (1, 2, 1), "c": (3, 3, 2)}
         assert {u: r["overall_score"] for u, r in found.items()} == {"a": 1.2, "b": 1.3, "c": 2.8}
@@ -122,7 +122,8 @@ def test_leaderboard_ranks_tie_and_score(spark):
 
 def test_leaderboard_of_many_values_equals_plain_ranks(spark):
     days = samples.long_contributions(spark, "/root/testdata/sf0.01")
-    small, large = c.leaderboard(days), c.leaderboard(days, small_rows=0)
+    users = c.user_summary(days)
+    small, large = c.leaderboard(users), c.leaderboard(users, small_rows=0)
     assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
 
 
@@ -135,7 +136,7 @@ def test_totals_agree_across_grains(spark):
     expected = total(days, "contribution_count")
     assert total(c.monthly(days)) == total(c.weekly(days)) == total(c.user_summary(days, AS_OF)) == expected
     assert total(c.activity_patterns(days)) == expected
-    assert total(c.trends(days), "monthly_contributions") == expected
+    assert total(c.trends(c.monthly(days)), "monthly_contributions") == expected
 
 
 def test_streaks_are_disjoint(spark):

@@ -85,8 +85,8 @@ def test_each_answer_is_parsed_once(spark, days):
 
 
 def test_columns_are_pruned(reviews):
-    text = plan(pulls.trends(pulls.review_facts(reviews)))
-    assert "ReadSchema: struct<state:string,created_at:timestamp_ntz,merged_at:timestamp_ntz>" in text
+    text = plan(pulls.activity_patterns(pulls.review_facts(reviews)))
+    assert "ReadSchema: struct<state:string,created_at:timestamp_ntz,merged_at:timestamp_ntz,user_login:string>" in text
 
 
 def test_scratch_is_the_named_folder(spark):

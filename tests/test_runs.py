@@ -99,7 +99,7 @@ def test_contributions_from_raw_to_tests(spark, tmp_path):
     assert models["contrib_streaks"].exceptAll(expected).count() == 0
     assert models["contrib_streaks"].count() == expected.count() == 52
     # Staging is bucketed by user: what groups by user moves no row.
-    for table in (contributions.monthly, contributions.trends, contributions.user_summary, contributions.weekly):
+    for table in (contributions.monthly, contributions.user_summary, contributions.weekly):
         plan = table(models["contrib_staged"])._jdf.queryExecution().executedPlan().toString()
         assert "Exchange" not in plan, table.__name__
     streaks = contributions.streaks(models["contrib_staged"], day("2024-01-31"))
