@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgemeter.session import settle
+from forgemeter.session import scratch_scope, settle
 from forgemeter.sources.tables import TableSpec, ensure_table, read_table
 
 # Stored rows come before any row of a batch.
@@ -70,6 +70,11 @@ def upsert_into(batch: DataFrame, spec: TableSpec, path: str, seq: str) -> None:
     """
     spark = batch.sparkSession
     ensure_table(spark, spec, path)
+    with scratch_scope(spark):
+        _merge_and_swap(spark, batch, spec, path, seq)
+
+
+def _merge_and_swap(spark: SparkSession, batch: DataFrame, spec: TableSpec, path: str, seq: str) -> None:
     place = spec.layout[0]
     batch = settle(batch.select(*spec.column_names, seq, spec.layout_column().alias(place)), "batch")
 

@@ -14,7 +14,7 @@ from forgemeter.operators.upsert import upsert_into
 from forgemeter.plans import contributions, pulls
 from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES, SOURCE_RULES
 from forgemeter.plans.suite import run_suite
-from forgemeter.session import in_parallel, settle, shuffles_sized_for
+from forgemeter.session import in_parallel, scratch_scope, settle, shuffles_sized_for
 from forgemeter.sources.tables import (
     RAW_CONTRIBUTIONS,
     RAW_PULLS,
@@ -49,21 +49,22 @@ def load_calendars(calendars: DataFrame, raw_path: str, restate: bool = False, s
     """
     spark = calendars.sparkSession
     ensure_table(spark, RAW_CONTRIBUTIONS, raw_path)
-    # Written out: the steps below read the answers and days several times, the
-    # JSON is parsed once.
-    triaged = settle(ingest.triage_calendars(calendars).drop("body"), "answers")
-    if strict:
-        failed = ingest.failed_users(triaged).orderBy("username").limit(5).collect()
-        if failed:
-            raise FetchFailed("every range failed for: " + ", ".join(str(r["username"]) for r in failed))
-    parsed = ingest.cast_counts(ingest.flatten_calendars(triaged))
-    days = settle(enforce.require_valid(enforce.check_batch(parsed, RAW_CONTRIBUTIONS)), "days")
-    first = days.agg(F.min("date")).first()[0]
-    if first is None:
-        return
-    # Only stored days from the batch's first day on can be in the way.
-    stored = contributions_since(read_table(spark, RAW_CONTRIBUTIONS, raw_path), F.lit(first))
-    upsert_into(ingest.new_days(days, stored, restate), RAW_CONTRIBUTIONS, raw_path, "arrival")
+    with scratch_scope(spark):
+        # Written out: the steps below read the answers and days several times,
+        # the JSON is parsed once.
+        triaged = settle(ingest.triage_calendars(calendars).drop("body"), "answers")
+        if strict:
+            failed = ingest.failed_users(triaged).orderBy("username").limit(5).collect()
+            if failed:
+                raise FetchFailed("every range failed for: " + ", ".join(str(r["username"]) for r in failed))
+        parsed = ingest.cast_counts(ingest.flatten_calendars(triaged))
+        days = settle(enforce.require_valid(enforce.check_batch(parsed, RAW_CONTRIBUTIONS)), "days")
+        first = days.agg(F.min("date")).first()[0]
+        if first is None:
+            return
+        # Only stored days from the batch's first day on can be in the way.
+        stored = contributions_since(read_table(spark, RAW_CONTRIBUTIONS, raw_path), F.lit(first))
+        upsert_into(ingest.new_days(days, stored, restate), RAW_CONTRIBUTIONS, raw_path, "arrival")
 
 
 # Building -------------------------------------------------------------------
@@ -118,7 +119,7 @@ def run_contributions(
     table after it groups by user.
     """
     raw = read_table(spark, RAW_CONTRIBUTIONS, raw_path).drop(RAW_CONTRIBUTIONS.layout[0])
-    with shuffles_sized_for(spark, raw_path) as partitions:
+    with scratch_scope(spark), shuffles_sized_for(spark, raw_path) as partitions:
         # The load leaves one row per user and day, so no key has copies to
         # collapse before the shuffle, and a user has at most one row per
         # calendar day: one shuffle by user serves the dedup and the buckets.
@@ -168,7 +169,7 @@ def run_pulls(
     row-group statistics.
     """
     raw = read_table(spark, RAW_PULLS, raw_path).drop(RAW_PULLS.layout[0])
-    with shuffles_sized_for(spark, raw_path):
+    with scratch_scope(spark), shuffles_sized_for(spark, raw_path):
         staged = store(spark, staging.key_pulls(raw), out, "pulls_staged")
         facts = store(spark, pulls.daily_rollup(pulls.review_facts(staged)), out, "pulls_rollup")
         built = _build(

@@ -30,6 +30,8 @@ PARTITION_BYTES = 200 * 1024 * 1024
 SHUFFLE_GROWTH = 3
 MOST_PARTITIONS = 30_000
 
+SCOPE = "forgemeter.scratch.scope"
+
 # Tables built at the same time: fills a cluster while a small table's last
 # tasks run.
 TABLES_AT_ONCE = 4
@@ -48,6 +50,17 @@ def local_session(app: str = "forgemeter", cpus: str = "*", **conf: str) -> Spar
     return builder.getOrCreate()
 
 
+def _hadoop(spark: SparkSession, path: str):
+    """The path and its file system, whichever storage it names."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    place, files = _hadoop(spark, path)
+    return files.exists(place)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -68,7 +81,28 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{scratch_root(spark)}/forgemeter/{label}-{uuid.uuid4().hex}"
+    scope = spark.sparkContext.getLocalProperty(SCOPE)
+    folder = f"forgemeter/{scope}" if scope else "forgemeter"
+    return f"{scratch_root(spark)}/{folder}/{label}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def scratch_scope(spark: SparkSession) -> Iterator[None]:
+    """Removes on success what was settled inside; a failure leaves it for recovery.
+
+    No DataFrame that still reads a settled table may leave the scope. The scope
+    is a Spark local property, so ``in_parallel`` tasks belong to it and other
+    threads do not.
+    """
+    context = spark.sparkContext
+    outer, scope = context.getLocalProperty(SCOPE), f"scope-{uuid.uuid4().hex}"
+    context.setLocalProperty(SCOPE, scope)
+    try:
+        yield
+    finally:
+        context.setLocalProperty(SCOPE, outer)
+    place, files = _hadoop(spark, f"{scratch_root(spark)}/forgemeter/{scope}")
+    files.delete(place, True)
 
 
 def settle(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
@@ -94,8 +128,7 @@ def in_parallel(tasks: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataF
 
 
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    files = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    place, files = _hadoop(spark, path)
     return files.getContentSummary(place).getLength()
 
 

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from forgemeter.session import path_exists
+
 
 SPARK_TYPES = {
     "string": T.StringType(),
@@ -136,14 +138,9 @@ def stored_schema(spec: TableSpec) -> T.StructType:
     return spec.schema().add(name, SPARK_TYPES[kind])
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
-
-
 def ensure_table(spark: SparkSession, spec: TableSpec, path: str) -> None:
     """Create the empty dataset unless it is there already."""
-    if not _exists(spark, path):
+    if not path_exists(spark, path):
         empty = spark.createDataFrame([], stored_schema(spec))
         empty.write.partitionBy(spec.layout[0]).parquet(path)
 

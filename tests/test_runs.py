@@ -1,11 +1,12 @@
 import json
+import os
 
 import pytest
 from helpers import by_key, day
 
 from forgemeter.operators import staging
 from forgemeter.plans import contributions, runs
-from forgemeter.session import settle
+from forgemeter.session import in_parallel, scratch_path, scratch_scope, settle, shuffles_sized_for
 from forgemeter.sources import samples
 from forgemeter.sources.tables import RAW_CONTRIBUTIONS, RAW_PULLS, read_table
 from forgemeter.streaming.landing import drain_calendars, drain_pulls
@@ -83,6 +84,35 @@ def test_pulls_from_landing_to_tests(spark, tmp_path):
     assert failing and all(column == "user_login" and test == "not_null" for _, column, test in failing)
 
 
+def test_scratch_is_removed_on_success_and_kept_on_failure(spark):
+    rows = spark.range(5)
+    with scratch_scope(spark):
+        settled = settle(rows, "rows")
+        inside = in_parallel({"a": lambda: settle(rows, "more"), "b": lambda: settle(rows, "rest")})
+        folder = os.path.dirname(scratch_path(spark, "x"))
+        assert settled.count() == inside["a"].count() == 5
+        assert len(os.listdir(folder)) == 3
+    assert not os.path.exists(folder)
+    with pytest.raises(ValueError), scratch_scope(spark):
+        settle(rows, "rows")
+        folder = os.path.dirname(scratch_path(spark, "x"))
+        raise ValueError
+    assert len(os.listdir(folder)) == 1
+    assert "scope-" not in scratch_path(spark, "x")
+
+
+def test_shuffles_follow_the_stored_bytes(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "rows")
+    spark.range(1000).write.parquet(path)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    with shuffles_sized_for(spark, path) as partitions:
+        assert partitions == int(before)
+    monkeypatch.setattr("forgemeter.session.PARTITION_BYTES", 100)
+    with shuffles_sized_for(spark, path) as partitions:
+        assert partitions > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == str(partitions)
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
 def test_staging_by_user_takes_one_shuffle(spark):
     raw = samples.duplicated_contributions(spark, SF)
     plan = settle(raw, "raw").repartition(4, "username").transform(staging.dedup_contributions)
