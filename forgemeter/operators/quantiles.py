@@ -36,8 +36,12 @@ def grouped_median(
 
 
 def _middle_by_position(counted: DataFrame, key: str, out: str) -> DataFrame:
-    ordered = with_running_total(
-        counted, [F.col("_key").asc_nulls_first(), F.col("_value").asc()], "_before", weight="_n"
+    # Written out: read once for the span of each key, once for the middle.
+    ordered = settle(
+        with_running_total(
+            counted, [F.col("_key").asc_nulls_first(), F.col("_value").asc()], "_before", weight="_n"
+        ),
+        "positions",
     )
     spans = ordered.groupBy(F.col("_key").alias("_span_key")).agg(
         F.min("_before").alias("_start"), F.sum("_n").alias("_total")

@@ -39,7 +39,8 @@ class TableSpec:
     ``load`` is ``merge_fields`` (a row with a known key takes over only
     ``update_fields``) or ``replace_row`` (it takes over the whole row).
     ``layout`` is (directory column, type, SQL expression over the row): rows are
-    stored by it, so a load rewrites only the directories its batch touches.
+    stored by it, so a load rewrites only the directories its batch touches. The
+    expression uses key columns only, so that a row never moves.
     """
 
     name: str
