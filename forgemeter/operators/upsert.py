@@ -5,12 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgemeter.session import scratch_scope, settle
+from forgemeter.session import path_exists, remove_path, scratch_scope, settle
 from forgemeter.sources.tables import TableSpec, ensure_table, read_table
 
 # Stored rows come before any row of a batch.
 FIRST = -(2**63)
 
+# Merged rows on their way into a dataset.
+PENDING = "_pending"
+
 # More touched directories than this are not listed one by one.
 MAX_LISTED = 10_000
 
@@ -64,17 +67,24 @@ def upsert_into(batch: DataFrame, spec: TableSpec, path: str, seq: str) -> None:
     """Load ``batch`` into the dataset at ``path``, rewriting only what it touches.
 
     Loading the same batch again changes nothing, so a failed load is repeated.
-    The merged rows are written out before any directory is replaced, so the job
-    never reads what it overwrites. If the driver dies while directories are being
-    swapped, ``replace_directories`` on the written rows finishes the load.
+    The merged rows are written to ``_pending`` inside the dataset (readers skip
+    such folders) before any directory is replaced: the job never reads what it
+    overwrites, and a swap cut short is finished by the next load. One load at a
+    time; a reader during the swap may see some directories old and some new.
     """
     spark = batch.sparkSession
     ensure_table(spark, spec, path)
+    finish_swap(spark, spec, path)
     with scratch_scope(spark):
-        _merge_and_swap(spark, batch, spec, path, seq)
+        merged = _merge(batch, spec, path, seq)
+        if merged is None:
+            return
+        merged.write.mode("overwrite").parquet(f"{path}/{PENDING}")
+    finish_swap(spark, spec, path)
 
 
-def _merge_and_swap(spark: SparkSession, batch: DataFrame, spec: TableSpec, path: str, seq: str) -> None:
+def _merge(batch: DataFrame, spec: TableSpec, path: str, seq: str) -> DataFrame | None:
+    """The full new content of the directories the batch touches; None if it is empty."""
     place = spec.layout[0]
     batch = settle(batch.select(*spec.column_names, seq, spec.layout_column().alias(place)), "batch")
 
@@ -82,23 +92,28 @@ def _merge_and_swap(spark: SparkSession, batch: DataFrame, spec: TableSpec, path
     # the whole dataset.
     touched = [r[0] for r in batch.select(place).distinct().limit(MAX_LISTED + 1).collect()]
     if not touched:
-        return
-    target = read_table(spark, spec, path)
+        return None
+    target = read_table(batch.sparkSession, spec, path)
     if len(touched) <= MAX_LISTED:
         target = target.filter(F.col(place).isin(touched))
-    merged = upsert(target, batch, spec, seq).withColumn(place, spec.layout_column())
-    replace_directories(settle(merged, "merged"), path, place)
+    return upsert(target, batch, spec, seq)
 
 
-def replace_directories(merged: DataFrame, path: str, place: str) -> None:
-    """Swap in the directories that ``merged`` holds; others stay.
+def finish_swap(spark: SparkSession, spec: TableSpec, path: str) -> None:
+    """Swap in the directories that completely written pending rows hold; others stay.
 
     Rebalancing by directory gives few files each, and splits a large one.
     """
-    (
-        merged.hint("rebalance", place)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(place)
-        .parquet(path)
-    )
+    pending, place = f"{path}/{PENDING}", spec.layout[0]
+    if path_exists(spark, f"{pending}/_SUCCESS"):
+        (
+            spark.read.schema(spec.schema())
+            .parquet(pending)
+            .withColumn(place, spec.layout_column())
+            .hint("rebalance", place)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(place)
+            .parquet(path)
+        )
+    remove_path(spark, pending)

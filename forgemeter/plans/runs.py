@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgemeter.operators import enforce, ingest, staging
-from forgemeter.operators.upsert import upsert_into
+from forgemeter.operators.upsert import finish_swap, upsert_into
 from forgemeter.plans import contributions, pulls
 from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES, SOURCE_RULES
 from forgemeter.plans.suite import run_suite
@@ -49,6 +49,7 @@ def load_calendars(calendars: DataFrame, raw_path: str, restate: bool = False, s
     """
     spark = calendars.sparkSession
     ensure_table(spark, RAW_CONTRIBUTIONS, raw_path)
+    finish_swap(spark, RAW_CONTRIBUTIONS, raw_path)
     with scratch_scope(spark):
         # Written out: the steps below read the answers and days several times,
         # the JSON is parsed once.

@@ -61,6 +61,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return files.exists(place)
 
 
+def remove_path(spark: SparkSession, path: str) -> None:
+    place, files = _hadoop(spark, path)
+    files.delete(place, True)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -101,8 +106,7 @@ def scratch_scope(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         context.setLocalProperty(SCOPE, outer)
-    place, files = _hadoop(spark, f"{scratch_root(spark)}/forgemeter/{scope}")
-    files.delete(place, True)
+    remove_path(spark, f"{scratch_root(spark)}/forgemeter/{scope}")
 
 
 def settle(df: DataFrame, label: str, *partition_by: str) -> DataFrame:

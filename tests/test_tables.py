@@ -1,10 +1,11 @@
 import dataclasses
+import shutil
 
 import pytest
 from helpers import by_key, day
 from pyspark.sql import functions as F
 
-from forgemeter.operators.upsert import upsert, upsert_into
+from forgemeter.operators.upsert import finish_swap, upsert, upsert_into
 from forgemeter.sources import samples
 from forgemeter.sources.tables import (
     RAW_CONTRIBUTIONS,
@@ -104,6 +105,44 @@ def test_a_load_rewrites_only_the_months_it_touches(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(month" in plan and ">= 2024-02-01" in plan
 
 
+def test_a_swap_cut_short_is_finished_by_the_next_load(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "raw")
+    rows = [("a", day("2024-01-05"), 1, 1), ("a", day("2024-02-05"), 2, 1)]
+    upsert_into(spark.createDataFrame(rows, BATCH), RAW_CONTRIBUTIONS, path, "seq")
+
+    def die(spark, spec, path):
+        """The swap took one directory away and got no further."""
+        if (tmp_path / "raw" / "_pending" / "_SUCCESS").exists():
+            shutil.rmtree(tmp_path / "raw" / "month=2024-02-01")
+            raise RuntimeError("driver lost")
+
+    late = spark.createDataFrame([("b", day("2024-02-06"), 3, 1)], BATCH)
+    with monkeypatch.context() as patched:
+        patched.setattr("forgemeter.operators.upsert.finish_swap", die)
+        with pytest.raises(RuntimeError):
+            upsert_into(late, RAW_CONTRIBUTIONS, path, "seq")
+    assert len(_counts(read_table(spark, RAW_CONTRIBUTIONS, path))) == 1
+    upsert_into(late.limit(0), RAW_CONTRIBUTIONS, path, "seq")
+    assert _counts(read_table(spark, RAW_CONTRIBUTIONS, path)) == {
+        ("a", day("2024-01-05")): 1,
+        ("a", day("2024-02-05")): 2,
+        ("b", day("2024-02-06")): 3,
+    }
+    assert not (tmp_path / "raw" / "_pending").exists()
+
+
+def test_half_written_pending_rows_are_dropped(spark, tmp_path):
+    path = str(tmp_path / "raw")
+    upsert_into(spark.createDataFrame([("a", day("2024-01-05"), 1, 1)], BATCH), RAW_CONTRIBUTIONS, path, "seq")
+    half = tmp_path / "raw" / "_pending"
+    spark.createDataFrame([("a", day("2024-01-05"), 9)], RAW_CONTRIBUTIONS.schema()).write.parquet(str(half))
+    (half / "_SUCCESS").unlink()
+    assert _counts(read_table(spark, RAW_CONTRIBUTIONS, path)) == {("a", day("2024-01-05")): 1}
+    finish_swap(spark, RAW_CONTRIBUTIONS, path)
+    assert _counts(read_table(spark, RAW_CONTRIBUTIONS, path)) == {("a", day("2024-01-05")): 1}
+    assert not half.exists()
+
+
 def test_an_empty_batch_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "raw")
     upsert_into(spark.createDataFrame([], BATCH), RAW_CONTRIBUTIONS, path, "seq")
