@@ -68,6 +68,14 @@ def load_calendars(calendars: DataFrame, raw_path: str, restate: bool = False, s
         upsert_into(ingest.new_days(days, stored, restate), RAW_CONTRIBUTIONS, raw_path, "arrival")
 
 
+def ranges_to_fetch(users: DataFrame, raw_path: str, as_of: dt.date | None = None) -> DataFrame:
+    """What to ask for next, for whatever lands the answers; ``users`` has ``username``."""
+    spark = users.sparkSession
+    ensure_table(spark, RAW_CONTRIBUTIONS, raw_path)
+    finish_swap(spark, RAW_CONTRIBUTIONS, raw_path)
+    return ingest.plan_ranges(users, read_table(spark, RAW_CONTRIBUTIONS, raw_path), as_of)
+
+
 # Building -------------------------------------------------------------------
 
 

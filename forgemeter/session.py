@@ -12,8 +12,8 @@ from contextlib import contextmanager
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
-# What every job here relies on: UTC wall-clock timestamps, ANSI errors instead
-# of silent NULLs, and AQE for coalescing, skew joins and runtime broadcasts.
+# Recommended for any session: today's date in UTC, ANSI errors instead of silent
+# NULLs, and AQE for coalescing, skew joins and runtime broadcasts.
 DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.ansi.enabled": "true",
@@ -22,7 +22,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
 }
 
-
 # A shuffle partition should fit in a task's memory; Parquet grows about
 # threefold when its rows are shuffled. Beyond the largest number the driver's
 # bookkeeping costs more than the extra spilling.

@@ -67,5 +67,6 @@ def test_source_rules_run_on_request(spark):
 
 def test_show_order_puts_nulls_as_largest(spark):
     rows = spark.createDataFrame([("a", 1), (None, 2), ("b", 3)], "username string, days int")
-    shown = presentation.show_order("contrib_monthly", rows.selectExpr("username", "date_add(date'2024-01-01', days) AS month_start"))
+    rows = rows.selectExpr("username", "date_add(date'2024-01-01', days) AS month_start")
+    shown = presentation.show_order("contrib_monthly", rows)
     assert [r["username"] for r in shown.collect()] == ["a", "b", None]

@@ -10,9 +10,8 @@ from forgemeter.sources.tables import RAW_CONTRIBUTIONS, RAW_PULLS
 
 
 def calendar(*weeks):
-    return json.dumps(
-        {"data": {"user": {"contributionsCollection": {"contributionCalendar": {"weeks": [{"contributionDays": w} for w in weeks]}}}}}
-    )
+    found = {"contributionCalendar": {"weeks": [{"contributionDays": w} for w in weeks]}}
+    return json.dumps({"data": {"user": {"contributionsCollection": found}}})
 
 
 def entry(date, count):
@@ -99,7 +98,12 @@ def test_a_week_without_days_hides_no_other(spark):
 def test_new_days(spark):
     stored = spark.createDataFrame([("u", day("2024-01-01"), 9)], RAW_CONTRIBUTIONS.schema())
     batch = spark.createDataFrame(
-        [("u", day("2024-01-01"), 1, 0), ("u", day("2024-01-02"), 2, 1), ("u", day("2024-01-02"), 3, 2), ("v", day("2024-01-01"), 4, 0)],
+        [
+            ("u", day("2024-01-01"), 1, 0),
+            ("u", day("2024-01-02"), 2, 1),
+            ("u", day("2024-01-02"), 3, 2),
+            ("v", day("2024-01-01"), 4, 0),
+        ],
         "username string, date date, contribution_count int, arrival bigint",
     )
     kept = by_key(ingest.new_days(batch, stored), "username", "date")
@@ -108,7 +112,8 @@ def test_new_days(spark):
 
 
 def test_known_dates_are_text(spark):
-    stored = spark.createDataFrame([("u", day("2024-01-01"), 9), ("u", day("2024-01-01"), 8)], "username string, date date, n int")
+    rows = [("u", day("2024-01-01"), 9), ("u", day("2024-01-01"), 8)]
+    stored = spark.createDataFrame(rows, "username string, date date, n int")
     assert [tuple(r) for r in ingest.known_dates(stored).collect()] == [("u", "2024-01-01")]
 
 

@@ -44,6 +44,23 @@ def test_each_run_loads_what_landed_since(spark, tmp_path):
     assert drain(restate=True)[("u", "2024-01-31")] == 7
 
 
+def test_ranges_follow_what_is_stored(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    users = spark.createDataFrame([("u",), ("v",)], "username string")
+    assert runs.ranges_to_fetch(users, raw, day("2024-03-01")).count() == 4
+    january = calendar([entry(f"2024-01-{d:02}", d) for d in range(1, 32)])
+    answers = spark.createDataFrame(
+        [("u", 0, 200, january)], "username string, range_seq bigint, http_status int, body string"
+    )
+    runs.load_calendars(answers, raw)
+    planned = runs.ranges_to_fetch(users, raw, day("2024-03-01")).collect()
+    assert sorted((r["username"], r["mode"]) for r in planned) == [
+        ("u", "incremental"),
+        ("v", "backfill"),
+        ("v", "backfill"),
+    ]
+
+
 def test_a_user_without_any_answer_stops_a_strict_load(spark, tmp_path):
     rows = [("u", 0, 200, calendar([entry("2024-01-01", 1)])), ("gone", 0, 200, '{"data": {"user": null}}')]
     answers = spark.createDataFrame(rows, "username string, range_seq bigint, http_status int, body string")

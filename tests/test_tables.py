@@ -155,6 +155,7 @@ def test_the_whole_table_is_gone_over_when_too_much_is_touched(spark, tmp_path,
     path = str(tmp_path / "raw")
     days = samples.dense_contributions(spark, "/root/testdata/sf0.001").withColumn("seq", F.lit(1))
     more = days.withColumn("date", F.add_months("date", 1))
-    upsert_into(days.unionByName(more), RAW_CONTRIBUTIONS, path, "seq")
-    upsert_into(days.unionByName(more), RAW_CONTRIBUTIONS, path, "seq")
-    assert read_table(spark, RAW_CONTRIBUTIONS, path).count() == days.unionByName(more).select("username", "date").distinct().count()
+    both = days.unionByName(more)
+    for _ in range(2):
+        upsert_into(both, RAW_CONTRIBUTIONS, path, "seq")
+    assert read_table(spark, RAW_CONTRIBUTIONS, path).count() == both.select("username", "date").distinct().count()
