@@ -7,9 +7,11 @@ import pytest
 from helpers import DUCK_TYPES, TABLES, duck_rows, spark_rows
 
 import __spark_entry__ as registered
+import oracle_queries
+import spark_queries
 
 SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLE = registered.queries(), registered.oracle_sql()
+QUERIES, ORACLE = spark_queries.QUERIES, oracle_queries.ORACLE
 
 
 @pytest.fixture(scope="module")
@@ -35,5 +37,10 @@ def test_matches_oracle(spark, duck, name):
     assert spark_rows(result) == expected
 
 
+def test_all_are_registered():
+    assert QUERIES.items() <= registered.queries().items()
+    assert ORACLE.items() <= registered.oracle_sql().items()
+
+
 def test_entry_runs(spark):
     assert registered.entry(spark).count() > 0
