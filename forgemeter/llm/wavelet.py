@@ -20,6 +20,7 @@ Parquet table, so that a lost task leaves nothing behind and any store will do.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
 from collections.abc import Iterable, Iterator
@@ -39,8 +40,11 @@ MAGIC = b"FMWMX1\0\0"
 HEAD = struct.Struct("<8sIQQ")
 BLOCK = 512
 SHARD_IDS = 1 << 20
-CACHED_WORDS = 400_000
-PARTS_A_LINE = 200
+CACHED_WORDS = 250_000
+CACHED_PARTS = 1_000_000
+PARTS_A_LINE = 500
+# Lower-case words of ASCII letters and the Latin letters of two bytes from U+00E0 to U+017F, U+00F7 and U+0130 left out.
+PLAIN = re.compile(rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf])+")
 
 FILE_COLUMNS = "part int, shard int, start bigint, ids bigint, docs bigint, file binary"
 DOC_COLUMNS = "part int, start bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint"
@@ -200,21 +204,40 @@ class WordEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         # Strings of special tokens in a text are ordinary text.
         self.tokenizer.encode_special_tokens = True
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        suffix = self.tokenizer.model.end_of_word_suffix
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
         self.known: dict[bytes, bytes] = {}
         self.parts: dict[bytes, bytes] = {b"": b""}
 
     def _learn(self, parts: list[bytes]) -> None:
-        """Encode unseen parts, many in one line; offsets tell whose an id is."""
-        lines = [parts[i : i + PARTS_A_LINE] for i in range(0, len(parts), PARTS_A_LINE)]
-        texts = [[part.decode() for part in line] for line in lines]
-        encoded = self.tokenizer.encode_batch([" ".join(text) for text in texts], add_special_tokens=False)
-        for line, text, one in zip(lines, texts, encoded, strict=True):
-            ends = np.cumsum([len(part) + 1 for part in text])
+        """Encode unseen parts, many in one line."""
+        # Letters of one script are one word to the pre-tokenizer, and only its last id ends a word.
+        plain, other = [], []
+        for part in parts:
+            (plain if PLAIN.fullmatch(part) else other).append(part)
+        for line, text in self._lines(plain):
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+            self._keep(line, ids, np.flatnonzero(self.ends_word[ids]) + 1)
+        # For the others offsets tell whose an id is.
+        for line, text in self._lines(other):
+            one = self.tokenizer.encode_batch([text], add_special_tokens=False)[0]
+            ends = np.cumsum([len(part.decode()) + 1 for part in line])
             owner = np.searchsorted(ends, [start for start, _ in one.offsets], side="right")
-            cuts = np.concatenate([[0], np.cumsum(np.bincount(owner, minlength=len(line)))]) * 4
-            ids = np.array(one.ids, "<u4").tobytes()
-            for part, low, high in zip(line, cuts.tolist(), cuts[1:].tolist(), strict=False):
-                self.parts[part] = ids[low:high]
+            self._keep(line, np.array(one.ids, "<u4"), np.cumsum(np.bincount(owner, minlength=len(line))))
+
+    @staticmethod
+    def _lines(parts: list[bytes]):
+        for at in range(0, len(parts), PARTS_A_LINE):
+            line = parts[at : at + PARTS_A_LINE]
+            yield line, b" ".join(line).decode()
+
+    def _keep(self, parts: list[bytes], ids: np.ndarray, stops: np.ndarray) -> None:
+        data, start = ids.astype("<u4").tobytes(), 0
+        for part, stop in zip(parts, (4 * stops).tolist(), strict=True):
+            self.parts[part] = data[start:stop]
+            start = stop
 
     def encode_batch(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
@@ -234,7 +257,7 @@ class WordEncoder:
         out = [b"".join([known[word] for word in of_text]) for of_text in words]
         if len(known) > CACHED_WORDS:
             known.clear()
-        if len(parts) > CACHED_WORDS:
+        if len(parts) > CACHED_PARTS:
             parts.clear()
             parts[b""] = b""
         return out
