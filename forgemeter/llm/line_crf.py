@@ -79,6 +79,28 @@ LABELLED = (
         (CONTENT, "The museum shows tools, boats and nets from the time when the whole coast lived on fish."),
         (CONTENT, "Children go in free, and on Sundays so does everybody else."),
     ),
+    (
+        (BOILERPLATE, "The%%% rain,&&& he*** said.### Would$$$ come,%%% and&&& so*** it### did.&&&"),
+        (BOILERPLATE, "They$$$ waited.&&& Nobody,### not%%% one,*** went.&&& All$$$ stayed,%%% of### course.***"),
+    ),
+    (
+        (CONTENT, "In the south the harvest was good, in the north it was not."),
+        (BOILERPLATE, "Home, | Sport. | Weather, | Travel | Books. | Films, | Contact."),
+        (BOILERPLATE, "Mail. | Print, | Share | Top, | Next. | Last"),
+    ),
+    (
+        (BOILERPLATE, "COME.!! BUY,!! NOW!! BIG!! SALE,!! ALL!! WEEK.!!"),
+        (BOILERPLATE, "DO NOT MISS THIS, IT IS THE BEST, AND THE LAST."),
+        (BOILERPLATE, "good, good, good, good, good, good, good, good, good."),
+        (BOILERPLATE, "cheap. cheap. cheap. cheap. cheap. cheap. cheap. cheap. cheap."),
+    ),
+    (
+        (CONTENT, "Copyright and licence"),
+        (CONTENT, "Names of the members of the board for the next two years"),
+        (CONTENT, "The list was read out, and there were no questions."),
+        (CONTENT, "The list was read out, and there were no questions."),
+        (CONTENT, "End of the report"),
+    ),
     (
         (CONTENT, "Chapter Two"),
         (CONTENT, "In the morning they found the door open, the lamp burning, and nobody in the house."),
