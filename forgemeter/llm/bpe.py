@@ -15,12 +15,14 @@ from __future__ import annotations
 
 import base64
 from collections import defaultdict
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from forgemeter.llm.words import text_bytes
@@ -28,7 +30,7 @@ from forgemeter.llm.words import text_bytes
 ID_BITS = 20
 DEAD = np.int64(2**62)
 LONGEST_IN_STEP = 63
-CACHED_CHUNKS = 300_000
+CACHED_CHUNKS = 250_000
 BYTES_AT_ONCE = 1_000_000
 _POSITION_BITS = 6
 
@@ -41,9 +43,6 @@ class Codec:
         self.pieces = regex.compile(pattern).findall
         # A space with white space on both sides is no sure border between pieces.
         self.unsure = regex.compile(r"\s \s|\s \Z").search
-        self.table = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            self.table[rank] = token
         self.of_byte = np.array([ranks.get(bytes([b]), -1) for b in range(256)], np.int64)
         if (self.of_byte < 0).any():
             raise ValueError("every single byte needs a rank")
@@ -225,23 +224,41 @@ class Codec:
             known.clear()
         return out
 
-    def decode(self, ids) -> bytes:
-        return b"".join(map(self.table.__getitem__, ids))
+
+def read_ranks(path: str) -> dict[bytes, int]:
+    """Lines of base64 token and rank."""
+    with open(path, "rb") as lines:
+        return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
 
 
 @lru_cache(maxsize=2)
 def codec(path: str, pattern: str) -> Codec:
-    """The codec of a rank file (lines of base64 token and rank), once per worker."""
-    with open(path, "rb") as lines:
-        ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
-    return Codec(ranks, pattern)
+    """The codec of a rank file, once per worker."""
+    return Codec(read_ranks(path), pattern)
 
 
-def id_lists(encoded: list[bytes]) -> pa.Array:
-    """Little-endian 32-bit ids as one Arrow list per text."""
-    offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in encoded], dtype=np.int64)])
-    values = np.frombuffer(b"".join(encoded), "<u4").astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+class Decoder:
+    """The bytes of all tokens in one array, and where each starts."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = [b""] * (max(ranks.values()) + 1)
+        for token, rank in ranks.items():
+            tokens[rank] = token
+        self.lengths = np.array([len(token) for token in tokens], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(tokens), np.uint8)
+
+    def decode(self, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The bytes of all ids, and where each id's end among them."""
+        lengths = self.lengths[ids]
+        ends = np.cumsum(lengths)
+        total = int(ends[-1]) if len(ends) else 0
+        return self.bytes[np.repeat(self.starts[ids] - (ends - lengths), lengths) + np.arange(total)], ends
+
+
+@lru_cache(maxsize=2)
+def decoder(path: str) -> Decoder:
+    return Decoder(read_ranks(path))
 
 
 def in_portions(values: list, size) -> list[list]:
@@ -256,30 +273,50 @@ def in_portions(values: list, size) -> list[list]:
     return portions
 
 
-def encode_column(text: Column, path: str, pattern: str) -> Column:
-    """Token ids of each whole text; a null text has none."""
+def _id_lists(encoded: list[bytes]) -> pa.Array:
+    offsets = np.concatenate([[0], np.cumsum([len(ids) // 4 for ids in encoded], dtype=np.int64)])
+    values = np.frombuffer(b"".join(encoded), "<i4")
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(values, pa.int32()))
+
+
+def _decoded(lists: pa.Array, own: Decoder) -> pa.Array:
+    values = lists.flatten().to_numpy(zero_copy_only=False)
+    lengths = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    data, ends = own.decode(values)
+    stops = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(lengths, dtype=np.int64)])]
+    raw = data.tobytes()
+    return pa.array([raw[a:b] for a, b in zip(stops.tolist(), stops[1:].tolist(), strict=False)], pa.binary())
+
 
-    @F.arrow_udf("array<int>")
-    def encode(texts: pa.Array) -> pa.Array:
-        own = codec(path, pattern)
-        encoded = []
-        for portion in in_portions([data.decode() for data in text_bytes(texts)], len):
-            encoded += own.encode_batch(portion)
-        return id_lists(encoded)
+def _portions(batch: pa.RecordBatch, sizes: pa.Array) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch that hold about ``BYTES_AT_ONCE`` each."""
+    at = 0
+    for portion in in_portions(pc.fill_null(sizes, 0).to_pylist(), int):
+        yield batch.slice(at, len(portion))
+        at += len(portion)
 
-    # Not to be repeated for every use of the column.
-    return encode.asNondeterministic()(text)
 
+def _encoded(path: str, pattern: str, decode: bool):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own, back = codec(path, pattern), decoder(path) if decode else None
+        for batch in batches:
+            for rows in _portions(batch, pc.binary_length(batch.column(1))):
+                ids = _id_lists(own.encode_batch([data.decode() for data in text_bytes(rows.column(1))]))
+                columns = [rows.column(0), ids] + ([_decoded(ids, back)] if decode else [])
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "ids", "decoded"][: len(columns)])
 
-def decode_column(ids: Column, path: str, pattern: str) -> Column:
-    """The bytes that token ids stand for; null ids have none."""
+    return run
 
-    @F.arrow_udf("binary")
-    def decode(lists: pa.Array) -> pa.Array:
-        own = codec(path, pattern)
-        return pa.array([own.decode(ids or ()) for ids in lists.to_pylist()], pa.binary())
 
-    return decode(ids)
+def _back(path: str):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = decoder(path)
+        for batch in batches:
+            for rows in _portions(batch, pc.list_value_length(batch.column(1))):
+                columns = [rows.column(0), _decoded(rows.column(1), own)]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "decoded"])
+
+    return run
 
 
 def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
@@ -289,14 +326,24 @@ def encode_documents(docs: DataFrame, path: str, pattern: str) -> DataFrame:
     columns are ignored; an empty table gives an empty result. Special tokens'
     strings are ordinary text.
     """
-    return docs.select("doc_id", encode_column(F.col("text"), path, pattern).alias("ids"))
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>"
+    return docs.select("doc_id", "text").mapInArrow(_encoded(path, pattern, False), schema)
+
+
+def decode_documents(coded: DataFrame, path: str) -> DataFrame:
+    """doc_id and ``decoded``, the bytes that ``ids`` stand for; null ids stand for none."""
+    schema = f"doc_id {dict(coded.dtypes)['doc_id']}, decoded binary"
+    return coded.select("doc_id", "ids").mapInArrow(_back(path), schema)
 
 
 def round_trip(docs: DataFrame, path: str, pattern: str) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256."""
-    coded = encode_documents(docs, path, pattern)
-    both = coded.select("doc_id", "ids", decode_column(F.col("ids"), path, pattern).alias("decoded"))
-    return both.select(
+    """doc_id, n_tokens, ids_sha256 (of the decimal ids joined by commas), decoded_sha256.
+
+    Encoding and decoding of a portion of documents follow each other in one
+    worker. Nulls, repeats and empty tables as in ``encode_documents``.
+    """
+    schema = f"doc_id {dict(docs.dtypes)['doc_id']}, ids array<int>, decoded binary"
+    return docs.select("doc_id", "text").mapInArrow(_encoded(path, pattern, True), schema).select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
