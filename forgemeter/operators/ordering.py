@@ -17,10 +17,6 @@ from pyspark.sql import functions as F
 
 from forgemeter.session import settle
 
-# Up to this many rows one task ranks faster than ranges are set up. Always
-# compared with a counted size.
-SMALL_ROWS = 100_000
-
 # monotonically_increasing_id() is (partition number << 33) + row number.
 ROW_BITS = 33
 
@@ -65,38 +61,36 @@ def with_row_number(df: DataFrame, order: Sequence[Column], out: str) -> DataFra
     return with_running_total(df, order, "_before").withColumn(out, F.col("_before") + 1).drop("_before")
 
 
-def with_ranks(df: DataFrame, ranks: dict[str, str], small_rows: int = SMALL_ROWS) -> DataFrame:
+def with_ranks(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
     """RANK() OVER (ORDER BY value DESC NULLS LAST) for every ``{rank: value}``.
 
-    The rows are written out and counted; up to ``small_rows`` plain windows rank
-    them. Beyond: rank = 1 + rows with a strictly better value, which needs only
-    how often each value occurs. Values are counted first (one shared by a third
-    of the rows is one counted row), all rankings share one ordered pass over
-    the counts, and each rank is looked up by value. The lookups carry no hint: a
-    short table of values is broadcast by its written size, a long one is
-    sort-merge joined with AQE splitting a skewed value. Runs jobs.
+    Rank = 1 + rows with a strictly better value, which needs only how often
+    each value occurs. Values are counted first (one shared by a third of the
+    rows is one counted row), values of one type share one ordered pass over
+    the counts, and each rank is looked up by value, in the value's own type.
+    The lookups carry no hint: a short table of values is broadcast by its
+    written size, a long one is sort-merge joined with AQE splitting a skewed
+    value. Runs jobs.
     """
     rows = settle(df, "ranked-input")
-    total = rows.count()
-    if total <= small_rows:
-        return rows.select(
-            "*",
-            *[
-                F.rank().over(Window.orderBy(F.col(value).desc_nulls_last())).cast("bigint").alias(out)
-                for out, value in ranks.items()
-            ],
-        )
-    return _ranks_by_value(rows, total, ranks)
+    types = dict(rows.dtypes)
+    result = rows
+    for kind in dict.fromkeys(types[value] for value in ranks.values()):
+        own = {out: value for out, value in ranks.items() if types[value] == kind}
+        for out, (value, lookup) in _lookups(rows, own).items():
+            result = result.join(lookup, F.col(value).eqNullSafe(F.col(f"_{out}"))).drop(f"_{out}")
+    return result.select(*df.columns, *ranks)
 
 
-def _ranks_by_value(rows: DataFrame, total: int, ranks: dict[str, str]) -> DataFrame:
-    values = list(ranks.items())
+def _lookups(rows: DataFrame, ranks: dict[str, str]) -> dict[str, tuple[str, DataFrame]]:
+    """For rankings of values of one type: the rank of each value."""
+    total = rows.count()
     pairs = rows.select(
         F.explode(
             F.array(
                 *[
-                    F.struct(F.lit(i).alias("ranking"), F.col(value).cast("double").alias("value"))
-                    for i, (_, value) in enumerate(values)
+                    F.struct(F.lit(i).alias("ranking"), F.col(value).alias("value"))
+                    for i, value in enumerate(ranks.values())
                 ]
             )
         ).alias("pair")
@@ -106,12 +100,13 @@ def _ranks_by_value(rows: DataFrame, total: int, ranks: dict[str, str]) -> DataF
         counted, [F.col("ranking").asc(), F.col("value").desc_nulls_last()], "before", weight="n"
     )
     lookup = settle(ordered.drop("n"), "ranks", "ranking")
-
-    result = rows
-    for i, (out, value) in enumerate(values):
-        # Every ranking counts each row once, so ranking i starts after i * total.
-        one = lookup.filter(F.col("ranking") == i).select(
-            F.col("value").alias(f"_v{i}"), (F.col("before") - i * total + 1).cast("bigint").alias(out)
+    # Every ranking counts each row once, so ranking i starts after i * total.
+    return {
+        out: (
+            value,
+            lookup.filter(F.col("ranking") == i).select(
+                F.col("value").alias(f"_{out}"), (F.col("before") - i * total + 1).cast("bigint").alias(out)
+            ),
         )
-        result = result.join(one, F.col(value).cast("double").eqNullSafe(F.col(f"_v{i}"))).drop(f"_v{i}")
-    return result
+        for i, (out, value) in enumerate(ranks.items())
+    }

@@ -8,21 +8,14 @@ from pyspark.sql import functions as F
 from forgemeter.operators.ordering import with_running_total
 from forgemeter.session import settle
 
-# Distinct values of one group that a task can hold; compared with the counted
-# number over all groups.
-SMALL_COUNTS = 1_000_000
 
-
-def grouped_median(
-    df: DataFrame, key: str, value: str, out: str, small_counts: int = SMALL_COUNTS
-) -> DataFrame:
+def grouped_median(df: DataFrame, key: str, value: str, out: str) -> DataFrame:
     """``key, out``: the interpolated median of the non-NULL BIGINT ``value``.
 
-    Equal values are counted and the counts written out. Up to ``small_counts`` of
-    them the built-in ``percentile`` takes over; it holds one group's distinct
-    values in one task. Beyond, the counts are put in one global order by
-    (key, value), and per key only the one or two middle values are picked out
-    by position. Groups without a value are absent. Runs jobs.
+    Equal values are counted, the counts put in one global order by (key,
+    value), and per key only the one or two middle values are picked out by
+    position; no task holds a group. Groups without a value are absent. Runs
+    jobs.
     """
     counted = settle(
         df.filter(F.col(value).isNotNull())
@@ -30,8 +23,6 @@ def grouped_median(
         .agg(F.count(F.lit(1)).alias("_n")),
         "value-counts",
     )
-    if counted.count() <= small_counts:
-        return counted.groupBy(F.col("_key").alias(key)).agg(F.percentile("_value", 0.5, F.col("_n")).alias(out))
     return _middle_by_position(counted, key, out)
 
 

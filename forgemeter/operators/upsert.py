@@ -14,9 +14,6 @@ FIRST = -(2**63)
 # Merged rows on their way into a dataset.
 PENDING = "_pending"
 
-# More touched directories than this are not listed one by one.
-MAX_LISTED = 10_000
-
 
 def _pick(by, names: list[str], seq: str, out: str) -> Column:
     # A single number keeps the aggregate a hash aggregate; several fields are
@@ -88,14 +85,11 @@ def _merge(batch: DataFrame, spec: TableSpec, path: str, seq: str) -> DataFrame
     place = spec.layout[0]
     batch = settle(batch.select(*spec.column_names, seq, spec.layout_column().alias(place)), "batch")
 
-    # Directory names only, at most MAX_LISTED; beyond that the load goes over
-    # the whole dataset.
-    touched = [r[0] for r in batch.select(place).distinct().limit(MAX_LISTED + 1).collect()]
+    # Names of directories of the dataset, all of which the driver lists anyway.
+    touched = [r[0] for r in batch.select(place).distinct().collect()]
     if not touched:
         return None
-    target = read_table(batch.sparkSession, spec, path)
-    if len(touched) <= MAX_LISTED:
-        target = target.filter(F.col(place).isin(touched))
+    target = read_table(batch.sparkSession, spec, path).filter(F.col(place).isin(touched))
     return upsert(target, batch, spec, seq)
 
 

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from forgemeter.functions import calendar as cal
 from forgemeter.functions.rounding import percent, rounded_ratio
-from forgemeter.operators.ordering import SMALL_ROWS, with_ranks
+from forgemeter.operators.ordering import with_ranks
 
 N = "contribution_count"
 RECENT_DAYS = 90
@@ -56,7 +56,7 @@ def activity_patterns(staged: DataFrame) -> DataFrame:
     )
 
 
-def leaderboard(summary: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+def leaderboard(summary: DataFrame) -> DataFrame:
     """Users ranked by total, by unrounded daily average and by recorded days. Runs jobs.
 
     Takes ``user_summary``, which holds all it needs, one row per user.
@@ -75,7 +75,6 @@ def leaderboard(summary: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
             "rank_by_avg": "avg_daily_contributions",
             "rank_by_consistency": "days_active",
         },
-        small_rows,
     )
     score = F.col("rank_by_total") * 5 + F.col("rank_by_avg") * 3 + F.col("rank_by_consistency") * 2
     return ranked.select(

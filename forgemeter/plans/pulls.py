@@ -21,8 +21,8 @@ from forgemeter.functions import calendar as cal
 from forgemeter.functions import reviews as rv
 from forgemeter.functions.rounding import percent, rounded_ratio
 from forgemeter.operators.blocks import HOT_ROWS, neighbour_window
-from forgemeter.operators.ordering import SMALL_ROWS, with_ranks
-from forgemeter.operators.quantiles import SMALL_COUNTS, grouped_median
+from forgemeter.operators.ordering import with_ranks
+from forgemeter.operators.quantiles import grouped_median
 
 RECENT_DAYS = 90
 FRAME_ROWS = 30
@@ -100,7 +100,7 @@ def activity_patterns(facts: DataFrame) -> DataFrame:
     )
 
 
-def leaderboard(summary: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
+def leaderboard(summary: DataFrame) -> DataFrame:
     """Users ranked by reviews, merges, merge rate (two digits) and repositories. Runs jobs.
 
     Takes ``user_summary``, which holds all it needs, one row per user.
@@ -121,7 +121,6 @@ def leaderboard(summary: DataFrame, small_rows: int = SMALL_ROWS) -> DataFrame:
             "rank_by_merge_rate": "merge_rate_percent",
             "rank_by_repos": "repos_contributed_to",
         },
-        small_rows,
     )
     score = (
         F.col("rank_by_total") * 4
@@ -189,7 +188,7 @@ def user_summary(facts: DataFrame) -> DataFrame:
     )
 
 
-def repo_summary(facts: DataFrame, staged: DataFrame, small_counts: int = SMALL_COUNTS) -> DataFrame:
+def repo_summary(facts: DataFrame, staged: DataFrame) -> DataFrame:
     """Per repository, with the exact median merge time (from the single reviews). Runs jobs."""
     per_repo = (
         facts.groupBy("repo_name")
@@ -213,7 +212,7 @@ def repo_summary(facts: DataFrame, staged: DataFrame, small_counts: int = SMALL_
         )
     )
     durations = staged.select(F.col("repo_name"), rv.merge_micros().alias("micros"))
-    medians = grouped_median(durations, "repo_name", "micros", "median_micros", small_counts).select(
+    medians = grouped_median(durations, "repo_name", "micros", "median_micros").select(
         F.col("repo_name").alias("median_of"), rv.in_days(F.col("median_micros")).alias("median_days_to_merge")
     )
     return per_repo.join(medians, F.col("repo_name").eqNullSafe(F.col("median_of")), "left").drop("median_of")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator, Mapping
@@ -23,11 +24,9 @@ DEFAULTS = {
 }
 
 # A shuffle partition should fit in a task's memory; Parquet grows about
-# threefold when its rows are shuffled. Beyond the largest number the driver's
-# bookkeeping costs more than the extra spilling.
+# threefold when its rows are shuffled.
 PARTITION_BYTES = 200 * 1024 * 1024
 SHUFFLE_GROWTH = 3
-MOST_PARTITIONS = 30_000
 
 SCOPE = "forgemeter.scratch.scope"
 
@@ -78,7 +77,7 @@ def scratch_root(spark: SparkSession) -> str:
     current = context._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return current.get().rstrip("/")
-    if not context.master.startswith("local"):
+    if not re.match(r"local(\[|$)", context.master):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors can reach")
     context.setCheckpointDir(tempfile.mkdtemp(prefix="forgemeter-"))
     return context._jsc.sc().getCheckpointDir().get().rstrip("/")
@@ -144,7 +143,7 @@ def shuffles_sized_for(spark: SparkSession, path: str) -> Iterator[int]:
     key = "spark.sql.shuffle.partitions"
     before = spark.conf.get(key)
     needed = math.ceil(stored_bytes(spark, path) * SHUFFLE_GROWTH / PARTITION_BYTES)
-    partitions = max(int(before), min(needed, MOST_PARTITIONS))
+    partitions = max(int(before), needed)
     spark.conf.set(key, str(partitions))
     try:
         yield partitions

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from forgemeter.operators.blocks import HOT_ROWS, neighbour_window
 
-LONG_AS_OF = dt.date(2000, 12, 31)
+LONG_AS_OF = dt.date(2001, 11, 4)
 DENSE_AS_OF = dt.date(2024, 1, 31)
 ORDERS_AS_OF = dt.date(2001, 8, 1)
 
@@ -32,7 +32,6 @@ def long_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _read(spark, sf_dir, "lineitem")
         .select(_user("l_suppkey").alias("username"), F.to_date("l_shipdate").alias("date"), "l_returnflag")
-        .filter(F.col("date") <= F.lit(LONG_AS_OF))
         .groupBy("username", "date")
         .agg(F.count_if(F.col("l_returnflag") != "N").cast("int").alias("contribution_count"))
     )
@@ -43,7 +42,6 @@ def duplicated_contributions(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _read(spark, sf_dir, "lineitem")
         .select(_user("l_suppkey").alias("username"), F.to_date("l_shipdate").alias("date"), "l_returnflag")
-        .filter(F.col("date") <= F.lit(LONG_AS_OF))
         .groupBy("username", "date", "l_returnflag")
         .agg(F.count(F.lit(1)).cast("int").alias("contribution_count"))
         .select("username", "date", "contribution_count", F.ascii("l_returnflag").alias("arrival"))

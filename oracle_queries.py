@@ -9,7 +9,7 @@ from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES
 LINES = """
 lines AS (
     SELECT concat('user_', l_suppkey) AS username, l_shipdate::DATE AS date, l_returnflag AS flag
-    FROM lineitem WHERE l_shipdate < TIMESTAMP '2001-01-01'
+    FROM lineitem
 )"""
 
 LONG = f"""{LINES},
@@ -56,7 +56,7 @@ reviews AS (
     FROM events
 )"""
 
-LONG_AS_OF = "DATE '2000-12-31'"
+LONG_AS_OF = "DATE '2001-11-04'"
 DENSE_AS_OF = "DATE '2024-01-31'"
 ORDERS_AS_OF = "DATE '2001-08-01'"
 
@@ -288,12 +288,12 @@ ORACLE |= {
         f"""SELECT username, seq AS range_seq, 'backfill' AS mode, make_date(1995 + seq, 1, 1) AS range_start,
                    least(make_date(1995 + seq, 12, 31), {LONG_AS_OF}) AS range_end
             FROM (SELECT concat('user_', c_custkey) AS username FROM customer)
-            CROSS JOIN (SELECT range AS seq FROM range(0, 6))
-            WHERE username NOT IN (SELECT username FROM days GROUP BY username HAVING count(*) >= 468)
+            CROSS JOIN (SELECT range AS seq FROM range(0, 7))
+            WHERE username NOT IN (SELECT username FROM days GROUP BY username HAVING count(*) >= 534)
             UNION ALL
             SELECT username, 0, 'incremental', {LONG_AS_OF} - 7, {LONG_AS_OF}
             FROM (SELECT concat('user_', c_custkey) AS username FROM customer)
-            WHERE username IN (SELECT username FROM days GROUP BY username HAVING count(*) >= 468)""",
+            WHERE username IN (SELECT username FROM days GROUP BY username HAVING count(*) >= 534)""",
     ),
     "new_rows_merged": over(
         DENSE,

@@ -95,7 +95,7 @@ def fetch_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("user_"), F.col("c_custkey").cast("string")).alias("username")
     )
     stored = long_contributions(spark, sf_dir)
-    return ingest.plan_ranges(users, stored, LONG_AS_OF, threshold=468, window=7, start_year=1995)
+    return ingest.plan_ranges(users, stored, LONG_AS_OF, threshold=534, window=7, start_year=1995)
 
 
 @query

@@ -1,5 +1,6 @@
 import pytest
 from helpers import by_key, day
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from forgemeter.plans import contributions as c
@@ -113,18 +114,28 @@ def test_leaderboard_ranks_tie_and_score(spark):
         ],
         SCHEMA,
     )
-    for small_rows in (0, 100):
-        found = by_key(c.leaderboard(c.user_summary(days), small_rows), "username")
-        ranks = {u: (r["rank_by_total"], r["rank_by_avg"], r["rank_by_consistency"]) for u, r in found.items()}
-        assert ranks == {"a": (1, 1, 2), "b": (1, 2, 1), "c": (3, 3, 2)}
-        assert {u: r["overall_score"] for u, r in found.items()} == {"a": 1.2, "b": 1.3, "c": 2.8}
+    found = by_key(c.leaderboard(c.user_summary(days)), "username")
+    ranks = {u: (r["rank_by_total"], r["rank_by_avg"], r["rank_by_consistency"]) for u, r in found.items()}
+    assert ranks == {"a": (1, 1, 2), "b": (1, 2, 1), "c": (3, 3, 2)}
+    assert {u: r["overall_score"] for u, r in found.items()} == {"a": 1.2, "b": 1.3, "c": 2.8}
 
 
 def test_leaderboard_of_many_values_equals_plain_ranks(spark):
     days = samples.long_contributions(spark, "/root/testdata/sf0.01")
     users = c.user_summary(days)
-    small, large = c.leaderboard(users), c.leaderboard(users, small_rows=0)
-    assert small.exceptAll(large).count() == 0 and large.exceptAll(small).count() == 0
+    found = c.leaderboard(users).select("username", "rank_by_total")
+    rank = F.rank().over(Window.orderBy(F.col("total_contributions").desc())).cast("bigint")
+    plain = users.select("username", rank.alias("rank_by_total"))
+    assert plain.exceptAll(found).count() == 0 and found.exceptAll(plain).count() == 0
+
+
+def test_every_order_line_is_in_the_samples(spark):
+    sf_dir = "/root/testdata/sf0.01"
+    lines = spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+    copies = samples.duplicated_contributions(spark, sf_dir)
+    assert copies.agg(F.sum("contribution_count")).first()[0] == lines.count()
+    kept = samples.long_contributions(spark, sf_dir).agg(F.sum("contribution_count")).first()[0]
+    assert kept == lines.filter("l_returnflag <> 'N'").count()
 
 
 def test_totals_agree_across_grains(spark):

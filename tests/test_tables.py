@@ -150,8 +150,7 @@ def test_an_empty_batch_changes_nothing(spark, tmp_path):
     ensure_table(spark, RAW_CONTRIBUTIONS, path)
 
 
-def test_the_whole_table_is_gone_over_when_too_much_is_touched(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr("forgemeter.operators.upsert.MAX_LISTED", 1)
+def test_a_batch_over_several_directories_loads_twice_alike(spark, tmp_path):
     path = str(tmp_path / "raw")
     days = samples.dense_contributions(spark, "/root/testdata/sf0.001").withColumn("seq", F.lit(1))
     more = days.withColumn("date", F.add_months("date", 1))
