@@ -69,6 +69,13 @@ def bad_pull_pages(pages: DataFrame) -> DataFrame:
 # Calendars ------------------------------------------------------------------
 
 
+def _user_missing() -> Column:
+    """No user, or one without any field; a user without a calendar just has no days."""
+    without = F.col("answer.data.user.contributionsCollection").isNull()
+    bare = F.get_json_object("body", "$.data.user") == "{}"
+    return F.col("answer.data.user").isNull() | (without & F.coalesce(bare, F.lit(True)))
+
+
 def triage_calendars(calendars: DataFrame) -> DataFrame:
     """Adds ``answer`` (the parsed body) and ``status``.
 
@@ -81,7 +88,7 @@ def triage_calendars(calendars: DataFrame) -> DataFrame:
         F.when(F.col("http_status").isNull() | (F.col("http_status") >= 400) | F.col("body").isNull(), "fetch_failed")
         .when(answer.isNull() | answer["_corrupt_record"].isNotNull(), "bad_json")
         .when(F.size(answer["errors"]) > 0, "api_errors")
-        .when(F.col("answer.data.user.contributionsCollection").isNull(), "user_missing")
+        .when(_user_missing(), "user_missing")
         .otherwise("ok"),
     )
 
@@ -119,10 +126,11 @@ def flatten_calendars(triaged: DataFrame) -> DataFrame:
 def cast_counts(days: DataFrame) -> DataFrame:
     """Whole-number counts; days without one, or with something else, are dropped.
 
-    Text must spell an integer; a number loses its fraction.
+    Text must spell an integer; a number loses its fraction. Counts stay BIGINT:
+    whether one fits the table is for ``check_batch`` to say.
     """
     return days.withColumn(
-        "contribution_count", F.try_variant_get("contribution_count", "$", "int")
+        "contribution_count", F.try_variant_get("contribution_count", "$", "bigint")
     ).filter(F.col("contribution_count").isNotNull())
 
 

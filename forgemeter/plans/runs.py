@@ -14,7 +14,7 @@ from forgemeter.operators.upsert import finish_swap, upsert_into
 from forgemeter.plans import contributions, pulls
 from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES, SOURCE_RULES
 from forgemeter.plans.suite import run_suite
-from forgemeter.session import in_parallel, scratch_scope, settle, shuffles_sized_for
+from forgemeter.session import in_parallel, path_exists, scratch_scope, settle, shuffles_sized_for
 from forgemeter.sources.tables import (
     RAW_CONTRIBUTIONS,
     RAW_PULLS,
@@ -24,6 +24,11 @@ from forgemeter.sources.tables import (
 )
 
 
+# Failed answers, in a folder of the raw table that readers skip.
+QUARANTINE = "_quarantine"
+QUARANTINED = ["username", "range_seq", "http_status", "status", "body"]
+
+
 class FetchFailed(RuntimeError):
     """Every date range of some user failed."""
 
@@ -44,7 +49,9 @@ def load_pulls(pages: DataFrame, raw_path: str, strict: bool = True) -> None:
 def load_calendars(calendars: DataFrame, raw_path: str, restate: bool = False, strict: bool = True) -> None:
     """Triage landed calendars and load the days that are new.
 
-    With ``strict`` a user all of whose ranges failed stops the load. Days stored
+    Failed answers are kept with their status in the raw table's quarantine (see
+    ``quarantined``). With ``strict`` a user all of whose ranges failed is
+    reported as an error once everybody else's days are loaded. Days stored
     already are left as they are unless ``restate`` is set.
     """
     spark = calendars.sparkSession
@@ -53,11 +60,27 @@ def load_calendars(calendars: DataFrame, raw_path: str, restate: bool = False, s
     with scratch_scope(spark):
         # Written out: the steps below read the answers and days several times,
         # the JSON is parsed once.
-        triaged = settle(ingest.triage_calendars(calendars).drop("body"), "answers")
-        if strict:
-            failed = ingest.failed_users(triaged).orderBy("username").limit(5).collect()
-            if failed:
-                raise FetchFailed("every range failed for: " + ", ".join(str(r["username"]) for r in failed))
+        triaged = settle(ingest.triage_calendars(calendars), "answers")
+        bad = triaged.filter("status <> 'ok'").select(*QUARANTINED)
+        failed = ingest.failed_users(triaged).count()
+        if not bad.isEmpty():
+            bad.write.mode("append").parquet(f"{raw_path}/{QUARANTINE}")
+        _load_days(spark, triaged.drop("body"), raw_path, restate)
+    if strict and failed:
+        raise FetchFailed(f"every range failed for {failed} users: see {raw_path}/{QUARANTINE}")
+
+
+def quarantined(spark: SparkSession, raw_path: str) -> DataFrame:
+    """Every failed answer met so far, as landed, with its status; a repeated batch adds nothing."""
+    place = f"{raw_path}/{QUARANTINE}"
+    schema = "username string, range_seq bigint, http_status int, status string, body string"
+    if not path_exists(spark, place):
+        return spark.createDataFrame([], schema)
+    return spark.read.parquet(place).distinct()
+
+
+def _load_days(spark: SparkSession, triaged: DataFrame, raw_path: str, restate: bool) -> None:
+    with scratch_scope(spark):
         parsed = ingest.cast_counts(ingest.flatten_calendars(triaged))
         days = settle(enforce.require_valid(enforce.check_batch(parsed, RAW_CONTRIBUTIONS)), "days")
         first = days.agg(F.min("date")).first()[0]
@@ -127,6 +150,8 @@ def run_contributions(
     Staging is bucketed by user once, as catalog table ``staged_table``; every
     table after it groups by user.
     """
+    # A load cut short may have left months half swapped.
+    finish_swap(spark, RAW_CONTRIBUTIONS, raw_path)
     raw = read_table(spark, RAW_CONTRIBUTIONS, raw_path).drop(RAW_CONTRIBUTIONS.layout[0])
     with scratch_scope(spark), shuffles_sized_for(spark, raw_path) as partitions:
         # The load leaves one row per user and day, so no key has copies to
@@ -177,6 +202,7 @@ def run_pulls(
     the 90-day cut of ``pulls_recent`` skips most of the stored table by its
     row-group statistics.
     """
+    finish_swap(spark, RAW_PULLS, raw_path)
     raw = read_table(spark, RAW_PULLS, raw_path).drop(RAW_PULLS.layout[0])
     with scratch_scope(spark), shuffles_sized_for(spark, raw_path):
         staged = store(spark, staging.key_pulls(raw), out, "pulls_staged")

@@ -2,7 +2,9 @@
 
 The checkpoint remembers which files were read; ``availableNow`` works through
 the backlog and stops, which is the daily run. A batch that is repeated after a
-failure loads the same rows under the same keys and so changes nothing.
+failure loads the same rows under the same keys and so changes nothing. Failed
+answers go to the quarantine; with ``strict`` a user without any good answer
+would fail the batch again at each restart.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ def drain_pulls(
 
 
 def drain_calendars(
-    spark: SparkSession, landing: str, raw_path: str, checkpoint: str, restate: bool = False, strict: bool = True
+    spark: SparkSession, landing: str, raw_path: str, checkpoint: str, restate: bool = False, strict: bool = False
 ) -> StreamingQuery:
     stream = spark.readStream.schema(LANDED_CALENDARS).json(landing)
     return _drain(stream, lambda batch: load_calendars(batch, raw_path, restate, strict), checkpoint)

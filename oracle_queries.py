@@ -276,6 +276,13 @@ ORACLE |= {
                         WHEN 2 THEN 'api_errors' WHEN 3 THEN 'user_missing' ELSE 'ok' END AS status
             FROM days""",
     ),
+    "calendars_quarantined": over(
+        LONG,
+        f"""SELECT username, range_seq, CASE kind WHEN 0 THEN 502 ELSE 200 END AS http_status,
+                   ['fetch_failed', 'bad_json', 'api_errors', 'user_missing'][kind + 1] AS status
+            FROM (SELECT DISTINCT username, year(date)::BIGINT AS range_seq, {FAILURE_KIND} AS kind FROM days)
+            WHERE kind < 4""",
+    ),
     "calendar_failed_users": over(
         LONG,
         f"""SELECT username, count(*)::BIGINT AS ranges, count(*)::BIGINT AS failed_ranges

@@ -69,7 +69,7 @@ def calendar_counts_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     answers = landed_calendars(long_contributions(spark, sf_dir), as_sent)
     days = ingest.cast_counts(ingest.flatten_calendars(ingest.triage_calendars(answers)))
-    return days.select("username", "date", "contribution_count")
+    return days.select("username", "date", F.col("contribution_count").cast("int").alias("contribution_count"))
 
 
 @query
@@ -84,6 +84,14 @@ def calendar_failed_users(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.failed_users(ingest.triage_calendars(answers))
 
 
+@query
+def calendars_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    raw = scratch_path(spark, "raw-troubled")
+    answers = troubled_calendars(landed_calendars(long_contributions(spark, sf_dir)))
+    runs.load_calendars(answers, raw, strict=False)
+    return runs.quarantined(spark, raw).drop("body")
+
+
 @query
 def known_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ingest.known_dates(samples.duplicated_contributions(spark, sf_dir))

@@ -57,6 +57,8 @@ def test_triage(spark):
         ("u8", 0, 200, "[]"),
         ("u9", 0, 200, '{"errors": [], "data": {"user": {"contributionsCollection": {"contributionCalendar": {"weeks": []}}}}}'),
         ("u1", 1, 500, None),
+        ("u10", 0, 200, '{"data": {"user": {}}}'),
+        ("u11", 0, 200, '{"data": {"user": {"login": "u11"}}}'),
     ]
     triaged = ingest.triage_calendars(answers(spark, *rows))
     found = {(r["username"], r["range_seq"]): r["status"] for r in triaged.collect()}
@@ -67,8 +69,9 @@ def test_triage(spark):
     assert found[("u6", 0)] == found[("u7", 0)] == "user_missing"
     assert found[("u8", 0)] != "ok"
     assert found[("u9", 0)] == "ok"
+    assert found[("u10", 0)] == "user_missing" and found[("u11", 0)] == "ok"
     failed = {r["username"] for r in ingest.failed_users(triaged).collect()}
-    assert failed == {"u2", "u3", "u4", "u5", "u6", "u7", "u8"}
+    assert failed == {"u2", "u3", "u4", "u5", "u6", "u7", "u8", "u10"}
 
 
 def test_flatten_and_cast(spark):

@@ -61,13 +61,25 @@ def test_ranges_follow_what_is_stored(spark, tmp_path):
     ]
 
 
-def test_a_user_without_any_answer_stops_a_strict_load(spark, tmp_path):
+def test_a_user_without_any_answer_is_reported_and_kept_aside(spark, tmp_path):
     rows = [("u", 0, 200, calendar([entry("2024-01-01", 1)])), ("gone", 0, 200, '{"data": {"user": null}}')]
     answers = spark.createDataFrame(rows, "username string, range_seq bigint, http_status int, body string")
-    with pytest.raises(runs.FetchFailed, match="gone"):
+    with pytest.raises(runs.FetchFailed, match="1 users"):
         runs.load_calendars(answers, str(tmp_path / "strict"))
     runs.load_calendars(answers, str(tmp_path / "lenient"), strict=False)
-    assert read_table(spark, RAW_CONTRIBUTIONS, str(tmp_path / "lenient")).count() == 1
+    for place in ("strict", "lenient"):
+        assert read_table(spark, RAW_CONTRIBUTIONS, str(tmp_path / place)).count() == 1
+        aside = runs.quarantined(spark, str(tmp_path / place)).collect()
+        assert [(r["username"], r["status"], r["body"]) for r in aside] == [("gone", "user_missing", rows[1][3])]
+    runs.load_calendars(answers, str(tmp_path / "lenient"), strict=False)
+    assert runs.quarantined(spark, str(tmp_path / "lenient")).count() == 1
+
+
+def test_a_count_beyond_the_column_stops_a_load(spark, tmp_path):
+    rows = [("u", 0, 200, calendar([entry("2024-01-01", 2**31)]))]
+    answers = spark.createDataFrame(rows, "username string, range_seq bigint, http_status int, body string")
+    with pytest.raises(Exception, match="contribution_count: not a int"):
+        runs.load_calendars(answers, str(tmp_path / "raw"))
 
 
 def test_one_invalid_row_stops_a_load(spark, tmp_path):
