@@ -36,6 +36,7 @@ def cases(spark, sf_dir: str) -> dict:
     calendars = settle(samples.landed_calendars(days), "bench")
     facts = pulls.review_facts(reviews)
     late_days = days.filter(F.col("date") >= "2000-10-01").withColumn("arrival", F.lit(1).cast("bigint"))
+    fetched_days = late_days.withColumn("fetch", F.lit(1).cast("bigint"))
     late_reviews = reviews.filter(F.col("created_at") >= "2001-01-01").withColumn("arrival", F.col("pr_id"))
     staged_rules = [r for r in PULL_RULES if r.model == "pulls_staged"]
     return {
@@ -43,7 +44,7 @@ def cases(spark, sf_dir: str) -> dict:
         "calendar_counts_cast": lambda: ingest.cast_counts(
             ingest.flatten_calendars(ingest.triage_calendars(calendars))
         ),
-        "new_rows_merged": lambda: ingest.new_days(late_days, days.filter(F.col("date") < "2000-12-01")),
+        "new_rows_merged": lambda: ingest.new_days(fetched_days, days.filter(F.col("date") < "2000-12-01")),
         "upsert_counts": lambda: upsert(days, late_days, RAW_CONTRIBUTIONS, "arrival"),
         "upsert_pulls": lambda: upsert(reviews, late_reviews, RAW_PULLS, "arrival"),
         "contrib_dedup": lambda: staging.dedup_contributions(copies, "arrival"),

@@ -1,31 +1,41 @@
 """Short row-frame windows over groups of any size.
 
 A frame such as "the 29 rows before this one" needs only a row's neighbours, yet
-``Window.partitionBy(key)`` brings the whole group into one task. Keys with more
-than ``hot_rows`` rows are therefore cut into blocks of consecutive rows; each
+``Window.partitionBy(key)`` brings the whole group into one task. The rows are
+therefore numbered by key and order and cut into blocks of consecutive rows; each
 block also gets copies of the neighbouring rows its frames reach into.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.window import WindowSpec
 
 from forgemeter.operators.ordering import with_running_total
-from forgemeter.session import settle
 
-HOT_ROWS = 2_000_000
+# Most rows of a group in one task, the copies aside.
+BLOCK_ROWS = 2_000_000
 
 
-def _same_key(keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_hot_{k}")) for k in keys])
-
+def neighbour_window(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    build: Callable[[WindowSpec], dict[str, Column]],
+    before: int = 0,
+    after: int = 0,
+    block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Add the columns ``build(window)`` makes over (partition by keys order by order).
 
-def _in_blocks(df, keys, order, before, after, build, block_rows) -> DataFrame:
+    The columns may look at most ``before`` rows back and ``after`` rows ahead,
+    and (keys, order) must be unique. Runs a job.
+    """
+    if max(before, after) > block_rows:
+        raise ValueError("the frame must fit into one block")
     numbered = with_running_total(df, [*[F.col(k).asc_nulls_first() for k in keys], *order], "_pos")
     block = F.call_function("div", F.col("_pos"), F.lit(block_rows))
     place = F.pmod(F.col("_pos"), F.lit(block_rows))
@@ -35,45 +45,9 @@ def _in_blocks(df, keys, order, before, after, build, block_rows) -> DataFrame:
         F.when(place < after, block - 1),
     )
     spread = numbered.select("*", block.alias("_home"), F.explode(F.array_compact(homes)).alias("_block"))
-    window = Window.partitionBy("_block", *keys).orderBy("_pos")
-    columns = build(window)
+    columns = build(Window.partitionBy("_block", *keys).orderBy("_pos"))
     return (
         spread.select("*", *[c.alias(name) for name, c in columns.items()])
         .filter(F.col("_block") == F.col("_home"))
         .drop("_pos", "_home", "_block")
     )
-
-
-def neighbour_window(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    build: Callable[[WindowSpec], dict[str, Column]],
-    before: int = 0,
-    after: int = 0,
-    hot_rows: int = HOT_ROWS,
-) -> DataFrame:
-    """Add the columns ``build(window)`` makes over (partition by keys order by order).
-
-    The columns may look at most ``before`` rows back and ``after`` rows ahead,
-    and (keys, order) must be unique. Counts rows per key first; without a hot
-    key the result is the plain window. Runs a job.
-    """
-    if max(before, after) > hot_rows:
-        raise ValueError("the frame must fit into one block")
-    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    largest = sizes.agg(F.max("_n")).first()[0]
-    plain = Window.partitionBy(*keys).orderBy(*order)
-
-    def unsplit(rows: DataFrame) -> DataFrame:
-        return rows.select("*", *[c.alias(name) for name, c in build(plain).items()])
-
-    if largest is None or largest <= hot_rows:
-        return unsplit(df)
-    # At most (all rows / hot_rows) keys.
-    hot = settle(
-        sizes.filter(F.col("_n") > hot_rows).select(*[F.col(k).alias(f"_hot_{k}") for k in keys]), "hot-keys"
-    )
-    rest = unsplit(df.join(hot, _same_key(keys), "left_anti"))
-    split = _in_blocks(df.join(hot, _same_key(keys), "left_semi"), keys, order, before, after, build, hot_rows)
-    return rest.unionByName(split)

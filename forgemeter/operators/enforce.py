@@ -33,8 +33,8 @@ def check_batch(batch: DataFrame, spec: TableSpec) -> DataFrame:
     """Columns cast to their declared types, plus ``violation`` (NULL if none).
 
     Columns the table does not declare are passed through, so an arrival number
-    survives. No shuffle: every rule looks at one row. Key uniqueness is left to
-    the load, where the last row of a key wins.
+    survives. No shuffle: every rule looks at one row. Repeated keys are told by
+    ``duplicated_keys``; a load lets the last row of a key win.
     """
     declared = spec.column_names
     extra = [c for c in batch.columns if c not in declared]
@@ -54,6 +54,21 @@ def rejected(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col("violation").isNotNull())
 
 
+def duplicated_keys(batch: DataFrame, spec: TableSpec) -> DataFrame:
+    """The table's key columns and ``occurrences`` for every key that repeats; keys with a NULL are no keys.
+
+    Counted before the shuffle, so a key that fills a third of the batch is one
+    row per task there.
+    """
+    keys = list(spec.primary_key)
+    return (
+        batch.dropna(subset=keys)
+        .groupBy(*keys)
+        .agg(F.count(F.lit(1)).alias("occurrences"))
+        .filter(F.col("occurrences") > 1)
+    )
+
+
 def require_valid(checked: DataFrame) -> DataFrame:
     """All or nothing: the job fails on the first violation, as a transaction would."""
     guard = F.when(F.col("violation").isNotNull(), F.raise_error(F.col("violation")).cast("boolean")).otherwise(True)

@@ -14,9 +14,18 @@ from forgemeter.sources.tables import RAW_CONTRIBUTIONS
 # Rows of one answer are numbered in the low bits of the arrival number.
 ROW_BITS = 32
 
+# Before any time; its negative is a BIGINT too.
+FIRST_FETCH = -(2**63 - 1)
+
 
 def _arrival(seq: str, row: str) -> Column:
-    return F.shiftleft(F.col(seq).cast("bigint"), ROW_BITS) + F.col(row)
+    return (F.shiftleft(F.col(seq).cast("bigint"), ROW_BITS) + F.col(row)).alias("arrival")
+
+
+def _fetch(landed: DataFrame) -> Column:
+    """The fetch run as a number that grows with time; answers that do not tell come first."""
+    known = F.unix_micros("fetched_at") if "fetched_at" in landed.columns else F.lit(None)
+    return F.coalesce(known.cast("bigint"), F.lit(FIRST_FETCH).cast("bigint")).alias("fetch")
 
 
 def _with_parsed(df: DataFrame, schema: str, out: str) -> DataFrame:
@@ -36,19 +45,27 @@ def _is_page() -> Column:
     return F.coalesce(F.ltrim("body").startswith("[") & F.col("pulls").isNotNull(), F.lit(False))
 
 
-def parse_pull_pages(pages: DataFrame, strict: bool = False) -> DataFrame:
-    """One row per review of the landed pages, plus ``arrival``.
+def triage_pages(pages: DataFrame) -> DataFrame:
+    """The pages with their ``pulls`` parsed and a ``status``: ``ok``, or ``not_a_page`` for any other answer."""
+    return _with_parsed(pages, PULL_PAGE, "pulls").withColumn(
+        "status", F.when(_is_page(), "ok").otherwise("not_a_page")
+    )
+
+
+def parse_pull_pages(pages: DataFrame) -> DataFrame:
+    """One row per review of the landed pages, as ``flatten_pages`` gives them."""
+    return flatten_pages(triage_pages(pages))
+
+
+def flatten_pages(triaged: DataFrame) -> DataFrame:
+    """One row per review of the good pages, plus ``fetch`` and ``arrival`` within it.
 
     Missing fields become NULL, a missing author too. Timestamps stay text until
-    ``check_batch`` casts them. Answers that are no page are left out (see
-    ``bad_pull_pages``), or, with ``strict``, fail the job.
+    ``check_batch`` casts them.
     """
-    stop = F.raise_error(F.concat(F.lit("not a page of reviews: "), F.coalesce("repo_name", F.lit("?"))))
-    wanted = F.when(_is_page(), True).otherwise(stop.cast("boolean")) if strict else _is_page()
     return (
-        _with_parsed(pages, PULL_PAGE, "pulls")
-        .filter(wanted)
-        .select("repo_name", "seq", F.posexplode("pulls").alias("row", "pull"))
+        triaged.filter(F.col("status") == "ok")
+        .select("repo_name", "seq", _fetch(triaged), F.posexplode("pulls").alias("row", "pull"))
         .select(
             "repo_name",
             F.col("pull.id").alias("pr_id"),
@@ -56,14 +73,15 @@ def parse_pull_pages(pages: DataFrame, strict: bool = False) -> DataFrame:
             F.col("pull.created_at").alias("created_at"),
             F.col("pull.merged_at").alias("merged_at"),
             F.col("pull.user.login").alias("user_login"),
-            _arrival("seq", "row").alias("arrival"),
+            "fetch",
+            _arrival("seq", "row"),
         )
     )
 
 
 def bad_pull_pages(pages: DataFrame) -> DataFrame:
     """Landed answers that are not a JSON array, such as an error object."""
-    return _with_parsed(pages, PULL_PAGE, "pulls").filter(~_is_page()).drop("pulls")
+    return triage_pages(pages).filter(F.col("status") != "ok").drop("pulls", "status")
 
 
 # Calendars ------------------------------------------------------------------
@@ -106,18 +124,19 @@ def failed_users(triaged: DataFrame) -> DataFrame:
 
 
 def flatten_calendars(triaged: DataFrame) -> DataFrame:
-    """One row per calendar day of the good answers: date and count as they came."""
+    """One row per calendar day of the good answers: date and count as they came, ``fetch`` and ``arrival`` in it."""
     weeks = F.col("answer.data.user.contributionsCollection.contributionCalendar.weeks")
     # Weeks without days are taken out: one NULL would make the whole list NULL.
     days = F.flatten(F.filter(F.transform(weeks, lambda w: w["contributionDays"]), lambda d: d.isNotNull()))
     return (
         triaged.filter(F.col("status") == "ok")
-        .select("username", "range_seq", F.posexplode(days).alias("row", "day"))
+        .select("username", "range_seq", _fetch(triaged), F.posexplode(days).alias("row", "day"))
         .select(
             "username",
             F.col("day.date").alias("date"),
             F.col("day.contributionCount").alias("contribution_count"),
-            _arrival("range_seq", "row").alias("arrival"),
+            "fetch",
+            _arrival("range_seq", "row"),
         )
         .filter(F.length("date") > 0)
     )
@@ -135,17 +154,19 @@ def cast_counts(days: DataFrame) -> DataFrame:
 
 
 def new_days(days: DataFrame, stored: DataFrame, restate: bool = False) -> DataFrame:
-    """Days not stored yet, the last answer for a day winning.
-
-    With ``restate`` stored days are let through as well, so that a reload can
-    correct them. The stored table is only probed for the days at hand (first
-    join), never shuffled for them while they are few enough to broadcast.
+    """Days not stored yet, once each; fetches loaded together give what one load after the other would.
+
+    A day of several fetches is new only to the first. Within a fetch the last
+    answer for a day wins. With ``restate`` stored days are let through as well,
+    so that a reload can correct them, and the last fetch wins. Rows that arrived
+    at the same place go by the larger count, whatever their order in the input.
+    The stored table is only probed for the days at hand (first join), never
+    shuffled for them while they are few enough to broadcast.
     """
     keys = ["username", "date"]
-    latest = days.groupBy(*keys).agg(
-        F.max_by("contribution_count", "arrival").alias("contribution_count"),
-        F.max("arrival").alias("arrival"),
-    )
+    turn = F.col("fetch") if restate else -F.col("fetch")
+    wins = F.max(F.struct(turn, "arrival", "contribution_count")).alias("_wins")
+    latest = days.groupBy(*keys).agg(wins).select(*keys, "_wins.contribution_count", "_wins.arrival")
     if restate:
         return latest
     hits = stored.select(*keys).join(latest.select(*keys), keys, "left_semi")

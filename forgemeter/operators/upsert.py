@@ -5,36 +5,37 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgemeter.session import path_exists, remove_path, scratch_scope, settle
+from forgemeter.session import (
+    path_exists,
+    remove_path,
+    scratch_scope,
+    settled_files,
+    sized_session,
+    stored_bytes,
+)
 from forgemeter.sources.tables import TableSpec, ensure_table, read_table
 
-# Stored rows come before any row of a batch.
-FIRST = -(2**63)
-
 # Merged rows on their way into a dataset.
 PENDING = "_pending"
 
 
-def _pick(by, names: list[str], seq: str, out: str) -> Column:
-    # A single number keeps the aggregate a hash aggregate; several fields are
-    # picked as one struct, so that they come from the same row.
-    return by(names[0] if len(names) == 1 else F.struct(*names), seq).alias(out)
-
-
 def _fields(names: list[str], picked: str) -> dict[str, Column]:
-    return {c: F.col(picked if len(names) == 1 else f"{picked}.{c}") for c in names}
+    return {c: F.col(f"{picked}.{c}") for c in names}
 
 
 def last_per_key(batch: DataFrame, spec: TableSpec, seq: str) -> DataFrame:
     """The batch with one row per key: what applying its rows in ``seq`` order leaves.
 
-    Copies of a key collapse before the shuffle. ``seq`` must not tie within a key.
+    ``seq`` may be of any type that has an order, a struct too. Rows that tie in
+    it go by their fields, so that the result does not depend on the order of the
+    input. Copies of a key collapse before the shuffle; that takes a sort on
+    either side of it, where a row number would bring a hot key into one task.
     """
     # A field outside replaced_fields keeps what the first row inserted.
     kept = [c for c in spec.payload_names if c not in spec.replaced_fields]
-    picks = [_pick(F.max_by, spec.replaced_fields, seq, "_last")]
+    picks = [F.max(F.struct(F.col(seq).alias("_at"), *spec.replaced_fields)).alias("_last")]
     if kept:
-        picks.append(_pick(F.min_by, kept, seq, "_first"))
+        picks.append(F.min(F.struct(F.col(seq).alias("_at"), *kept)).alias("_first"))
     found = batch.groupBy(*spec.primary_key).agg(*picks)
     source = {**_fields(spec.replaced_fields, "_last"), **_fields(kept, "_first")}
     return found.select(*[source.get(c, F.col(c)).alias(c) for c in spec.column_names])
@@ -54,9 +55,9 @@ def upsert(target: DataFrame, batch: DataFrame, spec: TableSpec, seq: str) -> Da
         latest = last_per_key(batch, spec, seq)
         untouched = target.join(latest.select(*keys), keys, "left_anti")
         return untouched.select(*columns).unionByName(latest)
-    both = target.withColumn("_seq", F.lit(FIRST)).unionByName(
-        batch.select(*columns, F.col(seq).cast("bigint").alias("_seq"))
-    )
+    # NULL comes before any value.
+    first = F.lit(None).cast(batch.schema[seq].dataType)
+    both = target.withColumn("_seq", first).unionByName(batch.select(*columns, F.col(seq).alias("_seq")))
     return last_per_key(both, spec, "_seq")
 
 
@@ -81,16 +82,23 @@ def upsert_into(batch: DataFrame, spec: TableSpec, path: str, seq: str) -> None:
 
 
 def _merge(batch: DataFrame, spec: TableSpec, path: str, seq: str) -> DataFrame | None:
-    """The full new content of the directories the batch touches; None if it is empty."""
-    place = spec.layout[0]
-    batch = settle(batch.select(*spec.column_names, seq, spec.layout_column().alias(place)), "batch")
+    """The full new content of the directories the batch touches; None if it is empty.
+
+    Shuffles are sized by the bytes of the batch and of those directories.
+    """
+    spark, place = batch.sparkSession, spec.layout[0]
+    batch = batch.select(*spec.column_names, seq, spec.layout_column().alias(place))
+    files = settled_files(batch, "batch")
+    settled = spark.read.schema(batch.schema).parquet(files)
 
     # Names of directories of the dataset, all of which the driver lists anyway.
-    touched = [r[0] for r in batch.select(place).distinct().collect()]
+    touched = [r[0] for r in settled.select(place).distinct().collect()]
     if not touched:
         return None
-    target = read_table(batch.sparkSession, spec, path).filter(F.col(place).isin(touched))
-    return upsert(target, batch, spec, seq)
+    stored = [d for d in (f"{path}/{place}={t}" for t in touched) if path_exists(spark, d)]
+    sized, _ = sized_session(spark, sum(stored_bytes(spark, d) for d in [files, *stored]))
+    target = read_table(sized, spec, path).filter(F.col(place).isin(touched))
+    return upsert(target, sized.read.schema(batch.schema).parquet(files), spec, seq)
 
 
 def finish_swap(spark: SparkSession, spec: TableSpec, path: str) -> None:
@@ -100,8 +108,9 @@ def finish_swap(spark: SparkSession, spec: TableSpec, path: str) -> None:
     """
     pending, place = f"{path}/{PENDING}", spec.layout[0]
     if path_exists(spark, f"{pending}/_SUCCESS"):
+        sized, _ = sized_session(spark, stored_bytes(spark, pending))
         (
-            spark.read.schema(spec.schema())
+            sized.read.schema(spec.schema())
             .parquet(pending)
             .withColumn(place, spec.layout_column())
             .hint("rebalance", place)

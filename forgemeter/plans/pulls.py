@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from forgemeter.functions import calendar as cal
 from forgemeter.functions import reviews as rv
 from forgemeter.functions.rounding import percent, rounded_ratio
-from forgemeter.operators.blocks import HOT_ROWS, neighbour_window
+from forgemeter.operators.blocks import BLOCK_ROWS, neighbour_window
 from forgemeter.operators.ordering import with_ranks
 from forgemeter.operators.quantiles import grouped_median
 
@@ -218,15 +218,28 @@ def repo_summary(facts: DataFrame, staged: DataFrame) -> DataFrame:
     return per_repo.join(medians, F.col("repo_name").eqNullSafe(F.col("median_of")), "left").drop("median_of")
 
 
+def recent_reviews(staged: DataFrame, as_of: dt.date | None = None) -> DataFrame:
+    """The reviews created in the last 90 days."""
+    first = F.date_sub(cal.as_date(as_of), RECENT_DAYS).cast("timestamp_ntz")
+    return staged.filter(F.col("created_at") >= first).select(
+        "user_login",
+        "repo_name",
+        "pr_id",
+        "state",
+        "created_at",
+        "merged_at",
+        rv.in_days(rv.merge_micros()).alias("days_to_merge"),
+    )
+
+
 def recent_activity(
-    staged: DataFrame, as_of: dt.date | None = None, hot_rows: int = HOT_ROWS
+    staged: DataFrame, as_of: dt.date | None = None, block_rows: int = BLOCK_ROWS
 ) -> DataFrame:
     """The last 90 days with counts over an author's last 30 reviews. Runs a job.
 
     Reviews, not days, whatever the names say; the cut comes before the window.
     Reviews created at the same moment are taken in order of ``pr_id``.
     """
-    first = F.date_sub(cal.as_date(as_of), RECENT_DAYS).cast("timestamp_ntz")
     merged = F.when(rv.is_merged(), F.lit(1))
 
     def rolling(window):
@@ -236,17 +249,9 @@ def recent_activity(
             "merged_last_30_days": F.count(merged).over(frame),
         }
 
-    recent = staged.filter(F.col("created_at") >= first).select(
-        "user_login",
-        "repo_name",
-        "pr_id",
-        "state",
-        "created_at",
-        "merged_at",
-        rv.in_days(rv.merge_micros()).alias("days_to_merge"),
-    )
+    recent = recent_reviews(staged, as_of)
     order = [F.col("created_at").asc_nulls_last(), F.col("pr_id").asc()]
-    return neighbour_window(recent, ["user_login"], order, rolling, before=FRAME_ROWS - 1, hot_rows=hot_rows)
+    return neighbour_window(recent, ["user_login"], order, rolling, before=FRAME_ROWS - 1, block_rows=block_rows)
 
 
 def time_to_merge(staged: DataFrame) -> DataFrame:

@@ -3,18 +3,32 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable, Mapping
+import uuid
+from collections.abc import Callable, Iterator, Mapping
+from contextlib import contextmanager
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from forgemeter.functions.calendar import as_date
 from forgemeter.operators import enforce, ingest, staging
 from forgemeter.operators.upsert import finish_swap, upsert_into
 from forgemeter.plans import contributions, pulls
 from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES, SOURCE_RULES
 from forgemeter.plans.suite import run_suite
-from forgemeter.session import in_parallel, path_exists, scratch_scope, settle, shuffles_sized_for
+from forgemeter.session import (
+    in_parallel,
+    list_names,
+    path_exists,
+    remove_path,
+    scratch_scope,
+    settle,
+    settled_files,
+    sized_session,
+    stored_bytes,
+    touch,
+)
 from forgemeter.sources.tables import (
     RAW_CONTRIBUTIONS,
     RAW_PULLS,
@@ -26,24 +40,52 @@ from forgemeter.sources.tables import (
 
 # Failed answers, in a folder of the raw table that readers skip.
 QUARANTINE = "_quarantine"
-QUARANTINED = ["username", "range_seq", "http_status", "status", "body"]
+QUARANTINED = "username string, range_seq bigint, http_status int, status string, body string"
+QUARANTINED_PAGES = "repo_name string, seq bigint, status string, body string"
+
+# A run writes its tables into a folder of its own, named by time; this file in
+# it says that all of them are complete.
+RUN = "run-"
+COMPLETE = "_COMPLETE"
 
 
 class FetchFailed(RuntimeError):
-    """Every date range of some user failed."""
+    """Answers that could not be loaded; all others were."""
 
 
 # Loading --------------------------------------------------------------------
 
 
 def load_pulls(pages: DataFrame, raw_path: str, strict: bool = True) -> None:
-    """Parse landed pages and load them; one invalid row fails the whole load.
+    """Parse landed pages and load their reviews; one invalid review fails the whole load.
 
-    With ``strict`` so does an answer that is no page.
+    Answers that are no page are kept in the raw table's quarantine (see
+    ``quarantined_pages``). With ``strict`` they are reported as an error once
+    all other pages are loaded.
     """
-    parsed = ingest.parse_pull_pages(pages, strict)
-    valid = enforce.require_valid(enforce.check_batch(parsed, RAW_PULLS))
-    upsert_into(valid, RAW_PULLS, raw_path, "arrival")
+    spark = pages.sparkSession
+    ensure_table(spark, RAW_PULLS, raw_path)
+    finish_swap(spark, RAW_PULLS, raw_path)
+    with scratch_scope(spark):
+        # Written out parsed; the text is kept of the failed ones only.
+        text = F.when(F.col("status") != "ok", F.col("body"))
+        triaged = settle(ingest.triage_pages(pages).withColumn("body", text), "pages")
+        failed = _set_aside(triaged, QUARANTINED_PAGES, raw_path)
+        checked = enforce.check_batch(ingest.flatten_pages(triaged), RAW_PULLS)
+        valid = enforce.require_valid(checked).withColumn("arrival", F.struct("fetch", "arrival"))
+        upsert_into(valid, RAW_PULLS, raw_path, "arrival")
+    if strict and failed:
+        raise FetchFailed(f"{failed} answers are not a page of reviews: see {raw_path}/{QUARANTINE}")
+
+
+def _set_aside(triaged: DataFrame, schema: str, raw_path: str) -> int:
+    """Keep the failed answers in the quarantine; returns how many there are."""
+    bad = triaged.filter("status <> 'ok'")
+    found = bad.count()
+    if found:
+        columns = [part.split()[0] for part in schema.split(", ")]
+        bad.select(*columns).write.mode("append").parquet(f"{raw_path}/{QUARANTINE}")
+    return found
 
 
 def load_calendars(calendars: DataFrame, raw_path: str, restate: bool = False, strict: bool = True) -> None:
@@ -61,33 +103,41 @@ def load_calendars(calendars: DataFrame, raw_path: str, restate: bool = False, s
         # Written out: the steps below read the answers and days several times,
         # the JSON is parsed once.
         triaged = settle(ingest.triage_calendars(calendars), "answers")
-        bad = triaged.filter("status <> 'ok'").select(*QUARANTINED)
-        failed = ingest.failed_users(triaged).count()
-        if not bad.isEmpty():
-            bad.write.mode("append").parquet(f"{raw_path}/{QUARANTINE}")
+        failed = ingest.failed_users(triaged).count() if _set_aside(triaged, QUARANTINED, raw_path) else 0
         _load_days(spark, triaged.drop("body"), raw_path, restate)
     if strict and failed:
         raise FetchFailed(f"every range failed for {failed} users: see {raw_path}/{QUARANTINE}")
 
 
 def quarantined(spark: SparkSession, raw_path: str) -> DataFrame:
-    """Every failed answer met so far, as landed, with its status; a repeated batch adds nothing."""
+    """Every failed calendar answer met so far, as landed, with its status; a repeated batch adds nothing."""
+    return _aside(spark, raw_path, QUARANTINED)
+
+
+def quarantined_pages(spark: SparkSession, raw_path: str) -> DataFrame:
+    """The same for answers that are no page of reviews."""
+    return _aside(spark, raw_path, QUARANTINED_PAGES)
+
+
+def _aside(spark: SparkSession, raw_path: str, schema: str) -> DataFrame:
     place = f"{raw_path}/{QUARANTINE}"
-    schema = "username string, range_seq bigint, http_status int, status string, body string"
     if not path_exists(spark, place):
         return spark.createDataFrame([], schema)
-    return spark.read.parquet(place).distinct()
+    return spark.read.schema(schema).parquet(place).distinct()
 
 
 def _load_days(spark: SparkSession, triaged: DataFrame, raw_path: str, restate: bool) -> None:
     with scratch_scope(spark):
         parsed = ingest.cast_counts(ingest.flatten_calendars(triaged))
-        days = settle(enforce.require_valid(enforce.check_batch(parsed, RAW_CONTRIBUTIONS)), "days")
+        valid = enforce.require_valid(enforce.check_batch(parsed, RAW_CONTRIBUTIONS))
+        files = settled_files(valid, "days")
+        sized, _ = sized_session(spark, stored_bytes(spark, files))
+        days = sized.read.schema(valid.schema).parquet(files)
         first = days.agg(F.min("date")).first()[0]
         if first is None:
             return
         # Only stored days from the batch's first day on can be in the way.
-        stored = contributions_since(read_table(spark, RAW_CONTRIBUTIONS, raw_path), F.lit(first))
+        stored = contributions_since(read_table(sized, RAW_CONTRIBUTIONS, raw_path), F.lit(first))
         upsert_into(ingest.new_days(days, stored, restate), RAW_CONTRIBUTIONS, raw_path, "arrival")
 
 
@@ -102,26 +152,71 @@ def ranges_to_fetch(users: DataFrame, raw_path: str, as_of: dt.date | None = Non
 # Building -------------------------------------------------------------------
 
 
+@contextmanager
+def new_run(spark: SparkSession, out: str, *catalog_tables: str) -> Iterator[str]:
+    """A folder for the tables of one run, complete all at once when the block ends.
+
+    Until then ``latest_tables`` gives the run before, and so it does for good if
+    the block fails. The last two complete runs are kept, so that whoever still
+    reads the older one can finish; earlier ones go, with their entries
+    ``<catalog table>_<run>``. Start times order the runs.
+    """
+    started = dt.datetime.now(dt.timezone.utc).strftime("%Y%m%dT%H%M%S%f")
+    run = f"{RUN}{started}-{uuid.uuid4().hex[:8]}"
+    try:
+        yield f"{out}/{run}"
+    except BaseException:
+        _drop_run(spark, out, run, catalog_tables)
+        raise
+    touch(spark, f"{out}/{run}/{COMPLETE}")
+    for old in _complete_runs(spark, out)[:-2]:
+        _drop_run(spark, out, old, catalog_tables)
+
+
+def in_catalog(table: str, folder: str) -> str:
+    """The name of a run's own catalog table."""
+    return f"{table}_{folder.rsplit('/', 1)[-1].replace('-', '_').lower()}"
+
+
+def _complete_runs(spark: SparkSession, out: str) -> list[str]:
+    runs = [n for n in list_names(spark, out) if n.startswith(RUN)]
+    return sorted(n for n in runs if path_exists(spark, f"{out}/{n}/{COMPLETE}"))
+
+
+def _drop_run(spark: SparkSession, out: str, run: str, catalog_tables: tuple[str, ...]) -> None:
+    for table in catalog_tables:
+        spark.sql(f"DROP TABLE IF EXISTS {in_catalog(table, run)}")
+    remove_path(spark, f"{out}/{run}")
+
+
+def latest_tables(spark: SparkSession, out: str) -> dict[str, DataFrame]:
+    """The tables of the last complete run; none before the first."""
+    runs = _complete_runs(spark, out)
+    if not runs:
+        return {}
+    folder = f"{out}/{runs[-1]}"
+    return {n: spark.read.parquet(f"{folder}/{n}") for n in list_names(spark, folder) if n != COMPLETE}
+
+
 def store(spark: SparkSession, df: DataFrame, out: str, name: str) -> DataFrame:
-    """Rebuild one table in full and read it back."""
-    df.write.mode("overwrite").parquet(f"{out}/{name}")
+    """Write one table of a run and read it back."""
+    df.write.parquet(f"{out}/{name}")
     return spark.read.schema(df.schema).parquet(f"{out}/{name}")
 
 
 def store_bucketed(
-    spark: SparkSession, df: DataFrame, out: str, name: str, key: str, sort: list[str], buckets: int
+    spark: SparkSession, df: DataFrame, place: str, name: str, key: str, sort: list[str], buckets: int
 ) -> DataFrame:
-    """As ``store``, hash-bucketed by ``key`` and registered in the catalog.
+    """Write ``df`` to ``place``, hash-bucketed by ``key`` and registered in the catalog as ``name``.
 
     Groupings and windows by ``key`` on the returned table need no shuffle. Pass
     rows partitioned by ``key`` into ``buckets``, so that a task writes one file.
     """
     (
-        df.write.mode("overwrite")
-        .bucketBy(buckets, key)
+        df.write.bucketBy(buckets, key)
         .sortBy(*sort)
         .format("parquet")
-        .option("path", f"{out}/{name.split('.')[-1]}")
+        .option("path", place)
         .saveAsTable(name)
     )
     return spark.table(name)
@@ -145,15 +240,18 @@ def run_contributions(
     buckets: int | None = None,
     staged_table: str = "contrib_staged",
 ) -> Mapping[str, DataFrame]:
-    """Rebuild staging and the eight daily-activity tables, then test them.
+    """Build staging and the eight daily-activity tables, then test them.
 
-    Staging is bucketed by user once, as catalog table ``staged_table``; every
-    table after it groups by user.
+    Staging is bucketed by user once, as a catalog table named ``staged_table``
+    and the run; the tables after it group by user. Only the recent activity
+    reads its few months from the raw table, which is stored by month.
     """
     # A load cut short may have left months half swapped.
     finish_swap(spark, RAW_CONTRIBUTIONS, raw_path)
+    outer = spark
+    spark, partitions = sized_session(outer, stored_bytes(outer, raw_path))
     raw = read_table(spark, RAW_CONTRIBUTIONS, raw_path).drop(RAW_CONTRIBUTIONS.layout[0])
-    with scratch_scope(spark), shuffles_sized_for(spark, raw_path) as partitions:
+    with scratch_scope(spark), new_run(spark, out, staged_table) as out:
         # The load leaves one row per user and day, so no key has copies to
         # collapse before the shuffle, and a user has at most one row per
         # calendar day: one shuffle by user serves the dedup and the buckets.
@@ -162,8 +260,8 @@ def run_contributions(
         staged = store_bucketed(
             spark,
             staging.dedup_contributions(by_user),
-            out,
-            staged_table,
+            f"{out}/contrib_staged",
+            in_catalog(staged_table, out),
             "username",
             ["username", "date"],
             buckets,
@@ -174,7 +272,9 @@ def run_contributions(
             {
                 "contrib_patterns": lambda: contributions.activity_patterns(staged),
                 "contrib_monthly": lambda: contributions.monthly(staged),
-                "contrib_recent": lambda: contributions.recent_activity(staged, as_of),
+                "contrib_recent": lambda: contributions.recent_activity(
+                    recent_days(spark, raw_path, as_of), as_of
+                ),
                 "contrib_streaks": lambda: contributions.streaks(staged, as_of),
                 "contrib_user_summary": lambda: contributions.user_summary(staged, as_of),
                 "contrib_weekly": lambda: contributions.weekly(staged),
@@ -189,22 +289,38 @@ def run_contributions(
             },
         )
         models = {"contrib_staged": staged, **built, **derived}
-        tests = store(spark, run_suite(models, CONTRIBUTION_RULES), out, "contrib_tests")
-    return {**models, "contrib_tests": tests}
+        store(spark, run_suite(models, CONTRIBUTION_RULES), out, "contrib_tests")
+        tables = _tables_of(outer, out, [*models, "contrib_tests"])
+    return {**tables, "contrib_staged": outer.table(in_catalog(staged_table, out))}
+
+
+def recent_days(spark: SparkSession, raw_path: str, as_of: dt.date | None = None) -> DataFrame:
+    """The staged rows the recent activity looks at; older month directories are not read."""
+    first = F.date_sub(as_date(as_of), contributions.RECENT_DAYS)
+    rows = contributions_since(read_table(spark, RAW_CONTRIBUTIONS, raw_path), first)
+    # The windows by user then need no second shuffle.
+    return staging.dedup_contributions(rows.drop(RAW_CONTRIBUTIONS.layout[0]).repartition("username"))
+
+
+def _tables_of(spark: SparkSession, folder: str, names: list[str]) -> dict[str, DataFrame]:
+    """A run's tables as tables of the caller's session."""
+    return {name: spark.read.parquet(f"{folder}/{name}") for name in names}
 
 
 def run_pulls(
     spark: SparkSession, raw_path: str, out: str, as_of: dt.date | None = None, sources: bool = False
 ) -> Mapping[str, DataFrame]:
-    """Rebuild staging, the rollup and the nine code-review tables, then test them.
+    """Build staging, the rollup and the nine code-review tables, then test them.
 
     Numbering the reviews by creation time also stores them in that order, so
     the 90-day cut of ``pulls_recent`` skips most of the stored table by its
     row-group statistics.
     """
     finish_swap(spark, RAW_PULLS, raw_path)
+    outer = spark
+    spark, _ = sized_session(outer, stored_bytes(outer, raw_path))
     raw = read_table(spark, RAW_PULLS, raw_path).drop(RAW_PULLS.layout[0])
-    with scratch_scope(spark), shuffles_sized_for(spark, raw_path):
+    with scratch_scope(spark), new_run(spark, out) as out:
         staged = store(spark, staging.key_pulls(raw), out, "pulls_staged")
         facts = store(spark, pulls.daily_rollup(pulls.review_facts(staged)), out, "pulls_rollup")
         built = _build(
@@ -230,5 +346,5 @@ def run_pulls(
         )
         models = {"pulls_staged": staged, **built, **derived}
         checked = {**models, "raw_pulls": raw} if sources else models
-        tests = store(spark, run_suite(checked, [*PULL_RULES, *SOURCE_RULES], sources), out, "pulls_tests")
-    return {**models, "pulls_tests": tests}
+        store(spark, run_suite(checked, [*PULL_RULES, *SOURCE_RULES], sources), out, "pulls_tests")
+        return _tables_of(outer, out, [*models, "pulls_tests"])

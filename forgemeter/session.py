@@ -64,6 +64,18 @@ def remove_path(spark: SparkSession, path: str) -> None:
     files.delete(place, True)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder; none if it is not there."""
+    place, files = _hadoop(spark, path)
+    return [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty file."""
+    place, files = _hadoop(spark, path)
+    files.create(place, True).close()
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
@@ -113,13 +125,17 @@ def settle(df: DataFrame, label: str, *partition_by: str) -> DataFrame:
     Used where a result feeds several later steps: it is computed once, its
     lineage ends there, and a lost executor only re-reads files.
     """
-    spark = df.sparkSession
-    path = scratch_path(spark, label)
+    return df.sparkSession.read.schema(df.schema).parquet(settled_files(df, label, *partition_by))
+
+
+def settled_files(df: DataFrame, label: str, *partition_by: str) -> str:
+    """As ``settle``; returns the folder."""
+    path = scratch_path(df.sparkSession, label)
     writer = df.write
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path
 
 
 def in_parallel(tasks: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
@@ -134,18 +150,20 @@ def stored_bytes(spark: SparkSession, path: str) -> int:
     return files.getContentSummary(place).getLength()
 
 
-@contextmanager
-def shuffles_sized_for(spark: SparkSession, path: str) -> Iterator[int]:
-    """Inside, shuffles have enough partitions for the dataset at ``path``.
+def sized_session(spark: SparkSession, data_bytes: int) -> tuple[SparkSession, int]:
+    """A session with enough shuffle partitions for Parquet data of that size, and their number.
 
-    Never fewer than configured; AQE merges what turns out too small.
+    Settings, catalog and current database are the given session's, which itself
+    stays as it is, so several loads and runs may share it. Never fewer
+    partitions than configured; AQE merges what turns out too small.
     """
     key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    needed = math.ceil(stored_bytes(spark, path) * SHUFFLE_GROWTH / PARTITION_BYTES)
-    partitions = max(int(before), needed)
-    spark.conf.set(key, str(partitions))
-    try:
-        yield partitions
-    finally:
-        spark.conf.set(key, before)
+    needed = math.ceil(data_bytes * SHUFFLE_GROWTH / PARTITION_BYTES)
+    partitions = max(int(spark.conf.get(key)), needed)
+    sized = spark.newSession()
+    for name, value in spark.conf.getAll.items():
+        if spark.conf.isModifiable(name):
+            sized.conf.set(name, value)
+    sized.catalog.setCurrentDatabase(spark.catalog.currentDatabase())
+    sized.conf.set(key, str(partitions))
+    return sized, partitions

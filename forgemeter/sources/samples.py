@@ -12,7 +12,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgemeter.operators.blocks import HOT_ROWS, neighbour_window
+from forgemeter.operators.blocks import BLOCK_ROWS, neighbour_window
 
 LONG_AS_OF = dt.date(2001, 11, 4)
 DENSE_AS_OF = dt.date(2024, 1, 31)
@@ -88,7 +88,7 @@ def order_pulls(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def event_pulls(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+def event_pulls(spark: SparkSession, sf_dir: str, block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Events as reviews, merged at the same user's next event."""
     events = _read(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "props")
     following = neighbour_window(
@@ -97,7 +97,7 @@ def event_pulls(spark: SparkSession, sf_dir: str, hot_rows: int = HOT_ROWS) -> D
         [F.col("ts").asc(), F.col("event_id").asc()],
         lambda window: {"next_ts": F.lead("ts").over(window)},
         after=1,
-        hot_rows=hot_rows,
+        block_rows=block_rows,
     )
     number = F.regexp_extract("props", r"(\d+)", 1).cast("int")
     return following.select(

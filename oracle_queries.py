@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES
+from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES, SOURCE_RULES
 
 # Input rows -----------------------------------------------------------------
 
@@ -313,6 +313,28 @@ ORACLE |= {
                   CASE WHEN day(date) >= 18 THEN 1 ELSE 0 END::BIGINT AS arrival
            FROM days""",
     ),
+    "calendars_refetched": over(
+        DENSE,
+        """SELECT username, date, CASE WHEN day(date) >= 18 THEN n + 100 ELSE n END AS contribution_count
+           FROM days""",
+    ),
+    "calendars_refetched_kept": over(
+        DENSE,
+        """SELECT username, date, CASE WHEN day(date) > 25 THEN n + 100 ELSE n END AS contribution_count
+           FROM days""",
+    ),
+    "pages_refetched": over(
+        ORDERS,
+        """SELECT pr_id, CASE WHEN created_at >= DATE '2000-01-01' THEN state ELSE 'open' END AS state,
+                  CASE WHEN created_at >= DATE '2000-01-01' THEN merged_at END AS merged_at
+           FROM reviews""",
+    ),
+    "pages_quarantined": over(
+        ORDERS,
+        """SELECT DISTINCT repo_name, pr_id // 100 AS seq, 'not_a_page' AS status,
+                  '{"message": "Not Found"}' AS body
+           FROM reviews WHERE pr_id // 100 % 7 = 3""",
+    ),
     "upsert_counts": over(
         LONG,
         """SELECT username, date, CASE WHEN date > DATE '2000-03-31' THEN 2 * n ELSE n END AS contribution_count
@@ -345,6 +367,11 @@ ORACLE |= {
                   END AS violation
            FROM reviews""",
     ),
+    "batch_day_duplicates": over(
+        COPIES,
+        """SELECT username, date, count(*)::BIGINT AS occurrences
+           FROM copies GROUP BY username, date HAVING count(*) > 1""",
+    ),
     "contrib_dedup": over(
         COPIES,
         """SELECT username, date, n AS contribution_count, 1::BIGINT AS row_num
@@ -439,6 +466,10 @@ ORACLE |= {
     "dq_duplicated_values": over(
         DIRTY_REVIEWS, "SELECT pr_id, count(*) AS occurrences FROM reviews GROUP BY pr_id HAVING count(*) > 1"
     ),
+    "batch_key_duplicates": over(
+        DIRTY_REVIEWS, "SELECT pr_id, count(*) AS occurrences FROM reviews GROUP BY pr_id HAVING count(*) > 1"
+    ),
+    "dq_sources": suite_sql(DIRTY_REVIEWS, SOURCE_RULES, {"raw_pulls": "reviews"}),
     "dq_suite": suite_sql(
         DIRTY_DAYS + "," + DIRTY_REVIEWS + _STAGED + _mart_views(_LONG_MARTS) + _mart_views(_ORDER_MARTS),
         [*CONTRIBUTION_RULES, *PULL_RULES],

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from forgemeter.operators import checks, enforce, ingest, staging
 from forgemeter.operators.upsert import upsert
 from forgemeter.plans import contributions, pulls, runs
-from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES, REVIEW_STATES
+from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES, REVIEW_STATES, SOURCE_RULES
 from forgemeter.plans.suite import run_suite
 from forgemeter.session import in_parallel, scratch_path, settle
 from forgemeter.sources import samples
@@ -44,7 +44,7 @@ def query(fn):
 @query
 def pull_pages_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     parsed = ingest.parse_pull_pages(landed_pages(event_pulls(spark, sf_dir)))
-    return enforce.accepted(enforce.check_batch(parsed.drop("arrival"), RAW_PULLS))
+    return enforce.accepted(enforce.check_batch(parsed.drop("fetch", "arrival"), RAW_PULLS))
 
 
 @query
@@ -115,7 +115,8 @@ def new_rows_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = days.filter(of_month >= 18).select(
         "username", "date", (n + 1).alias("contribution_count"), F.lit(1).cast("bigint").alias("arrival")
     )
-    return ingest.new_days(first.unionByName(second), stored)
+    one_fetch = first.unionByName(second).withColumn("fetch", F.lit(0).cast("bigint"))
+    return ingest.new_days(one_fetch, stored)
 
 
 @query
@@ -129,7 +130,54 @@ def new_rows_restated(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(1).cast("bigint").alias("arrival"),
         )
     )
-    return ingest.new_days(batch, days, restate=True)
+    return ingest.new_days(batch.withColumn("fetch", F.lit(0).cast("bigint")), days, restate=True)
+
+
+def _fetched(landed: DataFrame, at: dt.datetime) -> DataFrame:
+    return landed.withColumn("fetched_at", F.lit(at).cast("timestamp"))
+
+
+def _refetched(spark: SparkSession, sf_dir: str, restate: bool) -> DataFrame:
+    """The raw table after one load of two overlapping fetches per user, the later one listed first."""
+    days = dense_contributions(spark, sf_dir)
+    n = F.col("contribution_count")
+    early = _fetched(landed_calendars(days.filter(F.dayofmonth("date") <= 25)), dt.datetime(2024, 1, 26))
+    late_days = days.filter(F.dayofmonth("date") >= 18).withColumn("contribution_count", n + 100)
+    late = _fetched(landed_calendars(late_days), dt.datetime(2024, 2, 1))
+    raw = scratch_path(spark, "raw-refetched")
+    runs.load_calendars(late.unionByName(early), raw, restate)
+    return read_table(spark, RAW_CONTRIBUTIONS, raw).select(*RAW_CONTRIBUTIONS.column_names)
+
+
+@query
+def calendars_refetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refetched(spark, sf_dir, restate=True)
+
+
+@query
+def calendars_refetched_kept(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _refetched(spark, sf_dir, restate=False)
+
+
+@query
+def pages_refetched(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two fetches of the pages in one load; the first saw every review open."""
+    reviews = order_pulls(spark, sf_dir)
+    opened = reviews.withColumn("state", F.lit("open")).withColumn("merged_at", F.lit(None).cast("timestamp_ntz"))
+    early = _fetched(landed_pages(opened), dt.datetime(2001, 8, 1))
+    late = reviews.filter(F.col("created_at") >= F.lit(dt.date(2000, 1, 1)))
+    raw = scratch_path(spark, "raw-pages")
+    runs.load_pulls(_fetched(landed_pages(late), dt.datetime(2001, 8, 2)).unionByName(early), raw)
+    return read_table(spark, RAW_PULLS, raw).select("pr_id", "state", "merged_at")
+
+
+@query
+def pages_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that were answered with an error object."""
+    body = F.when(F.col("seq") % 7 == 3, F.lit('{"message": "Not Found"}')).otherwise(F.col("body"))
+    raw = scratch_path(spark, "raw-pages")
+    runs.load_pulls(landed_pages(order_pulls(spark, sf_dir)).withColumn("body", body), raw, strict=False)
+    return runs.quarantined_pages(spark, raw)
 
 
 @query
@@ -188,6 +236,16 @@ def schema_enforced(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enforce.check_batch(dirty, RAW_PULLS).select("order_key", "pr_id", "created_at", "violation")
 
 
+@query
+def batch_key_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enforce.duplicated_keys(_dirty_pulls(spark, sf_dir), RAW_PULLS)
+
+
+@query
+def batch_day_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return enforce.duplicated_keys(samples.duplicated_contributions(spark, sf_dir), RAW_CONTRIBUTIONS)
+
+
 # Staging --------------------------------------------------------------------
 
 
@@ -378,6 +436,12 @@ def dq_accepted_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.check_model(_dirty_pulls(spark, sf_dir), [rule])
 
 
+@query
+def dq_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The rules declared on the raw table."""
+    return run_suite({"raw_pulls": settle(_dirty_pulls(spark, sf_dir), "dirty")}, SOURCE_RULES, sources=True)
+
+
 @query
 def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All rules on all tables, built from dirty rows."""

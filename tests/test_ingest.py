@@ -19,7 +19,7 @@ def entry(date, count):
 
 
 def answers(spark, *rows):
-    return spark.createDataFrame(list(rows), LANDED_CALENDARS)
+    return spark.createDataFrame([(*r, None) for r in rows], LANDED_CALENDARS)
 
 
 def test_pull_page(spark):
@@ -31,7 +31,12 @@ def test_pull_page(spark):
         ]
     )
     pages = spark.createDataFrame(
-        [("o/r", 1, body), ("o/s", 1, '{"message": "Not Found"}'), ("o/t", 1, "<html>"), ("o/u", 1, "[]"), ("o/v", 1, None)],
+        [
+            (repo, 1, text, None)
+            for repo, text in [
+                ("o/r", body), ("o/s", '{"message": "Not Found"}'), ("o/t", "<html>"), ("o/u", "[]"), ("o/v", None)
+            ]
+        ],
         LANDED_PAGES,
     )
     checked = enforce.check_batch(ingest.parse_pull_pages(pages), RAW_PULLS)
@@ -102,12 +107,12 @@ def test_new_days(spark):
     stored = spark.createDataFrame([("u", day("2024-01-01"), 9)], RAW_CONTRIBUTIONS.schema())
     batch = spark.createDataFrame(
         [
-            ("u", day("2024-01-01"), 1, 0),
-            ("u", day("2024-01-02"), 2, 1),
-            ("u", day("2024-01-02"), 3, 2),
-            ("v", day("2024-01-01"), 4, 0),
+            ("u", day("2024-01-01"), 1, 0, 0),
+            ("u", day("2024-01-02"), 2, 1, 0),
+            ("u", day("2024-01-02"), 3, 2, 0),
+            ("v", day("2024-01-01"), 4, 0, 0),
         ],
-        "username string, date date, contribution_count int, arrival bigint",
+        "username string, date date, contribution_count int, arrival bigint, fetch bigint",
     )
     kept = by_key(ingest.new_days(batch, stored), "username", "date")
     assert {k: r["contribution_count"] for k, r in kept.items()} == {("u", day("2024-01-02")): 3, ("v", day("2024-01-01")): 4}

@@ -158,7 +158,7 @@ def test_hot_authors_are_split_without_changing_counts(spark):
         "user_login", F.when(number < 3, F.lit("bot")).when(number > 4, F.col("user_login"))
     )
     plain = p.recent_activity(hot, samples.DENSE_AS_OF)
-    split = p.recent_activity(hot, samples.DENSE_AS_OF, hot_rows=100)
+    split = p.recent_activity(hot, samples.DENSE_AS_OF, block_rows=100)
     assert _same(plain, split)
     window = Window.partitionBy("user_login").orderBy("created_at", "pr_id").rowsBetween(-29, 0)
     expected = hot.select("pr_id", F.count(F.lit(1)).over(window).alias("pulls_last_30_days"))
@@ -167,7 +167,7 @@ def test_hot_authors_are_split_without_changing_counts(spark):
 
 def test_next_event_of_hot_users(spark):
     sf_dir = "/root/testdata/sf0.01"
-    assert _same(samples.event_pulls(spark, sf_dir), samples.event_pulls(spark, sf_dir, hot_rows=50))
+    assert _same(samples.event_pulls(spark, sf_dir), samples.event_pulls(spark, sf_dir, block_rows=50))
 
 
 def test_tied_creation_times_go_by_id(spark):

@@ -94,10 +94,10 @@ def test_neighbour_frames_of_any_block_size(spark):
         for i, (_, number, _) in enumerate(group):
             ahead = group[i + 2][2] if i + 2 < len(group) else None
             expected[number] = (sum(r[2] for r in group[max(0, i - 3) : i + 3]), ahead)
-    for hot_rows in (3, 7, 64, 1000):
-        split = neighbour_window(frame, ["k"], [F.col("id")], build, before=3, after=2, hot_rows=hot_rows)
+    for block_rows in (3, 7, 64, 1000):
+        split = neighbour_window(frame, ["k"], [F.col("id")], build, before=3, after=2, block_rows=block_rows)
         found = {i: (r["around"], r["following"]) for i, r in by_key(split, "id").items()}
-        assert found == expected, hot_rows
+        assert found == expected, block_rows
 
 
 def test_a_later_row_replaces_a_whole_earlier_one(spark):

@@ -2,11 +2,11 @@ import json
 import os
 
 import pytest
-from helpers import by_key, day
+from helpers import by_key, day, moment
 
 from forgemeter.operators import staging
 from forgemeter.plans import contributions, runs
-from forgemeter.session import in_parallel, scratch_path, scratch_scope, settle, shuffles_sized_for
+from forgemeter.session import in_parallel, scratch_path, scratch_scope, settle, sized_session, stored_bytes
 from forgemeter.sources import samples
 from forgemeter.sources.tables import RAW_CONTRIBUTIONS, RAW_PULLS, read_table
 from forgemeter.streaming.landing import drain_calendars, drain_pulls
@@ -89,13 +89,67 @@ def test_one_invalid_row_stops_a_load(spark, tmp_path):
         runs.load_pulls(pages, str(tmp_path / "raw"))
 
 
-def test_an_answer_that_is_no_page_stops_a_strict_load(spark, tmp_path):
+def test_an_answer_that_is_no_page_is_reported_and_kept_aside(spark, tmp_path):
     rows = [("o/r", 0, '[{"id": 1}]'), ("o/s", 0, '{"message": "Not Found"}')]
     pages = spark.createDataFrame(rows, "repo_name string, seq bigint, body string")
-    with pytest.raises(Exception, match="not a page of reviews: o/s"):
+    with pytest.raises(runs.FetchFailed, match="1 answers are not a page"):
         runs.load_pulls(pages, str(tmp_path / "strict"))
-    runs.load_pulls(pages, str(tmp_path / "lenient"), strict=False)
-    assert read_table(spark, RAW_PULLS, str(tmp_path / "lenient")).count() == 1
+    for _ in range(2):
+        runs.load_pulls(pages, str(tmp_path / "lenient"), strict=False)
+    for place in ("strict", "lenient"):
+        assert read_table(spark, RAW_PULLS, str(tmp_path / place)).count() == 1
+        aside = runs.quarantined_pages(spark, str(tmp_path / place)).collect()
+        assert [tuple(r) for r in aside] == [("o/s", 0, "not_a_page", rows[1][2])]
+    runs.load_pulls(pages.limit(0), str(tmp_path / "empty"))
+    assert runs.quarantined_pages(spark, str(tmp_path / "empty")).count() == 0
+
+
+def _fetches():
+    """Three fetches of overlapping days for two users, oldest first; one has no answer in the second."""
+    for number in range(3):
+        days = [entry(f"2024-03-{d:02}", 100 * number + d) for d in range(1 + 2 * number, 7 + 2 * number)]
+        at = f"2024-03-{10 + number}T00:00:00Z"
+        rows = [answer("u", calendar(days)), answer("v", calendar(days[::-1]), status=500 if number == 1 else 200)]
+        yield [{**r, "fetched_at": at} for r in rows]
+
+
+@pytest.mark.parametrize("restate", [True, False])
+def test_a_backlog_equals_load_after_load(spark, tmp_path, restate):
+    fetches = list(_fetches())
+
+    def load(batches, place):
+        for rows in batches:
+            land(tmp_path / place, f"{id(rows)}.json", rows)
+            drain_calendars(
+                spark, str(tmp_path / place), str(tmp_path / f"raw-{place}"), str(tmp_path / f"state-{place}"), restate
+            ).awaitTermination()
+        return sorted(map(tuple, read_table(spark, RAW_CONTRIBUTIONS, str(tmp_path / f"raw-{place}")).collect()))
+
+    one_by_one = load(fetches, "steps")
+    assert len(one_by_one) == 20
+    assert load([sum(fetches, [])], "once") == one_by_one
+    assert load([sum(fetches[::-1], [])], "backwards") == one_by_one
+
+
+def test_pages_of_a_backlog_in_any_order(spark, tmp_path):
+    def page(state, at):
+        return ("o/r", 1, json.dumps([{"id": 1, "state": state}]), at)
+
+    columns = "repo_name string, seq bigint, body string, fetched_at timestamp"
+    old, new = moment("2024-01-01"), moment("2024-01-02")
+    batches = [
+        [page("open", old), page("closed", new)],
+        [page("closed", new), page("open", old)],
+        # Nothing tells which is newer: the same one wins either way.
+        [page("open", new), page("closed", new)],
+        [page("closed", new), page("open", new)],
+    ]
+    found = []
+    for i, rows in enumerate(batches):
+        raw = str(tmp_path / str(i))
+        runs.load_pulls(spark.createDataFrame(rows, columns).repartition(2), raw)
+        found.append(read_table(spark, RAW_PULLS, raw).first()["state"])
+    assert found[:2] == ["closed", "closed"] and found[2] == found[3]
 
 
 def test_pulls_from_landing_to_tests(spark, tmp_path):
@@ -130,16 +184,69 @@ def test_scratch_is_removed_on_success_and_kept_on_failure(spark):
     assert "scope-" not in scratch_path(spark, "x")
 
 
-def test_shuffles_follow_the_stored_bytes(spark, tmp_path, monkeypatch):
-    path = str(tmp_path / "rows")
+def test_shuffles_follow_the_bytes(spark, tmp_path, monkeypatch):
+    path, key = str(tmp_path / "rows"), "spark.sql.shuffle.partitions"
     spark.range(1000).write.parquet(path)
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    with shuffles_sized_for(spark, path) as partitions:
-        assert partitions == int(before)
+    before = spark.conf.get(key)
+    sized, partitions = sized_session(spark, stored_bytes(spark, path))
+    assert partitions == int(before) and sized.conf.get(key) == before
     monkeypatch.setattr("forgemeter.session.PARTITION_BYTES", 100)
-    with shuffles_sized_for(spark, path) as partitions:
-        assert partitions > int(before) and spark.conf.get("spark.sql.shuffle.partitions") == str(partitions)
-    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    sized, partitions = sized_session(spark, stored_bytes(spark, path))
+    assert partitions > int(before) and sized.conf.get(key) == str(partitions)
+    assert sized.conf.get("spark.sql.session.timeZone") == spark.conf.get("spark.sql.session.timeZone")
+    assert spark.conf.get(key) == before
+    plan = sized.read.parquet(path).groupBy("id").count()._jdf.queryExecution().executedPlan().toString()
+    assert f", {partitions})" in plan
+
+
+def test_a_failed_run_leaves_the_tables_before_it(spark, tmp_path):
+    out = str(tmp_path / "out")
+    assert runs.latest_tables(spark, out) == {}
+
+    def build(n):
+        with runs.new_run(spark, out) as folder:
+            runs.store(spark, spark.range(n), folder, "numbers")
+            if n == 3:
+                raise ValueError
+        return folder
+
+    build(1), build(2)
+    with pytest.raises(ValueError):
+        build(3)
+    assert runs.latest_tables(spark, out)["numbers"].count() == 2
+    assert len(os.listdir(out)) == 2
+    build(4)
+    assert runs.latest_tables(spark, out)["numbers"].count() == 4
+    assert len(os.listdir(out)) == 2
+
+
+def test_a_run_after_an_interrupted_load_has_every_month(spark, tmp_path):
+    raw, out = str(tmp_path / "raw"), str(tmp_path / "out")
+    days = samples.dense_contributions(spark, SF)
+    runs.load_calendars(samples.landed_calendars(days), raw)
+    # A load that got as far as its pending rows.
+    later = days.selectExpr("username", "add_months(date, 1) AS date", "contribution_count")
+    later.distinct().dropDuplicates(["username", "date"]).write.parquet(f"{raw}/_pending")
+    models = runs.run_contributions(spark, raw, out, samples.DENSE_AS_OF, staged_table="staged_for_swap")
+    assert models["contrib_monthly"].select("month_start").distinct().count() == 2
+    assert runs.latest_tables(spark, out)["contrib_monthly"].count() == models["contrib_monthly"].count()
+
+
+def test_recent_days_open_only_their_months(spark, tmp_path):
+    raw = tmp_path / "raw"
+    body = calendar([entry(f"2023-{m:02}-15", m) for m in range(1, 13)])
+    rows = [("u", 0, 200, body)]
+    answers = spark.createDataFrame(rows, "username string, range_seq bigint, http_status int, body string")
+    runs.load_calendars(answers, str(raw))
+    before = contributions.recent_activity(read_table(spark, RAW_CONTRIBUTIONS, str(raw)), day("2023-12-20")).collect()
+    # Older months cannot even be opened.
+    for month in raw.glob("month=2023-0[1-8]-01"):
+        for file in month.glob("*.parquet"):
+            (month / f".{file.name}.crc").unlink(missing_ok=True)
+            file.write_text("no parquet")
+    found = contributions.recent_activity(runs.recent_days(spark, str(raw), day("2023-12-20")), day("2023-12-20"))
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert sorted(found.collect()) == sorted(before) and len(before) == 3
 
 
 def test_staging_by_user_takes_one_shuffle(spark):
