@@ -19,6 +19,7 @@ always stays.
 
 from __future__ import annotations
 
+from collections import deque
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -32,6 +33,10 @@ from forgemeter.session import settle
 
 WORDS = 50
 
+# Prefix hashes are polynomials at _BASE over the numbers below a Mersenne prime.
+_PRIME = 2**61 - 1
+_BASE = 0x1F3D5B79A2C4E681 % _PRIME
+
 _WINDOWS = "id bigint, text bigint, print bigint, window bigint, start int, stop int"
 
 
@@ -47,14 +52,33 @@ def windows(line_words: list[int], words: int) -> list[tuple[int, int]]:
 
 
 def winnow(data: bytes, words: int = WORDS) -> list[tuple[int, int, int, int]]:
-    """(fingerprint, window hash, start, stop) of each window; the fingerprint is its smallest line hash."""
+    """(fingerprint, window hash, start, stop) of each window; the fingerprint is its smallest line hash.
+
+    A window may span any number of lines without words. Starts and stops both
+    grow from window to window, so the smallest hash is kept in a queue and the
+    window's hash is a difference of two prefix hashes: a line costs the same
+    however long its windows are.
+    """
     lines = [line.strip() for line in data.split(b"\n")]
+    spans = windows([len(line.split()) for line in lines], words)
+    if not spans:
+        return []
     hashes = [xxhash.xxh64_intdigest(line) for line in lines]
-    packed = np.array(hashes, "<u8").tobytes()
-    found = []
-    for start, stop in windows([len(line.split()) for line in lines], words):
-        window = xxhash.xxh64_intdigest(packed[8 * start : 8 * stop], 1)
-        found.append((min(hashes[start:stop]), window, start, stop))
+    prefix, power = [0], [1]
+    for value in hashes:
+        prefix.append((prefix[-1] * _BASE + value) % _PRIME)
+        power.append(power[-1] * _BASE % _PRIME)
+    found, queue, seen = [], deque(), 0
+    for start, stop in spans:
+        while seen < stop:
+            while queue and hashes[queue[-1]] >= hashes[seen]:
+                queue.pop()
+            queue.append(seen)
+            seen += 1
+        while queue[0] < start:
+            queue.popleft()
+        window = (prefix[stop] - prefix[start] * power[stop - start]) % _PRIME
+        found.append((hashes[queue[0]], window, start, stop))
     return found
 
 

@@ -349,6 +349,28 @@ def test_pages_with_nulls(spark):
 # Lines ----------------------------------------------------------------------
 
 
+def test_windows_of_any_text():
+    rng = np.random.default_rng(7)
+    same = {}
+    for _ in range(200):
+        lines = [words(rng.integers(0, 9), int(rng.integers(12))) for _ in range(rng.integers(1, 60))]
+        data = "\n".join(lines).encode()
+        hashes = [xxhash.xxh64_intdigest(line.encode()) for line in lines]
+        sizes = [len(line.split()) for line in lines]
+        found = line_dedup.winnow(data, 12)
+        assert [(a, b) for _, _, a, b in found] == line_dedup.windows(sizes, 12)
+        for print_, window, start, stop in found:
+            assert print_ == min(hashes[start:stop])
+            assert same.setdefault(window, lines[start:stop]) == lines[start:stop]
+    assert len(same) == len({tuple(v) for v in same.values()})
+
+
+def test_a_hundred_thousand_blank_lines_are_no_burden():
+    text = "first\n" + "\n" * 100_000 + words(60, 3) + "\n" * 100_000 + "last"
+    found = line_dedup.winnow(text.encode())
+    assert found[0][2:] == (0, 100_002) and found[-1][3] == 200_002
+
+
 def test_repeated_runs_go_and_first_places_stay(spark):
     run, other = words(30, 7) + "\n" + words(30, 8), words(60, 9)
     docs = table(
