@@ -10,8 +10,11 @@ centroid is nearer to that centroid than the vector is.
 
 Search. The centroids form a graph of nearest neighbours, small enough for the
 memory of a task. A search starts at a few spread entries and goes on from every
-centroid within ``RATIO`` times the best distance so far; the lists kept are
-those within that ratio of the nearest centroid. So a query in a clear cluster
+centroid within a ratio of the best distance so far; the lists kept are those
+within that ratio of the nearest centroid. The ratio is read off the fitted
+index: the true neighbours of ``SAMPLE_QUERIES`` queries among all vectors are
+found by brute force, and the ratio is raised from ``RATIO`` until the lists it
+opens for these queries hold ``RECALL`` of them. So a query in a clear cluster
 reads a few lists, one between all clusters many; nothing is capped.
 
 Hot vectors. Equal vectors are one row of the index with their smallest ids (no
@@ -35,11 +38,14 @@ from forgemeter.session import settle
 K = 20
 LIST_VECTORS = 128
 FIT_VECTORS = 32_768
+FIT_VECTORS_A_LIST = 16
 MOST_CENTROIDS = 8_192
 GROUP_VECTORS = 8_192
 GROUP_QUERIES = 4_096
 REPLICA_RATIO = 1.03
 RATIO = 1.22
+RECALL = 0.97
+SAMPLE_QUERIES = 256
 DEGREE = 24
 ENTRIES = 16
 ROWS_AT_ONCE = 64
@@ -67,8 +73,8 @@ def balanced_centroids(rows: np.ndarray, wanted: int) -> np.ndarray:
     centroids = np.array([rows[part].mean(axis=0) for part in _halves(rows, np.arange(len(rows)), depth)])
     for _ in range(4):
         sums, counts = np.zeros_like(centroids), np.zeros(len(centroids))
-        for at in range(0, len(rows), 4_096):
-            part = rows[at : at + 4_096]
+        for at in range(0, len(rows), 1_024):
+            part = rows[at : at + 1_024]
             nearest = ((centroids**2).sum(axis=1) - 2 * part @ centroids.T).argmin(axis=1)
             np.add.at(sums, nearest, part)
             counts += np.bincount(nearest, minlength=len(centroids))
@@ -166,6 +172,27 @@ class Index:
                 found = np.union1d(found, order[:enough])
             yield found
 
+    def enough(self, rows: np.ndarray, near: list[np.ndarray], ratio: float, least: int, recall: float) -> float:
+        """The smallest ratio from ``ratio`` on whose lists hold ``recall`` of the vectors ``near`` each row."""
+        total = sum(len(some) for some in near)
+        if not total:
+            return ratio
+        holding = [[set(lists) for lists in self.lists_of(some)] if len(some) else [] for some in near]
+        # By exact distances first: how far the nearest list that holds a vector is, beside the nearest of all.
+        needed = []
+        for row, vectors in zip(self.asked(rows), holding, strict=True):
+            far = np.sqrt(((self.graph.centroids - row) ** 2).sum(axis=1))
+            needed += [far[list(lists)].min() / max(far.min(), 1e-300) for lists in vectors]
+        needed = np.sort(needed)
+        ratio = max(ratio, float(needed[min(total, math.ceil(recall * total)) - 1]))
+        # Then by the search itself, which may not meet every list within the ratio.
+        while True:
+            opened = [set(found.tolist()) for found in self.lists_for(rows, ratio, least)]
+            held = sum(bool(own & lists) for own, vectors in zip(opened, holding, strict=True) for lists in vectors)
+            if held >= recall * total or all(len(own) == len(self.graph.centroids) for own in opened):
+                return ratio
+            ratio *= 1.02
+
 
 # Operators ------------------------------------------------------------------
 
@@ -285,8 +312,51 @@ def _best(k: int):
     return run
 
 
+def _true_neighbours(distinct: DataFrame, sample: pa.Table, k: int) -> list[np.ndarray]:
+    """For each sampled row the vectors of its k nearest other rows of ``distinct``, by brute force over all of them."""
+    ids, wanted = sample["least"].to_numpy(), _matrix(sample["vector"])
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # The best of a task so far: k for each sampled row.
+        least, scores = np.zeros((len(ids), 0), np.int64), np.zeros((len(ids), 0))
+        for batch in batches:
+            for at in range(0, batch.num_rows, GROUP_VECTORS):
+                part = batch.slice(at, GROUP_VECTORS)
+                own = part.column(0).to_numpy(zero_copy_only=False)
+                near = np.where(ids[:, None] == own, -np.inf, wanted @ _matrix(part.column(1)).T)
+                least = np.concatenate([least, np.broadcast_to(own, near.shape)], axis=1)
+                scores = np.concatenate([scores, near], axis=1)
+                some = min(k, scores.shape[1])
+                top = np.argpartition(-scores, some - 1, axis=1)[:, :some]
+                least, scores = np.take_along_axis(least, top, axis=1), np.take_along_axis(scores, top, axis=1)
+        row, column = np.nonzero(np.isfinite(scores))
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(row.astype(np.int32)), pa.array(least[row, column]), pa.array(scores[row, column])],
+            names=["row", "least", "score"],
+        )
+
+    place = Window.partitionBy("row").orderBy(F.desc("score"), "least")
+    found = (
+        distinct.select("least", "vector")
+        .mapInArrow(run, "row int, least bigint, score double")
+        .withColumn("place", F.row_number().over(place))
+        .filter(F.col("place") <= k)
+        .join(distinct.select("least", "vector"), "least")
+        .select("row", "vector")
+        .toArrow()
+    )
+    rows = found["row"].to_numpy()
+    stored = _matrix(found["vector"]) if len(rows) else np.zeros((0, wanted.shape[1]))
+    return [stored[rows == i] for i in range(len(ids))]
+
+
 def nearest_neighbours(
-    vectors: DataFrame, queries: Column, k: int = K, ratio: float = RATIO, seed_rows: int = FIT_VECTORS
+    vectors: DataFrame,
+    queries: Column,
+    k: int = K,
+    ratio: float = RATIO,
+    seed_rows: int = FIT_VECTORS,
+    recall: float = RECALL,
 ) -> DataFrame:
     """query_id, rank, vec_id, score: the k nearest found to each row that ``queries`` selects.
 
@@ -295,8 +365,10 @@ def nearest_neighbours(
     candidate, equal vectors of other ids are. Null ids and unusable vectors
     (``distinct_vectors``) take no part; repeated rows count once. With k or
     fewer candidates all are returned; extra columns are ignored; an empty
-    table gives an empty result. The index is fitted on ``seed_rows`` vectors at
-    most, chosen by hash, and holds every vector. Runs jobs.
+    table gives an empty result. The index is fitted on ``seed_rows`` vectors, or
+    ``FIT_VECTORS_A_LIST`` a list if that is more, chosen by hash, and holds every
+    vector. ``ratio`` is the least one; it is raised until ``SAMPLE_QUERIES``
+    queries, chosen by hash, find ``recall`` of their true neighbours. Runs jobs.
     """
     spark = vectors.sparkSession
     distinct = distinct_vectors(vectors, k)
@@ -305,10 +377,11 @@ def nearest_neighbours(
     if not n:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")
 
+    wanted = min(MOST_CENTROIDS, math.ceil(n / LIST_VECTORS))
+    rows = max(seed_rows, FIT_VECTORS_A_LIST * wanted)
     sample = _matrix(
-        distinct.select(F.xxhash64("vector").alias("h"), "vector").orderBy("h").limit(seed_rows).toArrow()["vector"]
+        distinct.select(F.xxhash64("vector").alias("h"), "vector").orderBy("h").limit(rows).toArrow()["vector"]
     )
-    wanted = min(MOST_CENTROIDS, math.ceil(n / LIST_VECTORS))
     index = Index(CentroidGraph(balanced_centroids(with_norm(sample, most), wanted)), most)
     lists = len(index.graph.centroids)
     postings = settle(
@@ -327,6 +400,12 @@ def nearest_neighbours(
 
     asked_ids = _classes_of(vectors.filter(queries), distinct)
     asked = distinct.join(asked_ids.select("least").distinct(), "least", "left_semi").select("least", "vector")
+    # By another hash than the fit's, so that these queries are no more likely to be fitted on.
+    order = F.xxhash64(F.lit("calibration"), "least")
+    tried = asked.orderBy(order).limit(SAMPLE_QUERIES).select("least", "vector").toArrow()
+    if tried.num_rows:
+        near = _true_neighbours(distinct, tried, k)
+        ratio = index.enough(_matrix(tried["vector"]), near, ratio, k + 1, recall)
     routes = settle(
         asked.mapInArrow(
             _routes(index, groups, ratio, k + 1),

@@ -446,6 +446,21 @@ def test_neighbours_against_all_products(spark):
     assert copies == sorted(copies)
 
 
+def test_recall_holds_where_a_fixed_ratio_loses_neighbours(spark):
+    # Few dimensions: the nearest centroid is so near that a fixed multiple of it opens too few lists (0.72 at 1.22).
+    rng = np.random.default_rng(1)
+    vectors = rng.normal(size=(3000, 8))
+    vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<double>")
+    got = {}
+    for r in ann.nearest_neighbours(frame, F.col("vec_id") % 20 == 0).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    products = vectors @ vectors.T
+    np.fill_diagonal(products, -np.inf)
+    hits = sum(len(found & set(np.argsort(-products[q])[:20].tolist())) for q, found in got.items())
+    assert len(got) == 150 and hits / (20 * len(got)) >= 0.95
+
+
 def test_few_or_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (20, [-1.0, 0.0])], "vec_id bigint, embedding array<float>")
     rows = ann.nearest_neighbours(few, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
