@@ -41,8 +41,14 @@ AROUND_NAMES = frozenset(
     "widget consent contentinfo complementary".split()
 )
 MAIN_NAMES = frozenset("article content entry main post story".split())
+# Tags and words whose containers hold articles of their own that are not the page's.
+CLOSED = frozenset("aside dialog".split())
+CLOSED_NAMES = frozenset("comment comments complementary dialog disqus replies reply respond".split())
+# A name with one of these words says what a layout has or lacks, not what the container is.
+LAYOUT_NAMES = frozenset("has no not with without hide show".split())
 
-ELSEWHERE, IN_MAIN, AROUND_MAIN = 0, 1, 2
+# A closed container is around the main text, and no <article> or <main> in it opens main text again.
+ELSEWHERE, IN_MAIN, AROUND_MAIN, CLOSED_AROUND = 0, 1, 2, 3
 
 FEATURES = ("place", "heading", "words", "links", "words before", "links before", "words after", "links after")
 
@@ -70,6 +76,8 @@ LABELLED = (
 _TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
+_FORM_PARTS = re.compile(r"<(/?form|nav|header|footer|main|article|aside|section|h1)\b", re.IGNORECASE)
+
 
 @dataclass
 class Block:
@@ -82,21 +90,48 @@ class Block:
 # Blocks ---------------------------------------------------------------------
 
 
+def _names(attributes: str) -> set[str]:
+    """The words that class, id and role say of a container: of each name the first and the last, as in sidebar-left
+    and cookie-notice; none of a name such as has-sidebar or main-nav-wrap."""
+    out: set[str] = set()
+    for found in _NAMES.finditer(attributes):
+        for name in next(filter(None, found.groups()), "").lower().split():
+            words = [word for word in re.split(r"[^a-z]+", name) if word]
+            if words and not LAYOUT_NAMES.intersection(words) and not AROUND_NAMES.intersection(words[1:-1]):
+                out |= {words[0], words[-1]}
+    return out
+
+
 def _meaning(tag: str, attributes: str, inside: int) -> int:
     """The place that a container opens in a place."""
-    if inside == AROUND_MAIN or tag in AROUND and not (tag == "header" and inside == IN_MAIN):
+    if inside == CLOSED_AROUND or tag in CLOSED:
+        return CLOSED_AROUND
+    names = _names(attributes) if attributes and tag not in ("body", "html") else set()
+    if tag not in MAIN and names & CLOSED_NAMES:
+        return CLOSED_AROUND
+    if tag in MAIN:
+        return IN_MAIN
+    if inside == AROUND_MAIN:
         return AROUND_MAIN
-    if tag not in ("body", "html"):
-        names = {
-            word
-            for found in _NAMES.finditer(attributes)
-            for word in re.split(r"[^a-z]+", next(filter(None, found.groups()), "").lower())
-        }
-        if tag not in MAIN and names & AROUND_NAMES and not (tag == "header" and inside == IN_MAIN):
-            return AROUND_MAIN
-        if tag not in MAIN and "main" in names or tag in ("div", "section") and names & MAIN_NAMES:
-            return IN_MAIN
-    return IN_MAIN if tag in MAIN else inside
+    if (tag in AROUND or names & AROUND_NAMES) and not (tag == "header" and inside == IN_MAIN):
+        return AROUND_MAIN
+    return IN_MAIN if "main" in names or tag in ("div", "section") and names & MAIN_NAMES else inside
+
+
+def _page_forms(page: str) -> set[int]:
+    """Where the forms open that hold parts of a page (a landmark or a heading of first rank): no forms to fill in."""
+    out: set[int] = set()
+    opened: list[int] = []
+    for found in _FORM_PARTS.finditer(page):
+        tag = found[1].lower()
+        if tag == "form":
+            opened.append(found.start())
+        elif tag == "/form":
+            del opened[-1:]
+        else:
+            out.update(opened)
+            opened.clear()
+    return out
 
 
 def blocks(page: str) -> list[Block]:
@@ -106,13 +141,14 @@ def blocks(page: str) -> list[Block]:
     times: dict[str, int] = {}
     place, heading, links = ELSEWHERE, False, 0
     parts: list[tuple[str, bool]] = []
+    page_forms = _page_forms(page)
 
     def close() -> None:
         if parts:
             words = html.unescape("".join(text for text, _ in parts)).split()
             if words:
                 inside = sum(len(html.unescape(text).split()) for text, linked in parts if linked)
-                out.append(Block(place, heading, words, min(inside, len(words))))
+                out.append(Block(min(place, AROUND_MAIN), heading, words, min(inside, len(words))))
             parts.clear()
 
     at, end = 0, len(page)
@@ -170,7 +206,8 @@ def blocks(page: str) -> list[Block]:
             if not ending:
                 open_tags.append((tag, place))
                 times[tag] = times.get(tag, 0) + 1
-                place = _meaning(tag, attributes, place)
+                if opening not in page_forms:
+                    place = _meaning(tag, attributes, place)
             elif times.get(tag):
                 while True:
                     name, place = open_tags.pop()

@@ -340,6 +340,29 @@ def test_what_stands_around_an_article_goes():
         assert isinstance(html_blocks.main_text(broken), str)
 
 
+def test_a_layouts_names_and_a_form_round_the_page_hide_no_article():
+    para = "Words of the article that go on and on until there are quite a lot of them."
+    article = f"<article><h1>Title</h1><p>{para}</p></article>"
+    for opening, ending in (
+        ("<div class='layout has-sidebar'>", "</div>"),
+        ("<div id='page-no-footer'>", "</div>"),
+        ("<div class='with-comments'>", "</div>"),
+        ("<div class='page sidebar'>", "</div>"),
+        ("<form action=/>", "</form>"),
+        ("<form><div><main>", "</main></div></form>"),
+    ):
+        assert html_blocks.main_text(f"<body>{opening}{article}{ending}") == f"Title\n{para}"
+    long = " ".join([para] * 4)
+    form = f"<form><header><a href=/>Home</a></header><div id=content><p>{long}</p><p>{long}</p></div></form>"
+    assert html_blocks.main_text(f"<body>{form}") == f"{long}\n{long}"
+    # Articles that are not the page's stay out.
+    for opening in ("<aside>", "<dialog>", "<div id=comments>", "<div class='post-comments'><div>"):
+        assert html_blocks.main_text(f"<body>{article}{opening}<article><p>{long}</p></article>") == f"Title\n{para}"
+    # What stands in an article's own adverts and menus stays out, too.
+    inner = f"<article><h1>Title</h1><div class='ad-slot'>{long}</div><nav>{long}</nav><p>{para}</p></article>"
+    assert html_blocks.main_text(f"<body><form>{inner}</form>") == f"Title\n{para}"
+
+
 def test_pages_with_nulls(spark):
     pages = spark.createDataFrame([(1, None, None), (None, "u", ""), (1, None, None)], "page_id bigint, url string, html string")
     assert {(r.text, r.n_chars) for r in html_blocks.extract_pages(pages).collect()} == {("", 0)}
