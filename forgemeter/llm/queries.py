@@ -79,7 +79,7 @@ def op7_preference_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = scratch_path(spark, "token-files")
-    wavelet.write_shards(_read(spark, sf_dir, "documents"), out, WORD_VOCABULARY, END_ID)
+    wavelet.write_shards(_read(spark, sf_dir, "documents"), out, WORD_VOCABULARY, END_ID, as_text=False)
     return wavelet.read_documents(spark, out)
 
 

@@ -195,15 +195,20 @@ def open_shard(file: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix
 
 
 class WordEncoder:
-    """A ``tokenizers`` file whose pre-tokenizer drops white space: words are encoded alone and kept."""
+    """A ``tokenizers`` file whose pre-tokenizer drops white space: words are encoded alone and kept.
 
-    def __init__(self, path: str):
+    The string of a special token in a text is that token, as the library has it, or with ``as_text`` ordinary text.
+    """
+
+    def __init__(self, path: str, as_text: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        # Strings of special tokens in a text are ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = as_text
+        # Strings without white space, found before letters are lowered.
+        added = [] if as_text else self.tokenizer.get_added_tokens_decoder().values()
+        self.special = [token.content.encode() for token in added]
         vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
         suffix = self.tokenizer.model.end_of_word_suffix
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -246,6 +251,10 @@ class WordEncoder:
         new = []
         for word in set().union(*words):
             if word not in known:
+                # Capitals make no special token, so a word that lowering would turn into one stays as it is.
+                if any(one in word.lower() for one in self.special):
+                    new.append((word, word, b""))
+                    continue
                 # A run of stops after a letter or digit is cut off anyway, and letters are lowered.
                 core = word.lower().rstrip(b".,")
                 if not core[-1:].isalnum():
@@ -264,18 +273,18 @@ class WordEncoder:
 
 
 @lru_cache(maxsize=2)
-def word_encoder(path: str) -> WordEncoder:
-    return WordEncoder(path)
+def word_encoder(path: str, as_text: bool = True) -> WordEncoder:
+    return WordEncoder(path, as_text)
 
 
 # Operators ------------------------------------------------------------------
 
 
-def _shards(path: str, end_id: int, shard_ids: int):
+def _shards(path: str, end_id: int, shard_ids: int, as_text: bool):
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = word_encoder(path)
+        own = word_encoder(path, as_text)
         shard, start = 0, 0
         names: list[int | None] = []
         held: list[bytes] = []
@@ -312,18 +321,21 @@ def _shards(path: str, end_id: int, shard_ids: int):
     return run
 
 
-def write_shards(docs: DataFrame, out: str, path: str, end_id: int, shard_ids: int = SHARD_IDS) -> None:
+def write_shards(
+    docs: DataFrame, out: str, path: str, end_id: int, shard_ids: int = SHARD_IDS, as_text: bool = True
+) -> None:
     """Encode every document, append ``end_id``, and write the shards to the table ``out``.
 
     Documents are range-partitioned by doc_id (nulls last; equal ids in order of
     a hash of the text) and ordered in each range; a shard ends with the document
-    that fills it. A null text is empty, its ids the end id alone. Repeated rows
+    that fills it. Strings of special tokens are ordinary text unless ``as_text``
+    is false; then they are the library's ids. A null text is empty, its ids the end id alone. Repeated rows
     are repeated; extra columns are ignored; an empty table gives an empty one.
     """
     order = [F.col("doc_id").asc_nulls_last(), text_key().asc()]
     ordered = docs.select("doc_id", "text").repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.select(F.spark_partition_id().alias("part"), F.col("doc_id").cast("bigint"), "text").mapInArrow(
-        _shards(path, end_id, shard_ids), FILE_COLUMNS
+        _shards(path, end_id, shard_ids, as_text), FILE_COLUMNS
     ).write.parquet(out)
 
 

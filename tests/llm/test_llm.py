@@ -235,6 +235,32 @@ def test_token_files_hold_what_the_library_gives(spark, tmp_path):
     assert wavelet.read_documents(spark, str(tmp_path / "none")).collect() == []
 
 
+SPECIAL = [
+    "hello <|endoftext|> world", "<|endoftext|>", "a<|endoftext|>b. <|startoftext|><|endoftext|>, x",
+    "<|ENDOFTEXT|> <|EndOfText|> A<|endoftext|>B", "e<|endoftext|>\u0301 İ<|startoftext|>ǅ", "<|endoftext|", "don't<|endoftext|>'s 12.",
+    "x\x1c<|endoftext|>\x85y\xa0<|startoftext|>z", "<<|endoftext|>> ...<|endoftext|>..",
+]
+
+
+def test_token_files_of_the_query_are_the_unmodified_librarys(spark, tmp_path):
+    library = Tokenizer.from_file(queries.WORD_VOCABULARY)
+    texts = SPECIAL + [row[1] or "" for row in AWKWARD] + ["Word, word. a\x1cb İ ǅ don't é 12"]
+    ids = [library.encode(text, add_special_tokens=False).ids for text in texts]
+    assert 49407 in ids[0]
+    own = wavelet.word_encoder(queries.WORD_VOCABULARY, False)
+    for text, expected in zip(texts, ids, strict=True):
+        assert np.frombuffer(own.encode_batch([text.encode()])[0], "<u4").tolist() == expected
+    own.known.clear(), own.parts.clear()
+    own.parts[b""] = b""
+    together = own.encode_batch([text.encode() for text in texts])
+    assert [np.frombuffer(one, "<u4").tolist() for one in together] == ids
+    table(spark, list(enumerate(texts))).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.QUERIES["op8_token_files"](spark, str(tmp_path)).orderBy("doc_id").collect()
+    ended = [[*one, queries.END_ID] for one in ids]
+    assert [r.ids_crc32 for r in got] == [zlib.crc32(np.array(one, "<u4").tobytes()) for one in ended]
+    assert [r.start for r in got] == [0, *np.cumsum([len(one) for one in ended])[:-1].tolist()]
+
+
 # Quality --------------------------------------------------------------------
 
 
