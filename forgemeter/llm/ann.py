@@ -290,14 +290,19 @@ def _best(k: int):
     def run(asked: pa.Table, posted: pa.Table) -> pa.Table:
         queries, least, scores = [np.empty(0, np.int64)], [np.empty(0, np.int64)], [np.empty(0)]
         if asked.num_rows and posted.num_rows:
-            wanted, stored = _matrix(asked["vector"]), _matrix(posted["vector"])
+            wanted = _matrix(asked["vector"])
             lists, place = np.unique(posted["list"].to_numpy(), return_inverse=True)
-            ids = posted["least"].to_numpy()
+            # Postings of one vector are one candidate, which any of its lists opens.
+            ids, first, copy = np.unique(posted["least"].to_numpy(), return_index=True, return_inverse=True)
+            stored = _matrix(posted["vector"])[first]
+            order = np.argsort(copy, kind="stable")
+            place, starts = place[order], np.searchsorted(copy[order], np.arange(len(ids)))
             who, chosen = asked["query"].to_numpy(), asked["lists"].to_pylist()
             for at in range(0, len(who), 256):
                 part = wanted[at : at + 256]
                 open_lists = np.array([np.isin(lists, some) for some in chosen[at : at + 256]])
-                near = np.where(open_lists[:, place], part @ stored.T, -np.inf)
+                reached = np.logical_or.reduceat(open_lists[:, place], starts, axis=1)
+                near = np.where(reached, part @ stored.T, -np.inf)
                 # A few more than needed, as sums may differ in their last digits.
                 some = min(near.shape[1], k + 9)
                 top = np.argpartition(-near, some - 1, axis=1)[:, :some]

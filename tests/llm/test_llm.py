@@ -8,6 +8,7 @@ import zlib
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 import xxhash
@@ -510,6 +511,23 @@ def test_recall_holds_where_a_fixed_ratio_loses_neighbours(spark):
     assert len(got) == 150 and hits / (20 * len(got)) >= 0.95
 
 
+def test_copies_in_several_lists_crowd_no_neighbour_out():
+    rng = np.random.default_rng(6)
+    vectors = rng.normal(size=(60, 5))
+    # The first vectors have four postings each; list 9 is closed to the query.
+    postings = [(one, i) for i in range(40) for one in (0, 1, 2, 3)] + [(1, i) for i in range(40, 50)] + [(9, i) for i in range(40, 60)]
+    rng.shuffle(postings)
+    posted = pa.table({"list": [int(a) for a, _ in postings], "least": [int(i) for _, i in postings],
+                       "vector": [vectors[i].tolist() for _, i in postings]})
+    query = rng.normal(size=5)
+    asked = pa.table({"query": [7], "lists": [[0, 1, 2, 3]], "vector": [query.tolist()]})
+    found = ann._best(20)(asked, posted)
+    least = found["least"].to_pylist()
+    assert len(least) == len(set(least)) == 29
+    assert set(least) == set(np.argsort(-vectors[:50] @ query)[:29].tolist())
+    assert found["score"].to_pylist() == pytest.approx([vectors[i] @ query for i in least])
+
+
 def test_few_or_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0]), (1, [0.5, 0.5]), (20, [-1.0, 0.0])], "vec_id bigint, embedding array<float>")
     rows = ann.nearest_neighbours(few, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect()
