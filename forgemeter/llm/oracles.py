@@ -122,8 +122,58 @@ FROM documents d LEFT JOIN (SELECT doc_id, string_agg(line, chr(10) ORDER BY k)
      ON d.doc_id = t.doc_id
 """
 
+# Every phrase of up to five words with its occurrences, then cuts, containment and ranks.
+OP12 = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang,
+           unnest(string_split_regex(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                     '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents WHERE text IS NOT NULL
+), listed AS (
+    SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM pieces
+), starts AS (
+    SELECT lang, words, unnest(range(1, len(words) + 1)) AS i FROM listed
+), spans AS (
+    SELECT lang, words, i, unnest(range(1, 6)) AS size FROM starts
+), counted AS (
+    SELECT lang, array_to_string(words[i:i + size - 1], ' ') AS phrase, any_value(size) AS size, count(*) AS a
+    FROM spans WHERE i + size - 1 <= len(words)
+    GROUP BY lang, array_to_string(words[i:i + size - 1], ' ')
+), totals AS (
+    SELECT lang, sum(a) AS n FROM counted WHERE size = 1 GROUP BY lang
+), frequent AS (
+    SELECT lang, phrase, size, a, string_split(phrase, ' ') AS words FROM counted WHERE a >= 100
+), cuts AS (
+    SELECT lang, phrase, size, a, words, unnest(range(1, size)) AS k FROM frequent WHERE size > 1
+), weighed AS (
+    SELECT c.lang, c.phrase, c.size, c.a, c.k, f.a AS l, s.a AS r, t.n,
+           (1000::HUGEINT * c.a * t.n) // (f.a::HUGEINT * s.a) AS score
+    FROM cuts c
+    JOIN frequent f ON f.lang = c.lang AND f.phrase = array_to_string(c.words[1:c.k], ' ')
+    JOIN frequent s ON s.lang = c.lang AND s.phrase = array_to_string(c.words[c.k + 1:c.size], ' ')
+    JOIN totals t ON t.lang = c.lang
+), lowest AS (
+    SELECT *, row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) AS place FROM weighed
+), candidates AS (
+    SELECT * FROM lowest WHERE place = 1
+), kept AS (
+    SELECT c.* FROM candidates c
+    WHERE NOT EXISTS (
+        SELECT 1 FROM candidates b
+        WHERE b.lang = c.lang AND b.size > c.size AND b.a >= c.a
+              AND contains(' ' || b.phrase || ' ', ' ' || c.phrase || ' ')
+    )
+), ranked AS (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM kept
+)
+SELECT lang, CAST(rank AS BIGINT) AS rank, phrase, CAST(a AS BIGINT) AS a, CAST(l AS BIGINT) AS l,
+       CAST(r AS BIGINT) AS r, CAST(n AS BIGINT) AS n, CAST(score AS BIGINT) AS score
+FROM ranked WHERE rank <= 2000
+"""
+
 ORACLE = {
     "op2_mix_sources": OP2,
     "op6_line_dedup": OP6,
     "op7_preference_chat": OP7,
+    "op12_collocations": OP12,
 }

@@ -6,13 +6,15 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgemeter.llm import ann, bpe, chat, html_blocks, line_crf, line_dedup, mixing, quality_model, simhash, wavelet
+from forgemeter.llm import ann, bpe, chat, collocations, html_blocks, line_crf, line_dedup, mixing, quality_model
+from forgemeter.llm import simhash, token_counts, wavelet, whitening
 from forgemeter.llm.shipping import ship_package
 from forgemeter.session import scratch_path
 
 QUERIES = {}
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+BYTE_VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 WORD_VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 END_ID = 2
 QUERY_STEP = 20
@@ -91,3 +93,18 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest_neighbours(_read(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_STEP == 0)
+
+
+@query
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(_read(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(_read(spark, sf_dir, "documents"))
+
+
+@query
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(_read(spark, sf_dir, "documents"), BYTE_VOCABULARY)

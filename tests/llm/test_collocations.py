@@ -1,0 +1,155 @@
+"""Collocations against plain counting."""
+
+import random
+import re
+from collections import Counter
+
+import duckdb
+import numpy as np
+import pytest
+from helpers import duck_rows, spark_rows
+
+from forgemeter.llm import collocations, oracles, queries
+from forgemeter.llm.shipping import ship_package
+
+SF = "/root/testdata/sf0.001"
+DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+CLASH = DOC + ", chunk string, own string, times string, phrase string, a string, n string, words string, _words string"
+
+
+@pytest.fixture(scope="module", autouse=True)
+def shipped(spark):
+    ship_package(spark)
+
+
+def table(spark, rows, schema=DOC):
+    width = len(schema.split(", "))
+    return spark.createDataFrame([(i, text, lang) + (None,) * (width - 3) for i, (text, lang) in enumerate(rows)], schema)
+
+
+def pieces_of(text):
+    lowered = re.sub("[A-Z]", lambda m: m[0].lower(), text or "")
+    return [re.findall(r"[^\x20\x09]+", piece) for piece in re.split(r"[.,;:!?\x0A-\x0D]", lowered)]
+
+
+def counted(rows):
+    found = {}
+    for text, lang in rows:
+        counts = found.setdefault("und" if lang is None else lang, Counter())
+        for words in pieces_of(text):
+            for size in range(1, 6):
+                counts.update(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+    return found
+
+
+def direct(rows, least, top):
+    out = []
+    for lang, counts in counted(rows).items():
+        n = sum(c for phrase, c in counts.items() if len(phrase) == 1)
+        candidates = {}
+        for phrase, a in counts.items():
+            if len(phrase) > 1 and a >= least:
+                cuts = [(1000 * a * n // (counts[phrase[:k]] * counts[phrase[k:]]), k) for k in range(1, len(phrase))]
+                score, k = min(cuts)
+                candidates[phrase] = (a, counts[phrase[:k]], counts[phrase[k:]], n, score)
+
+        def inside(short, long):
+            return any(long[i : i + len(short)] == short for i in range(len(long) - len(short) + 1))
+
+        kept = [
+            (phrase, row)
+            for phrase, row in candidates.items()
+            if not any(len(b) > len(phrase) and row_b[0] >= row[0] and inside(phrase, b) for b, row_b in candidates.items())
+        ]
+        kept.sort(key=lambda item: (-item[1][4], -item[1][0], " ".join(item[0]).encode()))
+        out += [(lang, rank, " ".join(phrase), *row) for rank, (phrase, row) in enumerate(kept[:top], 1)]
+    return sorted(out)
+
+
+def found(docs, **options):
+    return sorted(tuple(row) for row in collocations.collocations(docs, **options).collect())
+
+
+def invented(seed, n):
+    rng = random.Random(seed)
+    ends = [" "] * 12 + ["  ", "\t", ". ", ", ", "\n", "! \r\n", " ", "; "]
+    rows = []
+    for _ in range(n):
+        words = (rng.choice("the of a in é 漢 House HOUSE x-y 7".split()) for _ in range(rng.randrange(0, 60)))
+        rows.append(("".join(w + rng.choice(ends) for w in words), rng.choice(["en", "de", None, ""])))
+    return rows
+
+
+@pytest.mark.parametrize("trigger, longest", [(1, 5), (2, 7), (16, 256), (10**9, 6), (10**9, 10**6)])
+def test_phrases_scores_and_ranks(spark, trigger, longest):
+    rows = invented(1, 150) + [("a a a a a a a a of of of of of of of of of of", "en"), (None, "en"), ("", None)]
+    docs = table(spark, rows)
+    for least, top in ((3, 2_000), (8, 10)):
+        assert found(docs, least=least, top=top, trigger=trigger, longest=longest) == direct(rows, least, top)
+
+
+@pytest.mark.parametrize("trigger, longest", [(1, 5), (3, 9), (10**9, 5), (16, 256)])
+def test_chunks_hold_every_phrase_once(trigger, longest):
+    texts = [text or "" for text, _ in invented(2, 60)] + ["w " * 3_000, "", "one"]
+    expected, got = Counter(), Counter()
+    for text in texts:
+        for words in pieces_of(text):
+            for size in range(1, 6):
+                expected.update(tuple(words[i : i + size]) for i in range(len(words) - size + 1))
+    for _, own, body in collocations.chunks_of([t.encode() for t in texts], trigger, longest):
+        words = body.decode().split(" ")
+        assert own <= longest and own <= len(words) <= own + 4
+        for i in range(own):
+            got.update(tuple(words[i : i + size]) for size in range(1, 6) if i + size <= len(words))
+    assert got == expected
+
+
+def test_equal_passages_give_equal_chunks():
+    rng = random.Random(5)
+    passage = " ".join(f"w{rng.randrange(5_000)}" for _ in range(400))
+    alone, within = (
+        {body for _, _, body in collocations.chunks_of([text.encode()])} for text in (passage, f"x y z {passage} q r")
+    )
+    assert len(alone & within) >= len(alone) - 3 > 10
+
+
+def test_awkward_rows(spark):
+    rows = [(None, None), ("", "en"), (" \t\n.,", "en"), ("one", None), ("x" * 100_000 + " y", "en"), ("a b " * 20_000, None)]
+    rows += rows
+    expected = direct(rows, 50, 5)
+    assert expected and found(table(spark, rows), least=50, top=5) == expected
+    assert found(table(spark, rows, CLASH), least=50, top=5) == expected
+    assert found(table(spark, []), least=1, top=5) == []
+    assert found(table(spark, [("a b", "en")]), least=100) == []
+
+
+def test_a_full_bitmap_lets_all_through(spark):
+    rows = invented(3, 80)
+    docs = table(spark, rows)
+    chunks = collocations.dictionary(docs)
+    singles = collocations.phrase_counts(chunks, 1, 4)
+    pairs = [
+        sorted(map(tuple, collocations.phrase_counts(chunks, 2, 4, collocations.bitmap_of(singles, bits)).collect()))
+        for bits in (collocations.BITMAP_BITS, 1 << 20)
+    ]
+    full = collocations.Bitmap(1 << 18, {page: b"\xff" * 4_096 for page in range(8)})
+    assert pairs[0] == pairs[1] == sorted(map(tuple, collocations.phrase_counts(chunks, 2, 4, full).collect()))
+    assert not collocations.Bitmap(1 << 18, {}).holds(np.arange(9, dtype=np.uint64)).any()
+
+
+def test_arithmetic_beyond_64_bits(spark):
+    big = 9 * 10**15
+    phrases = spark.createDataFrame(
+        [("en", "a", 1, big), ("en", "b", 1, big - 7), ("en", "a b", 2, big - 9)],
+        "lang string, phrase string, words int, a bigint",
+    )
+    totals = spark.createDataFrame([("en", 10**17 + 3)], "lang string, n bigint")
+    row = collocations.scored(phrases, totals).first()
+    assert row.score == 1000 * (big - 9) * (10**17 + 3) // (big * (big - 7))
+
+
+def test_the_query_equals_its_sql(spark):
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    got = spark_rows(queries.QUERIES["op12_collocations"](spark, SF))
+    assert got and got == duck_rows(con.execute(oracles.ORACLE["op12_collocations"]))
