@@ -11,11 +11,12 @@ occurrences are the dictionary and its parse frequencies.
 Counting. Phrases are counted inside the distinct chunks, times the chunk's
 frequency; a phrase belongs to the chunk whose own words (``own``, those before
 the overlap) hold its first word, so overlaps count once. Counts go up by
-length: a phrase can only occur ``least`` times if both phrases that are a word
-shorter do, so those that do are put into a bitmap of hashes, and only phrases
-both of whose parts are in it leave a task. The bitmap grows with the number of
-frequent phrases up to ``MOST_BITS``; being too full makes it let more through,
-never less, and what comes through is counted exactly.
+length, one pass for words, one for pairs, one for all longer phrases: a phrase
+can only occur ``least`` times if all shorter ones in it do, so those that do
+are put into a bitmap of hashes, and only phrases all of whose parts are in it
+leave a task. The bitmap grows with the number of frequent phrases up to
+``MOST_BITS``; being too full makes it let more through, never less, and what
+comes through is counted exactly.
 
 Scores, cuts and the containment rule are joins and groupings over the frequent
 phrases; no phrase table is broadcast or collected.
@@ -28,7 +29,6 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +38,8 @@ from forgemeter.session import settle
 
 LONGEST = 5
 LEAST = 100
+# The lengths counted in one pass over the dictionary.
+PASSES = ((1,), (2,), (3, 4, 5))
 TOP = 2_000
 UNKNOWN = "und"
 
@@ -61,6 +63,7 @@ _KIND = np.zeros(256, np.uint8)
 _KIND[list(WORD_ENDS)] = 1
 _KIND[list(PIECE_ENDS)] = 2
 _MIX = np.uint64(0x9E3779B97F4A7C15)
+_PRIME = np.uint64(0x100000001B3)
 
 
 # Parsing --------------------------------------------------------------------
@@ -179,25 +182,43 @@ def bit_of(hashes: np.ndarray, bits: int) -> np.ndarray:
     return (_mixed(hashes) % np.uint64(bits)).astype(np.int64)
 
 
-def _word_hash(lang: str, word: str) -> int:
-    return xxhash.xxh64_intdigest(word, seed=xxhash.xxh32_intdigest(lang))
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """A number per word from all its bytes."""
+    data = words.cast(pa.binary()).combine_chunks() if isinstance(words, pa.ChunkedArray) else words.cast(pa.binary())
+    offsets = np.frombuffer(data.buffers()[1], np.int32)[data.offset : data.offset + len(data) + 1].astype(np.int64)
+    content = data.buffers()[2]
+    values = np.frombuffer(content, np.uint8)[offsets[0] : offsets[-1]] if content else np.zeros(0, np.uint8)
+    starts, lengths = offsets[:-1] - offsets[0], np.diff(offsets)
+    powers = np.cumprod(np.full(int(lengths.max(initial=0)), _PRIME), dtype=np.uint64)
+    terms = (values + np.uint64(1)) * powers[np.arange(len(values)) - np.repeat(starts, lengths)]
+    sums = np.zeros(len(data), np.uint64)
+    some = lengths > 0
+    if some.any():
+        sums[some] = np.add.reduceat(terms, starts[some])
+    return _mixed(sums)
 
 
 def _with_word(prefix: np.ndarray, word: np.ndarray) -> np.ndarray:
     """The hash of a phrase from that of all its words but the last, and the last one's."""
-    return prefix * np.uint64(0x100000001B3) + word
+    return prefix * _PRIME + word
+
+
+def _in_language(words: np.ndarray, lang: np.ndarray) -> np.ndarray:
+    return words ^ (lang * _MIX)
 
 
 def _bits(bits: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hashes = []
-            for lang, phrase in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                value = 0
-                for word in phrase.split(" "):
-                    value = (value * 0x100000001B3 + _word_hash(lang, word)) % 2**64
-                hashes.append(value)
-            bit = bit_of(np.array(hashes, np.uint64), bits)
+            lists = pc.split_pattern(batch.column(1), " ")
+            sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
+            own = _in_language(word_hashes(lists.flatten()), np.repeat(word_hashes(batch.column(0)), sizes))
+            first = np.cumsum(sizes) - sizes
+            hashes = own[first]
+            for i in range(1, int(sizes.max(initial=1))):
+                more = sizes > i
+                hashes[more] = _with_word(hashes[more], own[first[more] + i])
+            bit = bit_of(hashes, bits)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(bit // BITMAP_BITS), pa.array(bit % BITMAP_BITS)], names=["page", "bit"]
             )
@@ -222,97 +243,90 @@ def bitmap_of(phrases: DataFrame, bits: int | None = None) -> Bitmap:
 # Counting -------------------------------------------------------------------
 
 
-def _count_portion(
-    langs: pa.Array, own: np.ndarray, chunks: pa.Array, times: np.ndarray, length: int, bitmap: Bitmap | None
-) -> pa.RecordBatch:
-    """Phrases of ``length`` words in these chunks whose shorter parts may be frequent, with their occurrences."""
-    lists = pc.split_pattern(chunks, " ")
+def _count_portion(rows: pa.Table, lengths: tuple[int, ...], bitmap: Bitmap | None) -> Iterator[pa.RecordBatch]:
+    """Phrases of these lengths in the chunks all of whose shorter parts may be frequent, with their occurrences.
+
+    The bitmap, if any, is over the phrases a word shorter than the shortest.
+    """
+    own, times = rows["own"].to_numpy(), rows["times"].to_numpy()
+    lists = pc.split_pattern(rows["chunk"].combine_chunks(), " ")
     sizes = pc.list_value_length(lists).to_numpy(zero_copy_only=False).astype(np.int64)
     encoded = lists.flatten().dictionary_encode()
-    word = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    lang_codes = langs.dictionary_encode()
+    word = encoded.indices.to_numpy(zero_copy_only=False)
+    langs = rows["lang"].combine_chunks().dictionary_encode()
     chunk = np.repeat(np.arange(len(sizes)), sizes)
     place = np.arange(len(word)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    lang = lang_codes.indices.to_numpy(zero_copy_only=False)[chunk]
+    lang = langs.indices.to_numpy(zero_copy_only=False)[chunk]
     left = sizes[chunk] - place
-    take = (place < own[chunk]) & (left >= length)
+    take = place < own[chunk]
     if bitmap is not None:
-        # A hash per (language, word); languages of one portion are few.
-        names, spellings = lang_codes.dictionary.to_pylist(), encoded.dictionary.to_pylist()
-        pair, back = np.unique(lang * np.int64(len(spellings)) + word, return_inverse=True)
-        known = [_word_hash(names[p // len(spellings)], spellings[p % len(spellings)]) for p in pair.tolist()]
-        own_hash = np.array(known, np.uint64)[back]
-        hashes = own_hash
-        for i in range(1, length - 1):
+        hashes = own_hash = _in_language(word_hashes(encoded.dictionary)[word], word_hashes(langs.dictionary)[lang])
+        for i in range(1, lengths[0] - 1):
             hashes = _with_word(hashes, np.roll(own_hash, -i))
         frequent = bitmap.holds(hashes)
-        take &= frequent & np.roll(frequent, -1)
-    at = np.flatnonzero(take)
-    keys = {"lang": lang[at], **{f"w{i}": word[at + i] for i in range(length)}}
-    rows = pa.table({**keys, "times": times[chunk[at]]})
-    counted = rows.group_by(list(keys), use_threads=False).aggregate([("times", "sum")])
-    spelled = [encoded.dictionary.take(counted[f"w{i}"].combine_chunks()) for i in range(length)]
-    phrase = pc.binary_join_element_wise(*spelled, " ") if length > 1 else spelled[0]
-    return pa.RecordBatch.from_arrays(
-        [
-            lang_codes.dictionary.take(counted["lang"].combine_chunks()),
-            phrase,
-            counted["times_sum"].combine_chunks().cast(pa.int64()),
-        ],
-        names=["lang", "phrase", "times"],
-    )
+        take &= frequent
+    for length in lengths:
+        if bitmap is not None:
+            take &= np.roll(frequent, lengths[0] - 1 - length)
+        at = np.flatnonzero(take & (left >= length))
+        keys = {"lang": lang[at], **{f"w{i}": word[at + i] for i in range(length)}}
+        counted = (
+            pa.table({**keys, "times": times[chunk[at]]})
+            .group_by(list(keys), use_threads=False)
+            .aggregate([("times", "sum")])
+            .combine_chunks()
+        )
+        spelled = [encoded.dictionary.take(counted[f"w{i}"].combine_chunks()) for i in range(length)]
+        yield pa.RecordBatch.from_arrays(
+            [
+                langs.dictionary.take(counted["lang"].combine_chunks()),
+                pc.binary_join_element_wise(*spelled, " ") if length > 1 else spelled[0],
+                pa.array(np.full(counted.num_rows, length, np.int32)),
+                counted["times_sum"].combine_chunks().cast(pa.int64()),
+            ],
+            names=["lang", "phrase", "words", "times"],
+        )
 
 
-def _counter(length: int, shared):
+def _counter(lengths: tuple[int, ...], shared):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bitmap = shared.value if shared else None
         held: list[pa.RecordBatch] = []
         words = 0
-
-        def flush() -> pa.RecordBatch:
-            rows = pa.Table.from_batches(held).combine_chunks()
-            return _count_portion(
-                rows["lang"].combine_chunks(),
-                rows["own"].to_numpy(),
-                rows["chunk"].combine_chunks(),
-                rows["times"].to_numpy(),
-                length,
-                bitmap,
-            )
-
         for batch in batches:
             held.append(batch)
-            words += sum(batch.column("own").to_pylist())
+            words += int(batch.column(1).to_numpy().sum())
             if words >= WORDS_AT_ONCE:
-                yield flush()
+                yield from _count_portion(pa.Table.from_batches(held), lengths, bitmap)
                 held, words = [], 0
         if held:
-            yield flush()
+            yield from _count_portion(pa.Table.from_batches(held), lengths, bitmap)
 
     return run
 
 
-def phrase_counts(chunks: DataFrame, length: int, least: int = LEAST, shorter: Bitmap | None = None) -> DataFrame:
-    """lang, phrase, a: the phrases of ``length`` words with at least ``least`` occurrences.
+def phrase_counts(
+    chunks: DataFrame, lengths: tuple[int, ...], least: int = LEAST, shorter: Bitmap | None = None
+) -> DataFrame:
+    """lang, phrase, words, a: the phrases of these lengths, consecutive ones, with at least ``least`` occurrences.
 
-    ``shorter`` holds all phrases a word shorter that have as many.
+    ``shorter`` holds all phrases a word shorter than the shortest that have as many.
     """
     shared = chunks.sparkSession.sparkContext.broadcast(shorter) if shorter else None
     parts = chunks.select("lang", "own", "chunk", "times").mapInArrow(
-        _counter(length, shared), "lang string, phrase string, times bigint"
+        _counter(lengths, shared), "lang string, phrase string, words int, times bigint"
     )
-    return parts.groupBy("lang", "phrase").agg(F.sum("times").alias("a")).filter(F.col("a") >= least)
+    return parts.groupBy("lang", "phrase", "words").agg(F.sum("times").alias("a")).filter(F.col("a") >= least)
 
 
 def frequent_phrases(chunks: DataFrame, least: int = LEAST) -> DataFrame:
-    """lang, phrase, words, a for all lengths up to ``LONGEST``; each length is written before the next. Runs jobs."""
+    """lang, phrase, words, a for all lengths up to ``LONGEST``; each pass is written before the next. Runs jobs."""
     found, bitmap = None, None
-    for length in range(1, LONGEST + 1):
-        counted = settle(phrase_counts(chunks, length, least, bitmap), f"phrases-{length}")
-        if length < LONGEST:
+    for lengths in PASSES:
+        counted = settle(phrase_counts(chunks, lengths, least, bitmap), f"phrases-{lengths[0]}")
+        if lengths != PASSES[-1]:
             bitmap = bitmap_of(counted)
-        sized = counted.select("lang", "phrase", F.lit(length).alias("words"), "a")
-        found = sized if found is None else found.unionByName(sized)
+        found = counted if found is None else found.unionByName(counted)
     return found
 
 

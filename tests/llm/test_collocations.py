@@ -127,13 +127,13 @@ def test_a_full_bitmap_lets_all_through(spark):
     rows = invented(3, 80)
     docs = table(spark, rows)
     chunks = collocations.dictionary(docs)
-    singles = collocations.phrase_counts(chunks, 1, 4)
+    singles = collocations.phrase_counts(chunks, (1,), 4)
     pairs = [
-        sorted(map(tuple, collocations.phrase_counts(chunks, 2, 4, collocations.bitmap_of(singles, bits)).collect()))
+        sorted(map(tuple, collocations.phrase_counts(chunks, (2,), 4, collocations.bitmap_of(singles, bits)).collect()))
         for bits in (collocations.BITMAP_BITS, 1 << 20)
     ]
     full = collocations.Bitmap(1 << 18, {page: b"\xff" * 4_096 for page in range(8)})
-    assert pairs[0] == pairs[1] == sorted(map(tuple, collocations.phrase_counts(chunks, 2, 4, full).collect()))
+    assert pairs[0] == pairs[1] == sorted(map(tuple, collocations.phrase_counts(chunks, (2,), 4, full).collect()))
     assert not collocations.Bitmap(1 << 18, {}).holds(np.arange(9, dtype=np.uint64)).any()
 
 
