@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from forgemeter.llm.bpe import in_portions
+from forgemeter.llm.byte_table import LONGEST, WIDTH, ByteTable, keys_of, padded
 from forgemeter.llm.words import text_bytes, text_key
 
 # Fixed value: marks a file of this format.
@@ -41,11 +42,21 @@ HEAD = struct.Struct("<8sIQQ")
 BLOCK = 512
 SHARD_IDS = 1 << 20
 CACHED_WORDS = 250_000
-CACHED_PARTS = 1_000_000
 PARTS_A_LINE = 500
 # Lower-case words of ASCII letters and the Latin letters of two bytes from U+00E0 to U+017F, U+00F7 and U+0130 left out.
 PLAIN = re.compile(rb"(?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf]|\xc4[\x80-\xaf\xb1-\xbf]|\xc5[\x80-\xbf])+")
 
+
+def _marked(characters: bytes) -> np.ndarray:
+    marks = np.zeros(256, bool)
+    marks[list(characters)] = True
+    return marks
+
+
+IS_SPACE = _marked(bytes(i for i in range(128) if bytes([i]).isspace()))
+IS_STOP = _marked(b".,")
+IS_ALNUM = _marked(bytes(i for i in range(128) if bytes([i]).isalnum()))
+
 FILE_COLUMNS = "part int, shard int, start bigint, ids bigint, docs bigint, file binary"
 DOC_COLUMNS = "part int, start bigint, doc_id bigint, n_tokens bigint, ids_crc32 bigint"
 
@@ -194,10 +205,57 @@ def open_shard(file: bytes) -> tuple[list[int | None], np.ndarray, WaveletMatrix
 # Word-end BPE ---------------------------------------------------------------
 
 
+class IdStore:
+    """Short strings and the ids of each, found many at a time."""
+
+    def __init__(self, room: int):
+        self.table = ByteTable(room)
+        self.keys = np.zeros((room, WIDTH), np.uint64)
+        self.stops = np.zeros(room + 1, np.int64)
+        self.ids = np.zeros(4 * room, np.uint32)
+
+    @property
+    def size(self) -> int:
+        return self.table.size
+
+    def add(self, keys: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> None:
+        """Put in new strings; everything doubles when full."""
+        old, new = self.size, self.size + len(keys)
+        if new > len(self.keys):
+            self.keys = np.concatenate([self.keys, np.zeros((max(new, old), WIDTH), np.uint64)])
+            self.stops = np.concatenate([self.stops, np.zeros(max(new, old), np.int64)])
+        self.keys[old:new] = keys
+        self.stops[old + 1 : new + 1] = self.stops[old] + np.cumsum(counts)
+        used = int(self.stops[new])
+        if used > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(used, len(self.ids)), np.uint32)])
+        self.ids[used - len(ids) : used] = ids
+        if new > self.table.room:
+            self.table = ByteTable(2 * new)
+            self.table.add(self.keys[:new], np.arange(new, dtype=np.int32))
+        else:
+            self.table.add(keys, np.arange(old, new, dtype=np.int32))
+
+    def of(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids of the entries, and the ids one entry after the other."""
+        starts = self.stops[entries]
+        counts = self.stops[entries + 1] - starts
+        return counts, self.ids[_runs(starts, counts)]
+
+
+def _runs(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """The numbers start, start + 1, ... of every run, one run after the other."""
+    return np.repeat(starts - np.cumsum(counts) + counts, counts) + np.arange(int(counts.sum()))
+
+
 class WordEncoder:
     """A ``tokenizers`` file whose pre-tokenizer drops white space: words are encoded alone and kept.
 
     The string of a special token in a text is that token, as the library has it, or with ``as_text`` ordinary text.
+
+    The words of a portion are cut, lowered and looked up as arrays; the library
+    sees those that are new to the worker. Of two halves of what it knows, the
+    older goes when the younger holds ``CACHED_WORDS``, so words met lately stay.
     """
 
     def __init__(self, path: str, as_text: bool = True):
@@ -213,63 +271,111 @@ class WordEncoder:
         suffix = self.tokenizer.model.end_of_word_suffix
         self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends_word[[number for token, number in vocabulary.items() if token.endswith(suffix)]] = True
-        self.known: dict[bytes, bytes] = {}
-        self.parts: dict[bytes, bytes] = {b"": b""}
+        self.young, self.old = IdStore(CACHED_WORDS), IdStore(1)
 
-    def _learn(self, parts: list[bytes]) -> None:
-        """Encode unseen parts, many in one line."""
+    def _encoded(self, parts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of ids and ids of different parts, as the library encodes each alone; many in one line."""
         # Letters of one script are one word to the pre-tokenizer, and only its last id ends a word.
         plain, other = [], []
-        for part in parts:
-            (plain if PLAIN.fullmatch(part) else other).append(part)
-        for line, text in self._lines(plain):
-            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
-            self._keep(line, ids, np.flatnonzero(self.ends_word[ids]) + 1)
+        for number, part in enumerate(parts):
+            (plain if PLAIN.fullmatch(part) else other).append(number)
+        counts = np.zeros(len(parts), np.int64)
+        ids: list[np.ndarray] = []
+        for line, text in self._lines(parts, plain):
+            own = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            counts[line] = np.diff(np.flatnonzero(self.ends_word[own]) + 1, prepend=0)
+            ids.append(own)
         # For the others offsets tell whose an id is.
-        for line, text in self._lines(other):
+        for line, text in self._lines(parts, other):
             one = self.tokenizer.encode_batch([text], add_special_tokens=False)[0]
-            ends = np.cumsum([len(part.decode()) + 1 for part in line])
+            ends = np.cumsum([len(parts[number].decode()) + 1 for number in line])
             owner = np.searchsorted(ends, [start for start, _ in one.offsets], side="right")
-            self._keep(line, np.array(one.ids, "<u4"), np.cumsum(np.bincount(owner, minlength=len(line))))
+            counts[line] = np.bincount(owner, minlength=len(line))
+            ids.append(np.array(one.ids, np.uint32))
+        order = np.array(plain + other, np.int64)
+        starts = np.zeros(len(parts), np.int64)
+        starts[order] = np.cumsum(counts[order]) - counts[order]
+        flat = np.concatenate(ids) if ids else np.zeros(0, np.uint32)
+        return counts, flat[_runs(starts, counts)]
 
     @staticmethod
-    def _lines(parts: list[bytes]):
-        for at in range(0, len(parts), PARTS_A_LINE):
-            line = parts[at : at + PARTS_A_LINE]
-            yield line, b" ".join(line).decode()
-
-    def _keep(self, parts: list[bytes], ids: np.ndarray, stops: np.ndarray) -> None:
-        data, start = ids.astype("<u4").tobytes(), 0
-        for part, stop in zip(parts, (4 * stops).tolist(), strict=True):
-            self.parts[part] = data[start:stop]
-            start = stop
+    def _lines(parts: list[bytes], which: list[int]):
+        for at in range(0, len(which), PARTS_A_LINE):
+            line = which[at : at + PARTS_A_LINE]
+            yield line, b" ".join([parts[number] for number in line]).decode()
+
+    def _entries(self, keys: np.ndarray, slices) -> np.ndarray:
+        """Entries in the young half of the strings with these keys; those not there are brought in."""
+        found = self.young.table.find(keys)
+        missed = np.flatnonzero(found < 0)
+        if len(missed):
+            before = self.old.table.find(keys[missed])
+            again = np.unique(before[before >= 0])
+            if len(again):
+                self.young.add(self.old.keys[again], *self.old.of(again))
+            unseen = missed[before < 0]
+            first = dict(zip(slices(unseen), unseen.tolist(), strict=True))
+            if first:
+                self.young.add(keys[list(first.values())], *self._encoded(list(first)))
+            found[missed] = self.young.table.find(keys[missed])
+        return found
 
     def encode_batch(self, texts: list[bytes]) -> list[bytes]:
         """Ids of each text as little-endian 32-bit numbers."""
-        known, parts = self.known, self.parts
-        words = [text.split() for text in texts]
-        new = []
-        for word in set().union(*words):
-            if word not in known:
-                # Capitals make no special token, so a word that lowering would turn into one stays as it is.
-                if any(one in word.lower() for one in self.special):
-                    new.append((word, word, b""))
-                    continue
-                # A run of stops after a letter or digit is cut off anyway, and letters are lowered.
-                core = word.lower().rstrip(b".,")
-                if not core[-1:].isalnum():
-                    core = word.lower()
-                new.append((word, core, word[len(core) :]))
-        self._learn(list({part for _, *both in new for part in both if part not in parts}))
-        for word, core, tail in new:
-            known[word] = parts[core] + parts[tail]
-        out = [b"".join([known[word] for word in of_text]) for of_text in words]
-        if len(known) > CACHED_WORDS:
-            known.clear()
-        if len(parts) > CACHED_PARTS:
-            parts.clear()
-            parts[b""] = b""
-        return out
+        if self.young.size > CACHED_WORDS:
+            self.young, self.old = IdStore(CACHED_WORDS), self.young
+        data = b" ".join(texts) + b" "
+        lowered = data.lower()
+        buffer = padded(lowered)
+        inside = np.concatenate([[False], ~IS_SPACE[buffer[: len(data)]]])
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, stops = edges[::2], edges[1::2]
+        # Capitals make no special token, so a word that lowering would turn into one stays as it is.
+        whole = np.zeros(len(starts), bool)
+        for special in self.special:
+            at = lowered.find(special)
+            while at >= 0:
+                whole[np.searchsorted(starts, at, side="right") - 1] = True
+                at = lowered.find(special, at + 1)
+        # A run of stops after a letter or digit is cut off anyway.
+        cores = stops.copy()
+        cutting = np.flatnonzero(~whole & IS_STOP[buffer[stops - 1]])
+        while len(cutting):
+            cores[cutting] -= 1
+            cutting = cutting[(cores[cutting] > starts[cutting]) & IS_STOP[buffer[cores[cutting] - 1]]]
+        cut = (cores > starts) & (cores < stops) & IS_ALNUM[buffer[cores - 1]]
+        at = np.concatenate([starts, cores[cut]])
+        end = np.concatenate([np.where(cut, cores, stops), stops[cut]])
+        order = np.argsort(at, kind="stable")
+        at, end, whole = at[order], end[order], np.concatenate([whole, np.zeros(int(cut.sum()), bool)])[order]
+
+        apart = whole | (end - at > LONGEST)
+        short, rest = np.flatnonzero(~apart), np.flatnonzero(apart)
+
+        def slices(which: np.ndarray) -> list[bytes]:
+            own = short[which]
+            return [lowered[a:b] for a, b in zip(at[own].tolist(), end[own].tolist(), strict=True)]
+
+        entries = self._entries(keys_of(buffer, at[short], end[short] - at[short]), slices)
+        starts_of, counts = np.zeros(len(at), np.int64), np.zeros(len(at), np.int64)
+        pool = self.young.ids
+        starts_of[short] = self.young.stops[entries]
+        counts[short] = self.young.stops[entries + 1] - starts_of[short]
+        if len(rest):
+            # Long words, and words with special tokens, are encoded anew in each portion.
+            words = [(data if w else lowered)[a:b] for w, a, b in zip(whole[rest], at[rest], end[rest], strict=True)]
+            number = {word: i for i, word in enumerate(dict.fromkeys(words))}
+            each, ids = self._encoded(list(number))
+            which = np.array([number[word] for word in words])
+            used = int(self.young.stops[self.young.size])
+            pool = np.concatenate([pool[:used], ids])
+            starts_of[rest] = used + (np.cumsum(each) - each)[which]
+            counts[rest] = each[which]
+        flat = pool[_runs(starts_of, counts)].astype("<u4").tobytes()
+        # How many ids come before the end of each text.
+        ends = np.cumsum([len(text) + 1 for text in texts])
+        upto = np.concatenate([[0], np.cumsum(counts)])[np.searchsorted(at, ends)].tolist()
+        return [flat[4 * a : 4 * b] for a, b in zip([0, *upto[:-1]], upto, strict=True)]
 
 
 @lru_cache(maxsize=2)

@@ -251,8 +251,7 @@ def test_token_files_of_the_query_are_the_unmodified_librarys(spark, tmp_path):
     own = wavelet.word_encoder(queries.WORD_VOCABULARY, False)
     for text, expected in zip(texts, ids, strict=True):
         assert np.frombuffer(own.encode_batch([text.encode()])[0], "<u4").tolist() == expected
-    own.known.clear(), own.parts.clear()
-    own.parts[b""] = b""
+    own = wavelet.WordEncoder(queries.WORD_VOCABULARY, False)
     together = own.encode_batch([text.encode() for text in texts])
     assert [np.frombuffer(one, "<u4").tolist() for one in together] == ids
     table(spark, list(enumerate(texts))).repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
@@ -262,6 +261,22 @@ def test_token_files_of_the_query_are_the_unmodified_librarys(spark, tmp_path):
     assert [r.start for r in got] == [0, *np.cumsum([len(one) for one in ended])[:-1].tolist()]
 
 
+@pytest.mark.parametrize("as_text", [True, False])
+def test_words_come_and_go_in_the_encoders_memory(monkeypatch, as_text):
+    monkeypatch.setattr(wavelet, "CACHED_WORDS", 60)
+    parts = ["'", "s", "word", "House", "a.", " ", "  ", "\n", "\r\n", ".", ",", "..", ",.", "é", "É", "漢", "1", "-", "Σ", "ς", "İ"]
+    parts += ["<|endoftext|>", "<|ENDOFTEXT|>", "\0", "\x1c", "\x85", "x" * 30, "Don't", "\u0301", *"abcdefgh"]
+    rng = np.random.default_rng(6)
+    texts = ["".join(rng.choice(parts, rng.integers(0, 30))) for _ in range(1_500)] + ["", ". . ,"]
+    library = Tokenizer.from_file(queries.WORD_VOCABULARY)
+    library.encode_special_tokens = as_text
+    expected = [one.ids for one in library.encode_batch(texts, add_special_tokens=False)]
+    own = wavelet.WordEncoder(queries.WORD_VOCABULARY, as_text)
+    got = [ids for at in range(0, len(texts), 13) for ids in own.encode_batch([t.encode() for t in texts[at : at + 13]])]
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == expected
+    assert own.old.size > 0 and own.young.size < 1_000
+
+
 # Quality --------------------------------------------------------------------
 
 
