@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -54,6 +56,31 @@ def rejected(checked: DataFrame) -> DataFrame:
     return checked.filter(F.col("violation").isNotNull())
 
 
+def _same(a: DataFrame, b: DataFrame, names: Sequence[str]) -> Column:
+    """Equal in these columns, NULLs too."""
+    condition = F.lit(True)
+    for name in names:
+        condition = condition & a[name].eqNullSafe(b[f"_bad_{name}"])
+    return condition
+
+
+def bad_units(checked: DataFrame, unit: Sequence[str]) -> DataFrame:
+    """The units (a user, a repository) with at least one violation: their columns as ``_bad_...``.
+
+    Collapsed before the shuffle, so a unit full of violations is one row a task there.
+    """
+    return rejected(checked).select(*[F.col(c).alias(f"_bad_{c}") for c in unit]).distinct()
+
+
+def without_units(rows: DataFrame, bad: DataFrame, unit: Sequence[str]) -> DataFrame:
+    """The rows of all other units. NULL is a unit of its own; few bad ones are broadcast, by their size."""
+    return rows.join(bad, _same(rows, bad, unit), "left_anti")
+
+
+def only_units(rows: DataFrame, bad: DataFrame, unit: Sequence[str]) -> DataFrame:
+    return rows.join(bad, _same(rows, bad, unit), "left_semi")
+
+
 def duplicated_keys(batch: DataFrame, spec: TableSpec) -> DataFrame:
     """The table's key columns and ``occurrences`` for every key that repeats; keys with a NULL are no keys.
 

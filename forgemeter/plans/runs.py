@@ -32,16 +32,19 @@ from forgemeter.session import (
 from forgemeter.sources.tables import (
     RAW_CONTRIBUTIONS,
     RAW_PULLS,
+    TableSpec,
     contributions_since,
     ensure_table,
     read_table,
 )
 
 
-# Failed answers, in a folder of the raw table that readers skip.
+# Failed answers and refused rows, in folders of the raw table that readers skip.
 QUARANTINE = "_quarantine"
+REFUSED = "_refused"
 QUARANTINED = "username string, range_seq bigint, http_status int, status string, body string"
 QUARANTINED_PAGES = "repo_name string, seq bigint, status string, body string"
+REFUSED_ROWS = "unit string, fetch bigint, arrival bigint, violation string, given string"
 
 # A run writes its tables into a folder of its own, named by time; this file in
 # it says that all of them are complete.
@@ -53,15 +56,20 @@ class FetchFailed(RuntimeError):
     """Answers that could not be loaded; all others were."""
 
 
+class RowsRefused(RuntimeError):
+    """Rows that break the table's declaration; all other users or repositories were loaded."""
+
+
 # Loading --------------------------------------------------------------------
 
 
 def load_pulls(pages: DataFrame, raw_path: str, strict: bool = True) -> None:
-    """Parse landed pages and load their reviews; one invalid review fails the whole load.
+    """Parse landed pages and load their reviews, each repository's of a fetch all or none.
 
-    Answers that are no page are kept in the raw table's quarantine (see
-    ``quarantined_pages``). With ``strict`` they are reported as an error once
-    all other pages are loaded.
+    A repository with an invalid review is left as it is and its reviews are kept
+    aside (see ``refused``); answers that are no page are kept in the raw table's
+    quarantine (see ``quarantined_pages``). Nobody else is held up. With
+    ``strict`` either is reported as an error once all the rest is loaded.
     """
     spark = pages.sparkSession
     ensure_table(spark, RAW_PULLS, raw_path)
@@ -71,13 +79,43 @@ def load_pulls(pages: DataFrame, raw_path: str, strict: bool = True) -> None:
         text = F.when(F.col("status") != "ok", F.col("body"))
         triaged = settle(ingest.triage_pages(pages).withColumn("body", text), "pages")
         failed = _set_aside(triaged, QUARANTINED_PAGES, raw_path)
-        checked = enforce.check_batch(ingest.flatten_pages(triaged), RAW_PULLS)
-        valid = enforce.require_valid(checked).withColumn("arrival", F.struct("fetch", "arrival"))
-        upsert_into(valid, RAW_PULLS, raw_path, "arrival")
+        good, trouble = _whole_units(ingest.flatten_pages(triaged), RAW_PULLS, "repo_name", raw_path)
+        upsert_into(good.withColumn("arrival", F.struct("fetch", "arrival")), RAW_PULLS, raw_path, "arrival")
+    if strict and trouble:
+        raise RowsRefused(f"{trouble}: see {raw_path}/{REFUSED}")
     if strict and failed:
         raise FetchFailed(f"{failed} answers are not a page of reviews: see {raw_path}/{QUARANTINE}")
 
 
+def _whole_units(rows: DataFrame, spec: TableSpec, name: str, raw_path: str) -> tuple[DataFrame, str]:
+    """Checked rows of the units without a violation, and what to report of the others.
+
+    A unit is a user or a repository within one fetch: as one load after the
+    other would, a good fetch is loaded though another one of the same unit is
+    refused. All rows of a refused unit are kept aside as they came.
+    """
+    spark, unit = rows.sparkSession, [name, "fetch"]
+    parsed = settle(rows, "parsed")
+    checked = enforce.check_batch(parsed, spec)
+    bad = settle(enforce.bad_units(checked, unit), "bad-units")
+    units = bad.count()
+    if not units:
+        return enforce.accepted(checked), ""
+    given = F.to_json(F.struct(*spec.column_names))
+    asides = enforce.only_units(
+        enforce.check_batch(parsed.withColumn("given", given), spec).withColumn("unit", F.col(name)), bad, unit
+    ).select("unit", "fetch", "arrival", "violation", "given")
+    asides.write.mode("append").parquet(f"{raw_path}/{REFUSED}")
+    first = enforce.rejected(checked).agg(F.min("violation")).first()[0]
+    good = enforce.without_units(checked, bad, unit).drop("violation")
+    return good, f"rows of {units} {name} batches were refused, such as {first}"
+
+
+def refused(spark: SparkSession, raw_path: str) -> DataFrame:
+    """All rows of refused users or repositories met so far, as JSON of what came; ``violation`` where a row has one."""
+    return _aside(spark, raw_path, REFUSED_ROWS, REFUSED)
+
+
 def _set_aside(triaged: DataFrame, schema: str, raw_path: str) -> int:
     """Keep the failed answers in the quarantine; returns how many there are."""
     bad = triaged.filter("status <> 'ok'")
@@ -89,11 +127,12 @@ def _set_aside(triaged: DataFrame, schema: str, raw_path: str) -> int:
 
 
 def load_calendars(calendars: DataFrame, raw_path: str, restate: bool = False, strict: bool = True) -> None:
-    """Triage landed calendars and load the days that are new.
+    """Triage landed calendars and load the days that are new, each user's of a fetch all or none.
 
     Failed answers are kept with their status in the raw table's quarantine (see
-    ``quarantined``). With ``strict`` a user all of whose ranges failed is
-    reported as an error once everybody else's days are loaded. Days stored
+    ``quarantined``), days of a user with an invalid one beside it (see
+    ``refused``). With ``strict`` such a user, or one all of whose ranges failed,
+    is reported as an error once everybody else's days are loaded. Days stored
     already are left as they are unless ``restate`` is set.
     """
     spark = calendars.sparkSession
@@ -104,7 +143,9 @@ def load_calendars(calendars: DataFrame, raw_path: str, restate: bool = False, s
         # the JSON is parsed once.
         triaged = settle(ingest.triage_calendars(calendars), "answers")
         failed = ingest.failed_users(triaged).count() if _set_aside(triaged, QUARANTINED, raw_path) else 0
-        _load_days(spark, triaged.drop("body"), raw_path, restate)
+        trouble = _load_days(spark, triaged.drop("body"), raw_path, restate)
+    if strict and trouble:
+        raise RowsRefused(f"{trouble}: see {raw_path}/{REFUSED}")
     if strict and failed:
         raise FetchFailed(f"every range failed for {failed} users: see {raw_path}/{QUARANTINE}")
 
@@ -119,26 +160,27 @@ def quarantined_pages(spark: SparkSession, raw_path: str) -> DataFrame:
     return _aside(spark, raw_path, QUARANTINED_PAGES)
 
 
-def _aside(spark: SparkSession, raw_path: str, schema: str) -> DataFrame:
-    place = f"{raw_path}/{QUARANTINE}"
+def _aside(spark: SparkSession, raw_path: str, schema: str, folder: str = QUARANTINE) -> DataFrame:
+    place = f"{raw_path}/{folder}"
     if not path_exists(spark, place):
         return spark.createDataFrame([], schema)
     return spark.read.schema(schema).parquet(place).distinct()
 
 
-def _load_days(spark: SparkSession, triaged: DataFrame, raw_path: str, restate: bool) -> None:
+def _load_days(spark: SparkSession, triaged: DataFrame, raw_path: str, restate: bool) -> str:
+    """Returns what to report of refused users."""
     with scratch_scope(spark):
         parsed = ingest.cast_counts(ingest.flatten_calendars(triaged))
-        valid = enforce.require_valid(enforce.check_batch(parsed, RAW_CONTRIBUTIONS))
+        valid, trouble = _whole_units(parsed, RAW_CONTRIBUTIONS, "username", raw_path)
         files = settled_files(valid, "days")
         sized, _ = sized_session(spark, stored_bytes(spark, files))
         days = sized.read.schema(valid.schema).parquet(files)
         first = days.agg(F.min("date")).first()[0]
-        if first is None:
-            return
-        # Only stored days from the batch's first day on can be in the way.
-        stored = contributions_since(read_table(sized, RAW_CONTRIBUTIONS, raw_path), F.lit(first))
-        upsert_into(ingest.new_days(days, stored, restate), RAW_CONTRIBUTIONS, raw_path, "arrival")
+        if first is not None:
+            # Only stored days from the batch's first day on can be in the way.
+            stored = contributions_since(read_table(sized, RAW_CONTRIBUTIONS, raw_path), F.lit(first))
+            upsert_into(ingest.new_days(days, stored, restate), RAW_CONTRIBUTIONS, raw_path, "arrival")
+    return trouble
 
 
 def ranges_to_fetch(users: DataFrame, raw_path: str, as_of: dt.date | None = None) -> DataFrame:

@@ -3,8 +3,9 @@
 The checkpoint remembers which files were read; ``availableNow`` works through
 the backlog and stops, which is the daily run. A batch that is repeated after a
 failure loads the same rows under the same keys and so changes nothing. Failed
-answers go to the quarantine and stop nobody else's; with ``strict`` they would
-also fail the batch, again at each restart.
+answers and rows that break the table's declaration are kept aside and stop
+nobody else's; with ``strict`` they would also fail the batch, again at each
+restart.
 """
 
 from __future__ import annotations

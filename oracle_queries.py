@@ -255,6 +255,20 @@ ORACLE = {
 FAILURE_KIND = """CASE WHEN username LIKE '%3' THEN 0
     ELSE (regexp_extract(username, '([0-9]+)', 1)::BIGINT + year(date)) % 7 END"""
 
+# Users ending in 4 have a count too large on the 9th of a month, those ending in 6 too long a name.
+TROUBLED_DAYS = """
+troubled AS (
+    SELECT *, CASE WHEN username LIKE '%6' THEN 'username: longer than 255'
+                   WHEN username LIKE '%4' AND day(date) = 9 THEN 'contribution_count: not a int' END AS violation
+    FROM days
+), bad AS (SELECT DISTINCT username FROM troubled WHERE violation IS NOT NULL)"""
+
+TROUBLED_REVIEWS = """
+troubled AS (
+    SELECT *, CASE WHEN repo_name LIKE 'MACHINERY/%' AND pr_id % 50 = 1 THEN 'user_login: longer than 255' END AS violation
+    FROM reviews
+), bad AS (SELECT DISTINCT repo_name FROM troubled WHERE violation IS NOT NULL)"""
+
 ORACLE |= {
     "pull_pages_parsed": over(
         EVENTS,
@@ -323,6 +337,26 @@ ORACLE |= {
         """SELECT username, date, CASE WHEN day(date) > 25 THEN n + 100 ELSE n END AS contribution_count
            FROM days""",
     ),
+    "calendars_isolated": over(
+        f"{LONG},{TROUBLED_DAYS}",
+        "SELECT username, date, n AS contribution_count FROM troubled WHERE username NOT IN (SELECT username FROM bad)",
+    ),
+    "calendars_refused": over(
+        f"{LONG},{TROUBLED_DAYS}",
+        """SELECT CASE WHEN username LIKE '%6' THEN rpad(username, 300, 'x') ELSE username END AS unit, violation,
+                  date::VARCHAR AS date, CASE WHEN violation LIKE 'contribution%' THEN 3000000000 ELSE n END AS given_count
+           FROM troubled WHERE username IN (SELECT username FROM bad)""",
+    ),
+    "pulls_isolated": over(
+        f"{ORDERS},{TROUBLED_REVIEWS}",
+        """SELECT repo_name, pr_id, state, created_at, merged_at FROM troubled
+           WHERE repo_name NOT IN (SELECT repo_name FROM bad)""",
+    ),
+    "pulls_refused": over(
+        f"{ORDERS},{TROUBLED_REVIEWS}",
+        """SELECT repo_name AS unit, violation, count(*)::BIGINT AS reviews FROM troubled
+           WHERE repo_name IN (SELECT repo_name FROM bad) GROUP BY ALL""",
+    ),
     "pages_refetched": over(
         ORDERS,
         """SELECT pr_id, CASE WHEN created_at >= DATE '2000-01-01' THEN state ELSE 'open' END AS state,

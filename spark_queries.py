@@ -180,6 +180,60 @@ def pages_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
     return runs.quarantined_pages(spark, raw)
 
 
+def _troubled_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed calendars in which some users have a count beyond INT on one day, others a name too long."""
+    days = long_contributions(spark, sf_dir)
+    number = F.regexp_extract("username", r"(\d+)", 1).cast("bigint")
+    text = F.when(
+        (number % 10 == 4) & (F.dayofmonth("date") == 9), F.lit("3000000000")
+    ).otherwise(F.col("contribution_count").cast("string"))
+    renamed = F.when(number % 10 == 6, F.rpad("username", 300, "x")).otherwise(F.col("username"))
+    return landed_calendars(days.withColumn("username", renamed), text)
+
+
+@query
+def calendars_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is stored after a load in which some users have invalid days: all of the others, none of theirs."""
+    raw = scratch_path(spark, "raw-isolated")
+    runs.load_calendars(_troubled_days(spark, sf_dir), raw, strict=False)
+    return read_table(spark, RAW_CONTRIBUTIONS, raw).select(*RAW_CONTRIBUTIONS.column_names)
+
+
+@query
+def calendars_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every row of the users kept out of that load."""
+    raw = scratch_path(spark, "raw-refused")
+    runs.load_calendars(_troubled_days(spark, sf_dir), raw, strict=False)
+    given = F.from_json("given", "username string, date string, contribution_count bigint")
+    return runs.refused(spark, raw).select(
+        "unit", "violation", given["date"].alias("date"), given["contribution_count"].alias("given_count")
+    )
+
+
+def _troubled_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Landed pages in which every repository of one segment has a few reviews by an author with too long a name."""
+    reviews = order_pulls(spark, sf_dir)
+    long_name = F.col("repo_name").startswith("MACHINERY/") & (F.col("pr_id") % 50 == 1)
+    login = F.when(long_name, F.rpad("user_login", 256, "x")).otherwise(F.col("user_login"))
+    return landed_pages(reviews.withColumn("user_login", login))
+
+
+@query
+def pulls_isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews stored after a load in which some repositories have an invalid review."""
+    raw = scratch_path(spark, "raw-isolated")
+    runs.load_pulls(_troubled_pages(spark, sf_dir), raw, strict=False)
+    return read_table(spark, RAW_PULLS, raw).select("repo_name", "pr_id", "state", "created_at", "merged_at")
+
+
+@query
+def pulls_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews of the repositories kept out of that load, counted by violation."""
+    raw = scratch_path(spark, "raw-refused")
+    runs.load_pulls(_troubled_pages(spark, sf_dir), raw, strict=False)
+    return runs.refused(spark, raw).groupBy("unit", "violation").agg(F.count(F.lit(1)).alias("reviews"))
+
+
 @query
 def upsert_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     days = long_contributions(spark, sf_dir)

@@ -75,18 +75,76 @@ def test_a_user_without_any_answer_is_reported_and_kept_aside(spark, tmp_path):
     assert runs.quarantined(spark, str(tmp_path / "lenient")).count() == 1
 
 
-def test_a_count_beyond_the_column_stops_a_load(spark, tmp_path):
-    rows = [("u", 0, 200, calendar([entry("2024-01-01", 2**31)]))]
-    answers = spark.createDataFrame(rows, "username string, range_seq bigint, http_status int, body string")
-    with pytest.raises(Exception, match="contribution_count: not a int"):
-        runs.load_calendars(answers, str(tmp_path / "raw"))
+ANSWERS = "username string, range_seq bigint, http_status int, body string"
+
+
+@pytest.mark.parametrize("strict", [True, False])
+def test_a_bad_day_keeps_out_its_user_only(spark, tmp_path, strict):
+    raw = str(tmp_path / "raw")
+    rows = [
+        ("u", 0, 200, calendar([entry("2024-01-01", 2**31), entry("2024-01-02", 5)])),
+        ("v", 0, 200, calendar([entry("2024-01-01", 3)])),
+        (None, 0, 200, calendar([entry("2024-01-01", 4)])),
+        ("w" * 256, 0, 200, calendar([entry("2024-01-01", 6)])),
+    ]
+    answers = spark.createDataFrame(rows, ANSWERS)
+    for _ in range(2):
+        if strict:
+            with pytest.raises(runs.RowsRefused, match="3 username batches were refused, such as contribution_count: not a int"):
+                runs.load_calendars(answers, raw)
+        else:
+            runs.load_calendars(answers, raw, strict=False)
+    stored = [tuple(r)[:3] for r in read_table(spark, RAW_CONTRIBUTIONS, raw).collect()]
+    assert stored == [("v", day("2024-01-01"), 3)]
+    aside = {(r["unit"], json.loads(r["given"])["date"]): r["violation"] for r in runs.refused(spark, raw).collect()}
+    assert aside == {
+        ("u", "2024-01-01"): "contribution_count: not a int",
+        ("u", "2024-01-02"): None,
+        (None, "2024-01-01"): "username: missing",
+        ("w" * 256, "2024-01-01"): "username: longer than 255",
+    }
+    assert runs.refused(spark, raw).count() == 4
+    assert runs.refused(spark, str(tmp_path / "none")).count() == 0
+
+
+def test_a_bad_fetch_leaves_the_users_other_fetches(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    rows = [
+        ("u", 0, 200, calendar([entry("2024-01-01", 1)]), moment("2024-01-05")),
+        ("u", 0, 200, calendar([entry("2024-01-02", 2), entry("2024-01-03", 2**31)]), moment("2024-01-06")),
+        ("u", 0, 200, calendar([entry("2024-01-04", 4)]), moment("2024-01-07")),
+    ]
+    answers = spark.createDataFrame(rows, f"{ANSWERS}, fetched_at timestamp")
+    runs.load_calendars(answers, raw, strict=False)
+    stored = sorted(tuple(r)[1:3] for r in read_table(spark, RAW_CONTRIBUTIONS, raw).collect())
+    assert stored == [(day("2024-01-01"), 1), (day("2024-01-04"), 4)]
+
+
+def test_a_bad_review_keeps_out_its_repository_only(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    bad = json.dumps([{"id": 1, "state": "closed"}, {"state": "closed"}])
+    rows = [("o/r", 0, bad), ("o/r", 1, '[{"id": 2}]'), ("o/s", 0, '[{"id": 3}]'), (None, 0, '[{"id": 4}]')]
+    pages = spark.createDataFrame(rows, "repo_name string, seq bigint, body string")
+    with pytest.raises(runs.RowsRefused, match="2 repo_name batches were refused, such as pr_id: missing"):
+        runs.load_pulls(pages, raw)
+    assert [r["pr_id"] for r in read_table(spark, RAW_PULLS, raw).collect()] == [3]
+    aside = sorted((r["unit"] or "", r["violation"] or "") for r in runs.refused(spark, raw).collect())
+    assert aside == [("", "repo_name: missing"), ("o/r", ""), ("o/r", ""), ("o/r", "pr_id: missing")]
+
+
+def test_a_stream_goes_on_after_a_bad_row(spark, tmp_path):
+    landing, raw, state = tmp_path / "landing", str(tmp_path / "raw"), str(tmp_path / "state")
 
+    def stored():
+        drain_calendars(spark, str(landing), raw, state).awaitTermination()
+        return sorted(tuple(r)[:3] for r in read_table(spark, RAW_CONTRIBUTIONS, raw).collect())
 
-def test_one_invalid_row_stops_a_load(spark, tmp_path):
-    page = json.dumps([{"id": 1, "state": "closed"}, {"state": "closed"}])
-    pages = spark.createDataFrame([("o/r", 0, page)], "repo_name string, seq bigint, body string")
-    with pytest.raises(Exception, match="pr_id: missing"):
-        runs.load_pulls(pages, str(tmp_path / "raw"))
+    bad = calendar([entry("2024-01-01", 2**40)])
+    land(landing, "1.json", [answer("u", bad), answer("v", calendar([entry("2024-01-01", 1)]))])
+    assert stored() == [("v", day("2024-01-01"), 1)]
+    land(landing, "2.json", [answer("u", calendar([entry("2024-01-02", 2)]))])
+    assert stored() == [("u", day("2024-01-02"), 2), ("v", day("2024-01-01"), 1)]
+    assert runs.refused(spark, raw).count() == 1
 
 
 def test_an_answer_that_is_no_page_is_reported_and_kept_aside(spark, tmp_path):
