@@ -26,8 +26,15 @@ def with_running_total(
 ) -> DataFrame:
     """Add ``out``: the sum of ``weight`` (1 if not given) over all earlier rows.
 
-    ``order`` must be unique over the rows. Runs a job.
+    ``order`` must be unique over the rows. Runs jobs.
     """
+    return _running_total(df, order, out, weight)[0]
+
+
+def _running_total(
+    df: DataFrame, order: Sequence[Column], out: str, weight: str | None
+) -> tuple[DataFrame, int]:
+    """As above; also returns the sum over all rows."""
     ranged = df.repartitionByRange(*order).sortWithinPartitions(*order)
     kept = settle(
         ranged.select("*", F.spark_partition_id().alias("_range"), F.monotonically_increasing_id().alias("_row")),
@@ -42,22 +49,25 @@ def with_running_total(
         size = F.sum(weight)
         inside = F.coalesce(F.sum(weight).over(earlier), F.lit(0))
 
-    # One row per range: at most spark.sql.shuffle.partitions rows, hence the
-    # plain window and the broadcast.
-    sizes = kept.groupBy("_range").agg(size.alias("_size"))
-    ranges_before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select("_range", F.coalesce(F.sum("_size").over(ranges_before), F.lit(0)).alias("_start"))
-
-    return (
+    # One row per range, at most spark.sql.shuffle.partitions rows: few enough
+    # to be added up here and sent along as a table of literals.
+    sizes = kept.groupBy("_range").agg(size.cast("bigint").alias("_size")).orderBy("_range").collect()
+    starts, total = [], 0
+    for row in sizes:
+        starts.append((row["_range"], total))
+        total += row["_size"] or 0
+    placed = df.sparkSession.createDataFrame(starts, "_range int, _start bigint")
+    numbered = (
         kept.withColumn("_inside", inside)
-        .join(F.broadcast(starts), "_range")
+        .join(F.broadcast(placed), "_range")
         .withColumn(out, (F.col("_start") + F.col("_inside")).cast("bigint"))
         .drop("_range", "_row", "_inside", "_start")
     )
+    return numbered, total
 
 
 def with_row_number(df: DataFrame, order: Sequence[Column], out: str) -> DataFrame:
-    """ROW_NUMBER() OVER (ORDER BY order), for a unique order. Runs a job."""
+    """ROW_NUMBER() OVER (ORDER BY order), for a unique order. Runs jobs."""
     return with_running_total(df, order, "_before").withColumn(out, F.col("_before") + 1).drop("_before")
 
 
@@ -66,47 +76,44 @@ def with_ranks(df: DataFrame, ranks: dict[str, str]) -> DataFrame:
 
     Rank = 1 + rows with a strictly better value, which needs only how often
     each value occurs. Values are counted first (one shared by a third of the
-    rows is one counted row), values of one type share one ordered pass over
-    the counts, and each rank is looked up by value, in the value's own type.
-    The lookups carry no hint: a short table of values is broadcast by its
-    written size, a long one is sort-merge joined with AQE splitting a skewed
-    value. Runs jobs.
+    rows is one counted row), and the counts of all rankings are put in one
+    order: by ranking, then by one column per type, so that values of different
+    types share its ranges and each keeps its own type. Each rank is looked up
+    by value. The lookups carry no hint: a short table of values is broadcast by
+    its written size, a long one is sort-merge joined with AQE splitting a
+    skewed value. Runs jobs.
     """
     rows = settle(df, "ranked-input")
     types = dict(rows.dtypes)
-    result = rows
-    for kind in dict.fromkeys(types[value] for value in ranks.values()):
-        own = {out: value for out, value in ranks.items() if types[value] == kind}
-        for out, (value, lookup) in _lookups(rows, own).items():
-            result = result.join(lookup, F.col(value).eqNullSafe(F.col(f"_{out}"))).drop(f"_{out}")
-    return result.select(*df.columns, *ranks)
-
-
-def _lookups(rows: DataFrame, ranks: dict[str, str]) -> dict[str, tuple[str, DataFrame]]:
-    """For rankings of values of one type: the rank of each value."""
-    total = rows.count()
-    pairs = rows.select(
-        F.explode(
-            F.array(
+    kinds = list(dict.fromkeys(types[value] for value in ranks.values()))
+    slots = {kind: f"_slot{i}" for i, kind in enumerate(kinds)}
+    entries = F.array(
+        *[
+            F.struct(
+                F.lit(i).alias("_ranking"),
                 *[
-                    F.struct(F.lit(i).alias("ranking"), F.col(value).alias("value"))
-                    for i, value in enumerate(ranks.values())
-                ]
+                    (F.col(value) if types[value] == kind else F.lit(None)).cast(kind).alias(slot)
+                    for kind, slot in slots.items()
+                ],
             )
-        ).alias("pair")
-    ).select("pair.*")
-    counted = pairs.groupBy("ranking", "value").agg(F.count(F.lit(1)).alias("n"))
-    ordered = with_running_total(
-        counted, [F.col("ranking").asc(), F.col("value").desc_nulls_last()], "before", weight="n"
+            for i, value in enumerate(ranks.values())
+        ]
+    )
+    counted = (
+        rows.select(F.explode(entries).alias("_entry"))
+        .select("_entry.*")
+        .groupBy("_ranking", *slots.values())
+        .agg(F.count(F.lit(1)).alias("_n"))
     )
-    lookup = settle(ordered.drop("n"), "ranks", "ranking")
-    # Every ranking counts each row once, so ranking i starts after i * total.
-    return {
-        out: (
-            value,
-            lookup.filter(F.col("ranking") == i).select(
-                F.col("value").alias(f"_{out}"), (F.col("before") - i * total + 1).cast("bigint").alias(out)
-            ),
+    order = [F.col("_ranking").asc(), *[F.col(slot).desc_nulls_last() for slot in slots.values()]]
+    ordered, total = _running_total(counted, order, "_before", "_n")
+    lookup = settle(ordered.drop("_n"), "ranks")
+    result = rows
+    for i, (out, value) in enumerate(ranks.items()):
+        # Every ranking counts each row once, so ranking i starts after i shares of the total.
+        start = i * (total // len(ranks))
+        places = lookup.filter(F.col("_ranking") == i).select(
+            F.col(slots[types[value]]).alias(f"_{out}"), (F.col("_before") - start + 1).cast("bigint").alias(out)
         )
-        for i, (out, value) in enumerate(ranks.items())
-    }
+        result = result.join(places, F.col(value).eqNullSafe(F.col(f"_{out}"))).drop(f"_{out}")
+    return result.select(*df.columns, *ranks)

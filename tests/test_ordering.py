@@ -1,3 +1,6 @@
+import random
+
+import pytest
 from helpers import by_key
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -80,3 +83,26 @@ def test_rounding_is_half_away_from_zero(spark):
     rows = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a bigint, b bigint")
     found = rows.select("i", rounded_ratio(F.col("a"), F.col("b")).alias("r")).orderBy("i").collect()
     assert [r["r"] for r in found] == [1.13, -1.13, 1.01, 0.67, -0.67, 0.0, None, None]
+
+
+@pytest.mark.parametrize("buckets", [2, 3, 4_096])
+def test_median_by_rounds_of_any_width(spark, buckets):
+    rng = random.Random(buckets)
+    groups = {
+        None: [0],
+        "two": [-(2**63), 2**63 - 1],
+        "wide": [rng.randrange(-(2**62), 2**62) for _ in range(300)],
+        "close": [10**15 + rng.randrange(5) for _ in range(301)],
+        "ties": [7] * 200 + [9] * 200,
+        "small": [rng.randrange(-40, 40) for _ in range(100)],
+        "log": [2**i for i in range(63)] + [-(2**i) for i in range(60)],
+    }
+    rows = [(g, v) for g, values in groups.items() for v in [*values, None]] + [("none", None)]
+    rng.shuffle(rows)
+    found = by_key(grouped_median(spark.createDataFrame(rows, "g string, v bigint"), "g", "v", "m", buckets), "g")
+    expected = {}
+    for g, values in groups.items():
+        ordered = sorted(values)
+        low, high = ordered[(len(ordered) - 1) // 2], ordered[len(ordered) // 2]
+        expected[g] = float(low + high) / 2
+    assert {g: r["m"] for g, r in found.items()} == expected
