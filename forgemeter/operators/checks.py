@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -80,3 +81,48 @@ def check_model(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     for part in parts[1:]:
         result = result.unionByName(part)
     return result.withColumn("status", F.when(F.col("failures") == 0, "pass").otherwise("fail"))
+
+
+# Measured while a table is written -----------------------------------------
+
+
+class Watch:
+    """Row measures of a model's rules, taken from the rows as they pass on their way into a table.
+
+    ``rows`` is what to write instead of the model. The measures stand right
+    below the write, so a task repeated after a lost executor counts once.
+    """
+
+    def __init__(self, df: DataFrame, rules: Sequence[Rule]):
+        self.rules = list(rules)
+        self._fused = [r for r in rules if r.test != "unique"]
+        self._seen = Observation() if self._fused else None
+        measures = [_failing_rows(r).alias(f"m{i}") for i, r in enumerate(self._fused)]
+        self.rows = df.observe(self._seen, *measures) if measures else df
+
+    def check(self, stored: DataFrame) -> DataFrame:
+        """As ``check_model``, once ``rows`` are written to ``stored``.
+
+        That table is read for uniqueness, and for the different values that are
+        not accepted if there are any; else for nothing.
+        """
+        seen = self._seen.get if self._fused else {}
+        known, scans = [], [r for r in self.rules if r.test == "unique"]
+        for i, rule in enumerate(self._fused):
+            failing = seen[f"m{i}"] or 0
+            if rule.test == "accepted_values" and failing:
+                scans.append(rule)
+            else:
+                known.append((rule.model, rule.column, rule.test, failing, "fail" if failing else "pass"))
+        parts = [stored.sparkSession.createDataFrame(known, RESULT)] if known else []
+        if scans:
+            parts.append(check_model(stored, scans))
+        return reduce(DataFrame.unionByName, parts)
+
+
+RESULT = "model string, column string, test string, failures bigint, status string"
+
+
+def _failing_rows(rule: Rule) -> Column:
+    column = F.col(rule.column)
+    return F.count_if(column.isNull() if rule.test == "not_null" else ~column.isin(*rule.values))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping, Sequence
 from contextlib import contextmanager
 from functools import partial
 
@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from forgemeter.functions.calendar import as_date
 from forgemeter.operators import enforce, ingest, staging
+from forgemeter.operators.checks import Rule, Watch
 from forgemeter.operators.upsert import finish_swap, upsert_into
 from forgemeter.plans import contributions, pulls
 from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES, SOURCE_RULES
-from forgemeter.plans.suite import run_suite
+from forgemeter.plans.suite import rules_of, run_suite
 from forgemeter.session import (
     in_parallel,
     list_names,
@@ -264,14 +265,34 @@ def store_bucketed(
     return spark.table(name)
 
 
-def _build(
-    spark: SparkSession, out: str, tables: Mapping[str, Callable[[], DataFrame]]
-) -> dict[str, DataFrame]:
-    return in_parallel({name: partial(_build_one, spark, out, name, make) for name, make in tables.items()})
+class Tables:
+    """The tables of one run: written, watched on the way for the row tests declared on them, and read back."""
 
+    def __init__(self, spark: SparkSession, out: str, rules: Sequence[Rule]):
+        self.spark, self.out, self.rules = spark, out, rules
+        self.models: dict[str, DataFrame] = {}
+        self.watched: dict[str, Watch] = {}
 
-def _build_one(spark: SparkSession, out: str, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-    return store(spark, make(), out, name)
+    def watch(self, name: str, df: DataFrame) -> DataFrame:
+        """``df`` as it should be written."""
+        self.watched[name] = Watch(df, rules_of(name, self.rules))
+        return self.watched[name].rows
+
+    def add(self, name: str, df: DataFrame) -> DataFrame:
+        self.models[name] = store(self.spark, self.watch(name, df), self.out, name)
+        return self.models[name]
+
+    def build(self, tables: Mapping[str, Callable[[], DataFrame]]) -> dict[str, DataFrame]:
+        """Several at a time."""
+        return in_parallel({name: partial(self._built, name, make) for name, make in tables.items()})
+
+    def _built(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
+        return self.add(name, make())
+
+    def check(self, name: str, sources: Mapping[str, DataFrame] | None = None) -> None:
+        """Store the results of all tests, those on ``sources`` too if given."""
+        checked = {**self.models, **(sources or {})}
+        store(self.spark, run_suite(checked, self.rules, bool(sources), self.watched), self.out, name)
 
 
 def run_contributions(
@@ -299,18 +320,17 @@ def run_contributions(
         # calendar day: one shuffle by user serves the dedup and the buckets.
         buckets = buckets or partitions
         by_user = raw.repartition(buckets, "username")
-        staged = store_bucketed(
+        made = Tables(spark, out, CONTRIBUTION_RULES)
+        staged = made.models["contrib_staged"] = store_bucketed(
             spark,
-            staging.dedup_contributions(by_user),
+            made.watch("contrib_staged", staging.dedup_contributions(by_user)),
             f"{out}/contrib_staged",
             in_catalog(staged_table, out),
             "username",
             ["username", "date"],
             buckets,
         )
-        built = _build(
-            spark,
-            out,
+        built = made.build(
             {
                 "contrib_patterns": lambda: contributions.activity_patterns(staged),
                 "contrib_monthly": lambda: contributions.monthly(staged),
@@ -320,19 +340,16 @@ def run_contributions(
                 "contrib_streaks": lambda: contributions.streaks(staged, as_of),
                 "contrib_user_summary": lambda: contributions.user_summary(staged, as_of),
                 "contrib_weekly": lambda: contributions.weekly(staged),
-            },
+            }
         )
-        derived = _build(
-            spark,
-            out,
+        made.build(
             {
                 "contrib_leaderboard": lambda: contributions.leaderboard(built["contrib_user_summary"]),
                 "contrib_trends": lambda: contributions.trends(built["contrib_monthly"]),
-            },
+            }
         )
-        models = {"contrib_staged": staged, **built, **derived}
-        store(spark, run_suite(models, CONTRIBUTION_RULES), out, "contrib_tests")
-        tables = _tables_of(outer, out, [*models, "contrib_tests"])
+        made.check("contrib_tests")
+        tables = _tables_of(outer, out, [*made.models, "contrib_tests"])
     return {**tables, "contrib_staged": outer.table(in_catalog(staged_table, out))}
 
 
@@ -363,11 +380,10 @@ def run_pulls(
     spark, _ = sized_session(outer, stored_bytes(outer, raw_path))
     raw = read_table(spark, RAW_PULLS, raw_path).drop(RAW_PULLS.layout[0])
     with scratch_scope(spark), new_run(spark, out) as out:
-        staged = store(spark, staging.key_pulls(raw), out, "pulls_staged")
+        made = Tables(spark, out, [*PULL_RULES, *SOURCE_RULES])
+        staged = made.add("pulls_staged", staging.key_pulls(raw))
         facts = store(spark, pulls.daily_rollup(pulls.review_facts(staged)), out, "pulls_rollup")
-        built = _build(
-            spark,
-            out,
+        built = made.build(
             {
                 "pulls_patterns": lambda: pulls.activity_patterns(facts),
                 "pulls_monthly": lambda: pulls.monthly(facts),
@@ -376,17 +392,13 @@ def run_pulls(
                 "pulls_time_to_merge": lambda: pulls.time_to_merge(staged),
                 "pulls_user_summary": lambda: pulls.user_summary(facts),
                 "pulls_weekly": lambda: pulls.weekly(facts),
-            },
+            }
         )
-        derived = _build(
-            spark,
-            out,
+        made.build(
             {
                 "pulls_leaderboard": lambda: pulls.leaderboard(built["pulls_user_summary"]),
                 "pulls_trends": lambda: pulls.trends(built["pulls_monthly"]),
-            },
+            }
         )
-        models = {"pulls_staged": staged, **built, **derived}
-        checked = {**models, "raw_pulls": raw} if sources else models
-        store(spark, run_suite(checked, [*PULL_RULES, *SOURCE_RULES], sources), out, "pulls_tests")
-        return _tables_of(outer, out, [*models, "pulls_tests"])
+        made.check("pulls_tests", {"raw_pulls": raw} if sources else None)
+        return _tables_of(outer, out, [*made.models, "pulls_tests"])

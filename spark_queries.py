@@ -13,7 +13,7 @@ from forgemeter.operators.upsert import upsert
 from forgemeter.plans import contributions, pulls, runs
 from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES, REVIEW_STATES, SOURCE_RULES
 from forgemeter.plans.suite import run_suite
-from forgemeter.session import in_parallel, scratch_path, settle
+from forgemeter.session import scratch_path, settle
 from forgemeter.sources import samples
 from forgemeter.sources.samples import (
     DENSE_AS_OF,
@@ -525,8 +525,9 @@ def dq_suite(spark: SparkSession, sf_dir: str) -> DataFrame:
         "pulls_user_summary": lambda: pulls.user_summary(facts),
         "pulls_weekly": lambda: pulls.weekly(facts),
     }
-    stored = in_parallel({name: lambda n=name, make=make: settle(make(), n) for name, make in models.items()})
-    return run_suite(stored, [*CONTRIBUTION_RULES, *PULL_RULES])
+    made = runs.Tables(spark, scratch_path(spark, "dq-suite"), [*CONTRIBUTION_RULES, *PULL_RULES])
+    made.build(models)
+    return run_suite(made.models, made.rules, watched=made.watched)
 
 
 # End to end -----------------------------------------------------------------

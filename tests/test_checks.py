@@ -1,6 +1,7 @@
 import pytest
 from helpers import by_key
 
+from forgemeter.operators import checks
 from forgemeter.operators.checks import Rule, check_model, duplicated_values
 from forgemeter.plans import presentation
 from forgemeter.plans.rules import ALL_RULES, CONTRIBUTION_RULES, PULL_RULES, SOURCE_RULES
@@ -70,3 +71,37 @@ def test_show_order_puts_nulls_as_largest(spark):
     rows = rows.selectExpr("username", "date_add(date'2024-01-01', days) AS month_start")
     shown = presentation.show_order("contrib_monthly", rows)
     assert [r["username"] for r in shown.collect()] == ["a", "b", None]
+
+
+def test_rows_are_tested_while_they_are_written(spark, tmp_path):
+    rows = spark.createDataFrame(
+        [(1, "open"), (1, None), (2, "draft"), (3, "draft"), (4, "locked"), (None, "closed")], "id bigint, state string"
+    )
+    rules = [
+        checks.Rule("t", "id", "not_null"),
+        checks.Rule("t", "id", "unique"),
+        checks.Rule("t", "state", "not_null"),
+        checks.Rule("t", "state", "accepted_values", ("open", "closed")),
+    ]
+    for df, part in ((rows, "all"), (rows.limit(1), "one"), (rows.limit(0), "none"), (rows.repartition(7), "many")):
+        path = str(tmp_path / part)
+        watch = checks.Watch(df, rules)
+        watch.rows.write.parquet(path)
+        stored = spark.read.schema(df.schema).parquet(path)
+        expected = checks.check_model(stored, rules)
+        found = watch.check(stored)
+        assert sorted(map(tuple, found.collect())) == sorted(map(tuple, expected.collect()))
+        assert found.schema.simpleString() == expected.schema.simpleString()
+
+
+def test_a_watched_table_is_read_for_uniqueness_only(spark, tmp_path):
+    rows = spark.range(50).selectExpr("id", "'open' AS state")
+    rules = [checks.Rule("t", "id", "not_null"), checks.Rule("t", "state", "accepted_values", ("open",))]
+    scans = []
+    for own in (rules, [*rules, checks.Rule("t", "id", "unique")]):
+        path = str(tmp_path / str(len(own)))
+        watch = checks.Watch(rows, own)
+        watch.rows.write.parquet(path)
+        plan = watch.check(spark.read.schema(rows.schema).parquet(path))._jdf.queryExecution().executedPlan().toString()
+        scans.append(plan.count("FileScan"))
+    assert scans == [0, 1]
