@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgemeter.functions.calendar import as_date
+from forgemeter.operators import day_bitmaps
 from forgemeter.sources.payloads import CALENDAR, PULL_PAGE
 from forgemeter.sources.tables import RAW_CONTRIBUTIONS
 
@@ -160,8 +161,9 @@ def new_days(days: DataFrame, stored: DataFrame, restate: bool = False) -> DataF
     answer for a day wins. With ``restate`` stored days are let through as well,
     so that a reload can correct them, and the last fetch wins. Rows that arrived
     at the same place go by the larger count, whatever their order in the input.
-    The stored table is only probed for the days at hand (first join), never
-    shuffled for them while they are few enough to broadcast.
+    ``stored`` is what is known: bitmaps of days (see ``day_bitmaps``), or the
+    rows themselves, which are only probed for the days at hand (first join),
+    never shuffled for them while they are few enough to broadcast.
     """
     keys = ["username", "date"]
     turn = F.col("fetch") if restate else -F.col("fetch")
@@ -169,6 +171,8 @@ def new_days(days: DataFrame, stored: DataFrame, restate: bool = False) -> DataF
     latest = days.groupBy(*keys).agg(wins).select(*keys, "_wins.contribution_count", "_wins.arrival")
     if restate:
         return latest
+    if day_bitmaps.is_bitmaps(stored):
+        return day_bitmaps.without_known(latest, stored)
     hits = stored.select(*keys).join(latest.select(*keys), keys, "left_semi")
     return latest.join(hits, keys, "left_anti")
 
@@ -177,7 +181,9 @@ def new_days(days: DataFrame, stored: DataFrame, restate: bool = False) -> DataF
 
 
 def known_dates(stored: DataFrame) -> DataFrame:
-    """Distinct stored days per user, as text."""
+    """Distinct stored days per user, as text; from rows or from bitmaps of days."""
+    if day_bitmaps.is_bitmaps(stored):
+        return day_bitmaps.dates(stored).withColumn("date", F.col("date").cast("string"))
     return stored.select("username", F.col("date").cast("string").alias("date")).distinct()
 
 
@@ -193,11 +199,14 @@ def plan_ranges(
 
     A user with fewer than ``threshold`` known days gets one range per calendar
     year since ``start_year``, the current one cut at ``as_of``; any other user
-    gets the last ``window`` days. ``stored`` has one row per user and day, so
-    its rows are counted as they are.
+    gets the last ``window`` days. ``stored`` are bitmaps of days, or one row per
+    user and day, counted as they are.
     """
     today = as_date(as_of)
-    known = stored.groupBy("username").agg(F.count(F.lit(1)).alias("known_days"))
+    if day_bitmaps.is_bitmaps(stored):
+        known = day_bitmaps.counts(stored)
+    else:
+        known = stored.groupBy("username").agg(F.count(F.lit(1)).alias("known_days"))
     backfill = F.coalesce(F.col("known_days"), F.lit(0)) < threshold
     # sequence() would count down if the first year were still to come.
     since_start = F.when(

@@ -30,6 +30,7 @@ from forgemeter.session import (
     stored_bytes,
     touch,
 )
+from forgemeter.sources.known import add_known, known_days, mark_if_interrupted, mark_stale
 from forgemeter.sources.tables import (
     RAW_CONTRIBUTIONS,
     RAW_PULLS,
@@ -138,6 +139,7 @@ def load_calendars(calendars: DataFrame, raw_path: str, restate: bool = False, s
     """
     spark = calendars.sparkSession
     ensure_table(spark, RAW_CONTRIBUTIONS, raw_path)
+    mark_if_interrupted(spark, raw_path)
     finish_swap(spark, RAW_CONTRIBUTIONS, raw_path)
     with scratch_scope(spark):
         # Written out: the steps below read the answers and days several times,
@@ -176,11 +178,11 @@ def _load_days(spark: SparkSession, triaged: DataFrame, raw_path: str, restate:
         files = settled_files(valid, "days")
         sized, _ = sized_session(spark, stored_bytes(spark, files))
         days = sized.read.schema(valid.schema).parquet(files)
-        first = days.agg(F.min("date")).first()[0]
-        if first is not None:
-            # Only stored days from the batch's first day on can be in the way.
-            stored = contributions_since(read_table(sized, RAW_CONTRIBUTIONS, raw_path), F.lit(first))
-            upsert_into(ingest.new_days(days, stored, restate), RAW_CONTRIBUTIONS, raw_path, "arrival")
+        if not days.isEmpty():
+            known = known_days(sized, raw_path)
+            mark_stale(spark, raw_path)
+            upsert_into(ingest.new_days(days, known, restate), RAW_CONTRIBUTIONS, raw_path, "arrival")
+            add_known(days, raw_path)
     return trouble
 
 
@@ -188,8 +190,9 @@ def ranges_to_fetch(users: DataFrame, raw_path: str, as_of: dt.date | None = Non
     """What to ask for next, for whatever lands the answers; ``users`` has ``username``."""
     spark = users.sparkSession
     ensure_table(spark, RAW_CONTRIBUTIONS, raw_path)
+    mark_if_interrupted(spark, raw_path)
     finish_swap(spark, RAW_CONTRIBUTIONS, raw_path)
-    return ingest.plan_ranges(users, read_table(spark, RAW_CONTRIBUTIONS, raw_path), as_of)
+    return ingest.plan_ranges(users, known_days(spark, raw_path), as_of)
 
 
 # Building -------------------------------------------------------------------
@@ -310,6 +313,7 @@ def run_contributions(
     reads its few months from the raw table, which is stored by month.
     """
     # A load cut short may have left months half swapped.
+    mark_if_interrupted(spark, raw_path)
     finish_swap(spark, RAW_CONTRIBUTIONS, raw_path)
     outer = spark
     spark, partitions = sized_session(outer, stored_bytes(outer, raw_path))

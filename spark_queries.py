@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgemeter.operators import checks, enforce, ingest, staging
+from forgemeter.operators import checks, day_bitmaps, enforce, ingest, staging
 from forgemeter.operators.upsert import upsert
 from forgemeter.plans import contributions, pulls, runs
 from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES, REVIEW_STATES, SOURCE_RULES
@@ -94,7 +94,8 @@ def calendars_quarantined(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def known_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest.known_dates(samples.duplicated_contributions(spark, sf_dir))
+    known = settle(day_bitmaps.day_bitmaps(samples.duplicated_contributions(spark, sf_dir)), "known")
+    return ingest.known_dates(known)
 
 
 @query
@@ -102,8 +103,8 @@ def fetch_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     users = spark.read.parquet(f"{sf_dir}/customer.parquet").select(
         F.concat(F.lit("user_"), F.col("c_custkey").cast("string")).alias("username")
     )
-    stored = long_contributions(spark, sf_dir)
-    return ingest.plan_ranges(users, stored, LONG_AS_OF, threshold=534, window=7, start_year=1995)
+    known = settle(day_bitmaps.day_bitmaps(long_contributions(spark, sf_dir)), "known")
+    return ingest.plan_ranges(users, known, LONG_AS_OF, threshold=534, window=7, start_year=1995)
 
 
 @query
@@ -116,7 +117,7 @@ def new_rows_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
         "username", "date", (n + 1).alias("contribution_count"), F.lit(1).cast("bigint").alias("arrival")
     )
     one_fetch = first.unionByName(second).withColumn("fetch", F.lit(0).cast("bigint"))
-    return ingest.new_days(one_fetch, stored)
+    return ingest.new_days(one_fetch, settle(day_bitmaps.day_bitmaps(stored), "known"))
 
 
 @query
