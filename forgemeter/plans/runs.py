@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from forgemeter.functions.calendar import as_date
-from forgemeter.operators import enforce, ingest, staging
+from forgemeter.operators import enforce, ingest, month_states, staging
 from forgemeter.operators.checks import Rule, Watch
 from forgemeter.operators.upsert import finish_swap, upsert_into
 from forgemeter.plans import contributions, pulls
@@ -31,6 +31,7 @@ from forgemeter.session import (
     touch,
 )
 from forgemeter.sources.known import add_known, known_days, mark_if_interrupted, mark_stale
+from forgemeter.sources.states import current_states
 from forgemeter.sources.tables import (
     RAW_CONTRIBUTIONS,
     RAW_PULLS,
@@ -309,8 +310,9 @@ def run_contributions(
     """Build staging and the eight daily-activity tables, then test them.
 
     Staging is bucketed by user once, as a catalog table named ``staged_table``
-    and the run; the tables after it group by user. Only the recent activity
-    reads its few months from the raw table, which is stored by month.
+    and the run; the tables after it group by user. Three of them come from the
+    states of the months instead, of which only those of changed months are made
+    again, and the recent activity reads its few months from the raw table.
     """
     # A load cut short may have left months half swapped.
     mark_if_interrupted(spark, raw_path)
@@ -334,15 +336,16 @@ def run_contributions(
             ["username", "date"],
             buckets,
         )
+        states = current_states(spark, raw_path, contributions.MIN_STREAK_DAYS)
         built = made.build(
             {
                 "contrib_patterns": lambda: contributions.activity_patterns(staged),
-                "contrib_monthly": lambda: contributions.monthly(staged),
+                "contrib_monthly": lambda: month_states.monthly(states),
                 "contrib_recent": lambda: contributions.recent_activity(
                     recent_days(spark, raw_path, as_of), as_of
                 ),
-                "contrib_streaks": lambda: contributions.streaks(staged, as_of),
-                "contrib_user_summary": lambda: contributions.user_summary(staged, as_of),
+                "contrib_streaks": lambda: month_states.streaks(states, contributions.MIN_STREAK_DAYS, as_of),
+                "contrib_user_summary": lambda: month_states.user_summary(states, as_of),
                 "contrib_weekly": lambda: contributions.weekly(staged),
             }
         )

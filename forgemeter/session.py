@@ -70,6 +70,13 @@ def list_names(spark: SparkSession, path: str) -> list[str]:
     return [f.getPath().getName() for f in files.listStatus(place)] if files.exists(place) else []
 
 
+def file_sizes(spark: SparkSession, path: str) -> dict[str, int]:
+    """Bytes of each file in a folder, hidden ones left out."""
+    place, files = _hadoop(spark, path)
+    listed = files.listStatus(place) if files.exists(place) else []
+    return {f.getPath().getName(): f.getLen() for f in listed if not f.getPath().getName().startswith((".", "_"))}
+
+
 def touch(spark: SparkSession, path: str) -> None:
     """Create an empty file."""
     place, files = _hadoop(spark, path)

@@ -243,6 +243,9 @@ ORACLE = {
     **{name: over(LONG, sql) for name, sql in _LONG_MARTS.items()},
     **{name: over(ORDERS, sql) for name, sql in _ORDER_MARTS.items()},
     "contrib_streaks": over(DENSE, contrib(DENSE_AS_OF)["contrib_streaks"]),
+    "contrib_monthly_merged": over(LONG, _LONG_MARTS["contrib_monthly"]),
+    "contrib_user_summary_merged": over(LONG, _LONG_MARTS["contrib_user_summary"]),
+    "contrib_streaks_merged": over(LONG, _LONG_MARTS["contrib_streaks"]),
     "pulls_recent_micro": over(EVENTS, _EVENT_MARTS["pulls_recent"]),
     "pulls_repo_summary_micro": over(EVENTS, _EVENT_MARTS["pulls_repo_summary"]),
     "pulls_time_to_merge_micro": over(EVENTS, _EVENT_MARTS["pulls_time_to_merge"]),

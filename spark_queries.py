@@ -8,7 +8,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from forgemeter.operators import checks, day_bitmaps, enforce, ingest, staging
+from forgemeter.operators import checks, day_bitmaps, enforce, ingest, month_states, staging
 from forgemeter.operators.upsert import upsert
 from forgemeter.plans import contributions, pulls, runs
 from forgemeter.plans.rules import CONTRIBUTION_RULES, PULL_RULES, REVIEW_STATES, SOURCE_RULES
@@ -27,6 +27,7 @@ from forgemeter.sources.samples import (
     order_pulls,
     troubled_calendars,
 )
+from forgemeter.sources.states import current_states
 from forgemeter.sources.tables import RAW_CONTRIBUTIONS, RAW_PULLS, read_table
 from forgemeter.streaming import landing
 
@@ -365,6 +366,33 @@ def contrib_weekly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contributions.weekly(long_contributions(spark, sf_dir))
 
 
+def _states_after_two_loads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """States of all months, made once after the older days were loaded and brought up to date after the rest."""
+    raw = scratch_path(spark, "raw-states")
+    days = long_contributions(spark, sf_dir)
+    for part in (F.col("date") < F.lit(dt.date(2000, 6, 15)), F.col("date") >= F.lit(dt.date(2000, 6, 15))):
+        runs.load_calendars(landed_calendars(days.filter(part)), raw)
+        states = current_states(spark, raw, contributions.MIN_STREAK_DAYS)
+    return states
+
+
+@query
+def contrib_monthly_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return month_states.monthly(_states_after_two_loads(spark, sf_dir))
+
+
+@query
+def contrib_user_summary_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return month_states.user_summary(_states_after_two_loads(spark, sf_dir), LONG_AS_OF).withColumn(
+        "stddev_daily_contributions", F.round("stddev_daily_contributions", 6)
+    )
+
+
+@query
+def contrib_streaks_merged(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return month_states.streaks(_states_after_two_loads(spark, sf_dir), contributions.MIN_STREAK_DAYS, LONG_AS_OF)
+
+
 # Reviews --------------------------------------------------------------------
 
 
