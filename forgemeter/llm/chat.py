@@ -111,6 +111,7 @@ def with_stale_reply(conversations: DataFrame) -> DataFrame:
         F.collect_list(F.when(F.col("role") == LEARNED, F.struct("turn", F.coalesce("text", F.lit("")).alias("text")))),
         asc=False,
     )
+    conversations = conversations.select("conv_id", "turn", "role", "text")
     last = conversations.groupBy("conv_id").agg(F.slice(replies, 1, 2).alias("__last"))
     is_last = (F.col("role") == LEARNED) & F.struct("turn", F.coalesce("text", F.lit("")).alias("text")).eqNullSafe(
         F.get("__last", F.lit(0))

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from forgemeter.llm.words import text_bytes
+from forgemeter.llm.words import text_bytes, unused
 
 # Fixed values of the base rules.
 SYMBOLS = b"#*$%&|<>"
@@ -317,4 +317,5 @@ def quality(docs: DataFrame) -> DataFrame:
 def kept_documents(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` that pass, all columns kept."""
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    return docs.select(*columns, judged_column(F.col("text")).alias("__counts")).filter(_kept("__counts")).select(*columns)
+    counts = unused(docs, "__counts")
+    return docs.select(*columns, judged_column(F.col("text")).alias(counts)).filter(_kept(counts)).select(*columns)

@@ -28,7 +28,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from forgemeter.llm.words import NO_ID, id_key, text_bytes, text_key
+from forgemeter.llm.words import NO_ID, id_key, text_bytes, text_key, unused
 from forgemeter.session import settle
 
 WORDS = 50
@@ -156,10 +156,10 @@ def without_repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     document that repeats throughout keeps its row with an empty text; null
     texts stay null; shorter repeated lines stay; all other columns are kept.
     """
-    runs = repeated_runs(docs, words).select(F.col("id").alias("__id"), F.col("text").alias("__text"), "starts", "stops")
-    runs = runs.withColumnsRenamed({"starts": "__starts", "stops": "__stops"})
+    key, text, starts, stops = (unused(docs, name) for name in ("__id", "__text", "__starts", "__stops"))
+    runs = repeated_runs(docs, words).withColumnsRenamed({"id": key, "text": text, "starts": starts, "stops": stops})
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(*columns, id_key().alias("__id"), text_key().alias("__text"))
-    joined = keyed.join(runs, ["__id", "__text"], "left")
-    rewritten = F.arrow_udf(_without, "string")("text", "__starts", "__stops")
+    keyed = docs.select(*columns, id_key().alias(key), text_key().alias(text))
+    joined = keyed.join(runs, [key, text], "left")
+    rewritten = F.arrow_udf(_without, "string")("text", starts, stops)
     return joined.withColumn("text", rewritten).select(*columns)

@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from forgemeter.llm.words import WORD, id_key, text_key
+from forgemeter.llm.words import WORD, id_key, text_key, unused
 from forgemeter.operators.ordering import with_running_total
 from forgemeter.session import settle
 
@@ -147,17 +147,18 @@ def mixed_documents(
     more if at least half of it is taken. Documents without words are not drawn.
     Rows equal in id, source and text are one document here, its repeats summed.
     """
-    keys = [id_key().alias("__id"), F.coalesce(F.col("source"), F.lit("")).alias("__source")]
+    key, source, text, count, turn = (unused(docs, f"__{name}") for name in ("id", "source", "text", "times", "turn"))
+    keys = [id_key().alias(key), F.coalesce(F.col("source"), F.lit("")).alias(source)]
     times = (
         mix(docs, weights, share, epochs)
         .filter("size > 0")
-        .select(*keys, F.col("text_key").alias("__text"), F.floor(F.col("taken") / F.col("size") + 0.5).alias("n"))
-        .groupBy("__id", "__source", "__text")
-        .agg(F.sum("n").cast("int").alias("__times"))
-        .filter("__times > 0")
+        .select(*keys, F.col("text_key").alias(text), F.floor(F.col("taken") / F.col("size") + 0.5).alias("n"))
+        .groupBy(key, source, text)
+        .agg(F.sum("n").cast("int").alias(count))
+        .filter(F.col(count) > 0)
     )
     columns = [F.col(f"`{c}`") for c in docs.columns]
-    keyed = docs.select(*columns, *keys, text_key().alias("__text")).dropDuplicates(["__id", "__source", "__text"])
-    return keyed.join(times, ["__id", "__source", "__text"]).withColumn(
-        "__turn", F.explode(F.sequence(F.lit(1), F.col("__times")))
+    keyed = docs.select(*columns, *keys, text_key().alias(text)).dropDuplicates([key, source, text])
+    return keyed.join(times, [key, source, text]).withColumn(
+        turn, F.explode(F.sequence(F.lit(1), F.col(count)))
     ).select(*columns)

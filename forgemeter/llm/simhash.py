@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from forgemeter.llm.components import component_roots
-from forgemeter.llm.words import id_key, text_bytes, text_key
+from forgemeter.llm.words import id_key, text_bytes, text_key, unused
 from forgemeter.session import settle
 
 BITS = 64
@@ -304,10 +304,11 @@ def one_of_each(docs: DataFrame, size: int = SHINGLE, distance: int = DISTANCE)
     """
     grouped = with_components(fingerprinted(docs, size), distance)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), id_key().alias("id"), F.col("text_key").alias("text")))
+    key, text = unused(docs, "__id"), unused(docs, "__text")
     winners = grouped.groupBy("root").agg(first.alias("first")).select(
-        F.col("first.id").alias("__id"), F.col("first.text").alias("__text")
+        F.col("first.id").alias(key), F.col("first.text").alias(text)
     ).distinct()
-    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], id_key().alias("__id"), text_key().alias("__text"))
-    return keyed.join(winners, ["__id", "__text"], "left_semi").dropDuplicates(["__id", "__text"]).select(
+    keyed = docs.select(*[F.col(f"`{c}`") for c in docs.columns], id_key().alias(key), text_key().alias(text))
+    return keyed.join(winners, [key, text], "left_semi").dropDuplicates([key, text]).select(
         *[F.col(f"`{c}`") for c in docs.columns]
     )

@@ -24,6 +24,8 @@ SF = "/root/testdata/sf0.001"
 DOC = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 # Extra columns whose names the operators use inside.
 CLASH = DOC + ", fingerprint string, component_id string, taken string, size string, ids string, starts string, key string"
+CLASH += ", __id string, __TEXT string, __starts string, __stops string, __counts string, __source string, __times string"
+CLASH += ", __turn string, __last string, __conv string"
 
 
 @pytest.fixture(scope="module", autouse=True)
@@ -577,3 +579,34 @@ def test_pipeline_stages(spark):
             docs = spark.createDataFrame(out.collect(), docs.schema)
     assert len(seen) == 5 and 0 < seen[2] <= seen[1] == seen[0] <= 200
     assert corpus_pipeline.run(spark, SF).count() == seen[-1]
+
+
+def test_other_columns_of_conversations_change_nothing(spark):
+    rows = [(1, 0, "user", "q"), (1, 1, "assistant", "a"), (1, 2, "user", "r"), (1, 3, "assistant", "b"), (None, 0, "assistant", None)]
+    plain = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    clashing = plain.select("*", *[F.lit(None).cast("string").alias(n) for n in ("__last", "__conv", "c", "r", "chosen", "rejected")])
+    both = [spark_rows(chat.preference_pairs(t, chat.with_stale_reply(t))) for t in (plain, clashing)]
+    assert both[0] == both[1] and len(both[0]) == 2
+
+
+def test_other_columns_change_no_score_text_or_neighbour(spark):
+    from forgemeter.llm import html_blocks
+
+    def wider(df, *names):
+        return df.select("*", *[F.lit(None).cast("string").alias(n) for n in names])
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    names = ("score", "features", "held_out", "predicted", "quality", "statistics", "__text")
+    assert spark_rows(quality_model.score_documents(docs, labels)) == spark_rows(
+        quality_model.score_documents(wider(docs, *names), labels)
+    )
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    assert spark_rows(html_blocks.extract_pages(pages)) == spark_rows(
+        html_blocks.extract_pages(wider(pages, "text", "n_chars", "blocks", "__text"))
+    )
+    vectors = spark.read.parquet(f"{SF}/embeddings.parquet")
+    some = F.col("vec_id") % 20 == 0
+    assert spark_rows(ann.nearest_neighbours(vectors, some)) == spark_rows(
+        ann.nearest_neighbours(wider(vectors, "ids", "score", "query_id", "rank", "list", "group"), some)
+    )
