@@ -1,25 +1,29 @@
 """Removing repeated passages by winnowing over line hashes.
 
-Every line has a hash of its trimmed bytes. Winnowing slides over the lines of a
-document in windows that are just long enough to hold ``words`` words (grown
-forwards from each line, and backwards to each line), and selects the line of
-the smallest hash in each window as a fingerprint. Whatever run of ``words`` or
-more words two documents share holds whole windows, equal in both, so both
-select the same line: a shared run cannot be missed.
-
-Positions are joined on the fingerprint together with a hash of its window.
-Each occurrence meets only the first one, in order of doc_id and line, not all
-others, so a passage that a third of all documents share costs a row per
-occurrence. Matches are extended both ways by the windows next to them: every
-line of a shared run lies in a forward or a backward window inside the run,
-hence the union of the matched windows of a document is its set of repeated
-runs, and exactly their lines are deleted. The first occurrence of any line
-always stays.
+Passages start and end inside lines, and a copy may be wrapped anew, so the
+lines hashed are those of ``LINE`` words that begin at each word of a text,
+wherever its own lines end. Winnowing slides over them in windows of ``words``
+words and selects in each the line of the smallest hash, the leftmost of
+several. Whatever run of ``words`` or more words two documents share holds such
+a window, equal in both, so both select the same line in it: a shared run cannot
+be missed. Windows next to each other mostly select the same line; they are one
+row, the stretch of words that they cover.
+
+Positions are joined on the selected line. Only lines that stand at several
+places go on. Places whose whole stretches are equal need no further look: all
+but the first are repeats. Where a line stands in different stretches, the match
+is extended both ways, word by word, but for the first place of each different
+stretch alone: its windows, one further word each, meet their first equals. A
+passage that a third of all documents share so costs a row per place, and its
+windows once for each different surrounding.
+
+The result is exact: a word goes if and only if it lies in a run of ``words``
+words that stands at an earlier place too, in order of doc_id and position.
 """
 
 from __future__ import annotations
 
-from collections import deque
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -32,129 +36,198 @@ from forgemeter.llm.words import NO_ID, id_key, text_bytes, text_key, unused
 from forgemeter.session import settle
 
 WORDS = 50
+# Words of a hashed line. Longer ones stand at fewer places by chance, but more of them are selected.
+LINE = 12
+
+# A run's hash is a polynomial at _BASE over the hashes of its words, modulo 2**64.
+_BASE = 0x1F3D5B79A2C4E681
+_BACK = pow(_BASE, -1, 2**64)
+_SIZE = np.uint64(0x9E3779B97F4A7C15)
+
+_STRETCHES = "id bigint, text bigint, line bigint, stretch bigint, start int, stop int"
+_WINDOWS = "id bigint, text bigint, window bigint, start int"
+
+# A word with the white space before it.
+_WORD = re.compile(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+")
+_LINE_REST = re.compile(r"^[\x20\x09\x0B-\x0D]+(?=\n)")
+_SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
+
+
+class Runs:
+    """Hashes of the runs of words of one text."""
+
+    def __init__(self, data: bytes):
+        words = np.array([xxhash.xxh64_intdigest(word) for word in data.split()], np.uint64)
+        self.words = len(words)
+        # uint64 arithmetic wraps around, as it should.
+        powers = np.cumprod(np.full(self.words, _BASE, np.uint64))
+        self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers, dtype=np.uint64)])
+        self._back = np.cumprod(np.full(self.words, _BACK, np.uint64))
+
+    def hashes(self, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
+        run = (self._sums[stops] - self._sums[starts]) * self._back[starts]
+        run += (stops - starts).astype(np.uint64) * _SIZE
+        run = (run ^ (run >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+        return run ^ (run >> np.uint64(32))
+
+
+def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
+    """Position of the smallest value, the leftmost of several, of each ``width`` values in a row."""
+    at, reach = np.arange(len(values)), 1
+    while reach < width:
+        step = min(reach, width - reach)
+        left, right = at[:-step], at[step:]
+        at = np.where(values[right] < values[left], right, left)
+        reach += step
+    return at
+
+
+def winnow(data: bytes, words: int = WORDS) -> tuple[np.ndarray, ...]:
+    """(hash of the selected line, hash of the stretch, start, stop) of each stretch, in words."""
+    runs = Runs(data)
+    windows = runs.words - words + 1
+    if windows < 1:
+        empty = np.zeros(0, np.int64)
+        return empty.astype(np.uint64), empty.astype(np.uint64), empty, empty
+    line = min(LINE, words)
+    places = np.arange(runs.words - line + 1)
+    lines = runs.hashes(places, places + line)
+    selected = leftmost_minima(lines, words - line + 1)
+    starts = np.concatenate([[0], np.flatnonzero(selected[1:] != selected[:-1]) + 1])
+    stops = np.append(starts[1:], windows) + words - 1
+    return lines[selected[starts]], runs.hashes(starts, stops), starts, stops
+
+
+def _signed(values: np.ndarray) -> pa.Array:
+    return pa.array(values.view(np.int64))
+
+
+def _stretches(words: int):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, data in enumerate(text_bytes(batch.column(2))):
+                lines, stretches, starts, stops = winnow(data, words)
+                if len(starts):
+                    same = [pa.array(np.full(len(starts), batch.column(c)[i].as_py(), np.int64)) for c in (0, 1)]
+                    places = [pa.array(a.astype(np.int32)) for a in (starts, stops)]
+                    yield pa.RecordBatch.from_arrays(
+                        [*same, _signed(lines), _signed(stretches), *places],
+                        names=["id", "text", "line", "stretch", "start", "stop"],
+                    )
 
-# Prefix hashes are polynomials at _BASE over the numbers below a Mersenne prime.
-_PRIME = 2**61 - 1
-_BASE = 0x1F3D5B79A2C4E681 % _PRIME
-
-_WINDOWS = "id bigint, text bigint, print bigint, window bigint, start int, stop int"
-
-
-def windows(line_words: list[int], words: int) -> list[tuple[int, int]]:
-    """Smallest runs (start, stop) of at least ``words`` words from each line on, and up to each line."""
-    total = np.concatenate([[0], np.cumsum(line_words)])
-    n = len(line_words)
-    stops = np.searchsorted(total, total[:-1] + words)
-    forward = [(i, int(j)) for i, j in enumerate(stops) if j <= n]
-    starts = np.searchsorted(total, total[1:] - words, side="right") - 1
-    backward = [(int(i), j + 1) for j, i in enumerate(starts) if i >= 0]
-    return sorted(set(forward + backward))
+    return run
 
 
-def winnow(data: bytes, words: int = WORDS) -> list[tuple[int, int, int, int]]:
-    """(fingerprint, window hash, start, stop) of each window; the fingerprint is its smallest line hash.
+def _windows(words: int):
+    """The windows of the given stretches of each text."""
 
-    A window may span any number of lines without words. Starts and stops both
-    grow from window to window, so the smallest hash is kept in a queue and the
-    window's hash is a difference of two prefix hashes: a line costs the same
-    however long its windows are.
-    """
-    lines = [line.strip() for line in data.split(b"\n")]
-    spans = windows([len(line.split()) for line in lines], words)
-    if not spans:
-        return []
-    hashes = [xxhash.xxh64_intdigest(line) for line in lines]
-    prefix, power = [0], [1]
-    for value in hashes:
-        prefix.append((prefix[-1] * _BASE + value) % _PRIME)
-        power.append(power[-1] * _BASE % _PRIME)
-    found, queue, seen = [], deque(), 0
-    for start, stop in spans:
-        while seen < stop:
-            while queue and hashes[queue[-1]] >= hashes[seen]:
-                queue.pop()
-            queue.append(seen)
-            seen += 1
-        while queue[0] < start:
-            queue.popleft()
-        window = (prefix[stop] - prefix[start] * power[stop - start]) % _PRIME
-        found.append((hashes[queue[0]], window, start, stop))
-    return found
-
-
-def _winnowed(words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, keys = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            rows = [
-                (ids[i], keys[i], *window)
-                for i, data in enumerate(text_bytes(batch.column(2)))
-                for window in winnow(data, words)
-            ]
-            columns = list(zip(*rows, strict=True)) if rows else [()] * 6
-            arrays = [
-                pa.array(columns[0], pa.int64()),
-                pa.array(columns[1], pa.int64()),
-                pa.array(np.array(columns[2], np.uint64).view(np.int64)),
-                pa.array(np.array(columns[3], np.uint64).view(np.int64)),
-                pa.array(columns[4], pa.int32()),
-                pa.array(columns[5], pa.int32()),
-            ]
-            yield pa.RecordBatch.from_arrays(arrays, names=["id", "text", "print", "window", "start", "stop"])
+            bodies, begins, ends = text_bytes(batch.column(2)), batch.column(3).to_pylist(), batch.column(4).to_pylist()
+            for i, (data, begin, end) in enumerate(zip(bodies, begins, ends, strict=True)):
+                runs = Runs(data)
+                spans = [np.arange(a, b - words + 1) for a, b in zip(begin, end, strict=True)]
+                starts = np.unique(np.concatenate(spans))
+                same = [pa.array(np.full(len(starts), batch.column(c)[i].as_py(), np.int64)) for c in (0, 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [*same, _signed(runs.hashes(starts, starts + words)), pa.array(starts.astype(np.int32))],
+                    names=["id", "text", "window", "start"],
+                )
 
     return run
 
 
 def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
-    """``id``, ``text`` (keys of the document), ``starts``, ``stops`` of repeated windows.
+    """``id``, ``text`` (keys of the document), ``starts``, ``stops`` of repeated runs, in words.
 
     One row per document that repeats an earlier run. Null ids come last. Rows
     equal in id and text are one document and no repeats of each other.
     """
     last = F.when(F.col("doc_id").isNull(), F.lit(2**63 - 1)).otherwise(id_key())
-    found = settle(
-        docs.select(last.alias("id"), text_key().alias("key"), "text").mapInArrow(_winnowed(words), _WINDOWS),
+    keyed = docs.select(last.alias("id"), text_key().alias("key"), "text")
+    found = settle(keyed.mapInArrow(_stretches(words), _STRETCHES), "stretches")
+
+    # Lines at several places. Partial aggregates, so a common line is a row per task, here and below.
+    place = F.struct("id", "text", "start", "stop")
+    several = (
+        found.groupBy("line")
+        .agg(
+            (F.min(place) != F.max(place)).alias("several"),
+            (F.min("stretch") != F.max("stretch")).alias("differ"),
+        )
+        .filter("several")
+        .select("line", "differ")
+    )
+    shared = settle(found.join(several, "line"), "shared")
+    firsts = settle(shared.groupBy("line", "stretch").agg(F.min(place).alias("first"), F.max("differ").alias("differ")), "firsts")
+    copies = shared.join(firsts.select("line", "stretch", "first"), ["line", "stretch"]).filter(place != F.col("first"))
+
+    # Matches that end inside stretches: windows of the first place of each different stretch of a line.
+    open_ends = (
+        firsts.filter("differ")
+        .select("first.*")
+        .groupBy("id", "text")
+        .agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
+        .withColumnRenamed("text", "key")
+    )
+    extended = settle(
+        keyed.join(open_ends, ["id", "key"])
+        .select("id", "key", "text", "starts", "stops")
+        .mapInArrow(_windows(words), _WINDOWS),
         "windows",
     )
-    # The first place of each window that has several; partial aggregates, so a common window is a row per task.
-    place = F.struct("id", "text", "start")
-    firsts = (
-        found.groupBy("print", "window")
-        .agg(F.min(place).alias("first"), F.max(place).alias("last"))
+    at = F.struct("id", "text", "start")
+    equals = (
+        extended.groupBy("window")
+        .agg(F.min(at).alias("first"), F.max(at).alias("last"))
         .filter(F.col("first") != F.col("last"))
-        .select("print", "window", "first")
+        .select("window", "first")
     )
+    matched = extended.join(equals, "window").filter(at != F.col("first"))
+
+    back = F.when(F.col("id") == 2**63 - 1, F.lit(NO_ID)).otherwise(F.col("id"))
     return (
-        found.join(firsts, ["print", "window"])
-        .filter(place != F.col("first"))
+        copies.select("id", "text", "start", "stop")
+        .unionByName(matched.select("id", "text", "start", (F.col("start") + words).cast("int").alias("stop")))
         .groupBy("id", "text")
         .agg(F.collect_list("start").alias("starts"), F.collect_list("stop").alias("stops"))
-        .select(
-            F.when(F.col("id") == 2**63 - 1, F.lit(NO_ID)).otherwise(F.col("id")).alias("id"), "text", "starts", "stops"
-        )
+        .select(back.alias("id"), "text", "starts", "stops")
     )
 
 
-def _without(texts: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
+def cut_out(text: str, starts: list[int], stops: list[int]) -> str:
+    """``text`` without those runs of words, each word with the white space before it.
+
+    The rest of a line's white space goes with the last word gone from it, all
+    white space at the end with the text's last word, and that before the first
+    word left with words gone before it.
+    """
+    ends = [found.end() for found in _WORD.finditer(text)]
+    edges = np.zeros(len(ends) + 1, np.int64)
+    np.add.at(edges, starts, 1)
+    np.add.at(edges, stops, -1)
+    gone = (np.cumsum(edges)[:-1] > 0).tolist()
+    ends[-1] = len(text)
     kept = []
-    for text, begin, end in zip(texts.to_pylist(), starts.to_pylist(), stops.to_pylist(), strict=True):
-        if text and begin:
-            lines = text.split("\n")
-            edges = np.zeros(len(lines) + 1, np.int64)
-            np.add.at(edges, begin, 1)
-            np.add.at(edges, end, -1)
-            gone = np.cumsum(edges)[:-1] > 0
-            text = "\n".join(line for line, drop in zip(lines, gone.tolist(), strict=True) if not drop)
-        kept.append(text)
-    return pa.array(kept, pa.string())
+    for i, (start, stop) in enumerate(zip([0, *ends], ends, strict=False)):
+        if not gone[i]:
+            word = text[start:stop]
+            kept.append(_LINE_REST.sub("", word) if i and gone[i - 1] else word)
+    return "".join(kept).lstrip(_SPACE) if gone[0] else "".join(kept)
+
+
+def _without(texts: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
+    rows = zip(texts.to_pylist(), starts.to_pylist(), stops.to_pylist(), strict=True)
+    return pa.array([cut_out(text, begin, end) if text and begin else text for text, begin, end in rows], pa.string())
 
 
 def without_repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """``docs`` with later repeats of runs of ``words`` or more words taken out of ``text``.
 
-    Runs are of whole lines, compared without white space at their ends. A
+    Runs start and end at any word; white space between words is not compared. A
     document that repeats throughout keeps its row with an empty text; null
-    texts stay null; shorter repeated lines stay; all other columns are kept.
+    texts stay null; shorter repeats stay; all other columns are kept. An empty
+    table gives an empty result.
     """
     key, text, starts, stops = (unused(docs, name) for name in ("__id", "__text", "__starts", "__stops"))
     runs = repeated_runs(docs, words).withColumnsRenamed({"id": key, "text": text, "starts": starts, "stops": stops})

@@ -84,42 +84,42 @@ SELECT conv_id, CAST(any_value(prompt_turns) AS BIGINT) AS prompt_turns,
 FROM placed GROUP BY conv_id
 """
 
-# The lines of 50 or more words at a time that a document repeats, run by run, and the text without them.
+# All runs of 50 words, those that stand at an earlier place too, and the texts word by word without them.
 OP6 = """
-WITH lines AS (
-    SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS k
-    FROM documents WHERE text IS NOT NULL
-), sized AS (
-    SELECT doc_id, k, line, regexp_replace(line, '^[\\x20\\x09-\\x0D]+|[\\x20\\x09-\\x0D]+$', '', 'g') AS body,
-           len(regexp_extract_all(line, '[^\\x20\\x09-\\x0D]+')) AS words
-    FROM lines
-), summed AS (
-    SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY k) AS upto FROM sized
-), forward AS (
-    SELECT a.doc_id, a.k AS first, min(b.k) AS last
-    FROM summed a JOIN summed b ON a.doc_id = b.doc_id AND b.k >= a.k AND b.upto - a.upto + a.words >= 50
-    GROUP BY a.doc_id, a.k
-), backward AS (
-    SELECT b.doc_id, max(a.k) AS first, b.k AS last
-    FROM summed a JOIN summed b ON a.doc_id = b.doc_id AND b.k >= a.k AND b.upto - a.upto + a.words >= 50
-    GROUP BY b.doc_id, b.k
+WITH words AS (
+    SELECT doc_id, text, regexp_extract_all(text, '[\\x20\\x09-\\x0D]*[^\\x20\\x09-\\x0D]+') AS spaced
+    FROM documents
+), bare AS (
+    SELECT doc_id, list_transform(spaced, lambda w: regexp_replace(w, '^[\\x20\\x09-\\x0D]+', '')) AS own FROM words
 ), windows AS (
-    SELECT DISTINCT w.doc_id, w.first, w.last FROM (SELECT * FROM forward UNION ALL SELECT * FROM backward) w
-), bodies AS (
-    SELECT w.doc_id, w.first, w.last, string_agg(s.body, chr(10) ORDER BY s.k) AS run
-    FROM windows w JOIN summed s ON s.doc_id = w.doc_id AND s.k BETWEEN w.first AND w.last
-    GROUP BY w.doc_id, w.first, w.last
+    SELECT doc_id, i, md5(array_to_string(own[i:i + 49], ' ')) AS run
+    FROM (SELECT doc_id, own, unnest(range(1, len(own) - 48)) AS i FROM bare)
 ), repeated AS (
-    SELECT doc_id, first, last
-    FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, first) AS place FROM bodies)
+    SELECT doc_id, i
+    FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, i) AS place FROM windows)
     WHERE place > 1
+), one_by_one AS (
+    SELECT doc_id, len(spaced) AS n, generate_subscripts(spaced, 1) AS i, unnest(spaced) AS word,
+           regexp_extract(text, '[\\x20\\x09-\\x0D]*$') AS ending
+    FROM words
+), marked AS (
+    SELECT w.doc_id, w.i, CASE WHEN w.i = n THEN word || ending ELSE word END AS word,
+           max(CASE WHEN r.i IS NULL THEN 0 ELSE 1 END)
+               OVER (PARTITION BY w.doc_id ORDER BY w.i ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone
+    FROM one_by_one w LEFT JOIN repeated r ON w.doc_id = r.doc_id AND w.i = r.i
+), trimmed AS (
+    SELECT doc_id, i, gone, CASE WHEN lag(gone) OVER (PARTITION BY doc_id ORDER BY i) = 1
+                                 THEN regexp_replace(word, '^[\\x20\\x09\\x0B-\\x0D]+\\n', chr(10)) ELSE word END AS word
+    FROM marked
 ), kept AS (
-    SELECT s.doc_id, s.k, s.line FROM summed s
-    WHERE NOT EXISTS (SELECT 1 FROM repeated r WHERE r.doc_id = s.doc_id AND s.k BETWEEN r.first AND r.last)
+    SELECT doc_id, string_agg(word, '' ORDER BY i) FILTER (gone = 0) AS text, max(gone) FILTER (i = 1) AS begins_gone
+    FROM trimmed GROUP BY doc_id
 )
-SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(t.text, '') END AS text
-FROM documents d LEFT JOIN (SELECT doc_id, string_agg(line, chr(10) ORDER BY k) AS text FROM kept GROUP BY doc_id) t
-     ON d.doc_id = t.doc_id
+SELECT d.doc_id,
+       CASE WHEN d.text IS NULL THEN NULL WHEN k.doc_id IS NULL THEN d.text
+            WHEN begins_gone = 1 THEN regexp_replace(coalesce(k.text, ''), '^[\\x20\\x09-\\x0D]+', '')
+            ELSE k.text END AS text
+FROM documents d LEFT JOIN kept k ON d.doc_id = k.doc_id
 """
 
 # Every phrase of up to five words with its occurrences, then cuts, containment and ranks.

@@ -416,26 +416,91 @@ def test_pages_with_nulls(spark):
 # Lines ----------------------------------------------------------------------
 
 
-def test_windows_of_any_text():
+def test_winnowing_selects_a_line_of_every_window():
     rng = np.random.default_rng(7)
     same = {}
     for _ in range(200):
-        lines = [words(rng.integers(0, 9), int(rng.integers(12))) for _ in range(rng.integers(1, 60))]
-        data = "\n".join(lines).encode()
-        hashes = [xxhash.xxh64_intdigest(line.encode()) for line in lines]
-        sizes = [len(line.split()) for line in lines]
-        found = line_dedup.winnow(data, 12)
-        assert [(a, b) for _, _, a, b in found] == line_dedup.windows(sizes, 12)
-        for print_, window, start, stop in found:
-            assert print_ == min(hashes[start:stop])
-            assert same.setdefault(window, lines[start:stop]) == lines[start:stop]
+        own = words(int(rng.integers(0, 90)), int(rng.integers(12))).split()
+        own += own[: int(rng.integers(0, 40))]
+        lines, stretches, starts, stops = line_dedup.winnow("\n ".join(own).encode(), 20)
+        covered = [s for a, b in zip(starts.tolist(), stops.tolist()) for s in range(a, b - 19)]
+        assert covered == list(range(len(own) - 19))
+        runs = line_dedup.Runs(" ".join(own).encode())
+        for line, stretch, a, b in zip(lines, stretches, starts.tolist(), stops.tolist()):
+            for s in range(a, b - 19):
+                places = np.arange(s, s + 21 - line_dedup.LINE)
+                assert runs.hashes(places, places + line_dedup.LINE).min() == line
+            assert same.setdefault(stretch, own[a:b]) == own[a:b]
     assert len(same) == len({tuple(v) for v in same.values()})
 
 
+def test_leftmost_minima():
+    rng = np.random.default_rng(8)
+    for width in (1, 2, 3, 7, 8, 39):
+        values = rng.integers(0, 9, 60)
+        expected = [s + int(np.argmin(values[s : s + width])) for s in range(60 - width + 1)]
+        assert line_dedup.leftmost_minima(values, width).tolist() == expected
+
+
+def brute_without_repeats(docs, size):
+    """Texts by plain comparison of all runs of ``size`` words."""
+    seen, out = set(), {}
+    for doc_id, text in sorted(docs, key=lambda d: (d[0] is None, d[0])):
+        if text is None:
+            out[doc_id] = None
+            continue
+        spaced = re.findall(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+", text)
+        own = [w.strip(" \t\n\x0b\x0c\r") for w in spaced]
+        ending = text[len("".join(spaced)) :]
+        gone = set()
+        for s in range(len(own) - size + 1):
+            run = tuple(own[s : s + size])
+            if run in seen:
+                gone.update(range(s, s + size))
+            seen.add(run)
+        for i in gone:
+            if i + 1 < len(own) and i + 1 not in gone:
+                spaced[i + 1] = re.sub(r"^[ \t\r\x0b\x0c]+\n", "\n", spaced[i + 1])
+        kept = "".join(w for i, w in enumerate(spaced) if i not in gone)
+        kept += "" if len(own) - 1 in gone else ending
+        out[doc_id] = kept.lstrip(" \t\n\x0b\x0c\r") if 0 in gone else kept
+    return out
+
+
+def test_repeated_runs_are_those_of_plain_comparison(spark):
+    rng = np.random.default_rng(11)
+    passages = [words(int(rng.integers(14, 60)), seed).split() for seed in range(12)]
+    docs = []
+    for doc_id in range(160):
+        own = []
+        for _ in range(rng.integers(0, 6)):
+            passage = list(passages[rng.integers(12)])
+            if rng.random() < 0.5:
+                passage = passage[int(rng.integers(0, 10)) : len(passage) - int(rng.integers(0, 10))]
+            if rng.random() < 0.4:
+                passage[int(rng.integers(len(passage)))] = f"edit{rng.integers(1000)}"
+            if rng.random() < 0.1:
+                passage = ["same"] * 70
+            own += passage
+        docs.append((doc_id, "".join(w + str(rng.choice([" ", " ", "\n", "\n\n", "\t "])) for w in own)))
+    docs += [(None, docs[5][1]), (500, None), (501, " \n "), (502, "x" * 20_000)]
+    expected = brute_without_repeats(docs, 20)
+    got = {r.doc_id: r.text for r in line_dedup.without_repeated_runs(table(spark, docs), 20).collect()}
+    assert got == expected
+    assert sum(expected[d] != text for d, text in docs) > 60
+
+
+def test_passages_inside_lines_go(spark):
+    passage = words(93, 5)
+    docs = [(1, passage), (2, f"one two {passage} three four"), (3, f"five {passage}")]
+    got = {r.doc_id: r.text for r in line_dedup.without_repeated_runs(table(spark, docs)).collect()}
+    assert got == {1: passage, 2: "one two three four", 3: "five"}
+
+
 def test_a_hundred_thousand_blank_lines_are_no_burden():
     text = "first\n" + "\n" * 100_000 + words(60, 3) + "\n" * 100_000 + "last"
-    found = line_dedup.winnow(text.encode())
-    assert found[0][2:] == (0, 100_002) and found[-1][3] == 200_002
+    assert line_dedup.winnow(text.encode())[3].max() == 62
+    assert line_dedup.cut_out(text, [1], [61]) == "first" + "\n" * 100_000 + "last"
 
 
 def test_repeated_runs_go_and_first_places_stay(spark):
