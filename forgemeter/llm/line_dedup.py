@@ -25,13 +25,15 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import xxhash
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from forgemeter.llm.bpe import in_portions
 from forgemeter.llm.words import NO_ID, id_key, text_bytes, text_key, unused
 from forgemeter.session import settle
 
@@ -39,11 +41,17 @@ WORDS = 50
 # Words of a hashed line. Longer ones stand at fewer places by chance, but more of them are selected.
 LINE = 12
 
-# A run's hash is a polynomial at _BASE over the hashes of its words, modulo 2**64.
+# Bytes whose words are hashed together; a longer word is hashed alone.
+BYTES_AT_ONCE = 1 << 21
+
+# A run's hash is a polynomial at _BASE over the hashes of its words, a word's over numbers of its bytes, modulo 2**64.
 _BASE = 0x1F3D5B79A2C4E681
 _BACK = pow(_BASE, -1, 2**64)
 _SIZE = np.uint64(0x9E3779B97F4A7C15)
 
+_IS_WORD = np.ones(256, np.uint8)
+_IS_WORD[[0x20, *range(0x09, 0x0E)]] = 0
+
 _STRETCHES = "id bigint, text bigint, line bigint, stretch bigint, start int, stop int"
 _WINDOWS = "id bigint, text bigint, window bigint, start int"
 
@@ -53,22 +61,53 @@ _LINE_REST = re.compile(r"^[\x20\x09\x0B-\x0D]+(?=\n)")
 _SPACE = "\x20\x09\x0a\x0b\x0c\x0d"
 
 
-class Runs:
-    """Hashes of the runs of words of one text."""
+@lru_cache(maxsize=2)
+def _powers(base: int, size: int) -> np.ndarray:
+    return np.cumprod(np.full(size, base, np.uint64))
+
+
+def _mixed(values: np.ndarray) -> np.ndarray:
+    values = (values ^ (values >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
+    return values ^ (values >> np.uint64(32))
 
-    def __init__(self, data: bytes):
-        words = np.array([xxhash.xxh64_intdigest(word) for word in data.split()], np.uint64)
-        self.words = len(words)
-        # uint64 arithmetic wraps around, as it should.
-        powers = np.cumprod(np.full(self.words, _BASE, np.uint64))
-        self._sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers, dtype=np.uint64)])
-        self._back = np.cumprod(np.full(self.words, _BACK, np.uint64))
+
+_BYTES = _mixed(_mixed(np.arange(1, 257, dtype=np.uint64) * _SIZE) * _SIZE)
+
+
+class _Sums:
+    """Hashes of the runs of a row of numbers, from running sums of numbers times powers."""
+
+    def __init__(self, numbers: np.ndarray):
+        # uint64 arithmetic wraps around, as it should. Powers are kept for sizes up to the next power of two.
+        size = 1 << max(10, len(numbers).bit_length())
+        self._back = _powers(_BACK, size)
+        self._sums = np.zeros(len(numbers) + 1, np.uint64)
+        np.cumsum(numbers * _powers(_BASE, size)[: len(numbers)], out=self._sums[1:])
 
     def hashes(self, starts: np.ndarray, stops: np.ndarray) -> np.ndarray:
         run = (self._sums[stops] - self._sums[starts]) * self._back[starts]
-        run += (stops - starts).astype(np.uint64) * _SIZE
-        run = (run ^ (run >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-        return run ^ (run >> np.uint64(32))
+        return _mixed(run + (stops - starts).astype(np.uint64) * _SIZE)
+
+
+class Runs:
+    """Hashes of the runs of words of texts that follow each other."""
+
+    def __init__(self, *texts: bytes):
+        data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+        inside = _IS_WORD[data]
+        edges = np.flatnonzero(np.diff(inside, prepend=np.uint8(0)))
+        starts, ends = edges[::2], edges[1::2]
+        self.words = len(starts)
+        numbers = np.zeros(self.words, np.uint64)
+        cuts = np.searchsorted(starts, np.arange(0, len(data) + BYTES_AT_ONCE, BYTES_AT_ONCE))
+        for i, j in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+            if i < j:
+                at = starts[i]
+                numbers[i:j] = _Sums(_BYTES[data[at : ends[j - 1]]]).hashes(starts[i:j] - at, ends[i:j] - at)
+        # The first word of each text, and the number of words at the end.
+        begins = np.cumsum([0] + [len(text) + 1 for text in texts])
+        self.firsts = np.searchsorted(starts, begins)
+        self.hashes = _Sums(numbers).hashes
 
 
 def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
@@ -82,38 +121,55 @@ def leftmost_minima(values: np.ndarray, width: int) -> np.ndarray:
     return at
 
 
-def winnow(data: bytes, words: int = WORDS) -> tuple[np.ndarray, ...]:
-    """(hash of the selected line, hash of the stretch, start, stop) of each stretch, in words."""
-    runs = Runs(data)
-    windows = runs.words - words + 1
-    if windows < 1:
+def winnow_all(texts: list[bytes], words: int = WORDS) -> tuple[np.ndarray, ...]:
+    """(number of the text, hash of the selected line, hash of the stretch, start, stop) of each stretch, in words."""
+    runs = Runs(*texts)
+    # Windows that lie in one text, by their first word.
+    sizes = np.maximum(np.diff(runs.firsts) - words + 1, 0)
+    text = np.repeat(np.arange(len(texts)), sizes)
+    windows = np.arange(len(text)) + np.repeat(runs.firsts[:-1] - np.cumsum(sizes) + sizes, sizes)
+    if not len(windows):
         empty = np.zeros(0, np.int64)
-        return empty.astype(np.uint64), empty.astype(np.uint64), empty, empty
+        return empty, empty.astype(np.uint64), empty.astype(np.uint64), empty, empty
     line = min(LINE, words)
     places = np.arange(runs.words - line + 1)
     lines = runs.hashes(places, places + line)
-    selected = leftmost_minima(lines, words - line + 1)
-    starts = np.concatenate([[0], np.flatnonzero(selected[1:] != selected[:-1]) + 1])
-    stops = np.append(starts[1:], windows) + words - 1
-    return lines[selected[starts]], runs.hashes(starts, stops), starts, stops
+    selected = leftmost_minima(lines, words - line + 1)[windows]
+    # Windows of two texts never select the same line.
+    breaks = np.flatnonzero(selected[1:] != selected[:-1])
+    begin, end = np.append(0, breaks + 1), np.append(breaks, len(windows) - 1)
+    starts, stops, first = windows[begin], windows[end] + words, runs.firsts[text[begin]]
+    return text[begin], lines[selected[begin]], runs.hashes(starts, stops), starts - first, stops - first
+
+
+def winnow(data: bytes, words: int = WORDS) -> tuple[np.ndarray, ...]:
+    """The stretches of one text: hash of the selected line, hash of the stretch, start, stop."""
+    return winnow_all([data], words)[1:]
 
 
 def _signed(values: np.ndarray) -> pa.Array:
     return pa.array(values.view(np.int64))
 
 
+def _portions(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, list[bytes]]]:
+    """Rows of a batch and their texts, a bounded portion at a time; a longer text comes alone."""
+    texts = text_bytes(batch.column(2))
+    for portion in in_portions(list(enumerate(texts)), lambda row: len(row[1])):
+        rows, bodies = zip(*portion, strict=True)
+        yield np.array(rows), list(bodies)
+
+
 def _stretches(words: int):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i, data in enumerate(text_bytes(batch.column(2))):
-                lines, stretches, starts, stops = winnow(data, words)
-                if len(starts):
-                    same = [pa.array(np.full(len(starts), batch.column(c)[i].as_py(), np.int64)) for c in (0, 1)]
-                    places = [pa.array(a.astype(np.int32)) for a in (starts, stops)]
-                    yield pa.RecordBatch.from_arrays(
-                        [*same, _signed(lines), _signed(stretches), *places],
-                        names=["id", "text", "line", "stretch", "start", "stop"],
-                    )
+            for rows, texts in _portions(batch):
+                text, lines, stretches, starts, stops = winnow_all(texts, words)
+                same = [batch.column(c).take(pa.array(rows[text])) for c in (0, 1)]
+                places = [pa.array(a.astype(np.int32)) for a in (starts, stops)]
+                yield pa.RecordBatch.from_arrays(
+                    [*same, _signed(lines), _signed(stretches), *places],
+                    names=["id", "text", "line", "stretch", "start", "stop"],
+                )
 
     return run
 
@@ -123,14 +179,18 @@ def _windows(words: int):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bodies, begins, ends = text_bytes(batch.column(2)), batch.column(3).to_pylist(), batch.column(4).to_pylist()
-            for i, (data, begin, end) in enumerate(zip(bodies, begins, ends, strict=True)):
-                runs = Runs(data)
-                spans = [np.arange(a, b - words + 1) for a, b in zip(begin, end, strict=True)]
-                starts = np.unique(np.concatenate(spans))
-                same = [pa.array(np.full(len(starts), batch.column(c)[i].as_py(), np.int64)) for c in (0, 1)]
+            for rows, texts in _portions(batch):
+                runs = Runs(*texts)
+                begins, ends = (batch.column(c).take(pa.array(rows)) for c in (3, 4))
+                text = np.repeat(np.arange(len(texts)), [len(b) for b in begins])
+                begin, end = (np.asarray(lists.flatten()) for lists in (begins, ends))
+                sizes = (end - begin - words + 1).astype(np.int64)
+                text = np.repeat(text, sizes)
+                starts = np.arange(len(text)) + np.repeat(begin - np.cumsum(sizes) + sizes, sizes)
+                places = starts + runs.firsts[text]
+                same = [batch.column(c).take(pa.array(rows[text])) for c in (0, 1)]
                 yield pa.RecordBatch.from_arrays(
-                    [*same, _signed(runs.hashes(starts, starts + words)), pa.array(starts.astype(np.int32))],
+                    [*same, _signed(runs.hashes(places, places + words)), pa.array(starts.astype(np.int32))],
                     names=["id", "text", "window", "start"],
                 )
 
@@ -148,11 +208,11 @@ def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     found = settle(keyed.mapInArrow(_stretches(words), _STRETCHES), "stretches")
 
     # Lines at several places. Partial aggregates, so a common line is a row per task, here and below.
-    place = F.struct("id", "text", "start", "stop")
+    place, number = F.struct("id", "text", "start", "stop"), F.xxhash64("id", "text", "start")
     several = (
         found.groupBy("line")
         .agg(
-            (F.min(place) != F.max(place)).alias("several"),
+            (F.min(number) != F.max(number)).alias("several"),
             (F.min("stretch") != F.max("stretch")).alias("differ"),
         )
         .filter("several")
@@ -217,8 +277,9 @@ def cut_out(text: str, starts: list[int], stops: list[int]) -> str:
 
 
 def _without(texts: pa.Array, starts: pa.Array, stops: pa.Array) -> pa.Array:
-    rows = zip(texts.to_pylist(), starts.to_pylist(), stops.to_pylist(), strict=True)
-    return pa.array([cut_out(text, begin, end) if text and begin else text for text, begin, end in rows], pa.string())
+    changed = pc.is_valid(starts)
+    rows = zip(*(column.filter(changed).to_pylist() for column in (texts, starts, stops)), strict=True)
+    return pc.replace_with_mask(texts, changed, pa.array([cut_out(*row) for row in rows], texts.type))
 
 
 def without_repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
