@@ -9,6 +9,7 @@ from forgemeter.session import (
     path_exists,
     remove_path,
     scratch_scope,
+    settle,
     settled_files,
     sized_session,
     stored_bytes,
@@ -49,22 +50,48 @@ def upsert(target: DataFrame, batch: DataFrame, spec: TableSpec, seq: str) -> Da
     as the batch's keys are small enough to broadcast (Spark decides by size).
     Otherwise both sides go through one aggregate in which target rows come first.
     """
-    keys, columns = list(spec.primary_key), spec.column_names
-    target = target.select(*columns)
-    if set(spec.replaced_fields) == set(spec.payload_names):
-        latest = last_per_key(batch, spec, seq)
-        untouched = target.join(latest.select(*keys), keys, "left_anti")
-        return untouched.select(*columns).unionByName(latest)
+    if _replaces_rows(spec):
+        return _with_latest(target, last_per_key(batch, spec, seq), spec)
     # NULL comes before any value.
     first = F.lit(None).cast(batch.schema[seq].dataType)
-    both = target.withColumn("_seq", first).unionByName(batch.select(*columns, F.col(seq).alias("_seq")))
+    columns = spec.column_names
+    both = target.select(*columns, first.alias("_seq")).unionByName(batch.select(*columns, F.col(seq).alias("_seq")))
     return last_per_key(both, spec, "_seq")
 
 
+def changed_rows(target: DataFrame, latest: DataFrame, spec: TableSpec) -> DataFrame:
+    """The rows of ``latest`` that are new in ``target`` or change a field there; both are unique by key.
+
+    Fields are compared themselves, not digests of them, so that no change is
+    ever taken for none. The target is only joined on keys: it is not shuffled
+    while ``latest`` is small enough for Spark to broadcast.
+    """
+    keys = list(spec.primary_key)
+    given = latest.select(*keys, F.struct(*spec.replaced_fields).alias("_given"))
+    stored = target.select(*keys, F.struct(*spec.replaced_fields).alias("_stored"))
+    same = stored.join(given, keys).filter(F.col("_given").eqNullSafe(F.col("_stored"))).select(*keys)
+    return latest.join(same, keys, "left_anti").select(*spec.column_names)
+
+
+def _replaces_rows(spec: TableSpec) -> bool:
+    return set(spec.replaced_fields) == set(spec.payload_names)
+
+
+def _with_latest(target: DataFrame, latest: DataFrame, spec: TableSpec) -> DataFrame:
+    """``target`` after loading rows that are unique by key."""
+    if not _replaces_rows(spec):
+        return upsert(target, latest.withColumn("_seq", F.lit(1)), spec, "_seq")
+    columns, keys = spec.column_names, list(spec.primary_key)
+    untouched = target.select(*columns).join(latest.select(*keys), keys, "left_anti")
+    return untouched.select(*columns).unionByName(latest.select(*columns))
+
+
 def upsert_into(batch: DataFrame, spec: TableSpec, path: str, seq: str) -> None:
     """Load ``batch`` into the dataset at ``path``, rewriting only what it touches.
 
-    Loading the same batch again changes nothing, so a failed load is repeated.
+    Rows that are stored already just as they come leave the batch first; months
+    or id blocks without any other row keep their files, and a batch without any
+    writes nothing. So a failed load is repeated at the price of reading.
     The merged rows are written to ``_pending`` inside the dataset (readers skip
     such folders) before any directory is replaced: the job never reads what it
     overwrites, and a swap cut short is finished by the next load. One load at a
@@ -82,23 +109,29 @@ def upsert_into(batch: DataFrame, spec: TableSpec, path: str, seq: str) -> None:
 
 
 def _merge(batch: DataFrame, spec: TableSpec, path: str, seq: str) -> DataFrame | None:
-    """The full new content of the directories the batch touches; None if it is empty.
+    """The full new content of the directories the batch changes; None if it changes nothing.
 
-    Shuffles are sized by the bytes of the batch and of those directories.
+    Shuffles are sized by the bytes of the batch and of the directories it has keys in.
     """
     spark, place = batch.sparkSession, spec.layout[0]
-    batch = batch.select(*spec.column_names, seq, spec.layout_column().alias(place))
+    batch = batch.select(*spec.column_names, seq)
     files = settled_files(batch, "batch")
-    settled = spark.read.schema(batch.schema).parquet(files)
-
-    # Names of directories of the dataset, all of which the driver lists anyway.
-    touched = [r[0] for r in settled.select(place).distinct().collect()]
-    if not touched:
-        return None
-    stored = [d for d in (f"{path}/{place}={t}" for t in touched) if path_exists(spark, d)]
+    met = _places(spark.read.schema(batch.schema).parquet(files), spec)
+    stored = [d for d in (f"{path}/{place}={t}" for t in met) if path_exists(spark, d)]
     sized, _ = sized_session(spark, sum(stored_bytes(spark, d) for d in [files, *stored]))
-    target = read_table(sized, spec, path).filter(F.col(place).isin(touched))
-    return upsert(target, sized.read.schema(batch.schema).parquet(files), spec, seq)
+    latest = last_per_key(sized.read.schema(batch.schema).parquet(files), spec, seq)
+    target = read_table(sized, spec, path)
+    if stored:
+        latest = settle(latest, "latest")
+        latest = changed_rows(target.filter(F.col(place).isin(met)), latest, spec)
+    latest = settle(latest, "changed")
+    touched = _places(latest, spec)
+    return _with_latest(target.filter(F.col(place).isin(touched)), latest, spec) if touched else None
+
+
+def _places(rows: DataFrame, spec: TableSpec) -> list:
+    """Names of directories of the dataset, all of which the driver lists anyway."""
+    return [r[0] for r in rows.select(spec.layout_column()).distinct().collect()]
 
 
 def finish_swap(spark: SparkSession, spec: TableSpec, path: str) -> None:

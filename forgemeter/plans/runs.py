@@ -181,9 +181,16 @@ def _load_days(spark: SparkSession, triaged: DataFrame, raw_path: str, restate:
         days = sized.read.schema(valid.schema).parquet(files)
         if not days.isEmpty():
             known = known_days(sized, raw_path)
-            mark_stale(spark, raw_path)
-            upsert_into(ingest.new_days(days, known, restate), RAW_CONTRIBUTIONS, raw_path, "arrival")
-            add_known(days, raw_path)
+            new = settle(ingest.new_days(days, known), "new-days")
+            grows = not new.isEmpty()
+            if grows:
+                mark_stale(spark, raw_path)
+            if restate:
+                upsert_into(ingest.new_days(days, known, restate), RAW_CONTRIBUTIONS, raw_path, "arrival")
+            elif grows:
+                upsert_into(new, RAW_CONTRIBUTIONS, raw_path, "arrival")
+            if grows:
+                add_known(new, raw_path)
     return trouble
 
 

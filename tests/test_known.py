@@ -108,3 +108,20 @@ def test_what_is_known_is_told_without_the_rows(spark, tmp_path):
         assert all("/_known/" in f or "/batch" in f for f in df.inputFiles())
     assert sorted((r["username"], r["mode"]) for r in ranges.collect()) == [("u", "incremental"), ("w", "backfill"), ("w", "backfill")]
     assert fresh.count() == 0
+
+
+def test_a_repeated_load_leaves_days_and_bitmaps(spark, tmp_path):
+    raw = str(tmp_path / "raw")
+    days = [("2023-12-31", 1), ("2024-01-01", 2)]
+
+    def files():
+        return {f: f.stat().st_mtime_ns for f in (tmp_path / "raw").rglob("*") if f.is_file()}
+
+    load(spark, raw, "u", *days)
+    before = files()
+    load(spark, raw, "u", *days)
+    load(spark, raw, "u", *days, restate=True)
+    assert files() == before
+    load(spark, raw, "u", ("2023-12-31", 5), restate=True)
+    assert {f.parent.name for f in before if f not in files()} == {"month=2023-12-01"}
+    check_known(spark, raw)

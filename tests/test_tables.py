@@ -5,7 +5,7 @@ import pytest
 from helpers import by_key, day
 from pyspark.sql import functions as F
 
-from forgemeter.operators.upsert import finish_swap, upsert, upsert_into
+from forgemeter.operators.upsert import changed_rows, finish_swap, upsert, upsert_into
 from forgemeter.sources import samples
 from forgemeter.sources.tables import (
     RAW_CONTRIBUTIONS,
@@ -158,3 +158,57 @@ def test_a_batch_over_several_directories_loads_twice_alike(spark, tmp_path):
     for _ in range(2):
         upsert_into(both, RAW_CONTRIBUTIONS, path, "seq")
     assert read_table(spark, RAW_CONTRIBUTIONS, path).count() == both.select("username", "date").distinct().count()
+
+
+PULLS = ", ".join(f"{c.name} {c.type}" for c in RAW_PULLS.columns)
+
+
+def _files(folder):
+    return {str(f.relative_to(folder)): f.stat().st_mtime_ns for f in folder.rglob("*") if f.is_file()}
+
+
+def test_rows_that_change_nothing_leave_the_batch(spark):
+    stored = [("o/r", 1, "open", None, None, "u"), ("o/r", 2, None, None, None, None), ("o/r", 3, "open", None, None, "v")]
+    given = [("o/r", 1, "open", None, None, "u"), ("o/r", 2, None, None, None, None), ("o/r", 3, None, None, None, "v")]
+    given.append(("o/r", 4, None, None, None, None))
+    target, latest = spark.createDataFrame(stored, PULLS), spark.createDataFrame(given, PULLS)
+    assert set(by_key(changed_rows(target, latest, RAW_PULLS), "pr_id")) == {3, 4}
+    assert changed_rows(target.limit(0), latest, RAW_PULLS).count() == 4
+    assert changed_rows(target, latest.limit(0), RAW_PULLS).count() == 0
+    # Fields that a load leaves alone do not make a row a changed one.
+    spec = dataclasses.replace(RAW_PULLS, load="merge_fields", update_fields=("state",))
+    other = spark.createDataFrame([("x/y", 1, "open", None, None, "w"), ("x/y", 2, "open", None, None, "w")], PULLS)
+    assert set(by_key(changed_rows(target, other, spec), "pr_id")) == {2}
+
+
+def test_a_repeated_load_writes_nothing(spark, tmp_path):
+    folder = tmp_path / "raw"
+    block = 100_000_000
+    rows = [("o/r", k * block + i, "open", None, None, f"u{i}", i) for k in range(3) for i in range(5)]
+    batch = spark.createDataFrame(rows, PULLS + ", seq bigint")
+    upsert_into(batch, RAW_PULLS, str(folder), "seq")
+    before = _files(folder)
+    upsert_into(batch.union(batch), RAW_PULLS, str(folder), "seq")
+    assert _files(folder) == before
+    # One row of one block differs: the other blocks keep their files although the batch has all their keys.
+    late = batch.withColumn("state", F.when(F.col("pr_id") == block + 2, "closed").otherwise(F.col("state")))
+    upsert_into(late, RAW_PULLS, str(folder), "seq")
+    after = _files(folder)
+    same = {name for name in before if after.get(name) == before[name]}
+    assert {name.split("/")[0] for name in before if name not in same and "/" in name} == {"id_block=1"}
+    stored = read_table(spark, RAW_PULLS, str(folder))
+    assert stored.count() == 15 and stored.filter("state = 'closed'").select("pr_id").collect() == [(block + 2,)]
+
+
+def test_a_row_changed_and_changed_back_in_one_batch_is_no_change(spark, tmp_path):
+    folder = tmp_path / "raw"
+    first = spark.createDataFrame([("a", day("2024-01-05"), 1, 1)], BATCH)
+    upsert_into(first, RAW_CONTRIBUTIONS, str(folder), "seq")
+    before = _files(folder)
+    upsert_into(
+        spark.createDataFrame([("a", day("2024-01-05"), 7, 1), ("a", day("2024-01-05"), 1, 2)], BATCH),
+        RAW_CONTRIBUTIONS,
+        str(folder),
+        "seq",
+    )
+    assert _files(folder) == before
