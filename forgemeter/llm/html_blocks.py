@@ -4,7 +4,9 @@ A page is cut into flat blocks at its block-level tags. A block has a place (the
 marked-up container it stands in), its number of words, the share of its words
 inside links, and the same two numbers of the blocks before and after it. A
 decision tree, grown on the small labelled table below, says which blocks are
-main text.
+main text. The place is one of its inputs: inside an article the links of a
+block and of its neighbours tell lists of links and cards from text, outside all
+known containers words and links decide alone.
 """
 
 from __future__ import annotations
@@ -57,6 +59,21 @@ LABELLED = (
     (1, 1, 9, 0, 11, 0, 60, 0, 1), (1, 0, 60, 0, 9, 0, 44, 0, 1), (1, 0, 44, 0, 60, 0, 5, 0, 1),
     (1, 0, 5, 0, 44, 0, 31, 0, 1), (1, 0, 31, 0, 5, 0, 12, 0, 1), (1, 0, 1, 0, 31, 0, 12, 0, 1),
     (1, 0, 12, 100, 80, 0, 75, 0, 1), (1, 0, 25, 40, 12, 0, 30, 0, 1), (1, 0, 3, 0, 6, 100, 4, 100, 1),
+    (1, 0, 3, 100, 30, 0, 45, 0, 1), (1, 1, 4, 100, 50, 3, 35, 0, 1), (1, 1, 9, 100, 0, 0, 60, 0, 1),
+    (1, 0, 22, 55, 18, 10, 64, 0, 1), (1, 1, 5, 100, 28, 0, 44, 6, 1), (1, 0, 2, 50, 24, 0, 7, 0, 1),
+    (1, 0, 31, 0, 44, 0, 0, 0, 1), (1, 0, 5, 0, 31, 0, 0, 0, 1), (1, 0, 12, 0, 40, 0, 2, 0, 1),
+    (1, 0, 2, 0, 9, 0, 1, 0, 1), (1, 0, 50, 3, 60, 0, 0, 0, 1), (1, 0, 8, 0, 55, 0, 1, 100, 1),
+    (1, 1, 3, 0, 40, 0, 2, 100, 1), (1, 0, 20, 0, 7, 0, 3, 0, 1), (1, 0, 1, 0, 2, 0, 1, 0, 1),
+    (1, 0, 64, 8, 22, 0, 1, 100, 1), (1, 0, 4, 0, 3, 100, 2, 100, 1), (1, 0, 17, 30, 26, 0, 0, 0, 1),
+    (1, 0, 6, 0, 1, 100, 0, 0, 1), (1, 0, 28, 45, 2, 100, 3, 0, 1), (1, 1, 2, 0, 1, 0, 3, 0, 1),
+    (1, 0, 14, 90, 45, 0, 60, 0, 1), (1, 0, 10, 75, 66, 0, 48, 0, 1), (1, 0, 6, 100, 25, 0, 20, 0, 1),
+    (1, 0, 5, 100, 12, 0, 11, 0, 1), (1, 1, 3, 100, 9, 0, 14, 0, 1), (1, 0, 18, 70, 40, 5, 16, 0, 1),
+    (1, 0, 3, 0, 25, 0, 2, 0, 1), (1, 0, 90, 0, 2, 100, 2, 100, 1), (1, 0, 10, 20, 4, 50, 1, 0, 1),
+    (1, 0, 2, 100, 50, 0, 2, 100, 0), (1, 0, 2, 100, 2, 100, 3, 100, 0), (1, 0, 3, 100, 2, 100, 0, 0, 0),
+    (1, 0, 1, 100, 3, 0, 1, 100, 0), (1, 0, 1, 100, 1, 100, 1, 100, 0), (1, 0, 4, 100, 60, 0, 0, 0, 0),
+    (1, 0, 2, 100, 41, 0, 0, 0, 0), (1, 1, 6, 100, 40, 0, 20, 100, 0), (1, 0, 20, 100, 6, 100, 7, 100, 0),
+    (1, 1, 7, 100, 20, 100, 26, 100, 0), (1, 0, 26, 100, 7, 100, 0, 0, 0), (1, 0, 24, 90, 8, 100, 55, 0, 0),
+    (1, 0, 3, 100, 4, 100, 70, 0, 0), (1, 0, 9, 85, 11, 90, 12, 80, 0), (1, 0, 15, 100, 35, 4, 14, 100, 0),
     (1, 0, 2, 0, 3, 0, 18, 0, 1), (1, 1, 3, 0, 70, 0, 55, 0, 1), (1, 0, 180, 2, 3, 0, 0, 0, 1),
     (1, 1, 12, 0, 1, 100, 3, 0, 1), (1, 0, 7, 0, 0, 0, 0, 0, 1), (1, 0, 40, 10, 2, 100, 8, 0, 1),
     (2, 0, 1, 100, 0, 0, 1, 100, 0), (2, 0, 2, 100, 1, 100, 1, 100, 0), (2, 0, 1, 100, 2, 100, 14, 0, 0),
@@ -76,6 +93,7 @@ LABELLED = (
 _TAG = re.compile(r"""</?([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>""")
 _NAMES = re.compile(r"""(?:^|\s)(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.IGNORECASE)
 
+_TARGET = re.compile(r"(?:^|\s)href\s*=", re.IGNORECASE)
 _FORM_PARTS = re.compile(r"<(/?form|nav|header|footer|main|article|aside|section|h1)\b", re.IGNORECASE)
 
 
@@ -135,11 +153,18 @@ def _page_forms(page: str) -> set[int]:
 
 
 def blocks(page: str) -> list[Block]:
-    """The flat text blocks of a page, in order. Character references are decoded."""
+    """The flat text blocks of a page, in order. Character references are decoded.
+
+    A link ends with its block, unless it was opened round blocks, before any text
+    of its own: such a link goes on until it is closed, another opens, or the
+    container that it stands in ends.
+    """
     out: list[Block] = []
     open_tags: list[tuple[str, int]] = []
     times: dict[str, int] = {}
     place, heading, links = ELSEWHERE, False, 0
+    # How many containers are open round a link that wraps blocks, and the parts before a link.
+    wrapping, before = -1, 0
     parts: list[tuple[str, bool]] = []
     page_forms = _page_forms(page)
 
@@ -191,13 +216,16 @@ def blocks(page: str) -> list[Block]:
             at = stop.end() if stop else end
             continue
         if tag == "a":
-            links = max(0, links - 1) if ending else 1
+            links = int(not ending and bool(_TARGET.search(attributes)))
+            wrapping, before = -1, len(parts)
         if tag not in BREAKING:
             if tag == "br":
                 parts.append((" ", False))
             continue
+        if links and wrapping < 0 and not ending and not any(text.strip() for text, _ in parts[before:]):
+            wrapping = len(open_tags)
         close()
-        links = 0
+        links = int(wrapping >= 0)
         if tag in HEADINGS:
             heading = not ending
         elif not ending:
@@ -214,6 +242,8 @@ def blocks(page: str) -> list[Block]:
                     times[name] -= 1
                     if name == tag:
                         break
+                if len(open_tags) < wrapping:
+                    links, wrapping = 0, -1
     close()
     return out
 
@@ -221,7 +251,7 @@ def blocks(page: str) -> list[Block]:
 # The tree -------------------------------------------------------------------
 
 
-def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 6):
+def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 8):
     """A binary decision tree on Gini impurity: (feature, threshold, below, above) or a label."""
     share = labels.mean()
     if depth == 0 or share in (0.0, 1.0):
@@ -240,9 +270,20 @@ def grow(rows: np.ndarray, labels: np.ndarray, depth: int = 6):
     return feature, threshold, grow(rows[below], labels[below], depth - 1), grow(rows[~below], labels[~below], depth - 1)
 
 
+def labelled() -> np.ndarray:
+    """The labelled table, and its blocks of main text in places that make them boilerplate.
+
+    Around the main text that is any of them, outside all known containers a link.
+    """
+    main = [row for row in LABELLED if row[-1]]
+    around = [(AROUND_MAIN, *row[1:-1], 0) for row in main]
+    unplaced = [(ELSEWHERE, *row[1:-1], 0) for row in main if row[0] == IN_MAIN and row[3] > 50]
+    return np.array([*LABELLED, *around, *unplaced], float)
+
+
 @lru_cache(maxsize=1)
 def tree():
-    table = np.array(LABELLED, float)
+    table = labelled()
     return grow(table[:, :-1], table[:, -1])
 
 

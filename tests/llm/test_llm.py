@@ -407,6 +407,65 @@ def test_a_layouts_names_and_a_form_round_the_page_hide_no_article():
     assert html_blocks.main_text(f"<body><form>{inner}</form>") == f"Title\n{para}"
 
 
+PARA = "Words of the article that go on and on until there are quite a lot of them, as in any other text."
+
+
+@pytest.mark.parametrize(
+    "links",
+    [
+        "<p><a href=/n>Next article one two</a></p>",
+        "<ul><li><a href=/t>tags</a><li><a href=/u>spark</a><li><a href=/v>joins</a></ul>",
+        f"<a href=/c><h3>Another story you may like</h3><p>{PARA}</p></a><a href=/d><h3>And one more</h3><p>{PARA}</p></a>",
+        "<p><a href=/b>Back to the list</a><p><a href=/n>Next article</a>",
+    ],
+)
+def test_link_lists_and_cards_in_an_article_go(links):
+    expected = f"Title\n{PARA}\n{PARA}"
+    assert html_blocks.main_text(f"<article><h1>Title</h1><p>{PARA}</p><p>{PARA}</p>{links}</article>") == expected
+
+
+def test_linked_headings_and_lines_between_text_stay():
+    page = f"""<article><h1><a href=#t>Title</a></h1><p>{PARA}</p><h2><a href=#s>A section</a></h2><p>{PARA}</p>
+    <p><a href=/x>The whole line is a link</a></p><p>{PARA}</p><p>See <a href=/y>this</a></p></article>"""
+    lines = ["Title", PARA, "A section", PARA, "The whole line is a link", PARA, "See this"]
+    assert html_blocks.main_text(page) == "\n".join(lines)
+    # An anchor without a target is no link, and a link that is never closed ends with its block or its container.
+    for opened in (f"<a name=top><p>{PARA}</p>", f"<p>{PARA} <a href=/x>left open", f"<div>x<a href=/x></div><p>{PARA}</p>"):
+        assert html_blocks.main_text(f"<article><h1>T</h1>{opened}<p>{PARA}</p><p>{PARA}</p></article>").count(PARA) == 3
+
+
+def test_links_around_blocks_count():
+    inside, after = html_blocks.blocks("<div><a href=/x><h3>One two</h3></div><p>Three")
+    assert (inside.linked, after.linked) == (2, 0)
+    card = html_blocks.blocks("<a href=/x><h3>One</h3><p>two three</p></a><p>four <a href=/y>five</a></p>six")
+    assert [(b.linked, len(b.words)) for b in card] == [(1, 1), (2, 2), (1, 2), (0, 1)]
+
+
+def test_most_decisions_on_the_pages_ask_for_words_or_links(spark):
+    def asked(row):
+        node, features = html_blocks.tree(), set()
+        while not isinstance(node, int):
+            feature, threshold, below, above = node
+            features.add(html_blocks.FEATURES[feature])
+            node = below if row[feature] <= threshold else above
+        return bool(features - {"place", "heading"})
+
+    found = []
+    for row in spark.read.parquet(f"{SF}/pages.parquet").select("html").collect():
+        own = html_blocks.blocks(row.html or "")
+        sizes = [(0, 0.0), *((len(b.words), 100.0 * b.linked / len(b.words)) for b in own), (0, 0.0)]
+        found += [asked((b.place, b.heading, *sizes[i + 1], *sizes[i], *sizes[i + 2])) for i, b in enumerate(own)]
+    assert sum(found) > len(found) / 2
+
+
+def test_the_tree_fits_its_table():
+    import numpy as np
+
+    table = html_blocks.labelled()
+    found = [html_blocks.decide(html_blocks.tree(), row) for row in table[:, :-1]]
+    assert np.mean(np.array(found) == table[:, -1]) >= 0.97
+
+
 def test_pages_with_nulls(spark):
     pages = spark.createDataFrame([(1, None, None), (None, "u", ""), (1, None, None)], "page_id bigint, url string, html string")
     assert {(r.text, r.n_chars) for r in html_blocks.extract_pages(pages).collect()} == {("", 0)}
