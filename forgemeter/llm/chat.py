@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 # The template of a turn and the role that is learned.
@@ -105,19 +105,26 @@ def with_stale_reply(conversations: DataFrame) -> DataFrame:
 
     A rejected side for tables that hold only good conversations: the reply
     answers an earlier question. The last turn is the one of the largest (turn,
-    text); conversations without an assistant's turn stay as they are.
+    text), null turns and texts below all others; copies of it are replaced as
+    well, by its own text. Conversations without an assistant's turn stay as they
+    are.
     """
-    replies = F.sort_array(
-        F.collect_list(F.when(F.col("role") == LEARNED, F.struct("turn", F.coalesce("text", F.lit("")).alias("text")))),
-        asc=False,
-    )
     conversations = conversations.select("conv_id", "turn", "role", "text")
-    last = conversations.groupBy("conv_id").agg(F.slice(replies, 1, 2).alias("__last"))
-    is_last = (F.col("role") == LEARNED) & F.struct("turn", F.coalesce("text", F.lit("")).alias("text")).eqNullSafe(
-        F.get("__last", F.lit(0))
+    # Ranks up to a limit are cut off before the shuffle, so a conversation is two rows a task, however long it is.
+    place = Window.partitionBy("conv_id").orderBy(F.desc("turn"), F.desc("said"))
+    latest = (
+        conversations.filter(F.col("role") == LEARNED)
+        .select("conv_id", "turn", F.coalesce("text", F.lit("")).alias("said"))
+        .withColumn("place", F.row_number().over(place))
+        .filter(F.col("place") <= 2)
+    )
+    last = latest.groupBy(F.col("conv_id").alias("__conv")).agg(
+        F.max(F.when(F.col("place") == 1, F.struct("turn", "said"))).alias("__last"),
+        F.max(F.when(F.col("place") == 2, F.col("said"))).alias("__before"),
     )
-    stale = F.coalesce(F.get("__last", F.lit(1))["text"], F.lit(""))
-    last = last.withColumnRenamed("conv_id", "__conv")
+    own = F.struct("turn", F.coalesce("text", F.lit("")).alias("said"))
+    is_last = (F.col("role") == LEARNED) & own.eqNullSafe(F.col("__last"))
+    stale = F.coalesce("__before", F.lit(""))
     return conversations.join(last, F.col("conv_id").eqNullSafe(F.col("__conv")), "left").select(
         "conv_id", "turn", "role", F.when(is_last, stale).otherwise(F.col("text")).alias("text")
     )

@@ -591,6 +591,25 @@ def test_repeated_runs_go_and_first_places_stay(spark):
 # Conversations --------------------------------------------------------------
 
 
+def test_the_stale_reply_is_the_one_before(spark):
+    rows = [
+        (1, 0, "user", "q"), (1, 1, "assistant", "first"), (1, 2, "user", "q2"), (1, 3, "assistant", "second"),
+        (2, 0, "assistant", "only"), (3, 0, "user", "nobody answers"), (None, 5, "assistant", "x"),
+        (None, 5, "assistant", None), (4, 1, "assistant", "b"), (4, 1, "assistant", "b"), (4, None, "assistant", "a"),
+        (5, 1, None, "c"), (5, 2, "assistant", None),
+    ]
+    conversations = spark.createDataFrame(rows, "conv_id bigint, turn int, role string, text string")
+    stale = chat.with_stale_reply(conversations)
+    found = sorted(map(tuple, stale.collect()), key=repr)
+    told = {(1, 3): "first", (2, 0): "", (4, 1): "b", (5, 2): ""}
+    expected = [(*row[:3], told.get(row[:2], row[3])) if row[2] == "assistant" else row for row in rows]
+    expected[6] = (None, 5, "assistant", "")
+    assert found == sorted(expected, key=repr)
+    assert stale.count() == len(rows) and chat.with_stale_reply(conversations.limit(0)).collect() == []
+    # Bounded before the shuffle: the rank's limit stands in the tasks that read.
+    assert "WindowGroupLimit [conv_id" in stale._jdf.queryExecution().executedPlan().toString()
+
+
 def test_pairs_share_their_longest_prefix(spark):
     schema = "conv_id bigint, turn bigint, role string, text string, extra int"
     chosen = [(1, 0, "user", "hi"), (1, 1, "assistant", "good"), (2, 0, "user", None), (3, 0, None, "x"), (None, 0, "user", "n")]
