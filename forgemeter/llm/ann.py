@@ -5,8 +5,10 @@ median between two means, then a few rounds of k-means, so lists are of about
 equal length. Largest inner products become smallest distances by one more
 coordinate, sqrt(M^2 - |x|^2) with M the largest norm (zero for queries, which
 are scaled to norm M). Every vector goes to the list of its nearest centroid; a
-boundary vector is replicated to each list almost as near, unless a chosen
-centroid is nearer to that centroid than the vector is.
+boundary vector is replicated to the next nearest too. What a boundary is, is
+measured: the ratio of the second distance to the first that a share of
+``REPLICATED`` of ``BOUNDARY_ROWS`` vectors of the sample does not exceed, but no
+more than ``RATIO``, beyond which vectors stand clearly in one cluster.
 
 Search. The centroids form a graph of nearest neighbours, small enough for the
 memory of a task. A search starts at a few spread entries and goes on from every
@@ -42,7 +44,9 @@ FIT_VECTORS_A_LIST = 16
 MOST_CENTROIDS = 8_192
 GROUP_VECTORS = 8_192
 GROUP_QUERIES = 4_096
-REPLICA_RATIO = 1.03
+REPLICATED = 0.3
+LISTS_A_VECTOR = 2
+BOUNDARY_ROWS = 2_048
 RATIO = 1.22
 RECALL = 0.97
 SAMPLE_QUERIES = 256
@@ -141,8 +145,8 @@ def with_norm(rows: np.ndarray, norm: float) -> np.ndarray:
 class Index:
     """The graph, the largest norm, and how many vectors have each centroid as nearest."""
 
-    def __init__(self, graph: CentroidGraph, norm: float, sizes: np.ndarray | None = None):
-        self.graph, self.norm, self.sizes = graph, norm, sizes
+    def __init__(self, graph: CentroidGraph, norm: float, sizes: np.ndarray | None = None, boundary: float = 1.0):
+        self.graph, self.norm, self.sizes, self.boundary = graph, norm, sizes, boundary
 
     def stored(self, rows: np.ndarray) -> np.ndarray:
         return with_norm(rows, self.norm)
@@ -153,13 +157,21 @@ class Index:
 
     def lists_of(self, rows: np.ndarray) -> Iterator[list[int]]:
         """The lists that hold each vector, nearest centroid first."""
-        for found, distances in self.graph.nearest(self.stored(rows), REPLICA_RATIO):
-            chosen: list[int] = []
-            for centroid, distance in zip(found.tolist(), distances.tolist(), strict=True):
-                between = self.graph.centroids[chosen] - self.graph.centroids[centroid]
-                if not chosen or np.sqrt((between**2).sum(axis=1)).min() >= distance:
-                    chosen.append(centroid)
-            yield chosen
+        for found, _ in self.graph.nearest(self.stored(rows), self.boundary):
+            yield found[:LISTS_A_VECTOR].tolist()
+
+    def measure_boundary(self, rows: np.ndarray) -> None:
+        """Set the boundary so that ``REPLICATED`` of the rows have a second list."""
+        stored, centroids = self.stored(rows[:BOUNDARY_ROWS]), self.graph.centroids
+        if len(centroids) < 2 or not len(stored):
+            return
+        ratios = []
+        for at in range(0, len(stored), 256):
+            part = stored[at : at + 256]
+            squares = (part**2).sum(axis=1)[:, None] + (centroids**2).sum(axis=1) - 2 * part @ centroids.T
+            two = np.sqrt(np.maximum(0, np.partition(squares, 1, axis=1)[:, :2]))
+            ratios.append(two[:, 1] / np.maximum(two[:, 0], 1e-300))
+        self.boundary = float(np.clip(np.quantile(np.concatenate(ratios), REPLICATED), 1.0, RATIO))
 
     def lists_for(self, rows: np.ndarray, ratio: float, least: int) -> Iterator[np.ndarray]:
         """The lists to read for each query; together they hold ``least`` vectors if there are so many."""
@@ -388,6 +400,7 @@ def nearest_neighbours(
         distinct.select(F.xxhash64("vector").alias("h"), "vector").orderBy("h").limit(rows).toArrow()["vector"]
     )
     index = Index(CentroidGraph(balanced_centroids(with_norm(sample, most), wanted)), most)
+    index.measure_boundary(sample)
     lists = len(index.graph.centroids)
     postings = settle(
         distinct.select("least", "vector").mapInArrow(
