@@ -297,6 +297,35 @@ def test_scores_on_held_out_documents(spark):
         assert 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5)
 
 
+def test_scores_are_those_of_direct_densities(spark):
+    """Means, covariances and log-densities by plain formulas, without sums of products or Cholesky factors."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality").collect()
+    features = {r.doc_id: np.array(quality_model.statistics((r.text or "").encode())) for r in docs}
+    train = {k: [] for k in (0, 1)}
+    for doc_id, quality in labels:
+        if quality in train and doc_id in features and zlib.crc32(str(doc_id).encode()) % 3 != 1:
+            train[quality].append(features[doc_id])
+    rows = {k: np.array(own) for k, own in train.items()}
+    total = sum(map(len, rows.values()))
+    covariance = {k: np.cov(own.T, bias=True) for k, own in rows.items()}
+    both = sum(len(rows[k]) / total * covariance[k] for k in rows)
+    to_both, to_diagonal = quality_model.SHRINK_TO_BOTH, quality_model.SHRINK_TO_DIAGONAL
+
+    def log_density(k, x):
+        mixed = (1 - to_both) * covariance[k] + to_both * both
+        mixed = np.where(np.eye(len(mixed)) > 0, mixed, (1 - to_diagonal) * mixed) + quality_model.RIDGE * np.eye(len(mixed))
+        off = x - rows[k].mean(axis=0)
+        return np.log(len(rows[k]) / total) - 0.5 * (np.linalg.slogdet(mixed)[1] + off @ np.linalg.solve(mixed, off))
+
+    scored = queries.QUERIES["op4_quality_classifier"](spark, SF).collect()
+    assert len(scored) == len(docs)
+    for row in scored:
+        x = features[row.doc_id]
+        difference = (log_density(1, x) - log_density(0, x)) / quality_model.TEMPERATURE
+        assert np.isclose(row.score, 1 / (1 + np.exp(-difference)), rtol=1e-5, atol=1e-9)
+
+
 def test_scores_without_labels_and_with_awkward_rows(spark):
     docs = table(spark, AWKWARD)
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
