@@ -772,7 +772,10 @@ def test_pipeline_stages(spark):
             assert out.dtypes == docs.dtypes
             docs = spark.createDataFrame(out.collect(), docs.schema)
     assert len(seen) == 5 and 0 < seen[2] <= seen[1] == seen[0] <= 200
+    # A run leaves the scratch tables of others alone, and none of its own but its result.
+    others = dict(corpus_pipeline._LAST_SCOPE)
     assert corpus_pipeline.run(spark, SF).count() == seen[-1]
+    assert others and corpus_pipeline._LAST_SCOPE == others
 
 
 def test_other_columns_of_conversations_change_nothing(spark):
