@@ -12,12 +12,18 @@ more than ``RATIO``, beyond which vectors stand clearly in one cluster.
 
 Search. The centroids form a graph of nearest neighbours, small enough for the
 memory of a task. A search starts at a few spread entries and goes on from every
-centroid within a ratio of the best distance so far; the lists kept are those
-within that ratio of the nearest centroid. The ratio is read off the fitted
-index: the true neighbours of ``SAMPLE_QUERIES`` queries among all vectors are
-found by brute force, and the ratio is raised from ``RATIO`` until the lists it
-opens for these queries hold ``RECALL`` of them. So a query in a clear cluster
-reads a few lists, one between all clusters many; nothing is capped.
+centroid within a ratio of its reach so far; the lists kept are those within that
+ratio of the reach. The reach is the distance of the nearest lists that together
+hold enough vectors for an answer: the nearest centroid's, but for a query that
+stands alone in its list, at no distance from it, that of the lists around. The
+ratio is read off the fitted index: the true answers of ``SAMPLE_QUERIES`` query
+rows are found by brute force, copies and ties as in the result, and the ratio is
+raised from ``RATIO`` until the lists it opens for these queries hold ``RECALL``
+of the answers. So a query in a clear cluster reads a few lists, one between all
+clusters many; nothing is capped.
+
+Ties. Equal scores go by id before any cut, so where many vectors are equally
+near (whole-number or sparse entries) those with the smallest ids are kept.
 
 Hot vectors. Equal vectors are one row of the index with their smallest ids (no
 more than k + 1 of them can be in any answer). Lists are dealt to groups; a
@@ -54,6 +60,9 @@ DEGREE = 24
 ENTRIES = 16
 ROWS_AT_ONCE = 64
 PAIRS_AT_ONCE = 100_000
+NEAREST_LISTS = 32
+# A reach is at least this share of the queries' norm, so that a ratio always widens it.
+LEAST_REACH = 1e-6
 
 
 # The index in memory --------------------------------------------------------
@@ -87,6 +96,26 @@ def balanced_centroids(rows: np.ndarray, wanted: int) -> np.ndarray:
     return centroids
 
 
+def reach_of(far: np.ndarray, sizes: np.ndarray, least: int) -> np.ndarray:
+    """Per row of distances to lists: within which the lists hold ``least`` vectors; infinite if all hold fewer."""
+    some = min(NEAREST_LISTS, far.shape[1])
+    near = np.argpartition(far, some - 1, axis=1)[:, :some]
+    reach = _reach_among(far, near, sizes, least)
+    short = np.flatnonzero(np.isinf(reach))
+    if some < far.shape[1] and len(short):
+        every = np.broadcast_to(np.arange(far.shape[1]), (len(short), far.shape[1]))
+        reach[short] = _reach_among(far[short], every, sizes, least)
+    return reach
+
+
+def _reach_among(far: np.ndarray, lists: np.ndarray, sizes: np.ndarray, least: int) -> np.ndarray:
+    own = np.take_along_axis(far, lists, axis=1)
+    order = np.argsort(own, axis=1, kind="stable")
+    own = np.take_along_axis(own, order, axis=1)
+    enough = np.cumsum(sizes[np.take_along_axis(lists, order, axis=1)], axis=1) >= least
+    return np.where(enough.any(axis=1), own[np.arange(len(own)), enough.argmax(axis=1)], np.inf)
+
+
 class CentroidGraph:
     """Centroids, each linked to its nearest ones and a few others."""
 
@@ -107,31 +136,38 @@ class CentroidGraph:
         )
         self.entries = np.unique(np.linspace(0, n - 1, min(n, ENTRIES)).astype(np.int64))
 
-    def distances(self, rows: np.ndarray, ratio: float) -> np.ndarray:
-        """To each centroid that the search met; infinite elsewhere."""
+    def distances(
+        self, rows: np.ndarray, ratio: float, sizes: np.ndarray | None = None, least: int = 0
+    ) -> tuple[np.ndarray, np.ndarray]:
+        """To each centroid that the search met, infinite elsewhere; and each row's reach.
+
+        Without ``sizes`` the reach is the distance of the nearest centroid.
+        """
         met = np.full((len(rows), len(self.centroids)), np.inf)
         who = np.repeat(np.arange(len(rows)), len(self.entries))
         where = np.tile(self.entries, len(rows))
-        best = np.full(len(rows), np.inf)
+        floor = LEAST_REACH * np.linalg.norm(rows, axis=1)
         done = np.zeros(met.shape, bool)
         while True:
             for at in range(0, len(who), PAIRS_AT_ONCE):
                 a, b = who[at : at + PAIRS_AT_ONCE], where[at : at + PAIRS_AT_ONCE]
                 met[a, b] = np.sqrt(((rows[a] - self.centroids[b]) ** 2).sum(axis=1))
-            best = met.min(axis=1)
-            open_who, open_where = np.nonzero((met <= ratio * best[:, None]) & ~done)
+            reach = met.min(axis=1) if sizes is None else np.maximum(reach_of(met, sizes, least), floor)
+            open_who, open_where = np.nonzero((met <= ratio * reach[:, None]) & np.isfinite(met) & ~done)
             if not open_who.size:
-                return met
+                return met, reach
             done[open_who, open_where] = True
             fresh = np.zeros(met.shape, bool)
             fresh[np.repeat(open_who, self.links.shape[1]), self.links[open_where].ravel()] = True
             who, where = np.nonzero(fresh & np.isinf(met))
 
-    def nearest(self, rows: np.ndarray, ratio: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-        """For each row the centroids within ``ratio`` of the nearest, nearest first, and their distances."""
+    def nearest(
+        self, rows: np.ndarray, ratio: float, sizes: np.ndarray | None = None, least: int = 0
+    ) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """For each row the centroids within ``ratio`` of its reach, nearest first, and their distances."""
         for at in range(0, len(rows), ROWS_AT_ONCE):
-            for met in self.distances(rows[at : at + ROWS_AT_ONCE], ratio):
-                found = np.flatnonzero(met <= ratio * met.min())
+            for met, reach in zip(*self.distances(rows[at : at + ROWS_AT_ONCE], ratio, sizes, least), strict=True):
+                found = np.flatnonzero((met <= ratio * reach) & np.isfinite(met))
                 found = found[np.argsort(met[found], kind="stable")]
                 yield found, met[found]
 
@@ -176,7 +212,7 @@ class Index:
     def lists_for(self, rows: np.ndarray, ratio: float, least: int) -> Iterator[np.ndarray]:
         """The lists to read for each query; together they hold ``least`` vectors if there are so many."""
         asked = self.asked(rows)
-        for i, (found, _) in enumerate(self.graph.nearest(asked, ratio)):
+        for i, (found, _) in enumerate(self.graph.nearest(asked, ratio, self.sizes, least)):
             if self.sizes[found].sum() < least:
                 far = ((self.graph.centroids - asked[i]) ** 2).sum(axis=1)
                 order = np.argsort(far, kind="stable")
@@ -184,24 +220,33 @@ class Index:
                 found = np.union1d(found, order[:enough])
             yield found
 
-    def enough(self, rows: np.ndarray, near: list[np.ndarray], ratio: float, least: int, recall: float) -> float:
-        """The smallest ratio from ``ratio`` on whose lists hold ``recall`` of the vectors ``near`` each row."""
-        total = sum(len(some) for some in near)
+    def enough(
+        self, rows: np.ndarray, near: list[tuple[np.ndarray, np.ndarray]], ratio: float, least: int, recall: float
+    ) -> float:
+        """The smallest ratio from ``ratio`` on whose lists hold ``recall`` of each row's answers.
+
+        ``near`` has per row the different vectors of its answers and how many answers each is.
+        """
+        weights = np.concatenate([counts for _, counts in near]) if near else np.zeros(0)
+        total = weights.sum()
         if not total:
             return ratio
-        holding = [[set(lists) for lists in self.lists_of(some)] if len(some) else [] for some in near]
-        # By exact distances first: how far the nearest list that holds a vector is, beside the nearest of all.
+        holding = [[set(lists) for lists in self.lists_of(some)] if len(some) else [] for some, _ in near]
+        # By exact distances first: how far the nearest list that holds a vector is, beside the reach.
         needed = []
         for row, vectors in zip(self.asked(rows), holding, strict=True):
             far = np.sqrt(((self.graph.centroids - row) ** 2).sum(axis=1))
-            needed += [far[list(lists)].min() / max(far.min(), 1e-300) for lists in vectors]
-        needed = np.sort(needed)
-        ratio = max(ratio, float(needed[min(total, math.ceil(recall * total)) - 1]))
+            reach = max(float(reach_of(far[None], self.sizes, least)[0]), LEAST_REACH * self.norm)
+            needed += [far[list(lists)].min() / reach for lists in vectors]
+        order = np.argsort(needed, kind="stable")
+        held = np.cumsum(weights[order])
+        last = order[min(len(order) - 1, int(np.searchsorted(held, recall * total)))]
+        ratio = max(ratio, float(needed[last]))
         # Then by the search itself, which may not meet every list within the ratio.
         while True:
             opened = [set(found.tolist()) for found in self.lists_for(rows, ratio, least)]
-            held = sum(bool(own & lists) for own, vectors in zip(opened, holding, strict=True) for lists in vectors)
-            if held >= recall * total or all(len(own) == len(self.graph.centroids) for own in opened):
+            found = [bool(own & lists) for own, vectors in zip(opened, holding, strict=True) for lists in vectors]
+            if weights[found].sum() >= recall * total or all(len(own) == len(self.graph.centroids) for own in opened):
                 return ratio
             ratio *= 1.02
 
@@ -296,6 +341,34 @@ def _routes(index: Index, groups: int, ratio: float, least: int):
     return run
 
 
+def _first(row: np.ndarray, ids: np.ndarray, scores: np.ndarray, count: int) -> np.ndarray:
+    """Places of each row's first ``count`` by falling score and ascending id."""
+    order = np.lexsort((ids, -scores, row))
+    starts = np.searchsorted(row[order], row[order])
+    return order[np.arange(len(order)) - starts < count]
+
+
+def _leading(
+    near: np.ndarray, wanted: np.ndarray, stored: np.ndarray, ids: np.ndarray, count: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Rows, columns and scores of each row's first ``count`` finite entries, equal scores by ascending id.
+
+    ``near`` holds the products by matrix multiplication, whose last digits depend
+    on the order of the sums; whatever may be equal to the last wanted one is
+    scored again, row by row.
+    """
+    some = min(near.shape[1], count)
+    last = -np.partition(-near, some - 1, axis=1)[:, some - 1]
+    largest = np.sqrt((stored**2).sum(axis=1).max(initial=0) * (wanted**2).sum(axis=1))
+    row, column = np.nonzero((near >= (last - 1e-13 * stored.shape[1] * largest)[:, None]) & np.isfinite(near))
+    scores = np.empty(len(row))
+    for at in range(0, len(row), PAIRS_AT_ONCE):
+        a, b = row[at : at + PAIRS_AT_ONCE], column[at : at + PAIRS_AT_ONCE]
+        scores[at : at + PAIRS_AT_ONCE] = (wanted[a] * stored[b]).sum(axis=1)
+    kept = _first(row, ids[column], scores, count)
+    return row[kept], column[kept], scores[kept]
+
+
 def _best(k: int):
     names = ["query", "least", "score"]
 
@@ -315,41 +388,38 @@ def _best(k: int):
                 open_lists = np.array([np.isin(lists, some) for some in chosen[at : at + 256]])
                 reached = np.logical_or.reduceat(open_lists[:, place], starts, axis=1)
                 near = np.where(reached, part @ stored.T, -np.inf)
-                # A few more than needed, as sums may differ in their last digits.
-                some = min(near.shape[1], k + 9)
-                top = np.argpartition(-near, some - 1, axis=1)[:, :some]
-                row, column = np.nonzero(np.isfinite(np.take_along_axis(near, top, axis=1)))
-                found = top[row, column]
+                # A few more than needed; any k + 1 would do.
+                row, column, score = _leading(near, part, stored, ids, k + 9)
                 queries.append(who[at + row])
-                least.append(ids[found])
-                scores.append((part[row] * stored[found]).sum(axis=1))
+                least.append(ids[column])
+                scores.append(score)
         arrays = [pa.array(np.concatenate(x)) for x in (queries, least, scores)]
         return pa.table(dict(zip(names, arrays, strict=True)))
 
     return run
 
 
-def _true_neighbours(distinct: DataFrame, sample: pa.Table, k: int) -> list[np.ndarray]:
-    """For each sampled row the vectors of its k nearest other rows of ``distinct``, by brute force over all of them."""
-    ids, wanted = sample["least"].to_numpy(), _matrix(sample["vector"])
+def _true_answers(distinct: DataFrame, sample: pa.Table, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+    """For each sampled query row the different vectors of its answer, and how many of the k answers each is.
+
+    By brute force over all rows of ``distinct``; the k + 1 first of these hold every answer.
+    """
+    wanted = _matrix(sample["vector"])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # The best of a task so far: k for each sampled row.
-        least, scores = np.zeros((len(ids), 0), np.int64), np.zeros((len(ids), 0))
+        # The best of a task so far: k + 1 for each sampled row.
+        rows, least, scores = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
         for batch in batches:
             for at in range(0, batch.num_rows, GROUP_VECTORS):
                 part = batch.slice(at, GROUP_VECTORS)
-                own = part.column(0).to_numpy(zero_copy_only=False)
-                near = np.where(ids[:, None] == own, -np.inf, wanted @ _matrix(part.column(1)).T)
-                least = np.concatenate([least, np.broadcast_to(own, near.shape)], axis=1)
-                scores = np.concatenate([scores, near], axis=1)
-                some = min(k, scores.shape[1])
-                top = np.argpartition(-scores, some - 1, axis=1)[:, :some]
-                least, scores = np.take_along_axis(least, top, axis=1), np.take_along_axis(scores, top, axis=1)
-        row, column = np.nonzero(np.isfinite(scores))
+                own, stored = part.column(0).to_numpy(zero_copy_only=False), _matrix(part.column(1))
+                row, column, score = _leading(wanted @ stored.T, wanted, stored, own, k + 1)
+                rows, scores = np.concatenate([rows, row]), np.concatenate([scores, score])
+                least = np.concatenate([least, own[column]])
+                kept = _first(rows, least, scores, k + 1)
+                rows, least, scores = rows[kept], least[kept], scores[kept]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(row.astype(np.int32)), pa.array(least[row, column]), pa.array(scores[row, column])],
-            names=["row", "least", "score"],
+            [pa.array(rows.astype(np.int32)), pa.array(least), pa.array(scores)], names=["row", "least", "score"]
         )
 
     place = Window.partitionBy("row").orderBy(F.desc("score"), "least")
@@ -357,14 +427,21 @@ def _true_neighbours(distinct: DataFrame, sample: pa.Table, k: int) -> list[np.n
         distinct.select("least", "vector")
         .mapInArrow(run, "row int, least bigint, score double")
         .withColumn("place", F.row_number().over(place))
-        .filter(F.col("place") <= k)
-        .join(distinct.select("least", "vector"), "least")
-        .select("row", "vector")
+        .filter(F.col("place") <= k + 1)
+        .join(distinct, "least")
+        .select("row", "score", "ids", "vector")
         .toArrow()
     )
-    rows = found["row"].to_numpy()
+    rows, scores = found["row"].to_numpy(), found["score"].to_numpy()
+    ids = found["ids"].to_pylist()
     stored = _matrix(found["vector"]) if len(rows) else np.zeros((0, wanted.shape[1]))
-    return [stored[rows == i] for i in range(len(ids))]
+    answers = []
+    for row, query in enumerate(sample["query_id"].to_pylist()):
+        own = np.flatnonzero(rows == row)
+        hits = sorted((-scores[i], number, i) for i in own.tolist() for number in ids[i] if number != query)[:k]
+        different, counts = np.unique(np.array([i for _, _, i in hits], np.int64), return_counts=True)
+        answers.append((stored[different], counts))
+    return answers
 
 
 def nearest_neighbours(
@@ -385,7 +462,7 @@ def nearest_neighbours(
     table gives an empty result. The index is fitted on ``seed_rows`` vectors, or
     ``FIT_VECTORS_A_LIST`` a list if that is more, chosen by hash, and holds every
     vector. ``ratio`` is the least one; it is raised until ``SAMPLE_QUERIES``
-    queries, chosen by hash, find ``recall`` of their true neighbours. Runs jobs.
+    query rows, chosen by hash, find ``recall`` of their true answers. Runs jobs.
     """
     spark = vectors.sparkSession
     distinct = distinct_vectors(vectors, k)
@@ -416,13 +493,14 @@ def nearest_neighbours(
         total += row["all"]
     groups = max(1, min(lists, math.ceil(total / GROUP_VECTORS)))
 
-    asked_ids = _classes_of(vectors.filter(queries), distinct)
+    asked_ids = settle(_classes_of(vectors.filter(queries), distinct), "queries")
     asked = distinct.join(asked_ids.select("least").distinct(), "least", "left_semi").select("least", "vector")
     # By another hash than the fit's, so that these queries are no more likely to be fitted on.
-    order = F.xxhash64(F.lit("calibration"), "least")
-    tried = asked.orderBy(order).limit(SAMPLE_QUERIES).select("least", "vector").toArrow()
+    order = F.xxhash64(F.lit("calibration"), "query_id")
+    tried = asked_ids.orderBy(order, "query_id", "least").limit(SAMPLE_QUERIES)
+    tried = tried.join(distinct.select("least", "vector"), "least").select("query_id", "vector").toArrow()
     if tried.num_rows:
-        near = _true_neighbours(distinct, tried, k)
+        near = _true_answers(distinct, tried, k)
         ratio = index.enough(_matrix(tried["vector"]), near, ratio, k + 1, recall)
     routes = settle(
         asked.mapInArrow(

@@ -700,6 +700,41 @@ def test_recall_holds_where_a_fixed_ratio_loses_neighbours(spark):
     assert len(got) == 150 and hits / (20 * len(got)) >= 0.95
 
 
+def test_equally_near_vectors_go_by_id(spark):
+    # Products of signs are whole numbers: most of a query's last places are tied between many vectors, copies among them.
+    rng = np.random.default_rng(8)
+    vectors = rng.choice([-1.0, 1.0], (5000, 16))
+    frame = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(vectors)], "vec_id bigint, embedding array<float>")
+    got = {}
+    for r in ann.nearest_neighbours(frame, F.col("vec_id") % 20 == 0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    hits = 0
+    for q, found in got.items():
+        products = vectors @ vectors[q]
+        order = [i for i in np.lexsort((np.arange(5000), -products)).tolist() if i != q]
+        assert found == sorted(found, key=lambda i: (-products[i], i))
+        hits += len(set(found) & set(order[:20]))
+    assert len(got) == 250 and hits / (20 * len(got)) >= 0.95
+
+
+def test_ties_are_cut_by_id():
+    # One list of 3,000 vectors with the same product, their ids in no order.
+    ids = np.random.default_rng(9).permutation(3_000)
+    posted = pa.table({"list": [0] * 3_000, "least": ids.tolist(), "vector": [[1.0, float(i)] for i in ids]})
+    asked = pa.table({"query": [7], "lists": [[0]], "vector": [[2.0, 0.0]]})
+    found = ann._best(20)(asked, posted)
+    assert set(range(21)) <= set(found["least"].to_pylist()) and set(found["score"].to_pylist()) == {2.0}
+
+
+def test_a_query_alone_in_its_list_reads_the_lists_around():
+    angles = np.linspace(0, 1.5, 16)
+    centroids = np.column_stack([np.cos(angles), np.sin(angles), np.zeros(16)])
+    index = ann.Index(ann.CentroidGraph(centroids), 1.0, np.array([1] + [40] * 15))
+    for ratio, read in ((1.22, 2), (3.2, 4)):
+        (found,) = index.lists_for(centroids[:1, :2], ratio, 21)
+        assert found.tolist() == list(range(read))
+
+
 def test_copies_in_several_lists_crowd_no_neighbour_out():
     rng = np.random.default_rng(6)
     vectors = rng.normal(size=(60, 5))
