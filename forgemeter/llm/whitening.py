@@ -150,12 +150,14 @@ def _numbers(data: bytes, rows: int) -> np.ndarray:
 
 
 def fit_blocks(rows: DataFrame, column: str = "embedding") -> DataFrame:
-    """The distinct x-vectors of usable rows in blocks (rows, width, sums, x).
+    """The distinct x-vectors of usable rows in blocks (rows, width, sums, x). Writes the vectors.
 
     Copies of a vector collapse before the shuffle, so a vector that fills a
-    third of the table is one row a task there.
+    third of the table is one row a task there. The written vectors are read by
+    their bytes, so there are as many blocks as these need, not as many as the
+    shuffle has partitions.
     """
-    distinct = rows.select(column).mapInArrow(_as_whole, "x binary").distinct()
+    distinct = settle(rows.select(column).mapInArrow(_as_whole, "x binary").distinct(), "fit-list")
     return distinct.mapInArrow(_blocks, "rows bigint, width bigint, sums array<string>, x binary")
 
 
@@ -192,7 +194,8 @@ def _summed(blocks: DataFrame, centre: Centre, measure) -> np.ndarray:
             at = pa.array(np.arange(len(total), dtype=np.int32))
             yield pa.RecordBatch.from_arrays([at, pa.array(total)], names=["at", "value"])
 
-    parts = blocks.select("rows", "x").mapInArrow(run, "at int, value double")
+    # A few numbers a task: one task adds them up, where a grouping's tasks would cost more than the pass.
+    parts = blocks.select("rows", "x").mapInArrow(run, "at int, value double").repartition(1)
     found = parts.groupBy("at").agg(F.sum("value").alias("value")).collect()
     return np.array([row["value"] for row in sorted(found, key=lambda row: row["at"])])
 

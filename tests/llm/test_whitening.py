@@ -5,6 +5,7 @@ import pytest
 
 from forgemeter.llm import whitening
 from forgemeter.llm.shipping import ship_package
+from forgemeter.session import settle
 
 SF = "/root/testdata/sf0.001"
 VECTOR = "vec_id bigint, embedding array<float>, label int"
@@ -91,3 +92,28 @@ def test_exact_sums_beyond_a_long():
     offsets = whitening.exact_offsets(big, 5, whitening.column_sums(big))
     assert offsets[0].tolist() == [0, -25 - 2**61 - 3]
     assert whitening.squared_lengths(offsets)[0] == (2**61 + 28) ** 2
+
+
+def test_shuffle_partitions_cost_no_step_tasks(spark):
+    rng = np.random.default_rng(7)
+    rows = table(spark, list(enumerate(rng.standard_normal((400, 6)).tolist())))
+    settings = {"spark.sql.shuffle.partitions": "60", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    context = spark.sparkContext
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        blocks = settle(whitening.fit_blocks(rows), "blocks")
+        centre = whitening.centre_of(blocks)
+        context.setJobGroup("whitening-steps", "")
+        found = whitening.principal_components(blocks, centre)
+        stages = context.statusTracker()
+        jobs = [stages.getJobInfo(job) for job in stages.getJobIdsForGroup("whitening-steps")]
+        tasks = sum(stages.getStageInfo(stage).numTasks for job in jobs for stage in job.stageIds)
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    # A pass for the trace and one a step, each with at most a task a core and one that adds up.
+    assert blocks.agg({"rows": "sum"}).first()[0] == 400 and blocks.count() <= 20
+    assert tasks <= 20 * (found.steps + 1)
