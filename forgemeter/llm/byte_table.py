@@ -47,23 +47,33 @@ class ByteTable:
         self.values = np.full(slots, -1, np.int32)
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        mixed = (keys * _MULTIPLIERS).sum(axis=1, dtype=np.uint64)
+        mixed = keys[:, 0] * _MULTIPLIERS[0]
+        for i in range(1, WIDTH):
+            mixed += keys[:, i] * _MULTIPLIERS[i]
         mixed ^= mixed >> np.uint64(31)
         mixed *= np.uint64(0xD6E8FEB86659FD93)
         return (mixed >> np.uint64(32)).astype(np.int64) & (len(self.values) - 1)
 
     def find(self, keys: np.ndarray) -> np.ndarray:
-        found = np.full(len(keys), -1, np.int32)
         slot = self._slots(keys)
-        at = np.arange(len(keys))
+        # Most are found or found missing at their first slot; the others go on alone.
+        found, on = self._at(slot, keys)
+        at = np.flatnonzero(on)
         while len(at):
-            values = self.values[slot]
-            same = (self.keys[slot] == keys[at]).all(axis=1) & (values >= 0)
-            found[at[same]] = values[same]
-            on = ~same & (values >= 0)
-            at, slot = at[on], (slot[on] + 1) & (len(self.values) - 1)
+            slot = (slot[on] + 1) & (len(self.values) - 1)
+            found[at], on = self._at(slot, keys[at])
+            at = at[on]
         return found
 
+    def _at(self, slot: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The number of each key if it is in its slot, or -1; and whether another key is there."""
+        values, stored = self.values[slot], self.keys[slot]
+        same = values >= 0
+        taken = same.copy()
+        for i in range(WIDTH):
+            same &= stored[:, i] == keys[:, i]
+        return np.where(same, values, np.int32(-1)), taken & ~same
+
     def add(self, keys: np.ndarray, values: np.ndarray) -> None:
         """Put in different keys that are not there yet; ``room`` says how many fit."""
         if self.size + len(keys) > self.room:

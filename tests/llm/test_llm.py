@@ -279,6 +279,21 @@ def test_words_come_and_go_in_the_encoders_memory(monkeypatch, as_text):
     assert own.old.size > 0 and own.young.size < 1_000
 
 
+def test_punctuation_after_a_word_is_learnt_once():
+    words_ = ["house", "straße", "l'été", "naïf", "x1", "don't", "ŉō", "e\u0301", "漢", "Σ", "a-b", "÷"]
+    tails = ["", "$$$", "!!", "&&&", "...", "'", "');", "\u0338", "'s", "\\`~", "|>", "-_-"]
+    texts = [word + tail for word in words_ for tail in tails]
+    library = Tokenizer.from_file(queries.WORD_VOCABULARY)
+    for as_text in (True, False):
+        own = wavelet.WordEncoder(queries.WORD_VOCABULARY, as_text)
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in own.encode_batch([t.encode() for t in texts])]
+        assert got == [library.encode(text, add_special_tokens=False).ids for text in texts]
+    # Six words and four tails, not each word with each tail.
+    own = wavelet.WordEncoder(queries.WORD_VOCABULARY)
+    own.encode_batch([(word + tail).encode() for word in words_[:6] for tail in tails[:5]])
+    assert own.young.size == 10
+
+
 # Quality --------------------------------------------------------------------
 
 
